@@ -5,21 +5,76 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import uniform_shards
+
+    text = F.coalesce("text", F.lit(""))
+    return uniform_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    from .bpe import encode_and_decode
+
+    return encode_and_decode(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_digests(rows.unionByName(chat.tricky(spark)))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup,
+        op4_uniform_shards,
+        op5_language_id,
+        op7_byte_bpe,
+        op9_chat_format,
+    )
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash_near_dedup": op1_simhash_near_dedup}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import chat
+
+    return {"op9_chat_format": chat.SQL}
