@@ -58,6 +58,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(rows.unionByName(chat.tricky(spark)))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination_digests
+
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +72,7 @@ QUERIES = {
         op5_language_id,
         op7_byte_bpe,
         op9_chat_format,
+        op10_decontaminate,
     )
 }
 
@@ -75,6 +82,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat
+    from . import chat, decontaminate
 
-    return {"op9_chat_format": chat.SQL}
+    return {"op9_chat_format": chat.SQL, "op10_decontaminate": decontaminate.SQL}
