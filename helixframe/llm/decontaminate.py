@@ -124,8 +124,8 @@ def matches(values: np.ndarray, order: np.ndarray, items: Items, window: int) ->
     return items.item[row], at - begin, place, length
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
-    """(id_col, n_words, n_hit, matches) for every row of docs.
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, n_words, n_hit, matches, keep...) for every row of docs.
 
     A match is a longest verbatim run of at least `window` words that a
     document shares with an item (or a whole item that is shorter): item_id,
@@ -178,12 +178,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 covered = (np.cumsum(hit)[: len(values)] > 0)[np.arange(len(hashes)) + doc]
                 n_hit = np.bincount(doc[covered], minlength=n_docs)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n_docs), pa.array(np.diff(begins)), pa.array(n_hit.astype(np.int64)), pa.array([own.get(d, []) for d in range(n_docs)], pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())])))],
-                    ["id", "n_words", "n_hit", "matches"],
+                    [batch.column(0).slice(lo, n_docs), pa.array(np.diff(begins)), pa.array(n_hit.astype(np.int64)), pa.array([own.get(d, []) for d in range(n_docs)], pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())]))), *(c.slice(lo, n_docs) for c in batch.columns[2:])],
+                    ["id", "n_words", "n_hit", "matches", *batch.schema.names[2:]],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_words long, n_hit long, matches array<{MATCH}>").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
+    fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    out = rows.mapInArrow(run, f"id {kind}, n_words long, n_hit long, matches array<{MATCH}>{fields}")
+    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "matches", *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)))
 
 
 def contamination_digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "d
 
     def run(batches):
         for batch in batches:
-            texts = [x or "" for x in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = [x or "" for x in batch.column("__text" if own else text_col).to_pylist()]
             names: list[str] = []
             scores: list[float] = []
             for _, part in _chunks(texts):
@@ -142,10 +142,12 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "d
                         best, score = langs[at], float(min(1.0, max(0.0, cosines[at])))
                     names.append(best)
                     scores.append(score)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            n = batch.num_columns - own
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:n], "lang_pred", "score"])
 
-    kept = docs.select(F.col(id_col), *keep, F.col(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    own = text_col not in keep
+    kept = docs.select(F.col(id_col), *keep, *([F.col(text_col).alias("__text")] if own else []))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[: len(keep) + 1])
     return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 

@@ -51,6 +51,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return encode_and_decode(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import chat
 
@@ -71,6 +77,7 @@ QUERIES = {
         op4_uniform_shards,
         op5_language_id,
         op7_byte_bpe,
+        op8_substring_dedup,
         op9_chat_format,
         op10_decontaminate,
     )
@@ -82,6 +89,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat, decontaminate
+    from . import chat, decontaminate, substrings
 
-    return {"op9_chat_format": chat.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op9_chat_format": chat.SQL, "op8_substring_dedup": substrings.SQL, "op10_decontaminate": decontaminate.SQL}
