@@ -24,6 +24,18 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .gif import media_digests
+
+    return media_digests(table(spark, sf_dir, "documents"))
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import revisit_table
+
+    return revisit_table(table(spark, sf_dir, "pages"))
+
+
 def op4_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import uniform_shards
 
@@ -74,6 +86,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_gif_media,
+        op3_warc_revisits,
         op4_uniform_shards,
         op5_language_id,
         op7_byte_bpe,
@@ -89,6 +103,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat, decontaminate, substrings
+    from . import chat, decontaminate, substrings, warc
 
-    return {"op9_chat_format": chat.SQL, "op8_substring_dedup": substrings.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op3_warc_revisits": warc.SQL, "op9_chat_format": chat.SQL, "op8_substring_dedup": substrings.SQL, "op10_decontaminate": decontaminate.SQL}
