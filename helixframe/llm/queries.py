@@ -57,6 +57,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .perplexity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     from .bpe import encode_and_decode
 
@@ -90,6 +96,7 @@ QUERIES = {
         op3_warc_revisits,
         op4_uniform_shards,
         op5_language_id,
+        op6_kneser_ney_quality,
         op7_byte_bpe,
         op8_substring_dedup,
         op9_chat_format,
