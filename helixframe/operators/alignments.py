@@ -57,9 +57,9 @@ def remove_duplicates(rows: DataFrame, by: list[str], score: str, order: str) ->
     return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
-def fix_mates(rows: DataFrame, name: str = "qname", order: str = "ordinal") -> DataFrame:
+def fix_mates(rows: DataFrame, name: str = "qname", order: tuple[str, ...] = ("ordinal",)) -> DataFrame:
     """The first two rows of each name, each with the other's place: mtid, mpos."""
-    w = Window.partitionBy(name).orderBy(order)
+    w = Window.partitionBy(name).orderBy(*order)
     rows = rows.withColumn("__n", F.row_number().over(w)).withColumn("__after_tid", F.lead("tid").over(w)).withColumn("__after_pos", F.lead("pos").over(w)).withColumn("__before_tid", F.lag("tid").over(w)).withColumn("__before_pos", F.lag("pos").over(w))
     first = F.col("__n") == 1
     out = rows.where("__n <= 2").withColumn("mtid", F.when(first, F.col("__after_tid")).otherwise(F.col("__before_tid"))).withColumn("mpos", F.when(first, F.col("__after_pos")).otherwise(F.col("__before_pos")))

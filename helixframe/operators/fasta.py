@@ -72,9 +72,9 @@ def split_round_robin(records: DataFrame, n: int, order: str = "id") -> DataFram
 def gaps(records: DataFrame, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
     """(id, begin, end), from 0 and half-open, of the runs of N."""
     runs = F.regexp_extract_all(F.col(seq_col), F.lit("(N+|[^N]+)"), 1)
-    ends = F.aggregate(runs, F.array().cast("array<int>"), lambda done, r: F.array_append(done, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + F.length(r)))
-    rows = records.select(id_col, F.explode(F.arrays_zip(runs.alias("run"), ends.alias("end"))).alias("x")).where(F.col("x.run").startswith("N"))
-    return rows.select(id_col, (F.col("x.end") - F.length("x.run")).alias("begin"), F.col("x.end").alias("end"))
+    rows = records.select(id_col, F.posexplode(runs).alias("k", "run")).select(id_col, "k", F.length("run").alias("n"), F.col("run").startswith("N").alias("gap"))
+    end = F.sum("n").over(Window.partitionBy(id_col).orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("end", end).where("gap").select(id_col, (F.col("end") - F.col("n")).alias("begin"), "end")
 
 
 def pieces_between_gaps(records: DataFrame, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
