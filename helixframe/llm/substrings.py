@@ -24,7 +24,7 @@ from .vectors import U64, blocks, mixed, space_words, text_bytes, window_hashes,
 #: Rows of the sketch; binary logarithm of a row's cells at most (64 MB of marks a row) and of a stripe's.
 DEPTH, MOST_BITS, STRIPE_BITS = 2, 29, 22
 #: Windows that a task gathers before it sends them on.
-GATHER = 6_000_000
+GATHER = 2_000_000
 
 
 def _windows(batch: pa.RecordBatch, n: int):
@@ -128,24 +128,18 @@ def _loaded(sent, token: str, bits: int) -> np.ndarray:
             at = (key & 0xFFFFFFFF) << stripe_bits >> 3
             part = np.frombuffer(zlib.decompress(marks), np.uint8)
             out[key >> 32, at : at + len(part)] = part
+        del sent._value  # compressed; not needed any more
         _LOADED[token] = out
     return _LOADED[token]
 
 
-def _by_document(doc: np.ndarray, at: np.ndarray, ids: list, hashes: np.ndarray):
-    """Rows (id, hash of the text, first words) of what is not the first of its kind."""
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    cuts = np.flatnonzero(np.diff(doc, prepend=-1))
-    ends = np.append(cuts[1:], len(doc))
-    return [ids[d] for d in doc[cuts].tolist()], hashes[doc[cuts]], [at[lo:hi].astype("<u4").tobytes() for lo, hi in zip(cuts.tolist(), ends.tolist(), strict=True)]
-
-
 SENT = "shard int, doc_ids array<long>, text_hashes array<long>, counts array<int>, h1 binary, h2 binary, at binary"
 
 
 def _candidates(n: int, bits: int, shards: int, sent, token: str):
-    """Windows taken to be repeated, once for each task and its shard of the hashes; those that a task has seen earlier go to shard -1 - k."""
+    """Windows taken to be repeated, once for each task, by the shard of their
+    hashes; those that the task itself has earlier are settled and go by their
+    document's bucket k as shard -1 - k."""
 
     def flush(ids, texts, parts):
         h1, h2, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -169,7 +163,8 @@ def _candidates(n: int, bits: int, shards: int, sent, token: str):
         if len(later):
             later = np.sort(later)
             none = np.zeros(len(later), U64)
-            yield from rows(-1 - (later >> 32) % shards, later, none, none.astype(np.uint32), ids, texts, bare=True)
+            bucket = (texts[later >> 32] ^ ids[later >> 32]) % shards
+            yield from rows(-1 - bucket, later, none, none.astype(np.uint32), ids, texts, bare=True)
 
     def rows(shard, place, h1, h2, ids, texts, bare=False):
         if bare:
@@ -210,26 +205,25 @@ def _candidates(n: int, bits: int, shards: int, sent, token: str):
     return run
 
 
-def _grouped():
-    """In each shard: all but the first occurrence of every window."""
-    out = ["id", "text_hash", "at"]
-    kinds = [pa.int64(), pa.int64(), pa.binary()]
+FOUND = "bucket int, ids array<long>, text_hashes array<long>, counts array<int>, at binary"
+
 
-    def rows(ids, texts, ats):
-        for lo in range(0, len(ids), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 10_000], k) for x, k in zip((ids, texts, ats), kinds, strict=True)], out)
+def _grouped(buckets: int):
+    """In each shard: all but the first occurrence of every window, a row for each bucket of documents."""
+    names = [f.split()[0] for f in FOUND.split(", ")]
+    kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+
+    def row(*values):
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     def run(batches):
         ids, texts, counts, h1, h2, ats = [], [], [], [], [], []
         for batch in batches:
             for r in batch.to_pylist():
-                n = np.array(r["counts"], np.int64)
                 if r["shard"] < 0:
-                    at = np.frombuffer(r["at"], "<u4")
-                    cuts = np.concatenate([[0], n.cumsum()])
-                    yield from rows(r["doc_ids"], r["text_hashes"], [at[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)])
+                    yield row(-1 - r["shard"], r["doc_ids"], r["text_hashes"], r["counts"], r["at"])
                     continue
-                for have, new in ((ids, np.array(r["doc_ids"], np.int64)), (texts, np.array(r["text_hashes"], np.int64)), (counts, n), (h1, np.frombuffer(r["h1"], U64)), (h2, np.frombuffer(r["h2"], np.uint32)), (ats, np.frombuffer(r["at"], "<u4"))):
+                for have, new in ((ids, np.array(r["doc_ids"], np.int64)), (texts, np.array(r["text_hashes"], np.int64)), (counts, np.array(r["counts"], np.int64)), (h1, np.frombuffer(r["h1"], U64)), (h2, np.frombuffer(r["h2"], np.uint32)), (ats, np.frombuffer(r["at"], "<u4"))):
                     have.append(new)
         if not ids:
             return
@@ -244,52 +238,67 @@ def _grouped():
         h1, h2, place = h1[order], h2[order], place[order]
         first = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
         later = place[place != place[first][np.cumsum(first) - 1]]
-        if len(later):
-            found = _by_document(later >> 32, later & 0xFFFFFFFF, ids.tolist(), texts)
-            yield from rows(*found)
+        if not len(later):
+            return
+        bucket = ((texts ^ ids) % buckets)[later >> 32]
+        order = np.lexsort((later, bucket))
+        later, bucket = later[order], bucket[order]
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+            doc = later[lo:hi] >> 32
+            begin = np.flatnonzero(np.diff(doc, prepend=-1))
+            yield row(int(bucket[lo]), ids[doc[begin]], texts[doc[begin]], np.diff(np.append(begin, len(doc))), (later[lo:hi] & 0xFFFFFFFF).astype("<u4").tobytes())
 
     return run
 
 
 def _cut(n: int, spaced: bool):
+    """Rows of a bucket: first what was found, then its documents."""
+
+    def kept_of(text: str | None, ats: list[np.ndarray]):
+        raw = (text or "").encode()
+        parts = raw.split()
+        if not ats:
+            return len(parts), 0, [], (b" ".join(parts) if spaced else raw).decode()
+        change = np.zeros(len(parts) + 1, np.int64)
+        every = np.unique(np.concatenate(ats))
+        change[every] += 1
+        change[every + n] -= 1
+        gone = np.cumsum(change)[:-1] > 0
+        edge = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2)
+        if spaced:
+            kept = b" ".join([p for p, g in zip(parts, gone.tolist(), strict=True) if not g])
+        else:
+            starts, _, _ = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), space_words())
+            places, pieces, at = np.append(starts, len(raw)), [], 0
+            for lo, hi in edge.tolist():
+                pieces.append(raw[at : places[lo]])
+                at = places[hi]
+            kept = b"".join([*pieces, raw[at:]])
+        return len(parts), int(gone.sum()), [{"first": a, "end": b} for a, b in edge.tolist()], kept.decode()
+
     def run(batches):
-        key, ats = None, []
+        bucket, found = None, {}
         for batch in batches:
-            ids, hashes, sides, texts, found = (batch.column(k).to_pylist() for k in range(5))
+            buckets, sides = (batch.column(k).to_pylist() for k in (0, 1))
             rows = []
-            for i, h, side, text, at in zip(ids, hashes, sides, texts, found, strict=True):
-                if (i, h) != key:
-                    key, ats = (i, h), []
-                if not side:
-                    ats.append(np.frombuffer(at, "<u4"))
-                    continue
-                raw = (text or "").encode()
-                parts = raw.split()
-                if not ats:
-                    rows.append((len(parts), 0, [], (b" ".join(parts) if spaced else raw).decode()))
+            for k, (b, side) in enumerate(zip(buckets, sides, strict=True)):
+                if b != bucket:
+                    bucket, found = b, {}
+                if side:
+                    key = batch.column(2)[k].as_py(), batch.column(3)[k].as_py()
+                    rows.append(kept_of(batch.column(4)[k].as_py(), found.get(key, [])))
                     continue
-                change = np.zeros(len(parts) + 1, np.int64)
-                every = np.unique(np.concatenate(ats))
-                change[every] += 1
-                np.add.at(change, every + n, -1)
-                gone = np.cumsum(change)[:-1] > 0
-                edge = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2)
-                if spaced:
-                    kept = b" ".join([p for p, g in zip(parts, gone.tolist(), strict=True) if not g])
-                else:
-                    data = np.frombuffer(raw, np.uint8)
-                    starts, _, _ = words(data, np.array([0, len(data)]), space_words())
-                    places, pieces, at0 = np.append(starts, len(data)), [], 0
-                    for lo, hi in edge.tolist():
-                        pieces.append(raw[at0 : places[lo]])
-                        at0 = places[hi]
-                    kept = b"".join([*pieces, raw[at0:]])
-                rows.append((len(parts), int(gone.sum()), [{"first": a, "end": b} for a, b in edge.tolist()], kept.decode()))
+                ids, hashes, counts, at = (batch.column(c)[k].as_py() for c in range(5, 9))
+                at = np.frombuffer(at, "<u4")
+                cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+                for i, h, lo, hi in zip(ids, hashes, cuts[:-1], cuts[1:], strict=True):
+                    found.setdefault((i, h), []).append(at[lo:hi])
             if rows:
                 own = batch.filter(pa.array([bool(side) for side in sides]))
                 kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])), pa.string()]
                 made = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([own.column(0), *made, *own.columns[5:]], ["id", "n_words", "n_removed", "spans", "kept", *batch.schema.names[5:]])
+                yield pa.RecordBatch.from_arrays([own.column(2), *made, *own.columns[9:]], ["id", "n_words", "n_removed", "spans", "kept", *batch.schema.names[9:]])
 
     return run
 
@@ -318,15 +327,18 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), estimate // 1_500_000 + 1)
     found = texts.mapInArrow(_candidates(n, bits, shards, sent, uuid.uuid4().hex), SENT)
     to = F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))
-    later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(), "id long, text_hash long, at binary")
+    later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(shards), FOUND)
     path = new_path(spark, "repeats")
     later.write.parquet(path)
     sent.unpersist()
     finished(spark)
-    later = spark.read.schema("id long, text_hash long, at binary").parquet(path)
-    both = texts.select("id", "text_hash", F.lit(1).alias("side"), "text", F.lit(None).cast("binary").alias("at"), *(f.name for f in extra)).unionByName(later.select("id", "text_hash", F.lit(0).alias("side"), F.lit(None).cast("string").alias("text"), "at", *(F.lit(None).cast(f.dataType).alias(f.name) for f in extra)))
+    later = spark.read.schema(FOUND).parquet(path)
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    bucket = F.pmod(F.col("text_hash").bitwiseXOR(F.col("id")), F.lit(shards)).cast("int")
+    of_docs = texts.select(bucket.alias("bucket"), F.lit(1).alias("side"), "id", "text_hash", "text", none("array<long>", "ids"), none("array<long>", "text_hashes"), none("array<int>", "counts"), none("binary", "at"), *(f.name for f in extra))
+    of_found = later.select("bucket", F.lit(0).alias("side"), none("long", "id"), none("long", "text_hash"), none("string", "text"), "ids", "text_hashes", "counts", "at", *(none(f.dataType, f.name) for f in extra))
     fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra)
-    cut = both.repartition("id", "text_hash").sortWithinPartitions("id", "text_hash", "side").mapInArrow(_cut(n, spaced), f"id long, n_words long, n_removed long, spans array<struct<first:int,end:int>>, kept string{fields}")
+    cut = of_docs.unionByName(of_found).repartition("bucket").sortWithinPartitions("bucket", "side").mapInArrow(_cut(n, spaced), f"id long, n_words long, n_removed long, spans array<struct<first:int,end:int>>, kept string{fields}")
     kind = docs.schema[id_col].dataType
     return cut.select(F.when(F.col("id") != -(1 << 63), F.col("id")).cast(kind).alias(id_col), "n_words", "n_removed", "spans", "kept", *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes handled at a time, but for single texts that are longer.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 
