@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 #: How byte-level BPE cuts a text into pieces; \s there means Unicode's White_Space.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Entries of a worker's memory of pieces and words; it starts anew beyond that.
-MOST_KNOWN = 800_000
+#: Pieces and words that a worker remembers (about 200 bytes each); either memory starts anew beyond that.
+MOST_PIECES, MOST_WORDS = 400_000, 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,6 +52,11 @@ class Bpe:
             self.rules.append((vocab[a], vocab[b], vocab[a + b]))
         self.pairs = np.array(sorted(self.ranks) or [-2], np.int64)
         self.pair_ranks = np.array([self.ranks.get(k, -1) for k in self.pairs.tolist()], np.int64)
+        made: dict[int, int] = {}
+        for rank, (*_, new) in enumerate(self.rules):
+            made[new] = rank
+        #: Whether every rule comes after the rules that make its symbols, so that no merge wakes a lower rank.
+        self.ascending = all(rank > max(made.get(a, -1), made.get(b, -1)) for rank, (a, b, _) in enumerate(self.rules))
         self.added = {t["content"]: t["id"] for t in data.get("added_tokens", ())}
         self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.added.values()]))
         for token, i in vocab.items():
@@ -64,85 +69,100 @@ class Bpe:
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
-    def occurrences(self, symbol: np.ndarray, ends: np.ndarray) -> dict[int, list[int]]:
-        """By rank, where its pair stands; no pair goes over the end of a piece."""
-        if len(symbol) < 2:
-            return {}
-        pair = symbol[:-1] << 32 | symbol[1:]
-        pair[ends[(ends > 0) & (ends < len(symbol))] - 1] = -1
-        near = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        places = np.flatnonzero(self.pairs[near] == pair)
-        rank = self.pair_ranks[near[places]]
-        order = np.argsort(rank, kind="stable")
-        rank, places = rank[order], places[order]
-        cuts = np.flatnonzero(np.diff(rank, prepend=-1))
-        return {int(rank[lo]): places[lo:hi].tolist() for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rank)], strict=True)} if len(cuts) else {}
-
     def merge(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece, packed as little-endian uint32."""
         spelled = [p.encode() for p in pieces]
         sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
         ends = np.cumsum(sizes)
-        symbol = [self.byte_ids[b] for b in chain.from_iterable(spelled)]
+        symbol = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join(spelled), np.uint8)]
         n = len(symbol)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for e, size in zip(ends.tolist(), sizes.tolist(), strict=True):
-            if size:
-                after[e - 1] = -1
-                before[e - size] = -1
-        ranks, index = self.ranks, self.occurrences(np.array(symbol, np.int64), ends)
-        heap = list(index)
-        heapq.heapify(heap)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        some = sizes > 0
+        after[ends[some] - 1] = -1
+        before[(ends - sizes)[some]] = -1
+        index: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def enlist(places: np.ndarray) -> int:
+            """Adds places whose symbol and the next are a rule's pair; gives the least rank."""
+            pair = symbol[places] << 32 | symbol[after[places]]
+            near = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            known = np.flatnonzero(self.pairs[near] == pair)
+            if not len(known):
+                return len(self.rules)
+            rank, places = self.pair_ranks[near[known]], places[known]
+            order = np.argsort(rank, kind="stable")
+            rank, places = rank[order], places[order]
+            cuts = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+            lo = 0
+            for hi, r in zip([*cuts.tolist(), len(rank)], rank[[0, *cuts.tolist()]].tolist(), strict=True):
+                if r in index:
+                    index[r].append(places[lo:hi])
+                else:
+                    index[r] = [places[lo:hi]]
+                    heapq.heappush(heap, r)
+                lo = hi
+            return int(rank[0])
+
+        if n:
+            enlist(np.flatnonzero(after >= 0))
         while heap:
             rank = heapq.heappop(heap)
-            places = index.pop(rank, None)
-            if places is None:
+            lists = index.pop(rank, None)
+            if lists is None:
                 continue
             a, b, new = self.rules[rank]
-            places.sort()
-            for k, at in enumerate(places):
-                nxt = after[at]
-                if symbol[at] != a or nxt < 0 or symbol[nxt] != b:
-                    continue
-                symbol[at], symbol[nxt] = new, -1
-                far = after[at] = after[nxt]
-                least = rank
-                if far >= 0:
-                    before[far] = at
-                    if (r := ranks.get(new << 32 | symbol[far])) is not None:
-                        if r in index:
-                            index[r].append(at)
-                        else:
-                            index[r] = [at]
-                            heapq.heappush(heap, r)
-                        least = min(least, r)
-                if (near := before[at]) >= 0 and (r := ranks.get(symbol[near] << 32 | new)) is not None:
-                    if r in index:
-                        index[r].append(near)
-                    else:
-                        index[r] = [near]
-                        heapq.heappush(heap, r)
-                    least = min(least, r)
-                if least < rank:  # a lower rank has become active: it goes first
-                    if rest := places[k + 1 :]:
-                        index[rank] = index.get(rank, []) + rest
-                        heapq.heappush(heap, rank)
+            places = np.unique(np.concatenate(lists)) if len(lists) > 1 else lists[0]
+            nxt = after[places]
+            holds = (symbol[places] == a) & (nxt >= 0) & (symbol[nxt] == b)
+            if not holds.all():
+                places, nxt = places[holds], nxt[holds]
+            if self.ascending and a == b and len(places) > 1:  # in a run of equal symbols every second pair, from the left
+                begins = np.append(True, places[1:] != nxt[:-1])
+                number = np.arange(len(places))
+                even = (number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 0
+                places, nxt = places[even], nxt[even]
+            while len(places):
+                # where a rule may wake a lower rank, a piece's next pair has to wait for it
+                now = slice(None) if self.ascending else np.append(True, self.piece_of(ends, places[1:]) != self.piece_of(ends, places[:-1]))
+                p, q = places[now], nxt[now]
+                far = after[q]
+                symbol[p], symbol[q], after[p] = new, -1, far
+                linked = far >= 0
+                before[far[linked]] = p[linked]
+                near = before[p]
+                least = enlist(np.concatenate([p[linked], near[near >= 0]]))
+                if self.ascending:
                     break
-        ids = np.array(symbol, np.int64)
-        alive = ids >= 0
+                rest = np.setdiff1d(places, p)
+                if least < rank and len(rest):
+                    index.setdefault(rank, []).append(rest)
+                    heapq.heappush(heap, rank)
+                    break
+                places, nxt = rest, after[rest]
+                holds = (symbol[places] == a) & (nxt >= 0) & (symbol[nxt] == b)
+                places, nxt = places[holds], nxt[holds]
+        alive = symbol >= 0
         kept = np.concatenate([[0], np.cumsum(alive)])
-        packed = ids[alive].astype("<u4").tobytes()
+        packed = symbol[alive].astype("<u4").tobytes()
         return [packed[4 * s : 4 * e] for s, e in zip(kept[ends - sizes].tolist(), kept[ends].tolist(), strict=True)]
 
+    @staticmethod
+    def piece_of(ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(ends, places, "right")
+
     def learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) > MOST_KNOWN:
-            self.pieces = {}
+        if len(self.pieces) > MOST_PIECES:  # frequent pieces are in every batch, and stay
+            self.pieces = {p: self.pieces[p] for p in pieces if p in self.pieces}
         new = [p for p in pieces if p not in self.pieces]
         self.pieces.update(zip(new, self.merge(new), strict=True))
 
     def learn_words(self, first: set[str], later: set[str]) -> None:
         """What words come to: those that begin a line, and those after one
         space. None for those that touch more white space; they aren't cut alike everywhere."""
+        if len(self.first) + len(self.later) > MOST_WORDS:
+            self.first = {w: self.first[w] for w in first if w in self.first}
+            self.later = {w: self.later[w] for w in later if w in self.later}
         cut = []
         for known, found, lead in ((self.first, first, ""), (self.later, later, " ")):
             for w in found:
@@ -155,8 +175,6 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, packed as little-endian uint32."""
-        if len(self.first) + len(self.later) > MOST_KNOWN:
-            self.first, self.later = {}, {}
         parts: list[tuple[str, ...]] = []
         for text in texts:
             if self.cut is None or not self.cut.search(text):
@@ -195,7 +213,7 @@ def loaded(file: str) -> Bpe:
     return Bpe(file)
 
 
-def _batches(texts: list[str], size: int = 1 << 21):
+def _batches(texts: list[str], size: int = 1 << 22):
     lo = 0
     while lo < len(texts):
         hi, n = lo, 0
