@@ -325,7 +325,7 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
     bits = min(MOST_BITS, max(16, (2 * estimate).bit_length()))
     sent = spark.sparkContext.broadcast(repeated_marks(texts.select("text"), n, bits))
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), estimate // 1_500_000 + 1)
-    found = texts.mapInArrow(_candidates(n, bits, shards, sent, uuid.uuid4().hex), SENT)
+    found = texts.select("id", "text_hash", "text").mapInArrow(_candidates(n, bits, shards, sent, uuid.uuid4().hex), SENT)
     to = F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))
     later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(shards), FOUND)
     path = new_path(spark, "repeats")
