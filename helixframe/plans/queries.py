@@ -1,6 +1,6 @@
 """All registered queries of the reference's operators."""
 
-from . import kmer_queries, overlap_queries, record_queries  # noqa: F401
+from . import assembly_queries, kmer_queries, overlap_queries, record_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
