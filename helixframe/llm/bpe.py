@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import long_rows
+
 #: How byte-level BPE cuts a text into pieces; \s there means Unicode's White_Space.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pieces and words that a worker remembers (about 200 bytes each); either memory starts anew beyond that.
@@ -66,6 +68,7 @@ class Bpe:
         self.split = regex.compile(PIECES)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.pieces: dict[str, bytes] = {}
+        self.last: set[str] = set()
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
@@ -154,6 +157,7 @@ class Bpe:
     def learn(self, pieces: set[str]) -> None:
         if len(self.pieces) > MOST_PIECES:  # frequent pieces are in every batch, and stay
             self.pieces = {p: self.pieces[p] for p in pieces if p in self.pieces}
+        self.last = pieces
         new = [p for p in pieces if p not in self.pieces]
         self.pieces.update(zip(new, self.merge(new), strict=True))
 
@@ -204,6 +208,11 @@ class Bpe:
         mark = {t: i.to_bytes(4, "little") for t, i in self.added.items()}
         return [b"".join(mark[p] if k % 2 else out[p] for k, p in enumerate(own)) for own in parts]
 
+    def rest(self) -> None:
+        """Gives memory back between tasks: of what was learned only the pieces of the last batch stay."""
+        self.first, self.later = {}, {}
+        self.pieces = {p: self.pieces[p] for p in self.last}
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
@@ -257,6 +266,7 @@ def _mapped(docs, tokenizer, id_col, text_col, made, fields, names):
             for texts in _batches([x or "" for x in batch.column(1).to_pylist()]):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *made(bpe, bpe.encode(texts))], ["id", *names])
                 at += len(texts)
+        bpe.rest()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col)
+    return long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col)

@@ -39,4 +39,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     out = moves[0].select("node", F.col("to").alias("root"))
     for move in moves[1:]:
         out = out.join(move.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    return written(out, "components")
+    return out

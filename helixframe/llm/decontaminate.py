@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import long_rows
 from .vectors import U64, alnum_words, blocks, text_bytes, word_hashes, words
 
 MATCH = "struct<item_id:string,item_word:int,doc_word:int,n_words:int>"
@@ -183,7 +184,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
+    rows = long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
     fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
     out = rows.mapInArrow(run, f"id {kind}, n_words long, n_hit long, matches array<{MATCH}>{fields}")
     return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "matches", *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import long_rows, written
 
 WIDTH, FRAME_ROWS, DELAY = 64, 1024, 10
 #: Bins of a colour channel.
@@ -228,7 +228,7 @@ def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(list(map(len, raw)), pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
 def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -260,7 +260,7 @@ def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", k
                 kind = pa.list_(pa.struct([(n, ints if n in ("red", "green", "blue") else pa.int32()) for n in ("frame", "start_ms", "delay_ms", "width", "height", "disposal", "red", "green", "blue")]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), *(c.slice(lo, 256) for c in batch.columns[2:]), pa.array(samples, pa.binary()), pa.array(timed, kind)], ["id", *batch.schema.names[2:], "samples", "frames"])
 
-    rows = media.select(F.col(id_col).alias("id"), F.col(media_col).alias("media"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
+    rows = long_rows(media).select(F.col(id_col).alias("id"), F.col(media_col).alias("media"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
     extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {extra}samples binary, frames array<{FRAME}>")
     return out.select(F.col("id").alias(id_col), *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)), "samples", "frames")

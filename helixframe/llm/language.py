@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import long_rows
+
 #: Size of the vectors; letters are hashed to so many symbols, 0 stands for what is no letter.
 DIMENSIONS, SYMBOLS = 512, 128
 BLOCK = 1 << 20
@@ -109,7 +111,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
             vector = np.rint(bundle(codes, counts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([x] * DIMENSIONS), pa.array(np.arange(DIMENSIONS)), pa.array(vector)], ["lang", "at", "sum"])
 
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
+    rows = long_rows(docs).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     sums = rows.mapInArrow(run, "lang string, at long, sum long").groupBy("lang", "at").agg(F.sum("sum").alias("sum"))
     out: dict[str, np.ndarray] = {}
     for r in sums.collect():
@@ -146,7 +148,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "d
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:n], "lang_pred", "score"])
 
     own = text_col not in keep
-    kept = docs.select(F.col(id_col), *keep, *([F.col(text_col).alias("__text")] if own else []))
+    kept = long_rows(docs).select(F.col(id_col), *keep, *([F.col(text_col).alias("__text")] if own else []))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[: len(keep) + 1])
     return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import long_rows
+
 #: Rows of a call; numpy draws exact hypergeometric counts up to this many. Larger tables go in blocks of files.
 MOST_ROWS = 999_999_999
 
@@ -56,7 +58,7 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 20240229, piece
     other; an empty table stays empty. A column of rows named like one of the
     new ones is replaced. More than MOST_ROWS rows are refused."""
     spark = rows.sparkSession
-    rows = rows.drop(shard_col, slot_col)
+    rows = long_rows(rows).drop(shard_col, slot_col)
     counted = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     counts = [0] * (1 + max((r["p"] for r in counted), default=0))
     for r in counted:

@@ -53,3 +53,15 @@ def partitions(df: DataFrame, least: int = 1) -> int:
     """Parallelism for an exchange of df: what it has already, or the session's."""
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, conf, df.rdd.getNumPartitions())
+
+
+def long_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """df, in whose session Arrow batches have at most so many rows from now on.
+
+    Spark's default of 10,000 is meant for short rows; as many texts would
+    fill a task's Python worker. A smaller setting of the user's stays."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df

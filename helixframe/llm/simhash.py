@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import finished, written
+from .shared import finished, long_rows, written
 
 U64 = np.uint64
 SEED = 42
@@ -153,7 +153,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
 class _Home:
@@ -300,12 +300,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated; other columns of docs are not read. An empty table gives an
     empty result."""
     spark = docs.sparkSession
-    each = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    # short rows: dealt anew, they make few files
+    each = written(fingerprints(docs, id_col, text_col, words).repartition("fp", id_col), "fingerprints")
     distinct = written(each.groupBy("fp").agg(F.min(id_col).alias("first")), "distinct")
-    edges = written(links(distinct, t), "links")
+    roots = components(links(distinct, t))
     finished(spark)
-    roots = components(edges)
     of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = written(of.join(least, "root").select("fp", "component_id"), "classes")
+    of = of.join(least, "root").select("fp", "component_id")
     return each.join(of, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

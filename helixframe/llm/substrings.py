@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import finished, new_path
+from .shared import finished, long_rows
 from .vectors import U64, blocks, mixed, space_words, text_bytes, window_hashes, word_hashes, words
 
 #: Rows of the sketch; binary logarithm of a row's cells at most (64 MB of marks a row) and of a stripe's.
 DEPTH, MOST_BITS, STRIPE_BITS = 2, 29, 22
 #: Windows that a task gathers before it sends them on.
-GATHER = 2_000_000
+GATHER = 1_000_000
 
 
 def _windows(batch: pa.RecordBatch, n: int):
@@ -217,6 +217,7 @@ def _grouped(buckets: int):
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     def run(batches):
+        _LOADED.clear()
         ids, texts, counts, h1, h2, ats = [], [], [], [], [], []
         for batch in batches:
             for r in batch.to_pylist():
@@ -318,21 +319,17 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
     sake. Null texts have no words and are kept as empty. No other column is
     read. The first two passes must see the same rows, in whatever order."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
+    texts = long_rows(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
     extra = texts.schema.fields[3:]
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     estimate = size // 6 + 1
     bits = min(MOST_BITS, max(16, (2 * estimate).bit_length()))
     sent = spark.sparkContext.broadcast(repeated_marks(texts.select("text"), n, bits))
+    finished(spark)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), estimate // 1_500_000 + 1)
     found = texts.select("id", "text_hash", "text").mapInArrow(_candidates(n, bits, shards, sent, uuid.uuid4().hex), SENT)
     to = F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))
     later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(shards), FOUND)
-    path = new_path(spark, "repeats")
-    later.write.parquet(path)
-    sent.unpersist()
-    finished(spark)
-    later = spark.read.schema(FOUND).parquet(path)
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
     bucket = F.pmod(F.col("text_hash").bitwiseXOR(F.col("id")), F.lit(shards)).cast("int")
     of_docs = texts.select(bucket.alias("bucket"), F.lit(1).alias("side"), "id", "text_hash", "text", none("array<long>", "ids"), none("array<long>", "text_hashes"), none("array<int>", "counts"), none("binary", "at"), *(f.name for f in extra))

@@ -56,7 +56,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i mod 2^64 for i < n."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        n = 1 << (n - 1).bit_length() if n > 1 else 1
+        n = -(-n // 65_536) * 65_536
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             out = np.full(n, b, U64)
