@@ -20,16 +20,24 @@ def low_complexity(seq: str, window: int = 64, threshold: float = 20.0) -> list[
     seq = seq.upper()
     triplets = [seq[i : i + 3] if set(seq[i : i + 3]) <= set("ACGT") else None for i in range(len(seq) - 2)]
     out: list[tuple[int, int]] = []
+    found: list[tuple[int, float]] = []  # begins and scores of such stretches, in the window
     for end in range(len(triplets)):
+        first = max(0, end - window + 3)
+        found = [x for x in found if x[0] >= first]
+        known = sorted(found, reverse=True)
         counts: Counter[str] = Counter()
-        total, best, at = 0, 0.0, None
-        for n, start in enumerate(range(end, max(-1, end - window + 3), -1), 1):
+        total, best, at, k = 0, 0.0, None, 0
+        for n, start in enumerate(range(end, first - 1, -1), 1):
             if triplets[start] is None:
                 break
+            while k < len(known) and known[k][0] >= start:
+                best = max(best, known[k][1])
+                k += 1
             total += counts[triplets[start]]
             counts[triplets[start]] += 1
             if n > 1 and (score := 10 * total / (n - 1)) > threshold and score >= best:
                 best, at = score, start
+                found.append((start, score))
         if at is not None:
             lo, hi = at, end + 3
             while out and out[-1][1] >= lo:
