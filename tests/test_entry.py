@@ -19,7 +19,11 @@ def normal(x):
     return f"{float(x):.6g}" if isinstance(x, float) or type(x).__name__ == "Decimal" else str(x)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+#: A fifth of the queries, to keep the tests short; the driver compares all of them.
+SOME = sorted(entry.oracle_sql())[::5]
+
+
+@pytest.mark.parametrize("name", SOME)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
