@@ -28,10 +28,16 @@ def canonical(seq: Column) -> Column:
     return F.least(seq, reverse_complement(seq))
 
 
+def window(seq: Column, begin: Column, k: int) -> Column:
+    """k letters from begin (from 1) of a sequence of single-byte letters:
+    taken from its bytes, where a place is found without counting characters."""
+    return F.substr(seq.cast("binary"), begin, F.lit(k)).cast("string")
+
+
 def kmers(seq: Column, k: int) -> Column:
     """Array of all windows of k letters, in order; empty if seq is shorter."""
-    n = F.length(seq) - k + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    n = F.octet_length(seq) - k + 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: window(seq, i, k))).otherwise(F.array().cast("array<string>"))
 
 
 def is_valid(kmer: Column) -> Column:

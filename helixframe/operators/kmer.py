@@ -8,13 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import canonical, compressed, is_valid, kmers
+from ..functions.sequence import canonical, compressed, is_valid, kmers, window
 
 
 def enumerate_kmers(seqs: DataFrame, k: int, seq_col: str = "seq", both_strands: bool = True, keep: tuple[str, ...] = (), positions: bool = False) -> DataFrame:
     """keep..., [pos from 0,] kmer: every window of k letters; windows with other letters than A, C, G and T are passed over."""
-    every = kmers(F.col(seq_col), k)
-    rows = seqs.select(*keep, F.posexplode(every).alias("pos", "kmer")) if positions else seqs.select(*keep, F.explode(every).alias("kmer"))
+    # numbers are exploded, not strings: the windows are then cut in generated code
+    n = F.octet_length("__seq") - k + 1
+    rows = seqs.select(*keep, F.col(seq_col).alias("__seq")).where(n > 0)
+    rows = rows.select(*keep, "__seq", F.explode(F.sequence(F.lit(1), n)).alias("__i"))
+    rows = rows.select(*keep, *([(F.col("__i") - 1).alias("pos")] if positions else []), window(F.col("__seq"), F.col("__i"), k).alias("kmer"))
     rows = rows.where(is_valid(F.col("kmer")))
     return rows.withColumn("kmer", canonical(F.col("kmer"))) if both_strands else rows
 

@@ -13,11 +13,13 @@ K = 8
 
 
 def seqs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """id, seq, lang (of documents)."""
+    """id, seq, lang (of documents). The source rows are spread over the cores
+    before windows are exploded from them: they are far fewer, and a table may be one row group."""
     id_col = {"documents": "doc_id", "benchmark": "item_id", "pages": "page_id"}[name]
     text = {"pages": "html"}.get(name, "text")
     keep = ["lang"] if name == "documents" else []
-    return table(spark, sf_dir, name).select(F.col(id_col).alias("id"), dna(F.col(text)).alias("seq"), *keep)
+    rows = table(spark, sf_dir, name).select(F.col(id_col).alias("id"), F.col(text).alias("text"), *keep)
+    return rows.repartition(max(8, spark.sparkContext.defaultParallelism), "id").select("id", dna(F.col("text")).alias("seq"), *keep)
 
 
 def dna_sql(name: str = "documents", where: str = "", k: int = K, both: bool = True) -> str:
