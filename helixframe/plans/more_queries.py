@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import canonical
-from ..operators import interval, sequential
-from .kmer_queries import seqs
+from ..functions.sequence import canonical, cigar_operations, reference_span, reverse_complement
+from ..operators import graph, interval, kmer, sequential
+from .assembly_queries import DEGREES, EDGES, edges
+from .kmer_queries import _links_sql, seqs
 from .overlap_queries import ALIGNMENTS, aligned
 from .record_queries import DOCS, MERGED, SHIP, ships
 from .registry import query, table
@@ -131,6 +132,70 @@ def mate_pairs_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 2).alias("pair")).agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"), F.countDistinct("user_id").alias("n"), F.count("*").alias("c")).where("c = 2").drop("c")
 
 
+@query(f"SELECT id, substr(seq, 6 + id % 10, 25) AS seq FROM {DOCS} WHERE length(seq) >= 6 + id % 10")
+def region_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of regions [bgn, end), from 0, by a join of regions and records."""
+    regions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (5 + F.col("doc_id") % 10).cast("int").alias("bgn")).withColumn("end", F.col("bgn") + 25)
+    rows = regions.join(seqs(spark, sf_dir), "id").where(F.length("seq") > F.col("bgn"))
+    return rows.select("id", F.substr("seq", F.col("bgn") + 1, F.col("end") - F.col("bgn")).alias("seq"))
+
+
+@query(f"SELECT id, CASE WHEN (id % 32) & 16 <> 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM {DOCS}")
+def reads_from_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads as they were sequenced: those aligned in reverse are turned back."""
+    back = (F.col("id") % 32).bitwiseAND(F.lit(16)) != 0
+    return seqs(spark, sf_dir).select("id", F.when(back, reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+
+
+@query("""WITH c AS (SELECT l_orderkey AS o, l_linenumber AS n, CAST(l_linenumber AS VARCHAR) || 'S' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'M2I' || CAST(l_linenumber * 3 AS VARCHAR) || 'D10M' AS cigar, CAST(l_quantity AS INTEGER) + l_linenumber * 3 + 10 AS span FROM lineitem)
+SELECT o, n, cigar, CAST(span AS INTEGER) AS span, 5 AS n_ops FROM c""")
+def cigar_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = lambda c: F.expr(f"cast({c} as string)")
+    cigar = F.concat(s("l_linenumber"), F.lit("S"), s("int(l_quantity)"), F.lit("M2I"), s("l_linenumber * 3"), F.lit("D10M"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), cigar.alias("cigar"))
+    return rows.select("o", "n", "cigar", reference_span(F.col("cigar")).alias("span"), F.size(cigar_operations(F.col("cigar"))).alias("n_ops"))
+
+
+@query(f"SELECT tig, pos, string_agg(base, '' ORDER BY id) AS bases, count(*) AS depth FROM (SELECT id, id % 50 AS tig, i AS pos, substr(seq, CAST(i AS BIGINT), 1) AS base FROM (SELECT id, seq, unnest(range(1, length(seq) + 1)) AS i FROM {DOCS})) GROUP BY tig, pos")
+def pileup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per place the bases of all reads over it, in the order of the reads, and their number. A place has as many as its depth."""
+    rows = seqs(spark, sf_dir).where(F.length("seq") > 0).select("id", (F.col("id") % 50).alias("tig"), F.posexplode(F.split("seq", "")).alias("pos", "base"))
+    ordered = F.array_sort(F.collect_list(F.struct("id", "base")))
+    return rows.groupBy("tig", (F.col("pos") + 1).cast("long").alias("pos")).agg(F.array_join(F.transform(ordered, lambda x: x["base"]), "").alias("bases"), F.count("*").alias("depth"))
+
+
+@query(f"SELECT node FROM {DEGREES} JOIN (SELECT a, sum(coverage) AS c FROM {EDGES} GROUP BY a) ON a = node WHERE n_in >= 2 AND n_out >= 2 AND c >= 2")
+def repeat_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs with two links or more on each side and coverage of two or more."""
+    e = edges(spark, sf_dir)
+    cov = e.groupBy(F.col("a").alias("node")).agg(F.sum("coverage").alias("c")).where("c >= 2")
+    return graph.degrees(e).where("n_in >= 2 and n_out >= 2").join(cov, "node").select("node")
+
+
+@query(f"SELECT kmer, CASE WHEN out_A > 0 THEN 'A' WHEN out_C > 0 THEN 'C' WHEN out_G > 0 THEN 'G' ELSE 'T' END AS next FROM ({_links_sql(11)}) WHERE (out_A > 0)::INT + (out_C > 0)::INT + (out_G > 0)::INT + (out_T > 0)::INT = 1")
+def unique_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-mers that are always followed by the same letter, and that letter."""
+    rows = kmer.links(seqs(spark, sf_dir), 11)
+    ways = F.array(*(F.when(F.col(f"out_{b}") > 0, b) for b in "ACGT"))
+    return rows.withColumn("ways", F.array_compact(ways)).where(F.size("ways") == 1).select("kmer", F.element_at("ways", 1).alias("next"))
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def reads_not_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that are not in an anti-list."""
+    listed = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id")).distinct()
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")).join(listed, "id", "left_anti")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, value, lead(event_id) OVER w AS e2, lead(value) OVER w AS v2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id, event_id, value + (v2 - value) * 0.25 AS projected FROM e WHERE e2 IS NOT NULL""")
+def projected_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place a quarter of the way to the next anchor, by linear interpolation."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    e = table(spark, sf_dir, "events").withColumn("v2", F.lead("value").over(w))
+    return e.where("v2 is not null").select("user_id", "event_id", (F.col("value") + (F.col("v2") - F.col("value")) * 0.25).alias("projected"))
+
+
 def low_complexity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequential.mask_low_complexity(seqs(spark, sf_dir, "benchmark").select("id", "seq"))
 
