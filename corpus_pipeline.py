@@ -26,9 +26,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest doc_id."""
+    """Of each group of near-duplicates the document of the smallest doc_id.
+
+    Rows that share a doc_id are one document, and one of them stays; a group
+    whose ids are all null keeps each of its different texts once."""
     first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first.withColumnRenamed("doc_id", "first"), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+    kept = docs.join(first.withColumnRenamed("doc_id", "first"), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select(*COLUMNS)
+    return kept.withColumn("__text", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "__text"]).drop("__text")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
