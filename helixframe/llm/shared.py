@@ -35,24 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def finished(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of the jobs that are over."""
+    """Lets Spark's cleaner drop the shuffle files of the jobs that are over:
+    it does so once the driver has collected what referred to them, and that
+    is not before the listeners have heard of the jobs' ends."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def partitions(df: DataFrame, least: int = 1) -> int:
-    """Parallelism for an exchange of df: what it has already, or the session's."""
-    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, conf, df.rdd.getNumPartitions())
+    sc = spark.sparkContext
+    for _ in range(2):
+        gc.collect()
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        sc._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def long_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
