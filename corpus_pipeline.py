@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.bpe import encode_and_decode
 from helixframe.llm.decontaminate import contamination
+from helixframe.llm.jaccard import near_duplicates
 from helixframe.llm.language import held_out, predict, train
 from helixframe.llm.queries import default_tokenizer
 from helixframe.llm.shared import written
-from helixframe.llm.simhash import near_duplicates
 from helixframe.llm.substrings import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,7 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest doc_id.
+    """Of each group of near-duplicates, linked by a Jaccard similarity of 0.8 or
+    more of their five-word shingles, the document of the smallest doc_id.
 
     Rows that share a doc_id are one document, and one of them stays; a group
     whose ids are all null keeps each of its different texts once."""
