@@ -39,7 +39,7 @@ def _fields(spark: SparkSession, path: str, names: list[tuple[str, str]], skip:
     f = F.split("value", sep)
     columns: list[Column] = [F.try_element_at(f, F.lit(i + 1)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(names)]
     if rest:
-        columns.append(F.slice(f, len(names) + 1, 1_000_000).alias(rest))
+        columns.append(F.slice(f, F.lit(len(names) + 1), F.greatest(F.size(f) - len(names), F.lit(0))).alias(rest))
     return rows.select(*columns)
 
 
@@ -86,7 +86,7 @@ def delta(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("lineSep", "\n>").text(path).where("value rlike '^>?[^\\n]+\\n'").select(F.regexp_replace("value", "^>", "").alias("v"))
     lines = F.split(F.regexp_replace("v", "\n$", ""), "\n")
     head = F.split(F.element_at(lines, 1), " ")
-    rows = rows.where(F.size(head) == 4).select(head.alias("h"), F.slice(lines, 2, 1_000_000).alias("l"))
+    rows = rows.where(F.size(head) == 4).select(head.alias("h"), F.slice(lines, F.lit(2), F.size(lines) - 1).alias("l"))
     zero = F.struct(F.array().cast("array<struct<head:string,deltas:array<int>>>").alias("done"), F.lit(None).cast("string").alias("head"), F.array().cast("array<int>").alias("deltas"))
 
     def step(s: Column, line: Column) -> Column:

@@ -63,6 +63,22 @@ def test_delta(spark, tmp_path):
     assert [(r.ref, r.ref_len, r.s_r, r.e_q, r.deltas) for r in rows] == [("r1", 500, 1, 102, [10, -4]), ("r1", 500, 200, 200, []), ("r2", 50, 1, 20, [])]
 
 
+def test_optional_fields_are_unbounded(spark, tmp_path):
+    n = 1_000_003
+    row = "q\t100\t1\t50\t+\tt\t200\t2\t51\t40\t49\t60\t" + "\t".join(["x"] * n) + "\n"
+    paf = readers.paf(spark, put(tmp_path, "long.paf", row))
+    assert paf.selectExpr("size(tags)").first()[0] == n
+    assert readers.paf(spark, put(tmp_path, "bare.paf", "q\t1\n")).first().tags == []
+
+
+def test_delta_of_many_lines(spark, tmp_path):
+    """More lines under one header than any constant: what is sliced off is looked for in the plan, as folding so many is slow."""
+    text = ">r1 q1 500 400\n" + "1 100 5 102 3 3 0\n10\n0\n" * 40
+    df = readers.delta(spark, put(tmp_path, "many.delta", text))
+    assert df.count() == 40
+    assert "1000000" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_messages(spark, tmp_path):
     rows = readers.messages(spark, put(tmp_path, "a.frg", "{FRG\nacc:f1\nseq:\nACGT\n.\n}\n{LKG\nfrg:f1\n}\n")).collect()
     assert [r.tag for r in rows] == ["FRG", "LKG"]
