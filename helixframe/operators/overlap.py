@@ -85,15 +85,17 @@ def end_overlaps(unitigs: DataFrame, k: int, id_col: str = "id", seq_col: str =
     return left.join(right, "end").where("a <> b").select("a", "a_ori", "b", "b_ori")
 
 
-def match_runs(queries: DataFrame, targets: DataFrame, k: int, most: int = 1, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
+def match_runs(queries: DataFrame, targets: DataFrame, k: int, most: int | None = 1, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
     """(q, t, q_begin, t_begin, length): maximal runs of k-mers, one after
     another on a diagonal, that occur in both; k-mers with more than most
     places among the targets are passed over. With most = 1 the matches are
-    unique in the targets."""
+    unique in the targets; with None all k-mers count, as in MAXMATCH."""
     left = enumerate_kmers(queries, k, seq_col, both_strands=False, keep=(id_col,), positions=True).select("kmer", F.col(id_col).alias("q"), F.col("pos").alias("q_pos"))
     right = enumerate_kmers(targets, k, seq_col, both_strands=False, keep=(id_col,), positions=True).select("kmer", F.col(id_col).alias("t"), F.col("pos").alias("t_pos"))
-    rare = right.groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("kmer")
-    hits = left.join(right.join(rare, "kmer"), "kmer").withColumn("diagonal", F.col("q_pos") - F.col("t_pos"))
+    if most is not None:
+        rare = right.groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("kmer")
+        right = right.join(rare, "kmer")
+    hits = left.join(right, "kmer").withColumn("diagonal", F.col("q_pos") - F.col("t_pos"))
     w = Window.partitionBy("q", "t", "diagonal").orderBy("q_pos")
     hits = hits.withColumn("island", F.col("q_pos") - F.row_number().over(w))
     return hits.groupBy("q", "t", "diagonal", "island").agg(F.min("q_pos").alias("q_begin"), F.min("t_pos").alias("t_begin"), (F.count("*") + k - 1).alias("length")).drop("diagonal", "island")

@@ -99,8 +99,9 @@ def unitig_end_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.end_overlaps(seqs(spark, sf_dir), 7)
 
 
-def _runs_sql(most: int) -> str:
-    return f"""(WITH q AS (SELECT id, pos, kmer FROM {dna_sql('benchmark', k=12, both=False)}), t AS (SELECT id, pos, kmer FROM {dna_sql(k=12, both=False)}), r AS (SELECT kmer FROM t GROUP BY kmer HAVING count(*) <= {most}),
+def _runs_sql(most: int | None) -> str:
+    rare = "" if most is None else f" HAVING count(*) <= {most}"
+    return f"""(WITH q AS (SELECT id, pos, kmer FROM {dna_sql('benchmark', k=12, both=False)}), t AS (SELECT id, pos, kmer FROM {dna_sql(k=12, both=False)}), r AS (SELECT kmer FROM t GROUP BY kmer{rare}),
 h AS (SELECT q.id AS q, t.id AS t, q.pos AS qp, t.pos AS tp, q.pos - t.pos AS d FROM q JOIN t ON q.kmer = t.kmer JOIN r ON r.kmer = t.kmer),
 i AS (SELECT *, qp - row_number() OVER (PARTITION BY q, t, d ORDER BY qp) AS island FROM h)
 SELECT q, t, min(qp) AS q_begin, min(tp) AS t_begin, count(*) + 11 AS length FROM i GROUP BY q, t, d, island)"""
@@ -116,8 +117,14 @@ def maximal_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.match_runs(seqs(spark, sf_dir, "benchmark"), seqs(spark, sf_dir), 12, 50)
 
 
+@query(f"SELECT * FROM {_runs_sql(None)}")
+def maximal_matches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal matches of k-mers with any number of places (MAXMATCH)."""
+    return overlap.match_runs(seqs(spark, sf_dir, "benchmark"), seqs(spark, sf_dir), 12, None)
+
+
 def match_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = maximal_matches(spark, sf_dir).select(F.col("t").alias("ref"), F.col("q").alias("qry"), F.col("t_begin").cast("long").alias("r"), F.col("q_begin").cast("long").alias("q"), "length")
+    found = maximal_matches_all(spark, sf_dir).select(F.col("t").alias("ref"), F.col("q").alias("qry"), F.col("t_begin").cast("long").alias("r"), F.col("q_begin").cast("long").alias("q"), "length")
     return alignment_sets.clusters(found, least=20)
 
 

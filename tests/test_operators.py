@@ -239,3 +239,13 @@ def test_trio(spark):
 def test_report(spark):
     rows = {r.name: r.value for r in pipelines.assembly_report(spark.createDataFrame([(1, "A" * 10), (2, "A" * 30)], "id long, seq string")).collect()}
     assert rows["N50"] == 30 and rows["S"] == 40 and rows["C"] == 2 and rows["E"] == 25
+
+
+def test_match_runs_without_a_cap(spark):
+    """A passage in more than 50 targets matches in each of them, whole."""
+    passage = "".join(random.Random(3).choices("ACGT", k=40))
+    targets = spark.createDataFrame([(i, "T" * (i % 5) + passage) for i in range(60)], "id long, seq string")
+    queries = spark.createDataFrame([(0, passage)], "id long, seq string")
+    rows = overlap.match_runs(queries, targets, 12, None).where("length >= 40").collect()
+    assert {r.t for r in rows} == set(range(60)) and all(r.q_begin == 0 and r.t_begin == r.t % 5 for r in rows)
+    assert overlap.match_runs(queries, targets, 12, 50).count() == 0
