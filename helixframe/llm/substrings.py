@@ -1,149 +1,154 @@
 """Exact substring dedup with a count-min prefilter.
 
-Pass one counts hashed windows in count-min sketches. A partition writes down
-which cells it counts, stripe by stripe; the stripes of all partitions are
-merged by adding up. A cell only ever overestimates, so a window whose cells
-all but one stay below two occurs once. Pass two sends on only windows that
-the sketch takes to be repeated, and groups those exactly (by 96-bit hashes);
-no repeated window is lost, whatever the sketch's size. Pass three cuts.
+Texts are dealt into chunks once, and every pass sees the same chunks. Pass one
+counts hashed windows in count-min sketches: a chunk sends the cells that it
+counts to the parts of the sketch that hold them, each part adds up what all
+chunks have sent and sends back one bit for each cell: was it counted twice. A
+cell only ever overestimates, so a window of which one cell was counted once
+occurs once. Pass two sends on only windows that the sketch takes to be
+repeated and groups those exactly (by 96 bits of two independent hashes); no
+repeated window is lost, whatever the sketch's size. Pass three cuts.
+
+The sketch grows with the input, two cells or more for each window, and no task
+holds more than one part of it: chunks and parts grow with the square root of
+the input, within bounds, and their number does the rest.
 """
 
 from __future__ import annotations
 
-import uuid
-import zlib
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import finished, long_rows
+from .shared import long_rows
 from .vectors import U64, blocks, mixed, space_words, text_bytes, window_hashes, word_hashes, words
 
-#: Rows of the sketch; binary logarithm of a row's cells at most (64 MB of marks a row) and of a stripe's.
-DEPTH, MOST_BITS, STRIPE_BITS = 2, 29, 22
-#: Windows that a task gathers before it sends them on.
-GATHER = 1_000_000
+#: Rows of the sketch.
+DEPTH = 2
+#: Least and most bytes of text in a chunk; binary logarithms of the cells in a part.
+CHUNK, PART_BITS = (8 << 20, 64 << 20), (22, 26)
 
 
-def _windows(batch: pa.RecordBatch, n: int):
-    """Of blocks of a batch's texts: first row, window hashes, their rows and first words."""
-    data, offsets = text_bytes(batch.column(batch.num_columns - 1))
+class Sketch(NamedTuple):
+    """Binary logarithms of the cells of a row of the sketch and of a part of it."""
+
+    bits: int
+    part_bits: int
+
+
+def planned(size: int) -> tuple[int, Sketch]:
+    """Chunks and sketch for size bytes of text."""
+    bits = max(16, (size // 3 + 2).bit_length())  # a word and the space after it have some six bytes
+    least, most = PART_BITS
+    chunk = min(CHUNK[1], max(CHUNK[0], 50 * int(size**0.5)))
+    return -(-size // chunk), Sketch(bits, min(bits, max(least, min(most, bits // 2 + 5))))
+
+
+def _windows(texts: pa.ChunkedArray, n: int):
+    """Of blocks of texts: first row, window hashes, their rows and first words, and a function for another 32 bits of hash of some of the windows."""
+    data, offsets = text_bytes(texts.cast(pa.large_string()).combine_chunks())
     for lo, hi in blocks(offsets):
         part, cuts = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         starts, ends, doc = words(part, cuts, space_words())
         if len(starts) < n:
             continue
-        hashes = word_hashes(part, starts, ends, lower=False)
         whole = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :])
         first = np.searchsorted(doc, np.arange(hi - lo))
-        yield lo, hashes, whole, doc[whole], (whole - first[doc[whole]]).astype(np.uint32)
 
+        def second(some: np.ndarray, part=part, starts=starts, ends=ends, whole=whole) -> np.ndarray:
+            other = window_hashes(word_hashes(part, starts, ends, lower=False, salt=1), n, 2)
+            return (other[whole[some]] >> U64(32)).astype(np.uint32)
 
-def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return (mixed(h, 100 + row) >> U64(64 - bits)).astype(np.uint32)
+        hashes = window_hashes(word_hashes(part, starts, ends, lower=False), n, 1)[whole]
+        yield lo, hashes, doc[whole], (whole - first[doc[whole]]).astype(np.uint32), second
 
 
-def _sketch(n: int, bits: int):
-    stripe_bits = min(bits, STRIPE_BITS)
-    low_bits = min(stripe_bits, 16)
+def _cells(h: np.ndarray, row: int, sketch: Sketch) -> np.ndarray:
+    return mixed(h, 100 + row) >> U64(64 - sketch.bits)
 
-    def sent(h: np.ndarray):
-        for row in range(DEPTH):
-            cells = np.sort(_cells(h, row, bits))
-            if len(cells) > 2:  # a third count changes nothing
-                cells = cells[np.append([True, True], cells[2:] != cells[:-2])]
-            of = np.arange((1 << (bits - low_bits)) + 1, dtype=np.int64) << low_bits
-            cuts = np.searchsorted(cells, of)
-            lows = (cells & np.uint32((1 << low_bits) - 1)).astype("<u2")
-            per = 1 << (stripe_bits - low_bits)
-            keys, blobs = [], []
-            for stripe in range(1 << (bits - stripe_bits)):
-                own = cuts[stripe * per : (stripe + 1) * per + 1]
-                if own[-1] > own[0]:
-                    keys.append(row << 32 | stripe)
-                    blobs.append(np.diff(own).astype("<u4").tobytes() + lows[own[0] : own[-1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["stripe", "cells"])
 
-    def run(batches):
-        have, size = [], 0
-        for batch in batches:
-            for _, hashes, whole, _, _ in _windows(batch, n):
-                have.append(window_hashes(hashes, n, 1)[whole])
-                size += len(whole)
-                if size >= GATHER:
-                    yield from sent(np.concatenate(have))
-                    have, size = [], 0
-        if size:
-            yield from sent(np.concatenate(have))
+def packed(cells: np.ndarray, bits: int) -> bytes:
+    """Ascending numbers below 2^bits: their low bits as they are, the high ones as a bitmap in which number i of high part x is bit x + i."""
+    n = len(cells)
+    size = lambda low: n * low // 8 + ((1 << max(0, bits - low)) + n) // 8
+    low = min((8, 16), key=size)
+    high = np.zeros((1 << max(0, bits - low)) + n, bool)
+    high[(cells >> U64(low)).astype(np.int64) + np.arange(n)] = True
+    return bytes([low]) + np.uint32(n).tobytes() + (cells & U64((1 << low) - 1)).astype(f"<u{low // 8}").tobytes() + np.packbits(high).tobytes()
 
-    return run
 
+def unpacked(blob: bytes) -> np.ndarray:
+    low, n = blob[0], int(np.frombuffer(blob, "<u4", 1, 1)[0])
+    lows = np.frombuffer(blob, f"<u{low // 8}", n, 5)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(blob, np.uint8, -1, 5 + n * low // 8))) - np.arange(n)
+    return high << low | lows
 
-def _merge(bits: int):
-    stripe_bits = min(bits, STRIPE_BITS)
-    low_bits = min(stripe_bits, 16)
-    per = 1 << (stripe_bits - low_bits)
 
-    def marks(stripe, counts):
-        return pa.RecordBatch.from_arrays([pa.array([stripe], pa.int64()), pa.array([zlib.compress(np.packbits(counts >= 2, bitorder="little").tobytes(), 1)], pa.binary())], ["stripe", "marks"])
+def _sketch(n: int, sketch: Sketch) -> Callable:
+    """A chunk's cells, of each only two, by row << 40 | part."""
 
-    def run(batches):
-        now, counts = None, None
-        for batch in batches:
-            for stripe, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if stripe != now:
-                    if now is not None:
-                        yield marks(now, counts)
-                    now, counts = stripe, np.zeros(1 << stripe_bits, np.uint8)
-                sizes = np.frombuffer(blob, "<u4", per).astype(np.int64)
-                cells = (np.repeat(np.arange(per), sizes) << low_bits) + np.frombuffer(blob, "<u2", offset=4 * per)
-                again = np.append(False, cells[1:] == cells[:-1])
-                counts[cells[~again]] = np.minimum(counts[cells[~again]], 2) + 1
-                counts[cells[again]] = 2
-        if now is not None:
-            yield marks(now, counts)
+    def run(key, texts):
+        have = [w[1] for w in _windows(texts["text"], n)]
+        parts, blobs = [], []
+        for row in range(DEPTH if have else 0):
+            cells = np.sort(_cells(np.concatenate(have), row, sketch))
+            if len(cells) > 2:  # a third count changes nothing
+                cells = cells[np.append([True, True], cells[2:] != cells[:-2])]
+            part = (cells >> U64(sketch.part_bits)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            mask = U64((1 << sketch.part_bits) - 1)
+            parts += (row << 40 | part[cuts]).tolist()
+            blobs += [packed(cells[lo:hi] & mask, sketch.part_bits) for lo, hi in zip(cuts, [*cuts[1:], len(cells)], strict=True)]
+        return pa.table({"chunk": pa.array([key[0].as_py()] * len(parts), pa.int32()), "part": pa.array(parts, pa.int64()), "cells": pa.array(blobs, pa.binary())})
 
     return run
 
 
-def repeated_marks(texts: DataFrame, n: int, bits: int) -> dict[int, bytes]:
-    """By row << 32 | stripe, the compressed marks of the merged sketch's cells of count two or more; 2^29 bits a row at most, as MOST_BITS bounds it."""
-    cells = texts.mapInArrow(_sketch(n, bits), "stripe long, cells binary")
-    merged = cells.repartition("stripe").sortWithinPartitions("stripe").mapInArrow(_merge(bits), "stripe long, marks binary")
-    return {r["stripe"]: bytes(r["marks"]) for r in merged.collect()}
+def _merge(sketch: Sketch) -> Callable:
+    """Of a part of the sketch: to every chunk a bit for each different cell that it sent, set if the cell's count is two or more."""
 
+    def run(key, rows):
+        counts = np.zeros(1 << sketch.part_bits, np.uint8)
+        every = []
+        for blob in rows["cells"]:
+            cells = unpacked(blob.as_py())
+            again = np.append(False, cells[1:] == cells[:-1])
+            own = cells[~again]
+            counts[own] = np.minimum(counts[own], 2) + 1
+            counts[cells[again]] = 2
+            every.append(own.astype(np.uint32))
+        marks = [np.packbits(counts[own] >= 2).tobytes() for own in every]
+        return pa.table({"chunk": rows["chunk"], "part": rows["part"], "marks": pa.array(marks, pa.binary())})
 
-_LOADED: dict[str, np.ndarray] = {}
+    return run
 
 
-def _loaded(sent, token: str, bits: int) -> np.ndarray:
-    """The marks as bytes, a row after another; those that a worker has used last are kept."""
-    if token not in _LOADED:
-        _LOADED.clear()
-        stripe_bits = min(bits, STRIPE_BITS)
-        out = np.zeros((DEPTH, 1 << max(0, bits - 3)), np.uint8)
-        for key, marks in sent.value.items():
-            at = (key & 0xFFFFFFFF) << stripe_bits >> 3
-            part = np.frombuffer(zlib.decompress(marks), np.uint8)
-            out[key >> 32, at : at + len(part)] = part
-        del sent._value  # compressed; not needed any more
-        _LOADED[token] = out
-    return _LOADED[token]
+def _marked(h: np.ndarray, row: int, sketch: Sketch, parts: np.ndarray, marks: list[bytes], of: np.ndarray) -> np.ndarray:
+    """Which of the windows of have cells in a row that were counted twice; h are all the chunk's windows."""
+    cells = np.unique(_cells(h, row, sketch))
+    part = (cells >> U64(sketch.part_bits)).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    at = np.searchsorted(parts, row << 40 | part[cuts[:-1]])
+    bits = [np.unpackbits(np.frombuffer(marks[k], np.uint8), count=hi - lo) for k, lo, hi in zip(at.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return np.concatenate(bits)[np.searchsorted(cells, _cells(h[of], row, sketch))] == 1
 
 
 SENT = "shard int, doc_ids array<long>, text_hashes array<long>, counts array<int>, h1 binary, h2 binary, at binary"
+SENT_NAMES = [f.split()[0] for f in SENT.split(", ")]
+SENT_KINDS = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
 
 
-def _candidates(n: int, bits: int, shards: int, sent, token: str):
-    """Windows taken to be repeated, once for each task, by the shard of their
-    hashes; those that the task itself has earlier are settled and go by their
-    document's bucket k as shard -1 - k."""
+def _candidates(n: int, sketch: Sketch, shards: int) -> Callable:
+    """Windows taken to be repeated, once for each chunk, by the shard of their
+    hashes; those that the chunk itself has earlier are settled and go by their
+    chunk as shard -1 - chunk."""
 
-    def flush(ids, texts, parts):
+    def flush(chunk, ids, texts, parts):
         h1, h2, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-        ids, texts = np.concatenate(ids), np.concatenate(texts)
         # numbers in the order of the ids and texts; equal rows have equal numbers
         by = np.lexsort((texts, ids))
         new = np.append(True, (ids[by[1:]] != ids[by[:-1]]) | (texts[by[1:]] != texts[by[:-1]]))
@@ -163,53 +168,46 @@ def _candidates(n: int, bits: int, shards: int, sent, token: str):
         if len(later):
             later = np.sort(later)
             none = np.zeros(len(later), U64)
-            bucket = (texts[later >> 32] ^ ids[later >> 32]) % shards
-            yield from rows(-1 - bucket, later, none, none.astype(np.uint32), ids, texts, bare=True)
+            yield from rows(np.full(len(later), -1 - chunk), later, none, none.astype(np.uint32), ids, texts, bare=True)
 
     def rows(shard, place, h1, h2, ids, texts, bare=False):
-        if bare:
-            order = np.argsort(shard, kind="stable")
-            shard, place = shard[order], place[order]
         cuts = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1))
         for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(shard)], strict=True):
             doc = place[lo:hi] >> 32
             begin = np.flatnonzero(np.diff(doc, prepend=-1))
             counts = np.diff(np.append(begin, len(doc))).astype(np.int32)
             arrays = [[int(shard[lo])], [ids[doc[begin]]], [texts[doc[begin]]], [counts], [b"" if bare else h1[lo:hi].tobytes()], [b"" if bare else h2[lo:hi].tobytes()], [(place[lo:hi] & 0xFFFFFFFF).astype("<u4").tobytes()]]
-            kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], ["shard", "doc_ids", "text_hashes", "counts", "h1", "h2", "at"])
-
-    def run(batches):
-        marks = _loaded(sent, token, bits)
-        ids, texts, parts, docs, size = [], [], [], 0, 0
-        for batch in batches:
-            ids.append(batch.column(0).to_numpy(zero_copy_only=False))
-            texts.append(batch.column(1).to_numpy(zero_copy_only=False))
-            for lo, hashes, whole, doc, at in _windows(batch, n):
-                h = window_hashes(hashes, n, 1)[whole]
-                maybe = np.arange(len(h))
-                for row in range(DEPTH):
-                    cell = _cells(h[maybe], row, bits)
-                    maybe = maybe[(marks[row, cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1]
-                if len(maybe):
-                    second = (window_hashes(hashes, n, 2)[whole[maybe]] >> U64(32)).astype(np.uint32)
-                    parts.append((h[maybe], second, docs + lo + doc[maybe], at[maybe]))
-                    size += len(maybe)
-            docs += batch.num_rows
-            if size >= GATHER:
-                yield from flush(ids, texts, parts)
-                ids, texts, parts, docs, size = [], [], [], 0, 0
-        if size:
-            yield from flush(ids, texts, parts)
+            yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, SENT_KINDS, strict=True)], SENT_NAMES)
+
+    def run(key, texts, marks):
+        every = list(_windows(texts["text"], n))
+        parts = []
+        if every:
+            order = np.argsort(marks["part"].to_numpy(), kind="stable")
+            of_part, blobs = marks["part"].to_numpy()[order], [marks["marks"][int(k)].as_py() for k in order]
+            h = np.concatenate([w[1] for w in every])
+            maybe = np.arange(len(h))
+            for row in range(DEPTH):
+                maybe = maybe[_marked(h, row, sketch, of_part, blobs, maybe)]
+            begin = 0
+            for lo, hashes, doc, at, second in every:
+                own = maybe[np.searchsorted(maybe, begin) : np.searchsorted(maybe, begin + len(hashes))] - begin
+                begin += len(hashes)
+                if len(own):
+                    parts.append((hashes[own], second(own), lo + doc[own], at[own]))
+        if not parts:
+            return pa.table([pa.array([], k) for k in SENT_KINDS], SENT_NAMES)
+        ids, text_hashes = (texts[c].to_numpy() for c in ("id", "text_hash"))
+        return pa.Table.from_batches(list(flush(key[0].as_py(), ids, text_hashes, parts)))
 
     return run
 
 
-FOUND = "bucket int, ids array<long>, text_hashes array<long>, counts array<int>, at binary"
+FOUND = "chunk int, ids array<long>, text_hashes array<long>, counts array<int>, at binary"
 
 
-def _grouped(buckets: int):
-    """In each shard: all but the first occurrence of every window, a row for each bucket of documents."""
+def _grouped(chunks: int):
+    """In each shard: all but the first occurrence of every window, a row for each chunk of documents."""
     names = [f.split()[0] for f in FOUND.split(", ")]
     kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
 
@@ -217,7 +215,6 @@ def _grouped(buckets: int):
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     def run(batches):
-        _LOADED.clear()
         ids, texts, counts, h1, h2, ats = [], [], [], [], [], []
         for batch in batches:
             for r in batch.to_pylist():
@@ -241,20 +238,20 @@ def _grouped(buckets: int):
         later = place[place != place[first][np.cumsum(first) - 1]]
         if not len(later):
             return
-        bucket = ((texts ^ ids) % buckets)[later >> 32]
-        order = np.lexsort((later, bucket))
-        later, bucket = later[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+        chunk = ((texts ^ ids) % chunks)[later >> 32]
+        order = np.lexsort((later, chunk))
+        later, chunk = later[order], chunk[order]
+        cuts = np.flatnonzero(np.diff(chunk, prepend=-1))
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(chunk)], strict=True):
             doc = later[lo:hi] >> 32
             begin = np.flatnonzero(np.diff(doc, prepend=-1))
-            yield row(int(bucket[lo]), ids[doc[begin]], texts[doc[begin]], np.diff(np.append(begin, len(doc))), (later[lo:hi] & 0xFFFFFFFF).astype("<u4").tobytes())
+            yield row(int(chunk[lo]), ids[doc[begin]], texts[doc[begin]], np.diff(np.append(begin, len(doc))), (later[lo:hi] & 0xFFFFFFFF).astype("<u4").tobytes())
 
     return run
 
 
 def _cut(n: int, spaced: bool):
-    """Rows of a bucket: first what was found, then its documents."""
+    """A chunk's documents without what was found in them."""
 
     def kept_of(text: str | None, ats: list[np.ndarray]):
         raw = (text or "").encode()
@@ -278,28 +275,18 @@ def _cut(n: int, spaced: bool):
             kept = b"".join([*pieces, raw[at:]])
         return len(parts), int(gone.sum()), [{"first": a, "end": b} for a, b in edge.tolist()], kept.decode()
 
-    def run(batches):
-        bucket, found = None, {}
-        for batch in batches:
-            buckets, sides = (batch.column(k).to_pylist() for k in (0, 1))
-            rows = []
-            for k, (b, side) in enumerate(zip(buckets, sides, strict=True)):
-                if b != bucket:
-                    bucket, found = b, {}
-                if side:
-                    key = batch.column(2)[k].as_py(), batch.column(3)[k].as_py()
-                    rows.append(kept_of(batch.column(4)[k].as_py(), found.get(key, [])))
-                    continue
-                ids, hashes, counts, at = (batch.column(c)[k].as_py() for c in range(5, 9))
-                at = np.frombuffer(at, "<u4")
-                cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
-                for i, h, lo, hi in zip(ids, hashes, cuts[:-1], cuts[1:], strict=True):
-                    found.setdefault((i, h), []).append(at[lo:hi])
-            if rows:
-                own = batch.filter(pa.array([bool(side) for side in sides]))
-                kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])), pa.string()]
-                made = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([own.column(2), *made, *own.columns[9:]], ["id", "n_words", "n_removed", "spans", "kept", *batch.schema.names[9:]])
+    def run(key, texts, later):
+        found: dict[tuple[int, int], list[np.ndarray]] = {}
+        for r in later.to_pylist():
+            at = np.frombuffer(r["at"], "<u4")
+            cuts = np.concatenate([[0], np.cumsum(r["counts"])]).tolist()
+            for i, h, lo, hi in zip(r["ids"], r["text_hashes"], cuts[:-1], cuts[1:], strict=True):
+                found.setdefault((i, h), []).append(at[lo:hi])
+        docs = zip(texts["id"].to_pylist(), texts["text_hash"].to_pylist(), texts["text"], strict=True)
+        rows = [kept_of(text.as_py(), found.get((i, h), [])) for i, h, text in docs]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])), pa.string()]
+        made = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
+        return pa.table([texts["id"], *made, *texts.columns[4:]], ["id", "n_words", "n_removed", "spans", "kept", *texts.column_names[4:]])
 
     return run
 
@@ -317,25 +304,23 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
     ids and different texts go by a hash of the text; rows with equal ids and
     texts are one document seen twice, and none of them goes for the other's
     sake. Null texts have no words and are kept as empty. No other column is
-    read. The first two passes must see the same rows, in whatever order."""
+    read. Texts are shuffled once, into chunks of some megabytes or one text.
+    The result is lazy, but for a first look at how much text there is."""
     spark = docs.sparkSession
     texts = long_rows(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
-    extra = texts.schema.fields[3:]
+    fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[3:])
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    estimate = size // 6 + 1
-    bits = min(MOST_BITS, max(16, (2 * estimate).bit_length()))
-    sent = spark.sparkContext.broadcast(repeated_marks(texts.select("text"), n, bits))
-    finished(spark)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), estimate // 1_500_000 + 1)
-    found = texts.select("id", "text_hash", "text").mapInArrow(_candidates(n, bits, shards, sent, uuid.uuid4().hex), SENT)
-    to = F.when(F.col("shard") < 0, -1 - F.col("shard")).otherwise(F.col("shard"))
-    later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(shards), FOUND)
-    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    bucket = F.pmod(F.col("text_hash").bitwiseXOR(F.col("id")), F.lit(shards)).cast("int")
-    of_docs = texts.select(bucket.alias("bucket"), F.lit(1).alias("side"), "id", "text_hash", "text", none("array<long>", "ids"), none("array<long>", "text_hashes"), none("array<int>", "counts"), none("binary", "at"), *(f.name for f in extra))
-    of_found = later.select("bucket", F.lit(0).alias("side"), none("long", "id"), none("long", "text_hash"), none("string", "text"), "ids", "text_hashes", "counts", "at", *(none(f.dataType, f.name) for f in extra))
-    fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra)
-    cut = of_docs.unionByName(of_found).repartition("bucket").sortWithinPartitions("bucket", "side").mapInArrow(_cut(n, spaced), f"id long, n_words long, n_removed long, spans array<struct<first:int,end:int>>, kept string{fields}")
+    chunks, sketch = planned(size)
+    chunks = shards = max(chunks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chunk = F.pmod(F.col("text_hash").bitwiseXOR(F.col("id")), F.lit(chunks)).cast("int")
+    # all passes read all columns of this, so that they share its one exchange
+    texts = texts.select(chunk.alias("chunk"), *texts.columns).repartition(chunks, "chunk")
+    cells = texts.groupBy("chunk").applyInArrow(_sketch(n, sketch), "chunk int, part long, cells binary")
+    marks = cells.groupBy("part").applyInArrow(_merge(sketch), "chunk int, part long, marks binary")
+    found = texts.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(_candidates(n, sketch, shards), SENT)
+    to = F.when(F.col("shard") < 0, F.pmod(-1 - F.col("shard"), F.lit(shards))).otherwise(F.col("shard"))
+    later = found.repartitionById(shards, to.cast("int")).mapInArrow(_grouped(chunks), FOUND)
+    cut = texts.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(_cut(n, spaced), f"id long, n_words long, n_removed long, spans array<struct<first:int,end:int>>, kept string{fields}")
     kind = docs.schema[id_col].dataType
     return cut.select(F.when(F.col("id") != -(1 << 63), F.col("id")).cast(kind).alias(id_col), "n_words", "n_removed", "spans", "kept", *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)))
 

@@ -32,9 +32,9 @@ def alnum_words() -> np.ndarray:
 
 
 @cache
-def byte_values(lower: bool) -> np.ndarray:
+def byte_values(lower: bool, salt: int = 0) -> np.ndarray:
     """A random odd 64-bit number for each byte; A-Z as a-z if lower."""
-    table = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=U64) << U64(1) | U64(1)
+    table = np.random.default_rng(20240229 + salt).integers(0, 1 << 63, 256, dtype=U64) << U64(1) | U64(1)
     if lower:
         table[0x41:0x5B] = table[0x61:0x7B]
     return table
@@ -103,14 +103,14 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hashes of the words data[starts:ends]: polynomials of their bytes, mixed with their lengths."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, salt: int = 0) -> np.ndarray:
+    """64-bit hashes of the words data[starts:ends]: polynomials of their bytes, mixed with their lengths. Other salts give independent hashes."""
     if not len(starts):
         return np.zeros(0, U64)
-    up, down = powers(0x5851F42D4C957F2D, len(data) + 1)
+    up, down = powers((0x5851F42D4C957F2D + 0x2F8B1A6E4D3C5970 * salt) % (1 << 64), len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
     with np.errstate(over="ignore"):
-        np.cumsum(byte_values(lower)[data] * up[: len(data)], out=sums[1:])
+        np.cumsum(byte_values(lower, salt)[data] * up[: len(data)], out=sums[1:])
         return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from helixframe.llm import substrings
 
@@ -47,18 +48,42 @@ def test_against_brute_force(spark, n):
     assert any(r.n_removed for r in got.values())
 
 
-@pytest.mark.parametrize("gather", [1, 300, 10**7])
-def test_small_buffers_and_sketches_change_nothing(spark, monkeypatch, gather):
-    rng = random.Random(gather)
+@pytest.mark.parametrize("plan", [(1, substrings.Sketch(16, 16)), (30, substrings.Sketch(12, 9)), (9, substrings.Sketch(3, 2)), (2, substrings.Sketch(24, 10))])
+def test_chunks_and_sketches_change_nothing(spark, monkeypatch, plan):
+    """Down to a sketch of 8 cells, all of which are counted twice."""
+    rng = random.Random(len(plan))
     values = [" ".join(rng.choices("abcdef", k=60)) for _ in range(60)]
     docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").repartition(4)
-    monkeypatch.setattr(substrings, "GATHER", gather)
-    monkeypatch.setattr(substrings, "MOST_BITS", 17 if gather == 1 else 29)
+    monkeypatch.setattr(substrings, "planned", lambda size: plan)
     got = {r.doc_id: r.kept for r in substrings.remove_repeats(docs, 3).collect()}
     for i, kept in enumerate(brute(list(enumerate(values)), 3)):
         assert got[i] == " ".join(kept)
 
 
+@pytest.mark.parametrize("size", [0, 10**5, 5 * 10**8, 3 * 10**10, 10**14])
+def test_sketch_grows_with_the_text(size):
+    """Two cells or more for each six bytes, at any size; what one task holds stays bounded."""
+    chunks, sketch = substrings.planned(size)
+    assert 2**sketch.bits >= size / 3
+    assert sketch.part_bits <= 26 and size <= chunks << 26
+
+
+@pytest.mark.parametrize("bits", [2, 9, 22])
+def test_packed_cells(bits):
+    rng = np.random.default_rng(bits)
+    for n in (1, 7, 5000):
+        cells = np.sort(rng.integers(0, 1 << bits, n, dtype=np.uint64))
+        assert (substrings.unpacked(substrings.packed(cells, bits)) == cells.astype(np.int64)).all()
+
+
+def test_one_exchange_of_the_texts(spark, tmp_path):
+    documents(spark).write.parquet(str(tmp_path / "docs"))
+    out = substrings.remove_repeats(spark.read.parquet(str(tmp_path / "docs")))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 2
+
+
 def test_text_is_cut_in_place(spark):
     a = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, a, "x"), (2, f"  Begin\n\nhere {a}\n\tand  end", "y"), (3, "  kept\tas it is ", "z")], "doc_id long, text string, more string")
