@@ -18,6 +18,8 @@ WIDTH, FRAME_ROWS, DELAY = 64, 1024, 10
 BINS = 16
 FRAME = "struct<frame:int,start_ms:int,delay_ms:int,width:int,height:int,disposal:int,red:array<int>,green:array<int>,blue:array<int>>"
 MOST_CODES = 4096
+#: Pixels of a screen or frame; broken media may ask for 65535 x 65535.
+MOST_PIXELS = 1 << 26
 
 
 @cache
@@ -145,6 +147,8 @@ def encode_gif(samples: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS,
 def _sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
     parts = []
     while n := data[at]:
+        if at + 1 + n > len(data):
+            raise ValueError("block cut off")
         parts.append(data[at + 1 : at + 1 + n])
         at += 1 + n
     return b"".join(parts), at + 1
@@ -158,6 +162,8 @@ def decode_gif(data: bytes):
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > MOST_PIXELS:
+        raise ValueError(f"screen of {width} x {height} pixels")
     at = 13
     palette = None
     if flags & 0x80:
@@ -166,7 +172,7 @@ def decode_gif(data: bytes):
         at += 3 * n
     canvas = np.zeros((height, width, 4), np.uint8)
     disposal, delay, clear = 0, 0, None
-    while at < len(data) and data[at] != 0x3B:
+    while data[at] != 0x3B:
         if data[at] == 0x21:
             label = data[at + 1]
             body, at = _sub_blocks(data, at + 2)
@@ -178,12 +184,15 @@ def decode_gif(data: bytes):
             raise ValueError(f"no GIF block at byte {at}")
         x, y, w, h, bits = struct.unpack_from("<HHHHB", data, at + 1)
         at += 10
+        if w * h > MOST_PIXELS:
+            raise ValueError(f"frame of {w} x {h} pixels")
         colours = palette
         if bits & 0x80:
             n = 2 << (bits & 7)
             colours = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
             at += 3 * n
-        min_bits = data[at]
+        if not 1 <= (min_bits := data[at]) <= 8:
+            raise ValueError(f"codes of {min_bits} bits")
         stream, at = _sub_blocks(data, at + 1)
         indices = lzw_decode(stream, min_bits)[: w * h]
         if len(indices) < w * h:
@@ -232,10 +241,13 @@ def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, keep..., samples, frames) for every GIF: the stored samples of
-    all frames one after another, and the timed frames with histograms of
-    their canvases' colours (BINS bins for red, green and blue, of pixels that
-    are drawn). A null media column gives no samples and no frames."""
+    """(id_col, keep..., samples, frames, error) for every GIF: the stored
+    samples of all frames one after another, and the timed frames with
+    histograms of their canvases' colours (BINS bins for red, green and blue,
+    of pixels that are drawn). A null media column gives no samples and no
+    frames. Media that are broken or cut off before the trailer, or that ask
+    for a screen or frame of more than MOST_PIXELS, give null samples and
+    frames and say why in error, which is null otherwise."""
 
     def histogram(canvas):
         drawn = canvas.reshape(-1, 4)
@@ -246,24 +258,28 @@ def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", k
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                samples, timed = [], []
+                samples, timed, errors = [], [], []
                 for x in batch.column(1).slice(lo, 256):
-                    own, rows, start = [], [], 0
-                    for k, (indices, canvas, disposal, delay) in enumerate(decode_gif(x.as_py()) if x.is_valid else ()):
-                        own.append(indices.tobytes())
-                        red, green, blue = histogram(canvas)
-                        rows.append({"frame": k, "start_ms": start, "delay_ms": delay, "width": canvas.shape[1], "height": canvas.shape[0], "disposal": disposal, "red": red, "green": green, "blue": blue})
-                        start += delay
-                    samples.append(b"".join(own))
+                    own, rows, start, error = [], [], 0, None
+                    try:
+                        for k, (indices, canvas, disposal, delay) in enumerate(decode_gif(x.as_py()) if x.is_valid else ()):
+                            own.append(indices.tobytes())
+                            red, green, blue = histogram(canvas)
+                            rows.append({"frame": k, "start_ms": start, "delay_ms": delay, "width": canvas.shape[1], "height": canvas.shape[0], "disposal": disposal, "red": red, "green": green, "blue": blue})
+                            start += delay
+                    except (ValueError, IndexError, struct.error) as e:  # what broken bytes raise
+                        own, rows, error = None, None, str(e) or type(e).__name__
+                    samples.append(None if own is None else b"".join(own))
                     timed.append(rows)
+                    errors.append(error)
                 ints = pa.list_(pa.int32())
                 kind = pa.list_(pa.struct([(n, ints if n in ("red", "green", "blue") else pa.int32()) for n in ("frame", "start_ms", "delay_ms", "width", "height", "disposal", "red", "green", "blue")]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), *(c.slice(lo, 256) for c in batch.columns[2:]), pa.array(samples, pa.binary()), pa.array(timed, kind)], ["id", *batch.schema.names[2:], "samples", "frames"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), *(c.slice(lo, 256) for c in batch.columns[2:]), pa.array(samples, pa.binary()), pa.array(timed, kind), pa.array(errors, pa.string())], ["id", *batch.schema.names[2:], "samples", "frames", "error"])
 
     rows = long_rows(media).select(F.col(id_col).alias("id"), F.col(media_col).alias("media"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
     extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {extra}samples binary, frames array<{FRAME}>")
-    return out.select(F.col("id").alias(id_col), *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)), "samples", "frames")
+    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {extra}samples binary, frames array<{FRAME}>, error string")
+    return out.select(F.col("id").alias(id_col), *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)), "samples", "frames", "error")
 
 
 def media_digests(docs: DataFrame) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from .shared import long_rows
 
-#: Rows of a call; numpy draws exact hypergeometric counts up to this many. Larger tables go in blocks of files.
-MOST_ROWS = 999_999_999
+#: From this many on numpy draws no hypergeometric counts.
+LARGE = 1_000_000_000
 
 
 def piece_sizes(total: int, shards: int, pieces: int) -> np.ndarray:
@@ -30,6 +30,40 @@ def piece_sizes(total: int, shards: int, pieces: int) -> np.ndarray:
     return np.stack([each // pieces + (p < each % pieces) for p in range(pieces)], 1)
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n drawn from good and bad are good, for any counts.
+
+    Beyond numpy's limit by inversion: the law's ratios are multiplied up from
+    its mode as far as 14 standard deviations and 60 steps to either side, past
+    which less than 1e-36 of it is left; the sums are taken in 64-bit floats."""
+    total = good + bad
+    if total < LARGE:
+        return int(rng.hypergeometric(good, bad, n))
+    least, most = max(0, n - bad), min(n, good)
+    mode = min(most, max(least, (n + 1) * (good + 1) // (total + 2)))
+    far = int(14 * (n * (good / total) * (bad / total) * ((total - n) / (total - 1))) ** 0.5) + 60
+    up = np.arange(mode, min(most, mode + far), dtype=np.float64)
+    down = np.arange(mode, max(least, mode - far), -1, dtype=np.float64)
+    rise = np.log(good - up) + np.log(n - up) - np.log(up + 1) - np.log((bad - n) + up + 1)
+    fall = np.log(down) + np.log((bad - n) + down) - np.log(good - down + 1) - np.log(n - down + 1)
+    weight = np.exp(np.concatenate([np.cumsum(fall)[::-1], [0], np.cumsum(rise)]))
+    weight = np.cumsum(weight)
+    return mode - len(down) + int(np.searchsorted(weight, rng.random() * weight[-1], "right"))
+
+
+def dealt_counts(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
+    """How many of n rows go to each piece, of which left are free in each."""
+    total = int(left.sum())
+    if total < LARGE:
+        return rng.multivariate_hypergeometric(left, n, method="marginals")
+    out = np.zeros(len(left), np.int64)
+    for k, own in enumerate(left.tolist()):
+        total -= own
+        out[k] = hypergeometric(rng, own, total, n)
+        n -= int(out[k])
+    return out
+
+
 def matrix_row(counts: list[int], sizes: np.ndarray, partition: int, seed: int) -> np.ndarray:
     """Row of the communication matrix: how many of partition's rows go to each piece."""
     before = np.concatenate([[0], np.cumsum(np.asarray(counts, np.int64))])
@@ -38,7 +72,7 @@ def matrix_row(counts: list[int], sizes: np.ndarray, partition: int, seed: int)
     while hi - lo > 1:
         mid = (lo + hi) // 2
         rng = np.random.default_rng([seed, 1, lo, hi])
-        first = rng.multivariate_hypergeometric(left, int(before[mid] - before[lo]), method="marginals")
+        first = dealt_counts(rng, left, int(before[mid] - before[lo]))
         if partition < mid:
             hi, left = mid, first
         else:
@@ -46,6 +80,14 @@ def matrix_row(counts: list[int], sizes: np.ndarray, partition: int, seed: int)
     return left
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    """name, with as many underscores before it as make it differ from all columns, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 20240229, pieces: int | None = None, shard_col: str = "shard", slot_col: str = "slot") -> DataFrame:
     """rows with shard_col (0..shards-1) and slot_col (from 0, without gaps in
     a shard): a uniformly random permutation of all rows, cut into shards
@@ -56,7 +98,7 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 20240229, piece
     between the two passes is an error and never a wrong result. Values are
     not looked at, so nulls, long texts and repeated rows are rows like any
     other; an empty table stays empty. A column of rows named like one of the
-    new ones is replaced. More than MOST_ROWS rows are refused."""
+    new ones is replaced; all others stay, whatever they are called."""
     spark = rows.sparkSession
     rows = long_rows(rows).drop(shard_col, slot_col)
     counted = rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
@@ -64,11 +106,10 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 20240229, piece
     for r in counted:
         counts[r["p"]] = r["count"]
     total = sum(counts)
-    if total > MOST_ROWS:
-        raise ValueError(f"{total} rows; one call takes {MOST_ROWS}")
+    piece_col, key_col, row_col = (_unused(name, rows.columns) for name in ("piece", "key", "row"))
     pieces = pieces or max(1, -(-max(len(counts), int(spark.conf.get("spark.sql.shuffle.partitions"))) // shards))
     sizes = piece_sizes(total, shards, pieces).ravel()
-    out = T.StructType([*rows.schema.fields, T.StructField("__piece", T.IntegerType()), T.StructField("__key", T.LongType())])
+    out = T.StructType([*rows.schema.fields, T.StructField(piece_col, T.IntegerType()), T.StructField(key_col, T.LongType())])
 
     def deal(batches):
         from pyspark import TaskContext
@@ -84,15 +125,15 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 20240229, piece
             if len(mine) < batch.num_rows:
                 raise RuntimeError(f"partition {p} had {n} rows when counted and has more now")
             key = rng.integers(-(1 << 63), (1 << 63) - 1, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mine), pa.array(key)], names=[*batch.schema.names, "__piece", "__key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mine), pa.array(key)], names=[*batch.schema.names, piece_col, key_col])
         if at != n:
             raise RuntimeError(f"partition {p} had {n} rows when counted and has {at} now")
 
-    dealt = rows.mapInArrow(deal, out).repartitionById(len(sizes), F.col("__piece"))
+    dealt = rows.mapInArrow(deal, out).repartitionById(len(sizes), F.col(piece_col))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     # Rows of a shard's earlier pieces: of a shard of size n its pieces have n div pieces rows, the first n mod pieces one more.
-    shard, piece = F.floor(F.col("__piece") / pieces), F.col("__piece") % pieces
+    shard, piece = F.floor(F.col(piece_col) / pieces), F.col(piece_col) % pieces
     size = F.lit(total // shards) + F.when(shard < total % shards, 1).otherwise(0)
     first = piece * F.floor(size / pieces) + F.least(piece, size % pieces)
     keep = [F.col(f"`{c}`") for c in rows.columns]
-    return dealt.sortWithinPartitions("__key").withColumn("__row", place).select(*keep, shard.cast("int").alias(shard_col), (first + F.col("__row")).cast("long").alias(slot_col))
+    return dealt.sortWithinPartitions(key_col).withColumn(row_col, place).select(*keep, shard.cast("int").alias(shard_col), (first + F.col(row_col)).cast("long").alias(slot_col))

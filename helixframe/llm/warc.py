@@ -129,12 +129,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Every record with size and digest of its full payload; for revisits those of the response that they refer to, and its page_id as refers_to."""
-    own = records.select("record_id", "record_type", "page_id", "refers_to_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
+    """Every record with size and digest of its full payload; for revisits those of the response that they refer to, and its page_id as refers_to.
+
+    A revisit of which the response is not among records stays, with the digest that its header tells, a null size and a null refers_to."""
+    own = records.select("record_id", "record_type", "page_id", "refers_to_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), F.col("payload_digest").alias("told"))
     response = own.where("record_type = 'response'").groupBy("record_id").agg(F.first("page_id").alias("at"), F.first("payload_bytes").alias("n"), F.first("payload_digest").alias("d"))
     plain = own.where("record_type <> 'revisit'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("string").alias("refers_to"))
-    again = own.where("record_type = 'revisit'").select("page_id", "record_type", F.col("refers_to_id").alias("record_id")).join(response, "record_id")
-    return plain.unionByName(again.select("page_id", F.col("n").alias("payload_bytes"), F.col("d").alias("payload_digest"), "record_type", F.col("at").alias("refers_to")))
+    again = own.where("record_type = 'revisit'").select("page_id", "record_type", "told", F.col("refers_to_id").alias("record_id")).join(response, "record_id", "left")
+    return plain.unionByName(again.select("page_id", F.col("n").alias("payload_bytes"), F.coalesce("d", "told").alias("payload_digest"), "record_type", F.col("at").alias("refers_to")))
 
 
 def revisit_table(pages: DataFrame) -> DataFrame:

@@ -99,3 +99,16 @@ def test_frames_table(spark):
 def test_broken_stream():
     with pytest.raises(ValueError):
         gif.lzw_decode(np.packbits(np.unpackbits(np.array([256, 300], "<u2").view(np.uint8).reshape(-1, 2), axis=1, bitorder="little")[:, :9].ravel(), bitorder="little").tobytes(), 8)
+
+
+def test_broken_media_are_told(spark):
+    good = gif.encode_gif(bytes(range(64)) * 40)
+    broken = [good[:n] for n in (0, 3, 9, 20, 400, 900, len(good) - 1)]
+    broken += [b"nothing", good[:6] + b"\xff" * 4 + good[10:], good.replace(b"\x2c\0\0\0\0", b"\x2d\0\0\0\0", 1)]
+    media = spark.createDataFrame([(0, good, "e"), *((k + 1, x, "e") for k, x in enumerate(broken)), (99, None, "e")], "doc_id long, media binary, error string")
+    got = {r.doc_id: r for r in gif.frames(media).collect()}
+    assert len(got) == len(broken) + 2
+    assert bytes(got[0].samples) == bytes(range(64)) * 40 and got[0].error is None
+    assert bytes(got[99].samples) == b"" and got[99].frames == [] and got[99].error is None
+    for k in range(1, len(broken) + 1):
+        assert got[k].samples is None and got[k].frames is None and got[k].error

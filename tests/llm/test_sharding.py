@@ -65,7 +65,29 @@ def test_empty_table(spark):
     assert sharding.uniform_shards(empty(spark), 8).count() == 0
 
 
-def test_too_many_rows(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "MOST_ROWS", 5)
-    with pytest.raises(ValueError):
-        sharding.uniform_shards(spark.range(6), 2)
+@pytest.mark.parametrize("total", [10**9, 10**12])
+def test_matrix_beyond_numpys_counts(total):
+    counts = [total // 3, 5, 0, total - total // 3 - 5]
+    sizes = sharding.piece_sizes(total, 4, 2).ravel()
+    rows = np.array([sharding.matrix_row(counts, sizes, p, 3) for p in range(len(counts))])
+    assert (rows >= 0).all() and rows.sum(1).tolist() == counts and rows.sum(0).tolist() == sizes.tolist()
+    mean = counts[0] / 8
+    assert (abs(rows[0] - mean) < 8 * mean**0.5).all() and len(set(rows[0].tolist())) > 4
+
+
+@pytest.mark.parametrize("good,bad,n", [(30, 50, 20), (3, 900, 100), (500, 4, 300), (10, 10, 0), (7, 0, 3)])
+def test_inversion_has_the_law(monkeypatch, good, bad, n):
+    want = np.random.default_rng(1).hypergeometric(good, bad, n, 4000)
+    monkeypatch.setattr(sharding, "LARGE", 0)
+    rng = np.random.default_rng(2)
+    got = np.array([sharding.hypergeometric(rng, good, bad, n) for _ in range(4000)])
+    assert abs(got.mean() - want.mean()) <= 0.15 + 0.02 * want.std() and abs(got.std() - want.std()) < 0.12
+    assert max(0, n - bad) <= got.min() and got.max() <= min(n, good)
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    rows = [(i, "a", "b", "c", "d") for i in range(20)]
+    spark.createDataFrame(rows, "id long, __key string, Key string, piece string, slot string").write.parquet(str(tmp_path / "t"))
+    out = sharding.uniform_shards(spark.read.parquet(str(tmp_path / "t")), 2)
+    assert out.columns == ["id", "__key", "Key", "piece", "shard", "slot"]
+    assert {(r["__key"], r.Key, r.piece) for r in out.collect()} == {("a", "b", "c")}

@@ -47,5 +47,17 @@ def test_archives_hold_payloads_once(spark, tmp_path):
             assert r.payload == b"" and r.refers_to_id in {x.record_id for x in records if x.record_type == "response"}
 
 
+def test_revisit_without_its_response_stays(spark, tmp_path):
+    df = pages(spark)
+    warc.write_archives(df, str(tmp_path / "warc"))
+    records = warc.read_archives(spark, str(tmp_path / "warc"))
+    left = records.where("record_type = 'revisit'")
+    got = warc.resolved(left).collect()
+    assert len(got) == left.count() > 0
+    told = {(r.page_id, r.payload_digest) for r in left.collect()}
+    assert {(r.page_id, r.payload_digest) for r in got} == told
+    assert all(r.payload_bytes is None and r.refers_to is None and r.record_type == "revisit" for r in got)
+
+
 def test_empty_table(spark):
     assert warc.revisit_table(pages(spark).limit(0)).count() == 0
