@@ -129,12 +129,16 @@ def _merge(sketch: Sketch) -> Callable:
 
 def _marked(h: np.ndarray, row: int, sketch: Sketch, parts: np.ndarray, marks: list[bytes], of: np.ndarray) -> np.ndarray:
     """Which of the windows of have cells in a row that were counted twice; h are all the chunk's windows."""
-    cells = np.unique(_cells(h, row, sketch))
-    part = (cells >> U64(sketch.part_bits)).astype(np.int64)
+    cells = _cells(h, row, sketch)
+    cells = cells[order := np.argsort(cells)]
+    first = np.append(True, cells[1:] != cells[:-1])
+    part = (cells[first] >> U64(sketch.part_bits)).astype(np.int64)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
     at = np.searchsorted(parts, row << 40 | part[cuts[:-1]])
     bits = [np.unpackbits(np.frombuffer(marks[k], np.uint8), count=hi - lo) for k, lo, hi in zip(at.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    return np.concatenate(bits)[np.searchsorted(cells, _cells(h[of], row, sketch))] == 1
+    twice = np.empty(len(h), bool)
+    twice[order] = np.concatenate(bits)[np.cumsum(first) - 1]
+    return twice[of]
 
 
 SENT = "shard int, doc_ids array<long>, text_hashes array<long>, counts array<int>, h1 binary, h2 binary, at binary"
