@@ -123,24 +123,34 @@ def chosen_code(n: int, t: int) -> tuple[Block, ...]:
     return min(CODES, key=cost)
 
 
-def fingerprint_of(text: bytes, words: int = 4) -> int:
-    """The 64-bit SimHash of the lower-cased text's word shingles."""
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of the lower-cased text's word shingles, repeats included; a text of fewer words is one shingle, one of none has none."""
     parts = text.lower().split()
-    if not parts:
-        return 0
-    if len(parts) <= words:
-        return xxhash.xxh64_intdigest(b" ".join(parts), SEED)
     line = b" ".join(parts)
+    if len(parts) <= words:
+        return np.array([xxhash.xxh64_intdigest(line, SEED)] if parts else [], U64)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    ones, n = np.zeros(64, np.int64), len(parts) - words + 1
-    for lo in range(0, n, 1 << 16):
-        hi = min(n, lo + (1 << 16))
-        spans = zip(starts[lo:hi].tolist(), ends[lo + words - 1 : hi + words - 1].tolist(), strict=True)
-        hashes = np.fromiter((digest(line[s:e], SEED) for s, e in spans), U64, hi - lo)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view(U64)[0])
+    digest, n = xxhash.xxh64_intdigest, len(parts) - words + 1
+    spans = zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)
+    return np.fromiter((digest(line[s:e], SEED) for s, e in spans), U64, n)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half the hashes."""
+    ones = np.zeros(64, np.int64)
+    for lo in range(0, len(hashes), 1 << 16):
+        some = hashes[lo : lo + (1 << 16)]
+        bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        # eight counters side by side, which 255 rows cannot overflow
+        sums = np.add.reduceat(bits.view(U64), np.arange(0, len(some), 255), axis=0)
+        ones += sums.view(np.uint8).sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(U64)[0])
+
+
+def fingerprint_of(text: bytes, words: int = 4) -> int:
+    """The 64-bit SimHash of the lower-cased text's word shingles."""
+    return fingerprint(shingle_hashes(text, words))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:

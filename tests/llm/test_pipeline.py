@@ -10,7 +10,7 @@ from helixframe.llm.queries import default_tokenizer
 
 from .helpers import words
 from .test_decontaminate import brute as hits
-from .test_simhash import brute_classes, brute_fingerprint
+from .test_jaccard import brute_classes
 from .test_substrings import brute_cut, brute_gone
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -34,7 +34,7 @@ def test_stages(spark, tmp_path):
     got = sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()))
 
     left = [(i, t) for i, t, *_ in docs if t and any(c.isalpha() for c in t)]
-    classes = brute_classes([(i, brute_fingerprint(t)) for i, t in left])
+    classes = brute_classes(left)
     left = [x for x, c in zip(left, classes, strict=True) if x[0] == c]
     assert len(left) < len(docs) - 4
     want, changed = [], 0
@@ -49,6 +49,16 @@ def test_stages(spark, tmp_path):
     assert got == sorted(want)
 
 
+def test_further_columns_with_clashing_names(spark, tmp_path):
+    docs, items = corpus()
+    names = ("first", "id", "fp", "sid", "key", "lang_pred", "kept", "n_hit", "component_id", "chunk", "__text")
+    df = spark.createDataFrame([(*r, *("z" for _ in names)) for r in docs], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        wide = sorted(map(tuple, stage(spark, df, str(tmp_path)).collect()), key=str)
+        assert wide == sorted(map(tuple, stage(spark, df.select(*corpus_pipeline.COLUMNS), str(tmp_path)).collect()), key=str)
+
+
 def test_columns_of_stages(spark, tmp_path):
     docs, items = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
