@@ -29,8 +29,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, linked by a Jaccard similarity of 0.8 or
     more of their five-word shingles, the document of the smallest doc_id.
 
-    Rows that share a doc_id are one document, and one of them stays; a group
-    whose ids are all null keeps each of its different texts once."""
+    Candidates come from SimHash fingerprints by anchor-point covering and from
+    bands of minimum hashes for pairs that differ in more bits. Rows that share
+    a doc_id are one document, and one of them stays; a group whose ids are all
+    null keeps each of its different texts once. Columns other than those of
+    documents are not read."""
+    docs = docs.select(*COLUMNS)
     first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(first.withColumnRenamed("doc_id", "first"), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").select(*COLUMNS)
     return kept.withColumn("__text", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "__text"]).drop("__text")
