@@ -1,188 +1,257 @@
 """Quality by an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over symbols (letters hashed to classes, digits, space, marks), in
-fourgrams: it has something to say of text in any language, of symbol junk and
-of letter soup alike. Fourgrams of all trusted texts are counted. The counts
-are sharded by the two middle symbols: a shard then has every count that the
-fourgram, trigram and continuation levels of its fourgrams need, and makes
-their probabilities by joining those counts. Bigram and unigram continuation
-counts are at most SYMBOLS^2 and go to all shards.
-
-With SYMBOLS^4 entries of two bytes the probabilities are 32 MB at any size of
-the corpus, so they can be sent to all tasks; scoring moves no text.
+The model is over characters, as they are: ORDER-grams of code points, with no
+classes and no bound on the alphabet, so it has something to say of words that
+it has never seen. It grows with the corpus: every n-gram of every document is
+in it, with the count that trusted text has of it.
+
+1. Each task counts the n-grams of its documents; the counts are added up by
+   n-gram. What trusted text does not have counts zero.
+2. Continuation counts of the lower orders follow from the n-grams that trusted
+   text has, order by order, and so do the sums for each context. Joins of
+   these tables by n-gram, context and suffix give every n-gram's probability.
+3. Documents are dealt into chunks. A chunk asks the shards of the table of
+   probabilities for its different n-grams, each once; what comes back meets the
+   chunk's texts again and is added up for each document.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import finished, long_rows, written
+from .vectors import U64, mixed
+
+ORDER = 5
+#: Characters handled at a time; bytes of text in a chunk; n-grams in a shard.
+BLOCK, CHUNK, SHARD = 1 << 20, 16 << 20, 1 << 18
+#: Trusted ids that are sent to all tasks (8 bytes each); more are joined by shuffle.
+MOST_SENT = 1 << 22
+
+
+def normal(text: str | None) -> str:
+    """text with runs of white space as one space, none at its ends, and ORDER - 1 spaces before it; empty if nothing is left."""
+    line = " ".join((text or "").split())
+    return " " * (ORDER - 1) + line if line else ""
+
 
-SYMBOLS = 64
-BLOCK = 1 << 20
-
-
-@cache
-def symbols() -> np.ndarray:
-    """The symbol of every code point: 0 space, 1 digit, 2-9 marks, 10-35 a-z, 36-63 other letters."""
-    table = np.empty(0x110000, np.uint8)
-    points = np.arange(0x110000)
-    table[:] = 2 + points % 8
-    letters = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()])
-    table[letters] = 36 + letters % 28
-    table[ord("a") : ord("z") + 1] = np.arange(10, 36)
-    table[ord("A") : ord("Z") + 1] = np.arange(10, 36)
-    table[ord("0") : ord("9") + 1] = 1
-    table[[0x20, *range(0x09, 0x0E)]] = 0
-    return table
-
-
-def fourgrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all fourgrams of lower-cased texts, and how many each text has: one for each of its characters, runs of spaces taken as one and three spaces put before."""
-    lower = [f"   {' '.join(x.lower().split())}" for x in texts]
-    sizes = np.fromiter(map(len, lower), np.int64, len(lower))
-    s = symbols()[np.frombuffer("".join(lower).encode("utf-32-le", "replace"), np.uint32)].astype(np.int32)
-    codes = s[:-3] << 18 | s[1:-2] << 12 | s[2:-1] << 6 | s[3:]
-    keep = np.ones(len(s), bool)
-    first = np.cumsum(sizes) - sizes
-    for k in range(3):
-        keep[first + k] = False
-    return codes[keep[3:]], sizes - 3
-
-
-def _chunks(texts: list[str]):
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size < BLOCK):
-            size += len(texts[hi])
+def _blocks(texts: list[str | None]):
+    """Of about BLOCK characters of texts each: the first text's number, the characters, the hashes of their n-grams, where those begin, and how many each text has."""
+    lo, n = 0, len(texts)
+    while lo < n:
+        lines, size, hi = [], 0, lo
+        while hi < n and (hi == lo or size < BLOCK):
+            lines.append(normal(texts[hi]))
+            size += len(lines[-1])
             hi += 1
-        yield texts[lo:hi]
+        line = "".join(lines)
+        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+        counts = np.maximum(lengths - (ORDER - 1), 0)
+        begin = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        yield lo, line, gram_hashes(line)[begin], begin, counts
         lo = hi
 
 
-def counted(texts: DataFrame) -> DataFrame:
-    """(gram int, n long): how often each fourgram occurs in the column text. A task adds up its own first."""
+def gram_hashes(line: str) -> np.ndarray:
+    """A hash of the ORDER characters from each place on."""
+    points = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(U64)
+    if len(points) < ORDER:
+        return np.zeros(0, U64)
+    n = len(points) - ORDER + 1
+    out = np.zeros(n, U64)
+    with np.errstate(over="ignore"):
+        for k in range(ORDER):
+            out = (out + mixed(points[k : n + k], k)) * U64(0xD1342543DE82EF95)
+    return mixed(out)
 
-    def run(batches):
-        have = np.zeros(SYMBOLS**4, np.uint32)
-        for batch in batches:
-            for part in _chunks([x or "" for x in batch.column(0).to_pylist()]):
-                gram, n = np.unique(fourgrams(part)[0], return_counts=True)
-                have[gram] += n.astype(np.uint32)
-        gram = np.flatnonzero(have)
-        for lo in range(0, len(gram), 100_000):
-            part = gram[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(have[part].astype(np.int64))], ["gram", "n"])
 
-    return long_rows(texts).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])] if len(hashes) else hashes
 
 
-def discounts(once: float, twice: float, thrice: float, four: float) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more; 0.5 where too few counts are known."""
-    if min(once, twice, thrice, four) <= 0:
-        return np.array([0, 0.5, 0.5, 0.5])
-    y = once / (once + 2 * twice)
-    return np.array([0, *np.clip([1 - 2 * y * twice / once, 2 - 3 * y * thrice / twice, 3 - 4 * y * four / thrice], 0.05, [0.95, 1.9, 2.9])])
-
-
-def interpolated(counts: np.ndarray, lower: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Probabilities over the last axis from counts, what is discounted going to the lower order."""
-    cut = d[np.minimum(counts, 3).astype(np.int64)]
-    total = counts.sum(-1, keepdims=True)
-    safe = np.maximum(total, 1)
-    return np.where(total > 0, (counts - cut) / safe + cut.sum(-1, keepdims=True) / safe * lower, lower)
-
-
-def model(grams: DataFrame) -> np.ndarray:
-    """Log-probabilities (float16) of every fourgram's last symbol after its first three, from the counts of counted()."""
-    parts = (F.col("gram").bitwiseAND(F.lit((1 << 18) - 1)).alias("g3"), "gram", "n")
-    grams = grams.select(*parts)
-    three = grams.groupBy("g3").agg(F.count("*").alias("n"))
-    two = three.groupBy(F.col("g3").bitwiseAND(F.lit((1 << 12) - 1)).alias("g2")).agg(F.count("*").alias("n"))
-    of_counts = lambda df: [float(x) for x in df.agg(*(F.count_if(F.col("n") == k) for k in (1, 2, 3, 4))).first()]
-    d4, d3 = discounts(*of_counts(grams)), discounts(*of_counts(three))
-    pairs = np.zeros((SYMBOLS, SYMBOLS))
-    for r in two.collect():  # SYMBOLS^2 at most
-        pairs[r["g2"] >> 6, r["g2"] & 63] = r["n"]
-    singles = (pairs > 0).sum(0)
-    d2, d1 = (discounts(*((x == k).sum() for k in (1, 2, 3, 4))) for x in (pairs, singles))
-    p2 = interpolated(pairs, interpolated(singles[None, :].astype(float), np.full((1, SYMBOLS), 1 / SYMBOLS), d1), d2)
-
-    def shard(batches):
-        of: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for batch in batches:
-            gram, n = (c.to_numpy() for c in batch.columns)
-            middle = gram >> 6 & 4095
-            order = np.argsort(middle, kind="stable")
-            cuts = np.flatnonzero(np.diff(middle[order], prepend=-1))
-            for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
-                own = order[lo:hi]
-                of.setdefault(int(middle[own[0]]), []).append((gram[own], n[own]))
-        for m, rows in of.items():
-            gram, n = (np.concatenate(x) for x in zip(*rows, strict=True))
-            counts = np.zeros((SYMBOLS, SYMBOLS))
-            counts[gram >> 18, gram & 63] = n
-            p3 = interpolated((counts > 0).sum(0)[None, :].astype(float), p2[m & 63][None, :], d3)
-            p4 = interpolated(counts, p3, d4)
-            yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([np.log(np.maximum(p4, 1e-7)).astype("<f2").tobytes()], pa.binary())], ["middle", "p"])
-
-    out = np.broadcast_to(np.log(np.maximum(p2, 1e-7)).astype(np.float16)[None, None], (SYMBOLS,) * 4).copy()
-    shards = grams.select("gram", "n").repartition(F.shiftright("gram", 6).bitwiseAND(F.lit(4095))).mapInArrow(shard, "middle int, p binary")
-    for r in shards.toLocalIterator():
-        out[:, r["middle"] >> 6, r["middle"] & 63] = np.frombuffer(r["p"], "<f2").reshape(SYMBOLS, SYMBOLS)
-    return out.ravel()
-
-
-def perplexities(docs: DataFrame, probabilities: np.ndarray, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id_col, keep..., n_symbols, perplexity) of every row; null for texts that are null or blank."""
-    sent = docs.sparkSession.sparkContext.broadcast(probabilities)
+def counted(texts: DataFrame) -> DataFrame:
+    """(g string, n long): every n-gram of texts (text, trusted), and how often it occurs in trusted ones. A task adds up its own first."""
+
+    def merged(parts):
+        h, n, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h, n, g = h[order], n[order], g[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        return h[first], np.add.reduceat(n, first), g[first]
 
     def run(batches):
-        logs = sent.value
+        parts, size = [], 0
         for batch in batches:
-            n, sums = [], []
-            for part in _chunks([x or "" for x in batch.column(1).to_pylist()]):
-                codes, sizes = fourgrams(part)
-                total = np.concatenate([[0], np.cumsum(logs[codes], dtype=np.float64)])
-                ends = np.cumsum(sizes)
-                n.append(sizes)
-                sums.append(total[ends] - total[ends - sizes])
-            n, sums = (np.concatenate(x) if x else np.zeros(0) for x in (n, sums))
-            value = np.exp(-sums / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(n.astype(np.int64)), pa.array(value, pa.float64(), mask=n == 0)], ["id", *batch.schema.names[2:], "n_symbols", "perplexity"])
-
+            trusted = np.asarray(batch.column(1).to_pylist(), np.int64)
+            for lo, line, h, begin, counts in _blocks(batch.column(0).to_pylist()):
+                if not len(h):
+                    continue
+                n = np.repeat(trusted[lo : lo + len(counts)], counts)
+                order = np.argsort(h)
+                first = np.flatnonzero(np.append(True, np.diff(h[order]) != 0))
+                at = begin[order[first]].tolist()
+                grams = np.array([line[i : i + ORDER] for i in at], object)
+                parts.append((h[order[first]], np.add.reduceat(n[order], first), grams))
+                size += len(first)
+            if len(parts) > 1 and size > 1 << 19:
+                parts = [merged(parts)]
+                if len(parts[0][0]) > 1 << 19:  # no task gathers more than this
+                    yield from rows(*parts[0])
+                    parts = []
+                size = sum(len(p[0]) for p in parts)
+        if parts:
+            yield from rows(*merged(parts))
+
+    def rows(h, n, g):
+        for lo in range(0, len(g), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(g[lo : lo + 100_000], pa.string()), pa.array(n[lo : lo + 100_000])], ["g", "n"])
+
+    return long_rows(texts).select("text", "trusted").mapInArrow(run, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
+
+
+def discounts(once: float, twice: float, thrice: float, four: float) -> list[float]:
+    """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more; 0.5 where too few counts are known."""
+    if min(once, twice, thrice, four) <= 0:
+        return [0.5, 0.5, 0.5]
+    y = once / (once + 2 * twice)
+    return [min(max(d, 0.05), most) for d, most in ((1 - 2 * y * twice / once, 0.95), (2 - 3 * y * thrice / twice, 1.9), (3 - 4 * y * four / thrice, 2.9))]
+
+
+def probabilities(grams: DataFrame) -> DataFrame:
+    """(g, p): the interpolated probability of the last character of every
+    n-gram of grams (g, n) after its first ORDER - 1, from the counts n > 0.
+
+    A context without counts leaves the word to the next lower order; below
+    order one all characters that are known, and one that is not, are as likely."""
+    orders = {ORDER: grams.where("n > 0")}
+    for k in range(ORDER - 1, 0, -1):
+        orders[k] = written(orders[k + 1].groupBy(F.right("g", F.lit(k)).alias("g")).agg(F.count("*").alias("n")), f"order{k}")
+    needed = {ORDER: grams.select("g")}
+    for k in range(ORDER - 1, 0, -1):
+        needed[k] = needed[k + 1].select(F.right("g", F.lit(k)).alias("g")).distinct()
+    out = None
+    for k in range(1, ORDER + 1):
+        counts = orders[k]
+        stats = counts.agg(*(F.count_if(F.col("n") == c) for c in (1, 2, 3, 4)), F.count("*")).first()
+        d = discounts(*map(float, stats[:4]))
+        cut = lambda n, d=d: F.when(n == 1, d[0]).when(n == 2, d[1]).when(n >= 3, d[2]).otherwise(0.0)
+        of = counts.groupBy(F.left("g", F.lit(k - 1)).alias("context")).agg(F.sum("n").alias("total"), F.sum(cut(F.col("n"))).alias("free"))
+        rows = needed[k].join(counts, "g", "left").withColumn("context", F.left("g", F.lit(k - 1)))
+        rows = rows.join(F.broadcast(of) if k == 1 else of, "context", "left")  # order one has one context
+        if out is None:
+            rows = rows.withColumn("lower", F.lit(1.0 / (stats[4] + 1)))
+        else:
+            rows = rows.withColumn("suffix", F.right("g", F.lit(k - 1))).join(out.select(F.col("g").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        own = (F.coalesce("n", F.lit(0)) - cut(F.coalesce("n", F.lit(0)))) / F.col("total") + F.col("free") / F.col("total") * F.col("lower")
+        out = written(rows.select("g", F.when(F.col("total").isNotNull(), own).otherwise(F.col("lower")).alias("p")), f"p{k}")
+    return out
+
+
+def _by_shard(hashes: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Different n-grams of a chunk by shard and hash, their shards, and where each shard begins and the last one ends."""
+    h = _distinct(np.concatenate([_distinct(x) for x in hashes])) if hashes else np.zeros(0, U64)
+    shard = (h % U64(shards)).astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    return h[order], shard[order], [*np.flatnonzero(np.diff(shard[order], prepend=-1)).tolist(), len(h)]
+
+
+def _asked(shards: int):
+    """A chunk's different n-grams, by shard."""
+
+    def run(key, texts):
+        h, shard, cuts = _by_shard([b[2] for b in _blocks(texts["text"].to_pylist())], shards)
+        blobs = [h[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table({"chunk": pa.array([key[0].as_py()] * len(blobs), pa.int32()), "shard": pa.array(shard[cuts[:-1]]), "hashes": pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _answered(key, known, asked):
+    """For the n-grams that each chunk asks for the logarithms of their probabilities, in the same order."""
+    h, p = known["hash"].to_numpy().view(U64), known["p"].to_numpy()
+    order = np.argsort(h)
+    h, logs = h[order], np.log(p[order]).astype(np.float32)
+    found = [logs[np.searchsorted(h, np.frombuffer(x.as_py(), U64))].tobytes() for x in asked["hashes"]]
+    return pa.table({"chunk": asked["chunk"], "shard": asked["shard"], "logs": pa.array(found, pa.binary())})
+
+
+def _hashed(batches):
+    for batch in batches:
+        h = gram_hashes("".join(batch.column(0).to_pylist()))[::ORDER]
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], ["hash", "p"])
+
+
+def _summed(shards: int):
+    """Every text of a chunk with its n-grams' number and perplexity."""
+
+    def run(key, texts, answers):
+        every = [b[2:] for b in _blocks(texts["text"].to_pylist())]
+        h = _by_shard([b[0] for b in every], shards)[0]
+        order = np.argsort(answers["shard"].to_numpy())
+        logs = np.frombuffer(b"".join(answers["logs"][int(k)].as_py() for k in order), np.float32)
+        order = np.argsort(h)
+        h, logs = h[order], logs[order]
+        n, sums = [], []
+        for own, _, counts in every:
+            total = np.concatenate([[0], np.cumsum(logs[np.searchsorted(h, own)], dtype=np.float64)])
+            ends = np.cumsum(counts)
+            n.append(counts)
+            sums.append(total[ends] - total[ends - counts])
+        n, sums = (np.concatenate(x) if x else np.zeros(0) for x in (n, sums))
+        value = np.exp(-sums / np.maximum(n, 1))
+        return pa.table([texts["id"], *texts.columns[3:], pa.array(n.astype(np.int64)), pa.array(value, pa.float64(), mask=n == 0)], ["id", *texts.column_names[3:], "n_symbols", "perplexity"])
+
+    return run
+
+
+def perplexities(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, keep..., n_symbols, perplexity) of every row; null for texts
+    that are null or blank. known (g, p) has every n-gram of the texts; equal
+    64-bit hashes are taken as equal n-grams. Texts are shuffled once."""
+    spark = docs.sparkSession
     rows = long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
+    size, grams = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, known.count()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks, shards = max(least, -(-size // CHUNK)), max(least, -(-grams // SHARD))
+    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")
     extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {extra}n_symbols long, perplexity double")
+    texts = rows.select(chunk.alias("chunk"), *rows.columns).repartition(chunks, "chunk")
+    table = known.select("g", "p").mapInArrow(_hashed, "hash long, p double")
+    # as numpy's remainder of the unsigned hash
+    table = table.select((F.pmod(F.pmod(F.shiftrightunsigned("hash", 1), F.lit(shards)) * 2 + F.col("hash").bitwiseAND(F.lit(1)), F.lit(shards))).cast("int").alias("shard"), "hash", "p")
+    asked = texts.groupBy("chunk").applyInArrow(_asked(shards), "chunk int, shard int, hashes binary")
+    answers = table.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answered, "chunk int, shard int, logs binary")
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_summed(shards), f"id {rows.schema['id'].dataType.simpleString()}, {extra}n_symbols long, perplexity double")
     return out.select(F.col("id").alias(id_col), *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)), "n_symbols", "perplexity")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.15) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99) -> DataFrame:
     """(doc_id, lang, n_symbols, perplexity, threshold, keep) of every row of docs.
 
     Trusted are the documents that labels calls good (quality 1 in all of
-    their rows) and not toxic. Seven eighths of them, by a hash of doc_id,
-    train the model; the others set each language's threshold: their quantile
-    of perplexity, times slack. Languages without such documents, and null,
-    take the threshold over all languages; if nothing is trusted all is kept
-    that has text. keep is false for null and blank texts. Repeated rows stay
-    repeated; other columns are not read."""
-    spark = docs.sparkSession
-    trusted = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("doc_id").hint("merge")  # labels have no size bound, so they are never broadcast
+    their rows) and not toxic (in none). Seven eighths of them, by a hash of
+    doc_id, train the model; the others set each language's threshold, a
+    quantile of their perplexity. Languages without such documents, and null,
+    take the quantile over all languages; if nothing is trusted all is kept
+    that has text. keep is false for null and blank texts.
+    Null ids are never trusted. Repeated rows stay repeated; other columns are
+    not read."""
+    trusted = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("doc_id")
+    trusted = written(trusted, "trusted")
+    few = trusted.limit(MOST_SENT + 1).count() <= MOST_SENT
+    side = (F.broadcast(trusted) if few else trusted.hint("merge")).withColumn("trusted", F.lit(1))
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0
-    own = docs.select("doc_id", "text").where(~aside).join(trusted, "doc_id", "left_semi")
-    grams = written(counted(own.select("text")), "grams")
-    finished(spark)
-    scored = written(perplexities(docs, model(grams), keep=("lang",)), "perplexities")
-    judged = scored.where(aside & F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
-    of = judged.where("lang is not null").groupBy(F.col("lang").alias("of")).agg(F.percentile_approx("perplexity", quantile, 10_000).alias("own"))
-    every = judged.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
-    limit = F.coalesce(F.col("own") * slack, F.lit(None if every is None else every * slack).cast("double"))
-    out = scored.join(of, F.col("lang") == F.col("of"), "left").withColumn("threshold", limit)
+    own = docs.select("doc_id", "text").join(side, "doc_id", "left").select("text", F.when(~aside, F.coalesce("trusted", F.lit(0))).otherwise(0).alias("trusted"))
+    grams = written(counted(own), "grams")
+    finished(docs.sparkSession)
+    scored = written(perplexities(docs, probabilities(grams), keep=("lang",)), "perplexities")
+    judged = scored.where(aside & F.col("perplexity").isNotNull()).join(F.broadcast(trusted) if few else trusted.hint("merge"), "doc_id", "left_semi")
+    limit = F.percentile_approx("perplexity", quantile, 10_000)
+    of = judged.where("lang is not null").groupBy(F.col("lang").alias("of")).agg(limit.alias("own"))
+    every = judged.agg(limit).first()[0]
+    out = scored.join(of, F.col("lang") == F.col("of"), "left").withColumn("threshold", F.coalesce("own", F.lit(every).cast("double")))
     return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("keep"))

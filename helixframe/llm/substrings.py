@@ -57,6 +57,8 @@ def _windows(texts: pa.ChunkedArray, n: int):
         if len(starts) < n:
             continue
         whole = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :])
+        if not len(whole):
+            continue
         first = np.searchsorted(doc, np.arange(hi - lo))
 
         def second(some: np.ndarray, part=part, starts=starts, ends=ends, whole=whole) -> np.ndarray:

@@ -102,3 +102,8 @@ def test_rows_that_repeat_and_nulls(spark):
     null = [r for r in rows if r.doc_id is None]
     assert len(null) == 2 and all(r.n_removed == 0 for r in null)
     assert substrings.remove_repeats(empty(spark)).count() == 0
+
+
+def test_short_texts_alone(spark):
+    docs = spark.createDataFrame([(i, "a b c d e f") for i in range(30)], "doc_id long, text string")
+    assert {(r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(docs, 7).collect()} == {(6, 0, "a b c d e f")}
