@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import long_rows
+from .shared import long_rows, memory_returned
 
 #: How byte-level BPE cuts a text into pieces; \s there means Unicode's White_Space.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -208,11 +208,6 @@ class Bpe:
         mark = {t: i.to_bytes(4, "little") for t, i in self.added.items()}
         return [b"".join(mark[p] if k % 2 else out[p] for k, p in enumerate(own)) for own in parts]
 
-    def rest(self) -> None:
-        """Gives memory back between tasks: of what was learned only the pieces of the last batch stay."""
-        self.first, self.later = {}, {}
-        self.pieces = {p: self.pieces[p] for p in self.last}
-
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
@@ -266,7 +261,9 @@ def _mapped(docs, tokenizer, id_col, text_col, made, fields, names):
             for texts in _batches([x or "" for x in batch.column(1).to_pylist()]):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *made(bpe, bpe.encode(texts))], ["id", *names])
                 at += len(texts)
-        bpe.rest()
+        loaded.cache_clear()  # a worker outlives the task: the tables, 100 MB and more, would stay
+        del bpe
+        memory_returned()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col)

@@ -50,6 +50,18 @@ def finished(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def memory_returned() -> None:
+    """Gives back to the system what a Python worker has freed: workers live on between tasks, and Arrow and the C library keep pages otherwise."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def long_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
     """df, in whose session Arrow batches have at most so many rows from now on.
 

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import long_rows
+from .shared import long_rows, memory_returned
 from .vectors import U64, blocks, mixed, space_words, text_bytes, window_hashes, word_hashes, words
 
 #: Rows of the sketch.
 DEPTH = 2
 #: Least and most bytes of text in a chunk; binary logarithms of the cells in a part.
-CHUNK, PART_BITS = (8 << 20, 64 << 20), (22, 26)
+CHUNK, PART_BITS = (4 << 20, 64 << 20), (22, 26)
 
 
 class Sketch(NamedTuple):
@@ -44,7 +44,7 @@ def planned(size: int) -> tuple[int, Sketch]:
     """Chunks and sketch for size bytes of text."""
     bits = max(16, (size // 3 + 2).bit_length())  # a word and the space after it have some six bytes
     least, most = PART_BITS
-    chunk = min(CHUNK[1], max(CHUNK[0], 50 * int(size**0.5)))
+    chunk = min(CHUNK[1], max(CHUNK[0], 25 * int(size**0.5)))
     return -(-size // chunk), Sketch(bits, min(bits, max(least, min(most, bits // 2 + 5))))
 
 
@@ -94,6 +94,7 @@ def _sketch(n: int, sketch: Sketch) -> Callable:
     """A chunk's cells, of each only two, by row << 40 | part."""
 
     def run(key, texts):
+        memory_returned()
         have = [w[1] for w in _windows(texts["text"], n)]
         parts, blobs = [], []
         for row in range(DEPTH if have else 0):
@@ -186,6 +187,7 @@ def _candidates(n: int, sketch: Sketch, shards: int) -> Callable:
             yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, SENT_KINDS, strict=True)], SENT_NAMES)
 
     def run(key, texts, marks):
+        memory_returned()
         every = list(_windows(texts["text"], n))
         parts = []
         if every:
@@ -229,6 +231,7 @@ def _grouped(chunks: int):
                     continue
                 for have, new in ((ids, np.array(r["doc_ids"], np.int64)), (texts, np.array(r["text_hashes"], np.int64)), (counts, np.array(r["counts"], np.int64)), (h1, np.frombuffer(r["h1"], U64)), (h2, np.frombuffer(r["h2"], np.uint32)), (ats, np.frombuffer(r["at"], "<u4"))):
                     have.append(new)
+        memory_returned()
         if not ids:
             return
         ids, texts, counts, h1, h2, at = (np.concatenate(x) for x in (ids, texts, counts, h1, h2, ats))
@@ -282,6 +285,7 @@ def _cut(n: int, spaced: bool):
         return len(parts), int(gone.sum()), [{"first": a, "end": b} for a, b in edge.tolist()], kept.decode()
 
     def run(key, texts, later):
+        memory_returned()
         found: dict[tuple[int, int], list[np.ndarray]] = {}
         for r in later.to_pylist():
             at = np.frombuffer(r["at"], "<u4")
