@@ -153,3 +153,13 @@ def difference_report(rows: DataFrame) -> DataFrame:
     """One row: alignments, sequences, aligned bases and mean identity, weighted."""
     n = span("s_r", "e_r")
     return rows.agg(F.count("*").alias("n_alignments"), F.countDistinct("ref").alias("n_refs"), F.countDistinct("qry").alias("n_qrys"), F.sum(n).alias("aligned_r"), F.sum(span("s_q", "e_q")).alias("aligned_q"), (F.sum(n * F.col("idy")) / F.sum(n)).alias("identity"))
+
+
+def sampled_evenly(rows: DataFrame, width: int = 100, ratio: float = 1.25, least: int = 10, key: str = "aln") -> DataFrame:
+    """Keys of the alignments that are, in more than half of the windows they
+    are in, among the max(ratio * the reference's median window coverage, least)
+    best by identity."""
+    w = rows.select(key, "ref", "idy", F.explode(F.sequence(F.floor(F.col("s_r") / width), F.floor(F.col("e_r") / width))).alias("win"))
+    median = w.groupBy("ref", "win").agg(F.count("*").alias("c")).groupBy("ref").agg(F.greatest(F.lit(float(least)), ratio * F.percentile("c", 0.5)).alias("most"))
+    rank = F.row_number().over(Window.partitionBy("ref", "win").orderBy(F.desc("idy"), key))
+    return w.withColumn("r", rank).join(median, "ref").groupBy(key).agg(F.count_if(F.col("r") <= F.col("most")).alias("good"), F.count("*").alias("n")).where("2 * good > n").select(key)

@@ -59,14 +59,19 @@ def reversed_records(records: DataFrame, seq_col: str = "seq", only_canonical: b
     return records.withColumn(seq_col, canonical(seq) if only_canonical else reverse_complement(seq))
 
 
-def split_round_robin(records: DataFrame, n: int, order: str = "id") -> DataFrame:
-    """records with `part`: 0..n-1 in turn along order. The row number comes
-    from counts of range partitions, so that no task sees all rows."""
-    by = records.repartitionByRange(order).sortWithinPartitions(order)
+def numbered(records: DataFrame, order: list, name: str = "place") -> DataFrame:
+    """records with their places from 0 along order. Places come from counts of
+    range partitions, so that no task sees all rows."""
+    by = records.repartitionByRange(*order).sortWithinPartitions(*order)
     by = by.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = by.groupBy("__p").count()
     before = sizes.withColumn("__before", F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__before", F.lit(0)).alias("__before"))
-    return by.join(before, "__p").withColumn("part", ((F.col("__before") + F.col("__i")) % n).cast("int")).drop("__p", "__i", "__before")
+    return by.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
+
+
+def split_round_robin(records: DataFrame, n: int, order: str = "id") -> DataFrame:
+    """records with `part`: 0..n-1 in turn along order."""
+    return numbered(records, [order], "__place").withColumn("part", (F.col("__place") % n).cast("int")).drop("__place")
 
 
 def gaps(records: DataFrame, id_col: str = "id", seq_col: str = "seq") -> DataFrame:

@@ -67,6 +67,9 @@ def unbranching_paths(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame
     for _ in range(max(1, total).bit_length()):
         far = at.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("steps").alias("steps2"), F.col("least").alias("least2"))
         at = kept(at.join(far, "to").select("node", F.col("to2").alias("to"), (F.col("steps") + F.col("steps2")).alias("steps"), F.least("least", "least2").alias("least")))
+        open_ends = at.select(F.col("to").alias("node"), F.lit(True).alias("open")).distinct().join(at.where("steps > 0").select("node"), "node", "left_semi")
+        if open_ends.isEmpty():  # every path has come to its first node; only cycles go on to the end
+            break
     first = at.where("steps = 0").select(F.col("node").alias("to"))
     linear = at.join(first, "to", "left_semi").select("node", F.col("to").alias("path"), F.col("steps").alias("place"))
     round_ = at.join(first, "to", "left_anti").select("node", F.col("least").alias("path"))

@@ -5,26 +5,30 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, compressed, is_valid, kmers, window
 
 
-def enumerate_kmers(seqs: DataFrame, k: int, seq_col: str = "seq", both_strands: bool = True, keep: tuple[str, ...] = (), positions: bool = False) -> DataFrame:
-    """keep..., [pos from 0,] kmer: every window of k letters; windows with other letters than A, C, G and T are passed over."""
-    # numbers are exploded, not strings: the windows are then cut in generated code
+def enumerate_kmers(seqs: DataFrame, k: int, seq_col: str = "seq", both_strands: bool = True, keep: tuple[str, ...] = (), positions: bool = False, clean: bool = False) -> DataFrame:
+    """keep..., [pos from 0,] kmer: every window of k letters; windows with other letters than A, C, G and T are passed over. With clean there are none, and they are not looked for."""
+    # numbers are exploded, not strings: the windows are then cut in generated
+    # code. A short sequence has no numbers; a filter on its length would be
+    # pushed below the exchange and take the letters out twice
     n = F.octet_length("__seq") - k + 1
-    rows = seqs.select(*keep, F.col(seq_col).alias("__seq")).where(n > 0)
-    rows = rows.select(*keep, "__seq", F.explode(F.sequence(F.lit(1), n)).alias("__i"))
+    rows = seqs.select(*keep, F.col(seq_col).alias("__seq"))
+    rows = rows.select(*keep, "__seq", F.explode(F.when(n > 0, F.sequence(F.lit(1), n))).alias("__i"))
     rows = rows.select(*keep, *([(F.col("__i") - 1).alias("pos")] if positions else []), window(F.col("__seq"), F.col("__i"), k).alias("kmer"))
-    rows = rows.where(is_valid(F.col("kmer")))
+    rows = rows if clean else rows.where(is_valid(F.col("kmer")))
     return rows.withColumn("kmer", canonical(F.col("kmer"))) if both_strands else rows
 
 
-def count(seqs: DataFrame, k: int, seq_col: str = "seq", both_strands: bool = True, least: int = 1, most: int | None = None) -> DataFrame:
+def count(seqs: DataFrame, k: int, seq_col: str = "seq", both_strands: bool = True, least: int = 1, most: int | None = None, clean: bool = False) -> DataFrame:
     """(kmer, cnt), of counts from least to most."""
-    out = enumerate_kmers(seqs, k, seq_col, both_strands).groupBy("kmer").agg(F.count("*").alias("cnt"))
+    out = enumerate_kmers(seqs, k, seq_col, both_strands, clean=clean).groupBy("kmer").agg(F.count("*").alias("cnt"))
     out = out.where(F.col("cnt") >= least) if least > 1 else out
     return out if most is None else out.where(F.col("cnt") <= most)
 
@@ -160,18 +164,60 @@ def least_count(spectrum_: DataFrame, genome_size: int) -> DataFrame:
     return rows.agg(F.greatest(F.lit(2), F.min_by("cnt", F.struct(F.abs(F.col("above") - genome_size), -F.col("cnt")))).alias("least_count"))
 
 
+def _codes(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of k <= 31 letters: their numbers in base four, those of their reverse complements, and whether they are of A, C, G and T alone."""
+    base = np.full(256, 4, np.uint8)
+    base[[65, 67, 71, 84]] = range(4)
+    b = base[letters]
+    n = max(0, len(b) - k + 1)
+    own, other = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for j in range(k):
+        part = (b[j : j + n] & 3).astype(np.int64)
+        own = own << 2 | part
+        other |= (3 - part) << 2 * j
+    bad = np.concatenate([[0], np.cumsum(b == 4)])
+    return own, other, bad[k : k + n] == bad[:n]
+
+
+def _least_of(values: np.ndarray, w: int) -> np.ndarray:
+    """The least of each w neighbours, by doubling."""
+    done, least = 1, values
+    while done < w:
+        step = min(done, w - done)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        done += step
+    return least
+
+
 def minimizers(seqs: DataFrame, k: int, w: int, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
-    """(id, pos, minimizer): in each window of w k-mers the smallest canonical
-    k-mers, ties kept; k-mers that are their own reverse complement are
-    skipped. The hash is the k-mer's own order, so that any engine can check it."""
-    rows = enumerate_kmers(seqs, k, seq_col, both_strands=False, keep=(id_col,), positions=True)
-    rows = rows.withColumn("c", canonical(F.col("kmer"))).where(F.col("kmer") != F.reverse(F.translate("kmer", "ACGT", "TGCA")))
-    by = Window.partitionBy(id_col).orderBy("pos")
-    rows = rows.withColumn("least", F.min("c").over(by.rowsBetween(1 - w, 0))).withColumn("full", F.row_number().over(by) >= w)
-    # a k-mer is chosen if it is the smallest of one of the full windows that it is in
-    ahead = by.rowsBetween(0, w - 1)
-    chosen = F.max(F.when(F.col("full"), F.col("least"))).over(ahead)
-    return rows.withColumn("most", chosen).where(F.col("c") <= F.col("most")).select(id_col, "pos", F.col("c").alias("minimizer"))
+    """(id, pos, minimizer): in each window of w k-mers (k <= 31) the smallest
+    canonical k-mers, ties kept; k-mers that are their own reverse complement
+    or have other letters than A, C, G and T are skipped. The hash is the
+    k-mer's own order, so that any engine can check it. Windows are of one
+    sequence, so a row is handled where it is, on whole arrays of numbers."""
+    letters = np.frombuffer(b"ACGT", np.uint8)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                raw = np.frombuffer((batch.column(1)[at].as_py() or "").encode(), np.uint8)
+                own, other, good = _codes(raw, k)
+                pos = np.flatnonzero(good & (own != other))
+                code = np.minimum(own, other)[pos]
+                if len(pos) < w:
+                    continue
+                least = _least_of(code, w)
+                # the largest of the minima of the full windows that a k-mer is in
+                most = -_least_of(-np.concatenate([np.full(w - 1, -1), least, np.full(w - 1, -1)]), w)
+                chosen = np.flatnonzero(code <= most)
+                for lo in range(0, len(chosen), 100_000):
+                    some = chosen[lo : lo + 100_000]
+                    text = letters[code[some, None] >> np.arange(2 * k - 2, -1, -2) & 3].tobytes().decode()
+                    ids = pa.repeat(batch.column(0)[at], len(some))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(pos[some].astype(np.int32)), pa.array([text[i : i + k] for i in range(0, len(text), k)])], ["id", "pos", "minimizer"])
+
+    kind = seqs.schema[id_col].dataType.simpleString()
+    return seqs.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq")).mapInArrow(run, f"id {kind}, pos int, minimizer string").withColumnRenamed("id", id_col)
 
 
 def frequent_cutoff(index: DataFrame, key: str, fraction: float) -> DataFrame:

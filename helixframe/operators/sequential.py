@@ -4,7 +4,6 @@ group; the programs run on Arrow batches or grouped pandas frames."""
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -16,34 +15,37 @@ def low_complexity(seq: str, window: int = 64, threshold: float = 20.0) -> list[
     """Merged intervals of seq, from 0 and half-open, in which some stretch of
     up to window letters is the worst of its surroundings: its triplets' score,
     ten times sum c (c - 1) / 2 over their number less one, is above threshold
-    and no part of it scores more."""
-    seq = seq.upper()
-    triplets = [seq[i : i + 3] if set(seq[i : i + 3]) <= set("ACGT") else None for i in range(len(seq) - 2)]
-    out: list[tuple[int, int]] = []
-    found: list[tuple[int, float]] = []  # begins and scores of such stretches, in the window
-    for end in range(len(triplets)):
-        first = max(0, end - window + 3)
-        found = [x for x in found if x[0] >= first]
-        known = sorted(found, reverse=True)
-        counts: Counter[str] = Counter()
-        total, best, at, k = 0, 0.0, None, 0
-        for n, start in enumerate(range(end, first - 1, -1), 1):
-            if triplets[start] is None:
-                break
-            while k < len(known) and known[k][0] >= start:
-                best = max(best, known[k][1])
-                k += 1
-            total += counts[triplets[start]]
-            counts[triplets[start]] += 1
-            if n > 1 and (score := 10 * total / (n - 1)) > threshold and score >= best:
-                best, at = score, start
-                found.append((start, score))
-        if at is not None:
-            lo, hi = at, end + 3
-            while out and out[-1][1] >= lo:
-                lo = min(lo, out.pop()[0])
-            out.append((lo, hi))
-    return out
+    and no part of it scores more.
+
+    Stretches of one length are scored at all places at once, from the scores
+    of those that are one triplet shorter."""
+    base = np.full(256, -1, np.int32)
+    base[[65, 67, 71, 84]] = range(4)
+    b = base[np.frombuffer(seq.upper().encode("ascii", "replace"), np.uint8)]
+    n = len(b) - 2
+    if n < 2:
+        return []
+    t = b[:-2] << 4 | b[1:-1] << 2 | b[2:]
+    t[(b[:-2] < 0) | (b[1:-1] < 0) | (b[2:] < 0)] = -1
+    good = t >= 0
+    same, total = np.zeros(n, np.int32), np.zeros(n, np.int32)  # of each begin: partners of its triplet, pairs in all
+    best = np.zeros(n)
+    change = np.zeros(len(b) + 1, np.int64)
+    for d in range(1, window - 2):
+        m = n - d
+        if m <= 0:
+            break
+        good = good[:m] & (t[d:] >= 0)
+        same = same[:m] + (t[:m] == t[d:])
+        total = total[1 : m + 1] + same
+        score = np.where(good, 10.0 * total / d, 0.0)
+        part = np.maximum(best[:m], best[1 : m + 1])
+        worst = np.flatnonzero((score > threshold) & (score >= part))
+        np.add.at(change, worst, 1)
+        np.add.at(change, worst + d + 3, -1)
+        best = np.maximum(part, score)
+    edges = np.flatnonzero(np.diff(np.cumsum(change) > 0, prepend=False, append=False)).reshape(-1, 2)
+    return [(int(lo), int(hi)) for lo, hi in edges]
 
 
 def mask_low_complexity(records: DataFrame, id_col: str = "id", seq_col: str = "seq", window: int = 64, threshold: float = 20.0) -> DataFrame:

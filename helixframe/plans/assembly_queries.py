@@ -18,7 +18,7 @@ def edges(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").alias("coverage"), F.sum(F.col("o_orderkey") % 50).alias("length"))
 
 
-PAIRS = "(SELECT DISTINCT c_custkey AS a, (c_custkey * 13) // 3 AS b FROM customer WHERE c_custkey % 4 <> 0)"
+PAIRS = "(SELECT DISTINCT c_custkey AS a, CASE WHEN c_custkey % 4 = 0 THEN c_custkey ELSE (c_custkey * 13) // 3 END AS b FROM customer)"
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT a, b FROM {PAIRS} UNION SELECT b, a FROM {PAIRS}), n AS (SELECT DISTINCT a AS node FROM e),
@@ -26,11 +26,12 @@ r(node, x) AS (SELECT node, node FROM n UNION SELECT r.node, e.b FROM r JOIN e O
 SELECT node, min(x) AS component FROM r WHERE node IN (SELECT a FROM e WHERE a <> b) GROUP BY node""")
 def graph_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    pairs = table(spark, sf_dir, "customer").where(c % 4 != 0).select(c.alias("a"), F.floor(c * 13 / 3).alias("b")).distinct()
+    b = F.when(c % 4 == 0, c).otherwise(F.floor(c * 13 / 3))  # every fourth is linked to itself alone
+    pairs = table(spark, sf_dir, "customer").select(c.alias("a"), b.alias("b")).distinct()
     return graph.connected_components(pairs)
 
 
-CHAIN = "(SELECT DISTINCT p_partkey AS a, p_partkey + CASE WHEN p_size % 9 = 0 THEN 3 ELSE 1 END AS b FROM part WHERE p_size % 11 <> 0)"
+CHAIN = "(SELECT DISTINCT p_partkey AS a, CASE WHEN p_size % 11 = 0 THEN -p_size WHEN p_size % 9 = 0 THEN p_partkey + 3 ELSE p_partkey + 1 END AS b FROM part)"
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT * FROM {CHAIN}), i AS (SELECT a, b FROM e WHERE a IN (SELECT a FROM e GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM e GROUP BY b HAVING count(*) = 1)),
@@ -39,7 +40,9 @@ r(node, path, place) AS (SELECT node, node, 0 FROM n WHERE node NOT IN (SELECT b
 SELECT node, path, CAST(place AS BIGINT) AS place FROM r""")
 def graph_unbranching_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = F.col("p_partkey")
-    chain = table(spark, sf_dir, "part").where("p_size % 11 <> 0").select(a.alias("a"), (a + F.when(F.col("p_size") % 9 == 0, 3).otherwise(1)).alias("b")).distinct()
+    size = F.col("p_size")
+    b = F.when(size % 11 == 0, -size).when(size % 9 == 0, a + 3).otherwise(a + 1)
+    chain = table(spark, sf_dir, "part").select(a.alias("a"), b.alias("b")).distinct()
     return graph.unbranching_paths(chain)
 
 

@@ -13,13 +13,17 @@ K = 8
 
 
 def seqs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """id, seq, lang (of documents). The source rows are spread over the cores
-    before windows are exploded from them: they are far fewer, and a table may be one row group."""
+    """id, seq, lang (of documents). A table of fewer splits than cores, as one
+    of a single row group is, has its rows dealt out before letters are taken
+    from them; a larger one is not shuffled."""
     id_col = {"documents": "doc_id", "benchmark": "item_id", "pages": "page_id"}[name]
     text = {"pages": "html"}.get(name, "text")
     keep = ["lang"] if name == "documents" else []
     rows = table(spark, sf_dir, name).select(F.col(id_col).alias("id"), F.col(text).alias("text"), *keep)
-    return rows.repartition(max(8, spark.sparkContext.defaultParallelism), "id").select("id", dna(F.col("text")).alias("seq"), *keep)
+    cores = max(8, spark.sparkContext.defaultParallelism)
+    if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+        rows = rows.repartition(cores, "id")
+    return rows.select("id", dna(F.col("text")).alias("seq"), *keep)
 
 
 def dna_sql(name: str = "documents", where: str = "", k: int = K, both: bool = True) -> str:
@@ -41,7 +45,7 @@ def of_lang(lang: str) -> str:
 
 def counts(spark, sf_dir, lang: str | None = None, k: int = K) -> DataFrame:
     rows = seqs(spark, sf_dir)
-    return kmer.count(rows if lang is None else rows.where(F.col("lang") == lang), k)
+    return kmer.count(rows if lang is None else rows.where(F.col("lang") == lang), k, clean=True)
 
 
 @query(f"SELECT cnt AS bucket, count(*) AS n FROM {COUNTS.replace('count(*) AS cnt', 'least(count(*), 10001) AS cnt')} GROUP BY cnt")
@@ -252,7 +256,7 @@ def kmer_minimizer_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT count(*) AS genome_size FROM (SELECT kmer FROM {dna_sql(k=31)} GROUP BY kmer HAVING count(*) >= 2)")
 def kmer_genome_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kmer.count(seqs(spark, sf_dir), 31, least=2).agg(F.count("*").alias("genome_size"))
+    return kmer.count(seqs(spark, sf_dir), 31, least=2, clean=True).agg(F.count("*").alias("genome_size"))
 
 
 @query(f"""SELECT c.id, count(*) FILTER (WHERE a.kmer IS NOT NULL AND b.kmer IS NULL) AS n_one, count(*) FILTER (WHERE b.kmer IS NOT NULL AND a.kmer IS NULL) AS n_two, count(*) FILTER (WHERE a.kmer IS NOT NULL AND b.kmer IS NOT NULL) AS n_both

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, cigar_operations, reference_span, reverse_complement
-from ..operators import graph, interval, kmer, sequential
+from ..operators import alignment_sets, graph, interval, kmer, sequential
 from .assembly_queries import DEGREES, EDGES, edges
 from .kmer_queries import _links_sql, seqs
 from .overlap_queries import ALIGNMENTS, aligned
@@ -118,13 +118,11 @@ def collinear_matches_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.groupBy("ref", "qry", "island").agg(F.min("s_r").alias("s_r"), F.max("e_r").alias("e_r"), F.count("*").alias("n"), F.sum(F.col("e_r") - F.col("s_r") + 1).alias("bases")).where("n > 1").drop("island")
 
 
-@query(f"""WITH w AS (SELECT aln, ref, idy, unnest(range(s_r // 100, e_r // 100 + 1)) AS win FROM {ALIGNMENTS}), k AS (SELECT *, row_number() OVER (PARTITION BY ref, win ORDER BY idy DESC, aln) AS r FROM w)
-SELECT aln FROM k GROUP BY aln HAVING 2 * count(*) FILTER (WHERE r <= 10) > count(*)""")
+@query(f"""WITH w AS (SELECT aln, ref, idy, unnest(range(s_r // 100, e_r // 100 + 1)) AS win FROM {ALIGNMENTS}), k AS (SELECT *, row_number() OVER (PARTITION BY ref, win ORDER BY idy DESC, aln) AS r FROM w),
+m AS (SELECT ref, greatest(10, 1.25 * quantile_cont(c, 0.5)) AS most FROM (SELECT ref, win, count(*) AS c FROM w GROUP BY ref, win) GROUP BY ref)
+SELECT aln FROM k JOIN m ON m.ref = k.ref GROUP BY aln HAVING 2 * count(*) FILTER (WHERE r <= most) > count(*)""")
 def alignments_sampled_evenly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignments that are among the ten best of more than half of the 100-base windows they are in."""
-    w = aligned(spark, sf_dir).select("aln", "ref", "idy", F.explode(F.sequence(F.floor(F.col("s_r") / 100), F.floor(F.col("e_r") / 100))).alias("win"))
-    rank = F.row_number().over(Window.partitionBy("ref", "win").orderBy(F.desc("idy"), "aln"))
-    return w.withColumn("r", rank).groupBy("aln").agg(F.count_if(F.col("r") <= 10).alias("good"), F.count("*").alias("n")).where("2 * good > n").select("aln")
+    return alignment_sets.sampled_evenly(aligned(spark, sf_dir))
 
 
 @query("SELECT event_id // 2 AS pair, min(event_id) AS a, max(event_id) AS b, count(DISTINCT user_id) AS n FROM events GROUP BY 1 HAVING count(*) = 2")
@@ -197,7 +195,7 @@ def projected_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def low_complexity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequential.mask_low_complexity(seqs(spark, sf_dir, "benchmark").select("id", "seq"))
+    return sequential.mask_low_complexity(seqs(spark, sf_dir).select("id", "seq"))
 
 
 def best_tilings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,10 +168,8 @@ def homopolymer_compress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id AS id, source, row_number() OVER (ORDER BY lpad(substr(source, 4), 20, '0'), doc_id) AS place FROM documents")
 def sort_natural(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     rows = docs(spark, sf_dir).select("id", "source")
-    return rows.select("id", "source", F.row_number().over(Window.orderBy(natural_key(F.col("source")), "id")).cast("long").alias("place"))
+    return fasta.numbered(rows, [natural_key(F.col("source")), F.col("id")]).withColumn("place", F.col("place") + 1)
 
 
 # Intervals: line items of an order by ship day, customers' orders by day.
