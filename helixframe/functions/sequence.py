@@ -113,3 +113,20 @@ def cigar_operations(cigar: Column) -> Column:
 def reference_span(cigar: Column) -> Column:
     """Reference bases that a cigar covers."""
     return F.aggregate(F.filter(cigar_operations(cigar), lambda o: o["op"].isin("M", "D", "N", "=", "X")), F.lit(0), lambda s, o: s + o["length"])
+
+
+def delta_of(operations: Column) -> Column:
+    """The signed distances between indels of an alignment, as delta files have
+    them: a base that only the reference has counts positive, one that only
+    the query has negative; clipped bases are not counted."""
+    zero = F.struct(F.lit(0).alias("run"), F.array().cast("array<int>").alias("out"))
+
+    def step(s: Column, o: Column) -> Column:
+        sign = F.when(o["op"] == "D", 1).otherwise(-1)
+        first = F.array(sign * (s["run"] + 1))
+        indel = o["op"].isin("I", "D")
+        same = o["op"].isin("M", "=", "X")
+        out = F.when(indel, F.concat(s["out"], first, F.array_repeat(sign, o["length"] - 1))).otherwise(s["out"])
+        return F.struct(F.when(indel, 0).when(same, s["run"] + o["length"]).otherwise(s["run"]).alias("run"), out.alias("out"))
+
+    return F.aggregate(operations, zero, step, lambda s: s["out"])

@@ -22,10 +22,15 @@ def _folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str = "graph") -> str:
+    """A path of its own in the shared folder."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def kept(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder."""
     spark = df.sparkSession
-    path = f"{_folder(spark)}/graph-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -111,3 +111,14 @@ def messages(spark: SparkSession, path: str) -> DataFrame:
 def message_field(body: Column, name: str) -> Column:
     """The value of a line `name:value`; null if there is none."""
     return F.nullif(F.regexp_extract(body, f"(?m)^{name}:(.*)$", 1), F.lit(""))
+
+
+def message_text(body: Column, name: str) -> Column:
+    """The lines under `name:` up to the line with a dot, as one; null if there is none."""
+    return F.nullif(F.regexp_replace(F.regexp_extract(body, f"(?s)(?:^|\\n){name}:\\n(.*?)\\n\\.(?:\\n|$)", 1), "\n", ""), F.lit(""))
+
+
+def lines_by(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, fields) of a graph file whose lines begin with a letter for their kind."""
+    f = F.split("value", "\t")
+    return spark.read.text(path).where("value <> ''").select(F.element_at(f, 1).alias("kind"), F.slice(f, F.lit(2), F.greatest(F.size(f) - 1, F.lit(0))).alias("fields"))

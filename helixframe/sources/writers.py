@@ -65,3 +65,29 @@ def kmer_dump(counts: DataFrame, path: str, as_fasta: bool = False) -> None:
 def overlap_store(overlaps: DataFrame, path: str, partitions: int) -> None:
     """Overlaps as Parquet, in ranges of a_iid and sorted, so that reads of an id range prune by statistics."""
     overlaps.repartitionByRange(partitions, "a_iid").sortWithinPartitions("a_iid", "b_iid").write.mode("overwrite").parquet(path)
+
+
+def delta(alignments: DataFrame, path: str) -> None:
+    """Delta lines of alignments as readers.delta gives them, a header line for each pair of sequences."""
+    s = lambda c: F.col(c).cast("string")
+    ends = F.concat_ws(" ", *map(s, ("s_r", "e_r", "s_q", "e_q", "errors", "similarity_errors", "stops")))
+    body = F.concat_ws("\n", ends, F.transform("deltas", lambda d: d.cast("string")), F.lit("0"))
+    by = alignments.groupBy("ref", "qry", "ref_len", "qry_len").agg(F.array_sort(F.collect_list(F.struct("s_r", "e_r", "s_q", "e_q", body.alias("body")))).alias("a"))
+    head = F.concat(F.lit(">"), F.concat_ws(" ", *map(s, ("ref", "qry", "ref_len", "qry_len"))))
+    _lines(by, F.concat_ws("\n", head, F.transform("a", lambda a: a["body"])), path)
+
+
+def vcf(rows: DataFrame, path: str) -> None:
+    """Rows of readers.vcf without samples."""
+    rows = rows.withColumn("qual", F.col("qual").cast("string"))
+    columns = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info"]
+    _lines(rows, F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in columns)), path)
+
+
+def messages(rows: DataFrame, path: str, fields: list[str], tag: Column, long: str | None = None) -> None:
+    """A message `{TAG ... }` for each row: a line `name:value` for each field;
+    the field long goes over lines of its own, ended by a line with a dot."""
+    lines = [F.concat(F.lit("{"), tag), *(F.concat(F.lit(f"{c}:"), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in fields)]
+    if long:
+        lines += [F.lit(f"{long}:"), F.coalesce(long, F.lit("")), F.lit(".")]
+    _lines(rows, F.concat_ws("\n", *lines, F.lit("}")), path)
