@@ -9,12 +9,12 @@ every backslash starts an escape, and both are read back exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 END, PART = "</turn>\n", "<part>"
-TURN = "struct<role:string,text:string>"
-MESSAGE = "struct<role:string,parts:array<string>>"
 
 
 def _replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -31,17 +31,30 @@ def unescaped(c: Column) -> Column:
     return _replaced(c, [("\\c", ":"), ("\\l", "<"), ("\\h", "#"), ("\\s", "\\")])
 
 
-def merged(turns: Column) -> Column:
-    """Sorted turns as messages: neighbours of the same role become one message of several parts."""
+def bound(value: Column, kind: str, body: Callable[[Column], Column]) -> Column:
+    """body(value), of a type, with value worked out once: an aggregate over one element."""
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
+
+
+def in_blocks(values: Column, block: Callable[[Column], Column]) -> Column:
+    """block() of every slice of about the square root of values' length; values must have some."""
+    width = F.ceil(F.sqrt(F.size(values))).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.size(values) - 1, width), lambda at: block(F.slice(values, at + 1, width)))
+
+
+def running_sums(values: Column) -> Column:
+    """The sums of an array of whole numbers before each of its places.
 
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        new = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("parts"))
-        more = F.struct(last["role"].alias("role"), F.array_append(last["parts"], turn["text"]).alias("parts"))
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(more))).otherwise(F.array_append(done, new))
+    An aggregate that appends copies what it has at every step; so sums are
+    made in blocks of about the square root of the length, and then over the blocks."""
 
-    return F.aggregate(turns, F.array().cast(f"array<{MESSAGE}>"), add)
+    def sums(block: Column) -> Column:
+        zero = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("before"))
+        return F.aggregate(block, zero, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.array_append(s["before"], s["sum"]).alias("before")))
+
+    joined = lambda blocks: F.flatten(F.zip_with(blocks, sums(F.transform(blocks, lambda b: b["sum"]))["before"], lambda b, base: F.transform(b["before"], lambda x: x + base)))
+    whole = lambda v: F.when(F.size(v) > 0, bound(in_blocks(v, sums), "array<bigint>", joined)).otherwise(F.array().cast("array<bigint>"))
+    return bound(values, "array<bigint>", whole)
 
 
 def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
@@ -56,24 +69,20 @@ def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     so it has to fit into memory, as its formatted text does."""
     turn = F.struct(F.col(turn_col).alias("at"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     chats = rows.select(F.col(conv_col).alias("conv"), turn.alias("turn")).groupBy("conv").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    chats = chats.select("conv", merged(F.col("turns")).alias("messages"))
-    head = lambda m: F.concat(F.lit("### "), F.replace(escaped(m["role"]), F.lit(":"), F.lit("\\c")), F.lit(": "))
-    body = lambda m: F.transform(m["parts"], escaped)
-    pieces = F.transform("messages", lambda m: F.struct((m["role"] == loss_role).alias("learn"), head(m).alias("head"), body(m).alias("parts")))
-    chats = chats.select("conv", pieces.alias("messages"))
-    formatted = F.array_join(F.transform("messages", lambda m: F.concat(m["head"], F.array_join(m["parts"], PART), F.lit(END))), "")
-
-    def walk(state: Column, message: Column) -> Column:
-        def part(inner: Column, text: Column) -> Column:
-            span = F.struct(inner["at"].alias("start"), F.length(text).alias("length"))
-            return F.struct((inner["at"] + F.length(text) + len(PART)).alias("at"), F.when(message["learn"], F.array_append(inner["spans"], span)).otherwise(inner["spans"]).alias("spans"))
+    role = lambda i: F.get("turns", i)["role"]
+    head = lambda t: F.concat(F.lit("### "), F.replace(escaped(t["role"]), F.lit(":"), F.lit("\\c")), F.lit(": "))
 
-        begin = F.struct((state["at"] + F.length(message["head"])).alias("at"), state["spans"].alias("spans"))
-        after = F.aggregate(message["parts"], begin, part)
-        return F.struct((after["at"] - len(PART) + len(END)).alias("at"), after["spans"].alias("spans"))
+    def piece(t: Column, i: Column) -> Column:
+        goes_on = F.coalesce(role(i - 1) == t["role"], F.lit(False))  # the first turn has none before it
+        ends = F.coalesce(role(i + 1) != t["role"], F.lit(True))
+        return F.struct((t["role"] == loss_role).alias("learn"), F.when(goes_on, F.lit(PART)).otherwise(head(t)).alias("lead"), escaped(t["text"]).alias("text"), F.when(ends, F.lit(END)).otherwise(F.lit("")).alias("tail"))
 
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    return chats.select(F.col("conv").alias(conv_col), formatted.alias("formatted"), F.aggregate("messages", start, walk, lambda s: s["spans"]).alias("mask"))
+    chats = chats.select("conv", F.transform("turns", piece).alias("pieces"))
+    whole = lambda p: F.concat(p["lead"], p["text"], p["tail"])
+    chats = chats.select("conv", "pieces", F.array_join(F.transform("pieces", whole), "").alias("formatted"), running_sums(F.transform("pieces", lambda p: F.length(whole(p)))).alias("before"))
+    spans = F.zip_with("pieces", "before", lambda p, at: F.struct(p["learn"].alias("learn"), (at + F.length(p["lead"]) + 1).cast("int").alias("start"), F.length(p["text"]).alias("length")))
+    mask = F.transform(F.filter(spans, lambda x: x["learn"]), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
+    return chats.select(F.col("conv").alias(conv_col), "formatted", mask.alias("mask"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -84,8 +93,15 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, mask: Column) -> Column:
-    """The unescaped text under the mask."""
-    return F.array_join(F.transform(mask, lambda s: unescaped(F.substr(formatted, s["start"], s["length"]))), "")
+    """The unescaped text under the mask. A substring is found by counting
+    characters, so spans are read from the part of the text that a block of them lies in."""
+
+    def block(spans: Column) -> Column:
+        first, last = spans[0], F.element_at(spans, -1)
+        part = F.substr(formatted, first["start"], last["start"] + last["length"] - first["start"])
+        return bound(part, "string", lambda p: F.array_join(F.transform(spans, lambda s: unescaped(F.substr(p, s["start"] - first["start"] + 1, s["length"]))), ""))
+
+    return F.when(F.size(mask) > 0, F.array_join(in_blocks(mask, block), "")).otherwise("")
 
 
 def chat_digests(rows: DataFrame) -> DataFrame:

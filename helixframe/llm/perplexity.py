@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import finished, long_rows, written
+from .shared import finished, long_rows, memory_returned, written
 from .vectors import U64, mixed
 
 ORDER = 5
 #: Characters handled at a time; bytes of text in a chunk; n-grams in a shard.
-BLOCK, CHUNK, SHARD = 1 << 20, 16 << 20, 1 << 18
+BLOCK, CHUNK, SHARD = 1 << 20, 24 << 20, 1 << 18
+#: Different n-grams that a task gathers before it sends them on.
+MOST_KNOWN = 1 << 20
 #: Trusted ids that are sent to all tasks (8 bytes each); more are joined by shuffle.
 MOST_SENT = 1 << 22
 
@@ -56,16 +58,25 @@ def _blocks(texts: list[str | None]):
 
 
 def gram_hashes(line: str) -> np.ndarray:
-    """A hash of the ORDER characters from each place on."""
+    """A hash of the ORDER characters from each place on: a polynomial of their code points, mixed."""
     points = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(U64)
     if len(points) < ORDER:
         return np.zeros(0, U64)
     n = len(points) - ORDER + 1
-    out = np.zeros(n, U64)
+    out = points[:n] + U64(1)
     with np.errstate(over="ignore"):
-        for k in range(ORDER):
-            out = (out + mixed(points[k : n + k], k)) * U64(0xD1342543DE82EF95)
-    return mixed(out)
+        for k in range(1, ORDER):
+            out *= U64(0xD1342543DE82EF95)
+            out += points[k : n + k] + U64(1)
+        return mixed(out)
+
+
+def _ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different hashes in order, where each first is in the sorted order of all, and that order."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(hashes) else order
+    return ordered[first], first, order
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -76,37 +87,28 @@ def _distinct(hashes: np.ndarray) -> np.ndarray:
 def counted(texts: DataFrame) -> DataFrame:
     """(g string, n long): every n-gram of texts (text, trusted), and how often it occurs in trusted ones. A task adds up its own first."""
 
-    def merged(parts):
-        h, n, g = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h, kind="stable")
-        h, n, g = h[order], n[order], g[order]
-        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        return h[first], np.add.reduceat(n, first), g[first]
-
     def run(batches):
-        parts, size = [], 0
+        known, n, grams = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, object)
         for batch in batches:
             trusted = np.asarray(batch.column(1).to_pylist(), np.int64)
-            for lo, line, h, begin, counts in _blocks(batch.column(0).to_pylist()):
-                if not len(h):
+            for lo, line, hashes, begin, counts in _blocks(batch.column(0).to_pylist()):
+                if not len(hashes):
                     continue
-                n = np.repeat(trusted[lo : lo + len(counts)], counts)
-                order = np.argsort(h)
-                first = np.flatnonzero(np.append(True, np.diff(h[order]) != 0))
-                at = begin[order[first]].tolist()
-                grams = np.array([line[i : i + ORDER] for i in at], object)
-                parts.append((h[order[first]], np.add.reduceat(n[order], first), grams))
-                size += len(first)
-            if len(parts) > 1 and size > 1 << 19:
-                parts = [merged(parts)]
-                if len(parts[0][0]) > 1 << 19:  # no task gathers more than this
-                    yield from rows(*parts[0])
-                    parts = []
-                size = sum(len(p[0]) for p in parts)
-        if parts:
-            yield from rows(*merged(parts))
-
-    def rows(h, n, g):
+                h, first, order = _ranked(hashes)
+                own = np.add.reduceat(np.repeat(trusted[lo : lo + len(counts)], counts)[order], first)
+                at = np.searchsorted(known, h)
+                old = known[np.minimum(at, len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+                n[at[old]] += own[old]
+                new = ~old
+                fresh = np.empty(int(new.sum()), object)
+                fresh[:] = [line[i : i + ORDER] for i in begin[order[first[new]]].tolist()]
+                known, n, grams = (np.insert(x, at[new], y) for x, y in ((known, h[new]), (n, own[new]), (grams, fresh)))
+                if len(known) > MOST_KNOWN:
+                    yield from rows(n, grams)
+                    known, n, grams = known[:0], n[:0], grams[:0]
+        yield from rows(n, grams)
+
+    def rows(n, g):
         for lo in range(0, len(g), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(g[lo : lo + 100_000], pa.string()), pa.array(n[lo : lo + 100_000])], ["g", "n"])
 
@@ -152,8 +154,8 @@ def probabilities(grams: DataFrame) -> DataFrame:
 
 
 def _by_shard(hashes: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Different n-grams of a chunk by shard and hash, their shards, and where each shard begins and the last one ends."""
-    h = _distinct(np.concatenate([_distinct(x) for x in hashes])) if hashes else np.zeros(0, U64)
+    """Different n-grams of a chunk, from those of its blocks, by shard and hash; their shards, and where each shard begins and the last one ends."""
+    h = _distinct(np.concatenate(hashes)) if hashes else np.zeros(0, U64)
     shard = (h % U64(shards)).astype(np.int32)
     order = np.argsort(shard, kind="stable")
     return h[order], shard[order], [*np.flatnonzero(np.diff(shard[order], prepend=-1)).tolist(), len(h)]
@@ -163,7 +165,7 @@ def _asked(shards: int):
     """A chunk's different n-grams, by shard."""
 
     def run(key, texts):
-        h, shard, cuts = _by_shard([b[2] for b in _blocks(texts["text"].to_pylist())], shards)
+        h, shard, cuts = _by_shard([_distinct(b[2]) for b in _blocks(texts["text"].to_pylist())], shards)
         blobs = [h[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(blobs), pa.int32()), "shard": pa.array(shard[cuts[:-1]]), "hashes": pa.array(blobs, pa.binary())})
 
@@ -189,15 +191,21 @@ def _summed(shards: int):
     """Every text of a chunk with its n-grams' number and perplexity."""
 
     def run(key, texts, answers):
-        every = [b[2:] for b in _blocks(texts["text"].to_pylist())]
-        h = _by_shard([b[0] for b in every], shards)[0]
+        memory_returned()
+        blocks = []  # of each its different n-grams, for each of its places which of them is there, and the texts' counts
+        for _, _, hashes, _, counts in _blocks(texts["text"].to_pylist()):
+            h, first, order = _ranked(hashes)
+            which = np.empty(len(hashes), np.int32)
+            which[order] = np.repeat(np.arange(len(h), dtype=np.int32), np.diff(np.append(first, len(hashes))))
+            blocks.append((h, which, counts))
+        h = _by_shard([b[0] for b in blocks], shards)[0]
         order = np.argsort(answers["shard"].to_numpy())
         logs = np.frombuffer(b"".join(answers["logs"][int(k)].as_py() for k in order), np.float32)
         order = np.argsort(h)
         h, logs = h[order], logs[order]
         n, sums = [], []
-        for own, _, counts in every:
-            total = np.concatenate([[0], np.cumsum(logs[np.searchsorted(h, own)], dtype=np.float64)])
+        for own, which, counts in blocks:
+            total = np.concatenate([[0], np.cumsum(logs[np.searchsorted(h, own)][which], dtype=np.float64)])
             ends = np.cumsum(counts)
             n.append(counts)
             sums.append(total[ends] - total[ends - counts])
@@ -248,7 +256,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99) -> Data
     own = docs.select("doc_id", "text").join(side, "doc_id", "left").select("text", F.when(~aside, F.coalesce("trusted", F.lit(0))).otherwise(0).alias("trusted"))
     grams = written(counted(own), "grams")
     finished(docs.sparkSession)
-    scored = written(perplexities(docs, probabilities(grams), keep=("lang",)), "perplexities")
+    known = probabilities(grams)
+    finished(docs.sparkSession)
+    scored = written(perplexities(docs, known, keep=("lang",)), "perplexities")
     judged = scored.where(aside & F.col("perplexity").isNotNull()).join(F.broadcast(trusted) if few else trusted.hint("merge"), "doc_id", "left_semi")
     limit = F.percentile_approx("perplexity", quantile, 10_000)
     of = judged.where("lang is not null").groupBy(F.col("lang").alias("of")).agg(limit.alias("own"))

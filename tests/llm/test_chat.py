@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from helixframe.llm import chat
+from pyspark.sql import functions as F
 
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string, mask int"
 
@@ -56,3 +57,11 @@ def test_tricky_conversation_and_plan(spark):
 
 def test_empty_table(spark):
     assert chat.chat_digests(conversations(spark).limit(0)).count() == 0
+
+
+def test_many_turns(spark):
+    turn = F.col("id") % 20_000
+    rows = spark.range(20_000).select(F.lit(1).alias("conv_id"), turn.alias("turn"), F.when(turn % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é#"), turn.cast("string")).alias("text"))
+    got = chat.chat_digests(rows).first()
+    loss = "".join(f"é#{t}" for t in range(20_000) if t % 3)
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (20_000, len(loss), hashlib.sha256(loss.encode()).hexdigest())
