@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import finished, long_rows, written
+from .vectors import mixed
 
 U64 = np.uint64
 SEED = 42
@@ -43,6 +44,8 @@ def repetition(n: int) -> Block:
 GOLAY = Block(23, 0b101011100011, 3)
 #: From few anchors, for small tables, to many. Bits beyond the blocks choose no anchor.
 CODES = ((repetition(9),) * 7, (GOLAY, repetition(13), repetition(13), repetition(15)), (GOLAY, GOLAY, repetition(9), repetition(9)))
+#: Copies of a fingerprint that are shuffled in one job; a code that makes more has its anchors dealt into as many jobs as it takes.
+MOST_COPIES = 256
 #: Seconds to replicate, send and sort one row; to compare two fingerprints.
 ROW_S, PAIR_S = 3e-6, 2e-9
 
@@ -258,7 +261,9 @@ def links(distinct: DataFrame, t: int = 4, most_home: int = 4096) -> DataFrame:
     An anchor with more than max(most_home, n / 1000) rows at home is split
     into units by a hash of the home row; its replicas go to each. There are
     under 1000 such anchors, whatever n is, so their list may travel with the
-    tasks."""
+    tasks. Larger codes work through their anchors slice by slice, so that the
+    shuffle files of one time have MOST_COPIES copies of a fingerprint at most."""
+    spark = distinct.sparkSession
     n = distinct.count()
     code = chosen_code(n, t)
     most = max(most_home, n // 1000)
@@ -281,22 +286,43 @@ def links(distinct: DataFrame, t: int = 4, most_home: int = 4096) -> DataFrame:
             parts = np.where(hot_anchor[at] == anchor, hot_parts[at], 1)
         return parts
 
-    def replicate(batches):
-        for batch in batches:
-            every = batch.column(0).to_numpy().view(U64)
-            for lo in range(0, len(every), step):
-                fps = every[lo : lo + step]
-                _, home = anchors(fps, code, 0)
-                part = ((fps * U64(0x9E3779B97F4A7C15)) >> U64(40)).astype(np.int64) % units(home)
-                index, anchor = anchors(fps, code, t)
-                parts = units(anchor)
-                index, anchor = np.repeat(index, parts), np.repeat(anchor, parts)
-                other = np.arange(len(anchor)) - np.repeat(parts.cumsum() - parts, parts)
-                key = np.concatenate([(home << 11 | part) << 1, (anchor << 11 | other) << 1 | 1])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([fps, fps[index]]).view(np.int64))], ["key", "fp"])
-
-    sent = distinct.select("fp").mapInArrow(replicate, "key long, fp long")
-    return sent.repartition(F.shiftright("key", 1)).sortWithinPartitions("key").mapInArrow(_compare(t), "a long, b long")
+    slices = -(-int(spread(code, t)[1]) // MOST_COPIES)
+
+    def replicate(own: int):
+        mine = lambda anchor: mixed(anchor.astype(U64)) % U64(slices) == own
+
+        def run(batches):
+            for batch in batches:
+                every = batch.column(0).to_numpy().view(U64)
+                for lo in range(0, len(every), step):
+                    fps = every[lo : lo + step]
+                    _, home = anchors(fps, code, 0)
+                    part = ((fps * U64(0x9E3779B97F4A7C15)) >> U64(40)).astype(np.int64) % units(home)
+                    index, anchor = anchors(fps, code, t)
+                    stay = np.ones(len(fps), bool)
+                    if slices > 1:
+                        stay, some = mine(home), mine(anchor)
+                        index, anchor = index[some], anchor[some]
+                    parts = units(anchor)
+                    index, anchor = np.repeat(index, parts), np.repeat(anchor, parts)
+                    other = np.arange(len(anchor)) - np.repeat(parts.cumsum() - parts, parts)
+                    key = np.concatenate([((home << 11 | part) << 1)[stay], (anchor << 11 | other) << 1 | 1])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([fps[stay], fps[index]]).view(np.int64))], ["key", "fp"])
+
+        return run
+
+    def linked(own: int) -> DataFrame:
+        sent = distinct.select("fp").mapInArrow(replicate(own), "key long, fp long")
+        return sent.repartition(F.shiftright("key", 1)).sortWithinPartitions("key").mapInArrow(_compare(t), "a long, b long")
+
+    if slices == 1:
+        return linked(0)
+    out = None
+    for own in range(slices):
+        edges = written(linked(own), "links")
+        finished(spark)
+        out = edges if out is None else out.unionByName(edges)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, t: int = 4) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -29,7 +30,7 @@ def brute_classes(rows):
 
 
 def test_against_brute_force(spark):
-    rng = __import__("random").Random(3)
+    rng = random.Random(3)
     base = words(rng, 400, 5000).split()
     near = [" ".join([*base[:k], "edited", *base[k + 1 :]]) for k in range(0, 400, 25)]
     docs = documents(spark, texts() + near)
@@ -73,3 +74,34 @@ def test_hot_anchor_is_split(spark):
     assert roots.count() == len(fps)
     assert roots.select("root").distinct().count() == 1
     assert edges.count() < 200_000
+
+
+@pytest.mark.parametrize("code", simhash.CODES)
+@pytest.mark.parametrize("copies", [10_000, 150])
+def test_every_code_links_alike(spark, monkeypatch, code, copies):
+    rng = random.Random(17)
+    fps = [rng.getrandbits(64) for _ in range(40)]
+    for fp in fps[:25]:
+        for bits in (1, 4, 5):
+            near = fp
+            for b in rng.sample(range(64), bits):
+                near ^= 1 << b
+            fps.append(near)
+    fps = sorted({*fps, 0, 1})
+    monkeypatch.setattr(simhash, "chosen_code", lambda n, t: code)
+    monkeypatch.setattr(simhash, "MOST_COPIES", copies)
+    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in fps]
+    edges = simhash.links(spark.createDataFrame([(fp,) for fp in signed], "fp long").repartition(2), 4).collect()
+    group = {fp: fp for fp in fps}
+
+    def find(x):
+        return x if group[x] == x else find(group[x])
+
+    for r in edges:
+        a, b = r.a % (1 << 64), r.b % (1 << 64)
+        group[find(a)] = find(b)
+    want = brute_classes(list(zip(fps, fps, strict=True)))
+    classes = {}
+    for fp, c in zip(fps, want, strict=True):
+        classes.setdefault(find(fp), set()).add(c)
+    assert all(len(c) == 1 for c in classes.values()) and len(classes) == len(set(want))
