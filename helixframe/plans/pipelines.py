@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical
-from ..operators import alignment_sets, fasta, graph, kmer, overlap
+from ..operators import alignment_sets, fasta, graph, kmer, overlap, variants
 
 
 def genome_size(reads: DataFrame, k: int = 31) -> int:
@@ -59,3 +59,11 @@ def overlap_graph(reads: DataFrame, overlaps: DataFrame, lengths: DataFrame, lea
     pairs = overlap.mutual_best(best)
     parts = graph.connected_components(pairs, "a_iid", "b_iid")
     return reads.select("iid").join(parts.withColumnRenamed("node", "iid"), "iid", "left").select("iid", F.coalesce("component", "iid").alias("component"))
+
+
+def polish(reads: DataFrame, reference: DataFrame, least: int) -> DataFrame:
+    """(id, seq): sequences from columns (id, pos from 1, base), with the fixes
+    that the aligned bases of reads (id, pos, base) vote for."""
+    letters = F.array_sort(F.collect_list(F.struct("pos", "base")))
+    contigs = reference.groupBy("id").agg(F.array_join(F.transform(letters, lambda c: c["base"]), "").alias("seq"))
+    return variants.applied(contigs, variants.voted_fixes(reads, reference, least)).select("id", "seq")
