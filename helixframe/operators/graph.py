@@ -142,3 +142,51 @@ def bundled_links(links: DataFrame) -> DataFrame:
     """(a, b, n, gap, sd): links between two contigs as one, weighted by their inverse variances."""
     weight = 1 / (F.col("sd") * F.col("sd"))
     return links.groupBy("a", "b").agg(F.count("*").alias("n"), (F.sum(F.col("gap") * weight) / F.sum(weight)).alias("gap"), F.sqrt(1 / F.sum(weight)).alias("sd"))
+
+
+def parallel_edges_removed(edges: DataFrame, coverage: str = "coverage", name: str = "id") -> DataFrame:
+    """Of edges between the same two nodes the best covered, of equals that of the smallest name."""
+    w = Window.partitionBy("a", "b").orderBy(F.desc(coverage), name)
+    return edges.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
+
+
+def path_edges(paths: DataFrame, weights: DataFrame) -> DataFrame:
+    """(path, a, b, n, weight): the paths of unbranching_paths() as edges between
+    their first and last nodes, with their inner edges' number and weights (a, b, weight) added up."""
+    ends = paths.groupBy("path").agg(F.min_by("node", "place").alias("a"), F.max_by("node", "place").alias("b"), (F.count("*") - 1).alias("n"))
+    at = lambda c, p: paths.select("path", F.col("node").alias(c), F.col("place").alias(p))
+    inner = at("a", "x").join(weights, "a").join(at("b", "y"), ["path", "b"]).where("y = x + 1").groupBy("path").agg(F.sum("weight").alias("weight"))
+    return ends.where("n > 0").join(inner, "path").select("path", "a", "b", "n", "weight")
+
+
+def connections(walks: DataFrame) -> DataFrame:
+    """(a, m, b, n): how many walks (walk, place, node) go from a over m to b."""
+    w = Window.partitionBy("walk").orderBy("place")
+    rows = walks.select(F.lag("node").over(w).alias("a"), F.col("node").alias("m"), F.lead("node").over(w).alias("b"))
+    return rows.where("a is not null and b is not null").groupBy("a", "m", "b").agg(F.count("*").alias("n"))
+
+
+def resolved_repeats(found: DataFrame, least: int) -> DataFrame:
+    """Of connections() those with least walks or more that are the most walked
+    from their way in and into their way out, and no other as much: the pairs that a repeat node is split by."""
+    ways = lambda side: Window.partitionBy("m", side)
+    best = lambda side: (F.max("n").over(ways(side)) == F.col("n")) & (F.count("*").over(Window.partitionBy("m", side, "n")) == 1)
+    return found.withColumn("__a", best("a")).withColumn("__b", best("b")).where((F.col("n") >= least) & F.col("__a") & F.col("__b")).drop("__a", "__b")
+
+
+def longest_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, weight, first): for each node of a graph without cycles the largest
+    sum of node weights on a path that ends there, and where that path begins
+    (the smallest of equals). nodes: node, weight. Rounds are the edges of the longest path."""
+    own = kept(nodes.select("node", F.col("weight").cast("double").alias("own")))
+    best = own.select("node", F.col("own").alias("weight"), F.col("node").alias("first"))
+    step = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).distinct()
+    while True:
+        come = best.join(step, "node").join(own.withColumnRenamed("node", "to"), "to").select(F.col("to").alias("node"), F.struct((F.col("weight") + F.col("own")).alias("weight"), (-F.col("first")).alias("first")).alias("x"))
+        most = come.groupBy("node").agg(F.max("x").alias("x"))
+        both = best.join(most, "node", "left")
+        better = F.col("x").isNotNull() & ((F.col("x.weight") > F.col("weight")) | ((F.col("x.weight") == F.col("weight")) & (-F.col("x.first") < F.col("first"))))
+        after = kept(both.select("node", F.when(better, F.col("x.weight")).otherwise(F.col("weight")).alias("weight"), F.when(better, -F.col("x.first")).otherwise(F.col("first")).alias("first"), F.coalesce(better, F.lit(False)).alias("moved")))
+        best = after.drop("moved")
+        if after.where("moved").isEmpty():
+            return best

@@ -136,3 +136,50 @@ def demoted(child: DataFrame, parent: DataFrame, names: tuple[str, str, str]) ->
     rows = child.join(p, top).where("bgn >= p_bgn and `end` <= p_end")
     bgn = F.when(F.col("p_ori") == "f", F.col("bgn") - F.col("p_bgn")).otherwise(F.col("p_end") - F.col("end"))
     return rows.select(key, mid, bgn.alias("bgn"), (bgn + F.col("end") - F.col("bgn")).alias("end"))
+
+
+def anchors(left: DataFrame, right: DataFrame, most: int) -> DataFrame:
+    """(a, b, back, a_pos, b_pos): places of a minimizer of left (id, pos,
+    minimizer, back) in right, where it has most places at most: that cut is
+    part of the operator. back tells that the strands differ; b_pos then counts downwards."""
+    rare = right.groupBy("minimizer").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("minimizer")
+    r = right.join(rare, "minimizer").select("minimizer", F.col("id").alias("b"), F.col("pos").alias("b_at"), F.col("back").alias("b_back"))
+    l_ = left.select("minimizer", F.col("id").alias("a"), F.col("pos").alias("a_pos"), F.col("back").alias("a_back"))
+    back = F.col("a_back") != F.col("b_back")
+    return l_.join(r, "minimizer").select("a", "b", back.alias("back"), "a_pos", F.when(back, -F.col("b_at")).otherwise(F.col("b_at")).alias("b_pos"))
+
+
+def chained(rows: DataFrame, most_gap: int, band: int, least: int) -> DataFrame:
+    """(a, b, back, n, a_lo, a_hi, b_lo, b_hi): anchors of a pair of sequences and
+    strand in the order of a_pos, chained while the next one lies ahead on
+    both by most_gap at most and drifts from the diagonal by band at most; chains
+    of least anchors or more."""
+    by = ["a", "b", "back"]
+    w = Window.partitionBy(*by).orderBy("a_pos", "b_pos")
+    da, db = F.col("a_pos") - F.lag("a_pos").over(w), F.col("b_pos") - F.lag("b_pos").over(w)
+    goes_on = F.coalesce((da > 0) & (db > 0) & (da <= most_gap) & (db <= most_gap) & (F.abs(da - db) <= band), F.lit(False))
+    rows = rows.withColumn("goes_on", goes_on).withColumn("chain", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = rows.groupBy(*by, "chain").agg(F.count("*").alias("n"), *(f(c).alias(n) for f, c, n in ((F.min, "a_pos", "a_lo"), (F.max, "a_pos", "a_hi"), (F.min, "b_pos", "b_lo"), (F.max, "b_pos", "b_hi"))))
+    return out.where(F.col("n") >= least).drop("chain")
+
+
+def sharing_rare_kmers(pairs: DataFrame, reads: DataFrame, k: int, bad: DataFrame) -> DataFrame:
+    """The overlaps (a, b, diagonal) with at least one k-mer that both reads have
+    inside the region the overlap implies and that bad (kmer) does not name. reads: id, seq."""
+    of = lambda c: reads.select(F.col("id").alias(c), F.col("seq").alias(f"{c}_seq"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    lo = F.greatest(F.col("diagonal"), F.lit(0))
+    n = F.least(F.length("a_seq"), F.length("b_seq") + F.col("diagonal")) - lo
+    part = both.select("a", "b", "diagonal", F.substr("a_seq", lo + 1, n).alias("x"), F.substr("b_seq", lo - F.col("diagonal") + 1, n).alias("y"))
+    side = lambda c: enumerate_kmers(part, k, c, both_strands=False, keep=("a", "b", "diagonal")).distinct()
+    shared = side("x").join(side("y"), ["a", "b", "diagonal", "kmer"]).join(bad.select("kmer").distinct(), "kmer", "left_anti")
+    return pairs.join(shared.select("a", "b", "diagonal").distinct(), ["a", "b", "diagonal"], "left_semi")
+
+
+def refined(pairs: DataFrame, reads: DataFrame, k: int, drift: int) -> DataFrame:
+    """(a, b, diagonal, n): overlaps with the number of shared k-mers, of a smaller
+    k than found them, within drift of their diagonal."""
+    kmers = enumerate_kmers(reads, k, both_strands=False, keep=("id",), positions=True)
+    of = lambda c: kmers.select(F.col("id").alias(c), "kmer", F.col("pos").alias(f"{c}_pos"))
+    near = pairs.join(of("a"), "a").join(of("b"), ["b", "kmer"]).where(F.abs(F.col("a_pos") - F.col("b_pos") - F.col("diagonal")) <= drift)
+    return near.groupBy("a", "b", "diagonal").agg(F.count("*").alias("n"))
