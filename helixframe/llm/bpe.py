@@ -36,6 +36,19 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def refused(data: dict) -> None:
+    """Raises ValueError for settings of a tokenizer file that would change the ids or the decoded text and that are not done here."""
+    model, before = data["model"], data.get("pre_tokenizer") or {}
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += ["model type"] * (model.get("type", "BPE") != "BPE")
+    odd += ["normalizer"] * bool(data.get("normalizer"))
+    odd += ["pre_tokenizer"] * (before.get("type") != "ByteLevel" or bool(before.get("add_prefix_space")) or not before.get("use_regex", True))
+    odd += ["decoder"] * ((data.get("decoder") or {}).get("type") != "ByteLevel")
+    odd += [f"{k} of {t['content']}" for t in data.get("added_tokens") or () for k in ("single_word", "lstrip", "rstrip") if t.get(k)]
+    if odd:
+        raise ValueError(f"tokenizer settings that are not implemented: {', '.join(odd)}")
+
+
 class Bpe:
     """The rules of a byte-level BPE tokenizer file, and what a worker has encoded with them."""
 
@@ -59,7 +72,7 @@ class Bpe:
             made[new] = rank
         #: Whether every rule comes after the rules that make its symbols, so that no merge wakes a lower rank.
         self.ascending = all(rank > max(made.get(a, -1), made.get(b, -1)) for rank, (a, b, _) in enumerate(self.rules))
-        self.added = {t["content"]: t["id"] for t in data.get("added_tokens", ())}
+        self.added = {t["content"]: t["id"] for t in data.get("added_tokens") or ()}
         self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.added.values()]))
         for token, i in vocab.items():
             self.bytes_of[i] = bytes(letters[c] for c in token)
@@ -68,7 +81,6 @@ class Bpe:
         self.split = regex.compile(PIECES)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.pieces: dict[str, bytes] = {}
-        self.last: set[str] = set()
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
@@ -157,7 +169,6 @@ class Bpe:
     def learn(self, pieces: set[str]) -> None:
         if len(self.pieces) > MOST_PIECES:  # frequent pieces are in every batch, and stay
             self.pieces = {p: self.pieces[p] for p in pieces if p in self.pieces}
-        self.last = pieces
         new = [p for p in pieces if p not in self.pieces]
         self.pieces.update(zip(new, self.merge(new), strict=True))
 
@@ -235,7 +246,8 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
     tokenizer is the path of a tokenizer file on the driver; its text, of a
     fixed size, goes to the tasks. Null and empty texts have no ids. Strings
     of added tokens inside a text become those tokens. Ids are not looked at,
-    so null and repeated ones are kept."""
+    so null and repeated ones are kept. Files with settings that are not done
+    here are refused."""
     return _mapped(docs, tokenizer, id_col, text_col, lambda bpe, packed: [pa.array(packed, pa.binary())], "ids binary", ["ids"])
 
 
@@ -252,7 +264,9 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
 
 def _mapped(docs, tokenizer, id_col, text_col, made, fields, names):
     with open(tokenizer, encoding="utf-8") as f:
-        rules = docs.sparkSession.sparkContext.broadcast(f.read())
+        file = f.read()
+    refused(json.loads(file))
+    rules = docs.sparkSession.sparkContext.broadcast(file)
 
     def run(batches):
         bpe = loaded(rules.value)

@@ -27,7 +27,7 @@ from .vectors import U64, mixed
 
 ORDER = 5
 #: Characters handled at a time; bytes of text in a chunk; n-grams in a shard.
-BLOCK, CHUNK, SHARD = 1 << 20, 24 << 20, 1 << 18
+BLOCK, CHUNK, SHARD = 1 << 20, 32 << 20, 1 << 18
 #: Different n-grams that a task gathers before it sends them on.
 MOST_KNOWN = 1 << 20
 #: Trusted ids that are sent to all tasks (8 bytes each); more are joined by shuffle.
@@ -153,20 +153,38 @@ def probabilities(grams: DataFrame) -> DataFrame:
     return out
 
 
-def _by_shard(hashes: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Different n-grams of a chunk, from those of its blocks, by shard and hash; their shards, and where each shard begins and the last one ends."""
-    h = _distinct(np.concatenate(hashes)) if hashes else np.zeros(0, U64)
-    shard = (h % U64(shards)).astype(np.int32)
-    order = np.argsort(shard, kind="stable")
-    return h[order], shard[order], [*np.flatnonzero(np.diff(shard[order], prepend=-1)).tolist(), len(h)]
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Ranges of hashes, of equal size."""
+    return ((hashes >> U64(32)) * U64(shards) >> U64(32)).astype(np.int32)
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    """Ascending hashes, some at least: 48 low bits as they are, the high 16 as a bitmap in which that of number i, less the first's, is bit x + i."""
+    high = (hashes >> U64(48)).astype(np.int64)
+    bits = np.zeros(int(high[-1] - high[0]) + len(hashes), bool)
+    bits[high - high[0] + np.arange(len(hashes))] = True
+    low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.array([high[0], len(hashes)], "<u4").tobytes() + low.tobytes() + np.packbits(bits).tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    first, n = np.frombuffer(blob, "<u4", 2).tolist()
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 8).reshape(n, 6)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(blob, np.uint8, -1, 8 + 6 * n))) - np.arange(n) + first
+    return out.view("<u8").ravel() | high.astype(U64) << U64(48)
 
 
 def _asked(shards: int):
     """A chunk's different n-grams, by shard."""
 
     def run(key, texts):
-        h, shard, cuts = _by_shard([_distinct(b[2]) for b in _blocks(texts["text"].to_pylist())], shards)
-        blobs = [h[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        memory_returned()
+        parts = [_distinct(b[2]) for b in _blocks(texts["text"].to_pylist())]
+        h = _distinct(np.concatenate(parts)) if parts else np.zeros(0, U64)
+        shard = shard_of(h, shards)
+        cuts = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(h)]
+        blobs = [packed(h[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(blobs), pa.int32()), "shard": pa.array(shard[cuts[:-1]]), "hashes": pa.array(blobs, pa.binary())})
 
     return run
@@ -177,7 +195,7 @@ def _answered(key, known, asked):
     h, p = known["hash"].to_numpy().view(U64), known["p"].to_numpy()
     order = np.argsort(h)
     h, logs = h[order], np.log(p[order]).astype(np.float32)
-    found = [logs[np.searchsorted(h, np.frombuffer(x.as_py(), U64))].tobytes() for x in asked["hashes"]]
+    found = [logs[np.searchsorted(h, unpacked(x.as_py()))].tobytes() for x in asked["hashes"]]
     return pa.table({"chunk": asked["chunk"], "shard": asked["shard"], "logs": pa.array(found, pa.binary())})
 
 
@@ -187,33 +205,28 @@ def _hashed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], ["hash", "p"])
 
 
-def _summed(shards: int):
+def _summed(key, texts, answers):
     """Every text of a chunk with its n-grams' number and perplexity."""
+    memory_returned()
+    blocks = []  # of each its different n-grams, for each of its places which of them is there, and the texts' counts
+    for _, _, hashes, _, counts in _blocks(texts["text"].to_pylist()):
+        h, first, order = _ranked(hashes)
+        which = np.empty(len(hashes), np.int32)
+        which[order] = np.repeat(np.arange(len(h), dtype=np.int32), np.diff(np.append(first, len(hashes))))
+        blocks.append((h, which, counts))
+    h = _distinct(np.concatenate([b[0] for b in blocks])) if blocks else np.zeros(0, U64)
+    order = np.argsort(answers["shard"].to_numpy())  # shards are ranges, so their answers are in the order of the hashes
+    logs = np.frombuffer(b"".join(answers["logs"][int(k)].as_py() for k in order), np.float32)
+    n, sums = [], []
+    for own, which, counts in blocks:
+        total = np.concatenate([[0], np.cumsum(logs[np.searchsorted(h, own)][which], dtype=np.float64)])
+        ends = np.cumsum(counts)
+        n.append(counts)
+        sums.append(total[ends] - total[ends - counts])
+    n, sums = (np.concatenate(x) if x else np.zeros(0) for x in (n, sums))
+    value = np.exp(-sums / np.maximum(n, 1))
+    return pa.table([texts["id"], *texts.columns[3:], pa.array(n.astype(np.int64)), pa.array(value, pa.float64(), mask=n == 0)], ["id", *texts.column_names[3:], "n_symbols", "perplexity"])
 
-    def run(key, texts, answers):
-        memory_returned()
-        blocks = []  # of each its different n-grams, for each of its places which of them is there, and the texts' counts
-        for _, _, hashes, _, counts in _blocks(texts["text"].to_pylist()):
-            h, first, order = _ranked(hashes)
-            which = np.empty(len(hashes), np.int32)
-            which[order] = np.repeat(np.arange(len(h), dtype=np.int32), np.diff(np.append(first, len(hashes))))
-            blocks.append((h, which, counts))
-        h = _by_shard([b[0] for b in blocks], shards)[0]
-        order = np.argsort(answers["shard"].to_numpy())
-        logs = np.frombuffer(b"".join(answers["logs"][int(k)].as_py() for k in order), np.float32)
-        order = np.argsort(h)
-        h, logs = h[order], logs[order]
-        n, sums = [], []
-        for own, which, counts in blocks:
-            total = np.concatenate([[0], np.cumsum(logs[np.searchsorted(h, own)][which], dtype=np.float64)])
-            ends = np.cumsum(counts)
-            n.append(counts)
-            sums.append(total[ends] - total[ends - counts])
-        n, sums = (np.concatenate(x) if x else np.zeros(0) for x in (n, sums))
-        value = np.exp(-sums / np.maximum(n, 1))
-        return pa.table([texts["id"], *texts.columns[3:], pa.array(n.astype(np.int64)), pa.array(value, pa.float64(), mask=n == 0)], ["id", *texts.column_names[3:], "n_symbols", "perplexity"])
-
-    return run
 
 
 def perplexities(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -223,17 +236,17 @@ def perplexities(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text
     spark = docs.sparkSession
     rows = long_rows(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"k{k}") for k, c in enumerate(keep)))
     size, grams = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, known.count()
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, shards = max(least, -(-size // CHUNK)), max(least, -(-grams // SHARD))
+    # few chunks ask for less in all; but no core should wait for want of one
+    chunks = max(-(-size // CHUNK), min(spark.sparkContext.defaultParallelism, size >> 20), 1)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams // SHARD))
     chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")
     extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
     texts = rows.select(chunk.alias("chunk"), *rows.columns).repartition(chunks, "chunk")
     table = known.select("g", "p").mapInArrow(_hashed, "hash long, p double")
-    # as numpy's remainder of the unsigned hash
-    table = table.select((F.pmod(F.pmod(F.shiftrightunsigned("hash", 1), F.lit(shards)) * 2 + F.col("hash").bitwiseAND(F.lit(1)), F.lit(shards))).cast("int").alias("shard"), "hash", "p")
+    table = table.select(F.shiftright(F.shiftrightunsigned("hash", 32) * shards, 32).cast("int").alias("shard"), "hash", "p")
     asked = texts.groupBy("chunk").applyInArrow(_asked(shards), "chunk int, shard int, hashes binary")
     answers = table.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answered, "chunk int, shard int, logs binary")
-    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_summed(shards), f"id {rows.schema['id'].dataType.simpleString()}, {extra}n_symbols long, perplexity double")
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_summed, f"id {rows.schema['id'].dataType.simpleString()}, {extra}n_symbols long, perplexity double")
     return out.select(F.col("id").alias(id_col), *(F.col(f"k{k}").alias(c) for k, c in enumerate(keep)), "n_symbols", "perplexity")
 
 

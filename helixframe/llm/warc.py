@@ -13,11 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from .shared import new_path, written
 
 END = "\r\n\r\n"
 #: Payloads from this size on may be replaced by revisit records.
 LEAST_BYTES = 1000
+#: Revisits that are sent to all tasks (some 100 bytes each).
+MOST_SENT = 1 << 19
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "record_id string, record_type string, uri string, page_id string, refers_to_id string, payload_digest string, payload binary"
 
@@ -52,8 +54,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = rows.withColumn("digest", F.sha1("payload"))
     headers = rows.select("page_id", "digest", F.octet_length("payload").cast("long").alias("n"))
     mean = headers.agg(F.avg("n")).first()[0] or 0
-    again = revisits(headers).select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to")
-    rows = rows.join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest")), "left")
+    again = written(revisits(headers).select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to"), "revisits")
+    # few decisions go to the payloads; many meet them in a shuffle
+    few = again.limit(MOST_SENT + 1).count() <= MOST_SENT
+    rows = rows.join(F.broadcast(again) if few else again.hint("merge"), F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest")), "left")
 
     crlf = "\r\n"
     clean = lambda c: F.replace(F.replace(c, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))

@@ -79,3 +79,14 @@ def test_digests(spark):
     assert sorted(map(tuple, bpe.encode_and_decode(docs, default_tokenizer()).collect()), key=str) == sorted(want, key=str)
     assert bpe.encoded(docs, default_tokenizer()).count() == docs.count()
     assert bpe.encode_and_decode(empty(spark), default_tokenizer()).count() == 0
+
+
+def test_other_settings_are_refused(spark):
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        data = json.load(f)
+    bpe.refused(data)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"decoder": None}, {"added_tokens": [{"id": 1, "content": "x", "lstrip": True}]}):
+        with pytest.raises(ValueError):
+            bpe.refused(data | change)
+    with pytest.raises(ValueError):
+        bpe.refused(data | {"model": data["model"] | {"dropout": 0.1}})

@@ -29,6 +29,12 @@ def test_against_brute_force(spark):
     assert sorted(map(tuple, got.collect()), key=str) == brute(df.collect())
 
 
+def test_many_revisits_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SENT", 0)
+    df = pages(spark)
+    assert sorted(map(tuple, warc.revisit_table(df).collect()), key=str) == brute(df.collect())
+
+
 def test_archives_hold_payloads_once(spark, tmp_path):
     df = pages(spark)
     path = str(tmp_path / "warc")
