@@ -190,3 +190,17 @@ def longest_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         best = after.drop("moved")
         if after.where("moved").isEmpty():
             return best
+
+
+def kept_in_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, kept): in the order of nodes, one is kept unless a kept smaller one
+    has an edge with it. Each round settles the nodes that have a kept smaller
+    neighbour, or only settled ones; rounds grow with the longest chain of such decisions."""
+    pairs = kept(edges.select(F.least("a", "b").alias("small"), F.greatest("a", "b").alias("node")).where("small <> node").distinct())
+    state = kept(nodes.select("node").distinct().withColumn("kept", F.lit(None).cast("boolean")))
+    while not state.where("kept is null").isEmpty():
+        near = pairs.join(state.select(F.col("node").alias("small"), F.col("kept").alias("near")), "small")
+        found = near.groupBy("node").agg(F.bool_or(F.coalesce("near", F.lit(False))).alias("hit"), F.count_if(F.col("near").isNull()).alias("waiting"))
+        told = F.when(F.coalesce("hit", F.lit(False)), False).when(F.coalesce("waiting", F.lit(0)) == 0, True)
+        state = kept(state.join(found, "node", "left").select("node", F.coalesce("kept", told).alias("kept")))
+    return state

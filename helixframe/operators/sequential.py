@@ -3,6 +3,7 @@ group; the programs run on Arrow batches or grouped pandas frames."""
 
 from __future__ import annotations
 
+import bisect
 import math
 
 import numpy as np
@@ -135,11 +136,11 @@ def best_tiling(rows: DataFrame, by: str, lo: str, hi: str, weight: str, key: st
 
 
 def redundant_pairs_removed(pairs: DataFrame, by: list[str], order: str, x: str, y: str, reach: int) -> DataFrame:
-    """Pairs without those that lie within reach of an earlier kept pair of their group in both coordinates: a fold along order."""
+    """Pairs without those that lie within reach of an earlier kept pair of their group in both coordinates: a fold along order, then x and y."""
     schema = pairs.schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values([order, x, y], kind="stable")
         seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
         keep = []
         for a, b in zip(pdf[x], pdf[y], strict=True):
@@ -226,3 +227,39 @@ def allele_frequency(likelihoods: np.ndarray, rounds: int = 50) -> float:
             return new
         f = new
     return f
+
+
+def longest_increasing(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
+    """(by..., n, longest): how many rows a group has, and how many of them the
+    longest strictly increasing run of values, with gaps, in the order of order
+    (equal places: in the order of falling values, so that one of them counts)."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        values = pdf.sort_values([order, value], ascending=[True, False], kind="stable")[value].to_numpy()
+        tails: list = []
+        for v in values.tolist():
+            at = bisect.bisect_left(tails, v)
+            tails[at : at + 1] = [v]
+        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in by}, "n": [len(values)], "longest": [len(tails)]})
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
+    return rows.select(*by, order, value).groupBy(*by).applyInPandas(run, f"{kinds}, n long, longest long")
+
+
+def primary_alignments(rows: DataFrame, by: str, lo: str, hi: str, score: str, key: str, share: float = 0.5) -> DataFrame:
+    """(key, primary): in the order of falling scores (then of keys) an alignment is
+    primary unless it overlaps a primary one of its group, of better score, by
+    at least share of the shorter of the two."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([score, key], ascending=[False, True], kind="stable")
+        los, his = pdf[lo].to_numpy(), pdf[hi].to_numpy()
+        mine = np.zeros(len(pdf), bool)
+        for i in range(len(pdf)):
+            own = np.flatnonzero(mine[:i])
+            overlap = np.minimum(his[own], his[i]) - np.maximum(los[own], los[i])
+            mine[i] = not (overlap >= share * np.minimum(his[own] - los[own], his[i] - los[i])).any()
+        return pd.DataFrame({key: pdf[key], "primary": mine})
+
+    return rows.select(by, lo, hi, score, key).groupBy(by).applyInPandas(run, f"{key} {kind}, primary boolean")

@@ -9,7 +9,7 @@ from ..functions.sequence import canonical, cigar_operations, reference_span, re
 from ..operators import alignment_sets, graph, interval, kmer, sequential
 from .assembly_queries import DEGREES, EDGES, edges
 from .kmer_queries import _links_sql, seqs
-from .overlap_queries import ALIGNMENTS, aligned
+from .overlap_queries import ALIGNMENTS, ONE_TO_ONE, aligned
 from .record_queries import DOCS, MERGED, SHIP, ships
 from .registry import query, table
 
@@ -198,14 +198,87 @@ def low_complexity_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequential.mask_low_complexity(seqs(spark, sf_dir).select("id", "seq"))
 
 
+_TILES = f"""(WITH RECURSIVE o AS (SELECT ref AS g, list(s_r ORDER BY e_r, s_r, aln) AS los, list(e_r ORDER BY e_r, s_r, aln) AS his, list(idy ORDER BY e_r, s_r, aln) AS ws, list(aln ORDER BY e_r, s_r, aln) AS ks FROM {ALIGNMENTS} GROUP BY ref),
+t(g, i, total, take, bf) AS (SELECT g, 0, [CAST(0 AS DOUBLE)], CAST([] AS BOOLEAN[]), CAST([] AS BIGINT[]) FROM o UNION ALL
+  SELECT g, i + 1, list_append(total, greatest(total[n + 1] + w, total[i + 1])), list_append(take, total[n + 1] + w > total[i + 1]), list_append(bf, n)
+  FROM (SELECT t.g, i, total, take, bf, ws[i + 1] AS w, los[i + 1] AS lo, least(i, len(list_filter(his, lambda h: h <= los[i + 1]))) AS n FROM t JOIN o ON o.g = t.g WHERE i < len(los))),
+f AS (SELECT t.g, take, bf, ks, i AS n FROM t JOIN o ON o.g = t.g WHERE i = len(los)),
+b(g, x) AS (SELECT g, n FROM f UNION ALL SELECT b.g, CASE WHEN take[x] THEN bf[x] ELSE x - 1 END FROM b JOIN f ON f.g = b.g WHERE x > 0)
+SELECT b.g AS ref, ks[x] AS aln FROM b JOIN f ON f.g = b.g WHERE x > 0 AND take[x])"""
+
+
+@query(f"SELECT ref, aln FROM {_TILES}")
 def best_tilings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequential.best_tiling(aligned(spark, sf_dir), "ref", "s_r", "e_r", "idy", "aln")
 
 
+def _fold_sql(rows: str, group: str, columns: list[str], order: str, clash: str) -> str:
+    """Rows (id, columns...) of rows without those that clash with one that is
+    kept before them: a fold over a list of flags. clash says so of x[i] and x[j]."""
+    lists = ", ".join(f"list({c} ORDER BY {order}) AS {c}s" for c in ("id", *columns))
+    return f"""(WITH RECURSIVE o AS (SELECT {group} AS g, {lists} FROM {rows} GROUP BY {group}),
+t(g, i, ok) AS (SELECT g, 0, CAST([] AS BOOLEAN[]) FROM o UNION ALL SELECT t.g, i + 1, list_append(ok, len(list_filter(range(1, i + 1), lambda j: ok[j] AND {clash.replace('[i]', '[i + 1]')})) = 0) FROM t JOIN o ON o.g = t.g WHERE i < len(ids)),
+f AS (SELECT o.*, ok FROM t JOIN o ON o.g = t.g WHERE i = len(ids)) SELECT g, unnest(ids) AS id, {', '.join(f"unnest({c}s) AS {c}" for c in columns)}, unnest(ok) AS ok FROM f)"""
+
+
+_PAIRED = "(SELECT l_orderkey * 8 + l_linenumber AS id, l_suppkey AS sr, l_partkey % 500 AS x, CAST(l_quantity AS BIGINT) AS y FROM lineitem)"
+
+
+@query(f"SELECT id, g AS sr, x, y FROM {_fold_sql(_PAIRED, 'sr', ['x', 'y'], 'id, x, y', 'abs(xs[i] - xs[j]) <= 5 AND abs(ys[i] - ys[j]) <= 5')} WHERE ok")
 def redundant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.col("l_suppkey").alias("sr"), (F.col("l_partkey") % 500).alias("x"), F.col("l_quantity").cast("long").alias("y"))
     return sequential.redundant_pairs_removed(rows, ["sr"], "id", "x", "y", 5)
 
 
-for _f in (low_complexity_parts, best_tilings, redundant_pairs):
-    query()(_f)
+_SPANS = f"(SELECT aln AS id, qry, least(s_q, e_q) AS lo, greatest(s_q, e_q) AS hi, idy FROM {ALIGNMENTS})"
+
+
+@query(f"SELECT id AS aln, ok AS \"primary\" FROM {_fold_sql(_SPANS, 'qry', ['lo', 'hi'], 'idy DESC, id', 'least(his[i], his[j]) - greatest(los[i], los[j]) >= 0.5 * least(his[i] - los[i], his[j] - los[j])')}")
+def alignments_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primary and secondary alignments of each query."""
+    rows = aligned(spark, sf_dir).select("aln", "qry", F.least("s_q", "e_q").alias("lo"), F.greatest("s_q", "e_q").alias("hi"), "idy")
+    return sequential.primary_alignments(rows, "qry", "lo", "hi", "idy", "aln")
+
+
+@query("""WITH RECURSIVE o AS (SELECT o_custkey AS g, list(o_totalprice ORDER BY o_orderkey) AS vs FROM orders GROUP BY o_custkey),
+t(g, i, d) AS (SELECT g, 0, CAST([] AS BIGINT[]) FROM o UNION ALL SELECT t.g, i + 1, list_append(d, 1 + coalesce(list_max(list_transform(range(1, i + 1), lambda j: CASE WHEN vs[j] < vs[i + 1] THEN d[j] ELSE 0 END)), 0)) FROM t JOIN o ON o.g = t.g WHERE i < len(vs))
+SELECT t.g AS o_custkey, CAST(len(vs) AS BIGINT) AS n, list_max(d) AS longest FROM t JOIN o ON o.g = t.g WHERE i = len(vs)""")
+def longest_increasing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest increasing run, with gaps, in the order of anchors."""
+    return sequential.longest_increasing(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", "o_totalprice")
+
+
+_TWINS = "(SELECT DISTINCT l_partkey % 400 AS a, l_suppkey * 4 AS b FROM lineitem WHERE l_quantity BETWEEN 24 AND 26 AND l_linenumber < 3 AND l_partkey % 400 <> l_suppkey * 4)"
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT a AS node FROM {_TWINS} UNION SELECT b FROM {_TWINS}), e AS (SELECT greatest(a, b) AS node, list(DISTINCT least(a, b)) AS near FROM {_TWINS} GROUP BY 1), o AS (SELECT list(node ORDER BY node) AS ns FROM n),
+s AS (SELECT node, near, row_number() OVER (ORDER BY node) AS k FROM n LEFT JOIN e USING (node)),
+t(i, kept) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT i + 1, CASE WHEN list_has_any(kept, coalesce(near, [])) THEN kept ELSE list_append(kept, node) END FROM t JOIN s ON k = i + 1)
+SELECT node, list_contains((SELECT arg_max(kept, i) FROM t), node) AS kept FROM n""")
+def fragments_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments, in order, that are not duplicates of one that is kept before them."""
+    rows = table(spark, sf_dir, "lineitem").where("l_quantity between 24 and 26 and l_linenumber < 3").select((F.col("l_partkey") % 400).alias("a"), (F.col("l_suppkey") * 4).alias("b")).where("a <> b").distinct()
+    nodes = rows.select(F.col("a").alias("node")).unionByName(rows.select(F.col("b").alias("node")))
+    return graph.kept_in_order(nodes, rows)
+
+
+@query(f"SELECT count(*) AS n_alignments, count(DISTINCT ref) AS n_refs, count(DISTINCT qry) AS n_qrys, CAST(sum(abs(e_r - s_r) + 1) AS BIGINT) AS aligned_r, CAST(sum(abs(e_q - s_q) + 1) AS BIGINT) AS aligned_q, sum((abs(e_r - s_r) + 1) * idy) / sum(abs(e_r - s_r) + 1) AS identity FROM {ALIGNMENTS} WHERE aln IN {ONE_TO_ONE}")
+def dnadiff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of the one-to-one alignments."""
+    from .pipelines import dnadiff
+
+    return dnadiff(aligned(spark, sf_dir))[1]
+
+
+@query(f"""WITH a AS (SELECT ref, least(s_r, e_r) AS lo, greatest(s_r, e_r) AS hi FROM {ALIGNMENTS} WHERE idy >= 98), z AS (SELECT s_suppkey AS ref, 60000 + s_nationkey AS size FROM supplier),
+x AS (SELECT ref, lo, hi FROM a UNION ALL SELECT ref, 0, 0 FROM z UNION ALL SELECT ref, size, size FROM z), f AS (SELECT *, max(hi) OVER (PARTITION BY ref ORDER BY lo, hi DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM x)
+SELECT ref, far AS lo, lo AS hi FROM f WHERE lo - far >= 100""")
+def regions_not_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of references, of 100 bases or more, that no alignment covers; ends count."""
+    rows = aligned(spark, sf_dir).where("idy >= 98").select("ref", F.least("s_r", "e_r").alias("lo"), F.greatest("s_r", "e_r").alias("hi"))
+    size = (60_000 + F.col("s_nationkey")).cast("long")
+    ends = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ref"), F.explode(F.array(F.lit(0).cast("long"), size)).alias("lo"))
+    return interval.invert(rows.unionByName(ends.withColumn("hi", F.col("lo"))), ["ref"]).where("hi - lo >= 100")
+
+
+query()(low_complexity_parts)

@@ -222,22 +222,40 @@ def alignment_allowed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(spark, sf_dir).join(allowed, ["ref", "qry"], "left_semi").select("aln")
 
 
+def _chain_sql(side: str) -> str:
+    """The alignments of the best chain of each sequence of a side: a fold over
+    lists of scores and of the places before, and the way back from the best."""
+    lo, hi = ("s_r", "e_r") if side == "ref" else ("least(s_q, e_q)", "greatest(s_q, e_q)")
+    overlap = "greatest(0, his[j] - lo + 1)"
+    fits = f"{overlap} = 0 OR (hi > his[j] AND {overlap} <= hi - lo + 1 AND {overlap} <= his[j] - los[j] + 1)"
+    return f"""(WITH RECURSIVE a AS (SELECT aln, {side} AS g, {lo} AS lo, {hi} AS hi, (idy / 100) * (idy / 100) AS w FROM {ALIGNMENTS}),
+o AS (SELECT g, list(lo ORDER BY lo, hi, aln) AS los, list(hi ORDER BY lo, hi, aln) AS his, list(aln ORDER BY lo, hi, aln) AS ks, list(w ORDER BY lo, hi, aln) AS ws FROM a GROUP BY g),
+t(g, i, sc, bf) AS (SELECT g, 0, CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM o UNION ALL SELECT g, i + 1, list_append(sc, CASE WHEN m > own THEN m ELSE own END), list_append(bf, CASE WHEN m > own THEN list_position(c, m) ELSE 0 END) FROM (
+  SELECT *, coalesce(list_max(c), -1) AS m FROM (SELECT g, i, sc, bf, CAST(trunc((hi - lo + 1) * w) AS BIGINT) AS own, list_transform(range(1, i + 1), lambda j: CASE WHEN {fits} THEN sc[j] + CAST(trunc((hi - lo + 1 - {overlap}) * w) AS BIGINT) ELSE -1 END) AS c
+  FROM (SELECT t.g, i, sc, bf, los, his, los[i + 1] AS lo, his[i + 1] AS hi, ws[i + 1] AS w FROM t JOIN o ON o.g = t.g WHERE i < len(los))))),
+f AS (SELECT t.g, sc, bf, ks FROM t JOIN o ON o.g = t.g WHERE i = len(los)),
+b(g, x) AS (SELECT g, list_position(sc, list_max(sc)) FROM f UNION ALL SELECT b.g, bf[x] FROM b JOIN f ON f.g = b.g WHERE bf[x] > 0)
+SELECT ks[x] AS aln FROM b JOIN f ON f.g = b.g)"""
+
+
+@query(f"SELECT aln FROM {_chain_sql('ref')}")
 def alignment_best_chain_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_sets.best_chain(aligned(spark, sf_dir), "ref")
 
 
+ONE_TO_ONE = f"(SELECT aln FROM {_chain_sql('ref')} WHERE aln IN (SELECT aln FROM {_chain_sql('qry')}))"
+
+
+@query(f"SELECT aln FROM {ONE_TO_ONE}")
 def alignment_one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_sets.one_to_one(aligned(spark, sf_dir)).select("aln")
 
 
+@query(f"SELECT aln FROM {_chain_sql('ref')} UNION SELECT aln FROM {_chain_sql('qry')}")
 def alignment_many_to_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_sets.many_to_many(aligned(spark, sf_dir)).select("aln")
 
 
-for _f in (alignment_best_chain_ref, alignment_one_to_one, alignment_many_to_many):
-    query()(_f)
-
-
 @query(f"""WITH p AS (SELECT DISTINCT ref, s_r AS pos FROM {ALIGNMENTS}), b AS (SELECT ref, pos, pos - lag(pos) OVER w AS x, lead(pos) OVER w - pos AS y FROM p WINDOW w AS (PARTITION BY ref ORDER BY pos))
 SELECT ref, pos, least(x, y, pos, 60000 + s_nationkey - pos + 1) AS buffer FROM b JOIN supplier ON s_suppkey = ref""")
 def snp_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
