@@ -248,11 +248,21 @@ def unitig_length_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.size_stats(sizes, []).select("n", "total", "least", "most", "mean")
 
 
-@query(f"""WITH RECURSIVE s AS (SELECT kmer FROM {dna_sql(k=16, both=False)} GROUP BY kmer HAVING count(*) >= 3), e AS (SELECT DISTINCT left(kmer, 15) AS a, right(kmer, 15) AS b FROM s),
+_UNITIGS = f"""WITH RECURSIVE s AS (SELECT kmer FROM {dna_sql(k=16, both=False)} GROUP BY kmer HAVING count(*) >= 3), e AS (SELECT DISTINCT left(kmer, 15) AS a, right(kmer, 15) AS b FROM s),
 i AS (SELECT a, b FROM e WHERE a <> b AND a IN (SELECT a FROM e GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM e GROUP BY b HAVING count(*) = 1)), n AS (SELECT a AS node FROM e UNION SELECT b FROM e),
 r(node, path, seq) AS (SELECT node, node, node FROM n WHERE node NOT IN (SELECT b FROM i) UNION ALL SELECT i.b, r.path, r.seq || right(i.b, 1) FROM r JOIN i ON i.a = r.node),
-c(node, path, seq) AS (SELECT node, node, node FROM n WHERE node NOT IN (SELECT node FROM r) UNION ALL SELECT i.b, c.path, c.seq || right(i.b, 1) FROM c JOIN i ON i.a = c.node WHERE i.b > c.path)
-SELECT path, arg_max(seq, length(seq)) AS seq FROM r GROUP BY path UNION ALL SELECT path, seq FROM c JOIN i ON i.a = c.node AND i.b = c.path""")
+c(node, path, seq) AS (SELECT node, node, node FROM n WHERE node NOT IN (SELECT node FROM r) UNION ALL SELECT i.b, c.path, c.seq || right(i.b, 1) FROM c JOIN i ON i.a = c.node WHERE i.b > c.path)"""
+
+
+@query(f"{_UNITIGS} SELECT path, arg_max(seq, length(seq)) AS seq FROM r GROUP BY path UNION ALL SELECT path, seq FROM c JOIN i ON i.a = c.node AND i.b = c.path")
 def unitig_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-unitigs: the sequences of the unbranching paths of solid k-mers."""
     return pipelines.unitigs(seqs(spark, sf_dir).select("id", "seq"), 16, 3)
+
+
+@query(f"""{_UNITIGS}, p AS (SELECT node, path FROM r UNION ALL SELECT node, path FROM c WHERE path IN (SELECT path FROM c JOIN i ON i.a = c.node AND i.b = c.path)),
+k AS (SELECT x.id, x.pos, p.path, lag(p.path) OVER (PARTITION BY x.id ORDER BY x.pos) AS before FROM {dna_sql(k=15, both=False)} x JOIN p ON p.node = x.kmer)
+SELECT id, count(*) AS n, md5(string_agg(path, '_' ORDER BY pos)) AS name FROM k WHERE before IS NULL OR before <> path GROUP BY id""")
+def super_read_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads as the k-unitigs that they run through."""
+    return pipelines.super_read_names(seqs(spark, sf_dir).select("id", "seq"), 16, 3).withColumn("name", F.md5("name"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical
@@ -67,3 +67,16 @@ def polish(reads: DataFrame, reference: DataFrame, least: int) -> DataFrame:
     letters = F.array_sort(F.collect_list(F.struct("pos", "base")))
     contigs = reference.groupBy("id").agg(F.array_join(F.transform(letters, lambda c: c["base"]), "").alias("seq"))
     return variants.applied(contigs, variants.voted_fixes(reads, reference, least)).select("id", "seq")
+
+
+def super_read_names(reads: DataFrame, k: int, least: int) -> DataFrame:
+    """(id, n, name): for each read (id, seq) the k-unitigs that its k-mers run
+    through, in order and each once a run, joined by _; a unitig goes by its first k - 1 letters."""
+    solid = kmer.count(reads, k, both_strands=False, least=least)
+    edges = solid.select(F.substr("kmer", F.lit(1), F.lit(k - 1)).alias("a"), F.substr("kmer", F.lit(2), F.lit(k - 1)).alias("b"))
+    paths = graph.unbranching_paths(edges).select(F.col("node").alias("kmer"), "path")
+    at = kmer.enumerate_kmers(reads, k - 1, both_strands=False, keep=("id",), positions=True).join(paths, "kmer")
+    before = F.lag("path").over(Window.partitionBy("id").orderBy("pos"))
+    runs = at.withColumn("before", before).where("before is null or before <> path")
+    units = F.array_sort(F.collect_list(F.struct("pos", "path")))
+    return runs.groupBy("id").agg(F.count("*").alias("n"), F.array_join(F.transform(units, lambda u: u["path"]), "_").alias("name"))
