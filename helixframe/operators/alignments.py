@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import natural_key, x31
+from . import interval
 
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, FIRST, SECOND, SECONDARY, FAILED, DUPLICATE = (1 << i for i in range(11))
 
@@ -46,9 +47,9 @@ def idxstats(rows: DataFrame) -> DataFrame:
 
 def depth(rows: DataFrame, least_mapq: int = 0) -> DataFrame:
     """(tid, pos, depth) of every covered position of [pos, pos + l_seq)."""
-    some = rows.where(F.col("mapq") >= least_mapq).where("l_seq > 0")
-    at = F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("l_seq") - 1))
-    return some.select("tid", at.alias("pos")).groupBy("tid", "pos").agg(F.count("*").alias("depth"))
+    some = rows.where(F.col("mapq") >= least_mapq).where("l_seq > 0").select("tid", F.col("pos").alias("lo"), (F.col("pos") + F.col("l_seq")).alias("hi"))
+    # begins and ends are shuffled, not bases
+    return interval.depth(some, ["tid"]).select("tid", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("pos"), "depth")
 
 
 def remove_duplicates(rows: DataFrame, by: list[str], score: str, order: str) -> DataFrame:

@@ -3,6 +3,10 @@ own text source, so they read from any file system that it reads."""
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,3 +126,97 @@ def lines_by(spark: SparkSession, path: str) -> DataFrame:
     """(kind, fields) of a graph file whose lines begin with a letter for their kind."""
     f = F.split("value", "\t")
     return spark.read.text(path).where("value <> ''").select(F.element_at(f, 1).alias("kind"), F.slice(f, F.lit(2), F.greatest(F.size(f) - 1, F.lit(0))).alias("fields"))
+
+
+BAM = "qname string, flag int, tid string, pos int, mapq int, cigar string, mtid string, mpos int, isize int, seq string, qual string, tags map<string,string>"
+
+
+def bam(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of BAM files, with the columns of sam(). A file is one task's:
+    its blocks are compressed one by one, but records run over their ends.
+    Truncated or broken files are an error."""
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                rows = []
+                for row in _bam_records(_unzipped(content.as_py())):
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield _bam_batch(rows)
+                        rows = []
+                if rows:
+                    yield _bam_batch(rows)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, BAM)
+
+
+def _unzipped(data: bytes) -> bytes:
+    out = []
+    while data:
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data))
+        if not member.eof:
+            raise ValueError("BAM file ends inside a block")
+        data = member.unused_data
+    return b"".join(out)
+
+
+def _bam_batch(rows: list[tuple]) -> pa.RecordBatch:
+    text, number = pa.string(), pa.int32()
+    kinds = [text, number, text, number, number, text, text, number, number, text, text, pa.map_(text, text)]
+    names = [f.split()[0] for f in BAM.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+
+#: Fixed values of the format: letters of 4-bit bases, operations, and the sizes of tag values.
+BASES, OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
+TAG_TYPES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def _bam_tags(data: bytes) -> list[tuple[str, str]]:
+    out, at = [], 0
+    while at < len(data):
+        name, kind = data[at : at + 2].decode(), chr(data[at + 2])
+        at += 3
+        if kind in "ZH":
+            end = data.index(b"\0", at)
+            value, at = data[at:end].decode(), end + 1
+        elif kind == "A":
+            value, at = chr(data[at]), at + 1
+        elif kind == "B":
+            each, n = TAG_TYPES[chr(data[at])], struct.unpack_from("<i", data, at + 1)[0]
+            value = ",".join(f"{x:g}" for x in struct.unpack_from(f"<{n}{each}", data, at + 5))
+            value, at = f"{chr(data[at])},{value}", at + 5 + n * struct.calcsize(each)
+        else:
+            value = f"{struct.unpack_from('<' + TAG_TYPES[kind], data, at)[0]:g}" if kind == "f" else str(struct.unpack_from("<" + TAG_TYPES[kind], data, at)[0])
+            at += struct.calcsize(TAG_TYPES[kind])
+        out.append((name, value))
+    return out
+
+
+def _bam_records(data: bytes):
+    if data[:4] != b"BAM\1":
+        raise ValueError("not a BAM file")
+    at = 8 + struct.unpack_from("<i", data, 4)[0]
+    n_refs, at = struct.unpack_from("<i", data, at)[0], at + 4
+    refs = []
+    for _ in range(n_refs):
+        n = struct.unpack_from("<i", data, at)[0]
+        refs.append(data[at + 4 : at + 3 + n].decode())
+        at += 8 + n
+    name = lambda i: "*" if i < 0 else refs[i]
+    while at < len(data):
+        size, tid, pos, l_name, mapq, _, n_ops, flag, n, mtid, mpos, isize = struct.unpack_from("<iiiBBHHHiiii", data, at)
+        record, begin = data[at + 4 : at + 4 + size], 32
+        if len(record) < size:
+            raise ValueError("BAM file ends inside a record")
+        at += 4 + size
+        qname, begin = record[begin : begin + l_name - 1].decode(), begin + l_name
+        cigar = "".join(f"{op >> 4}{OPERATIONS[op & 15]}" for op in struct.unpack_from(f"<{n_ops}I", record, begin)) or "*"
+        begin += 4 * n_ops
+        packed, begin = record[begin : begin + (n + 1) // 2], begin + (n + 1) // 2
+        seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:n] or "*"
+        quals, begin = record[begin : begin + n], begin + n
+        qual = "*" if not quals or quals[0] == 255 else bytes(q + 33 for q in quals).decode()
+        yield qname, flag, name(tid), pos, mapq, cigar, name(mtid), mpos, isize, seq, qual, _bam_tags(record[begin:])

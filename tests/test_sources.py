@@ -1,5 +1,8 @@
 import gzip
+import random
+import struct
 
+import pytest
 from helixframe.sources import readers, writers
 
 
@@ -97,3 +100,35 @@ def test_graph_files(spark, tmp_path):
     o = spark.createDataFrame([(3, 1), (1, 2), (1, 1)], "a_iid long, b_iid long")
     writers.overlap_store(o, str(tmp_path / "store"), 2)
     assert spark.read.parquet(str(tmp_path / "store")).count() == 3
+
+
+def packed_bam(refs, rows):
+    """A BAM file of rows (qname, flag, ref number, pos, mapq, operations, mate's ref number and pos, isize, seq, qual, tags as bytes), in blocks of 100 bytes."""
+    out = b"BAM\1" + struct.pack("<i", 4) + b"@HD\n" + struct.pack("<i", len(refs))
+    for r in refs:
+        out += struct.pack("<i", len(r) + 1) + r.encode() + b"\0" + struct.pack("<i", 1000)
+    for qname, flag, tid, pos, mapq, ops, mtid, mpos, isize, seq, qual, tags in rows:
+        codes = ["=ACMGRSVTWYHKDBN".index(c) for c in seq] + [0]
+        body = struct.pack("<iiBBHHHiiii", tid, pos, len(qname) + 1, mapq, 0, len(ops), flag, len(seq), mtid, mpos, isize) + qname.encode() + b"\0"
+        body += b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(o)) for n, o in ops)
+        body += bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(seq), 2)) + (bytes(ord(c) - 33 for c in qual) if qual else b"\xff" * len(seq)) + tags
+        out += struct.pack("<i", len(body)) + body
+    return b"".join(gzip.compress(out[i : i + 100]) for i in range(0, len(out), 100))
+
+
+def test_bam(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(f"r{i}", i % 4096, i % 2, 7 * i, i % 60, [(2, "S"), (n - 2, "M"), (1, "D")] if n > 2 else [], -1 if i % 3 else 0, i, -i, "".join(rng.choices("ACGTN", k=n)), "I" * n if i % 2 else "", b"NMc\x05" + b"XXZabc\0" + b"XBBS" + struct.pack("<iHH", 2, 7, 65535) if i % 5 else b"") for i in range(300) for n in [rng.randrange(0, 40)]]
+    (tmp_path / "bam").mkdir()
+    (tmp_path / "bam" / "a.bam").write_bytes(packed_bam(["chr1", "chr2"], rows))
+    (tmp_path / "bam" / "empty.bam").write_bytes(packed_bam(["chr1"], []))
+    got = {r.qname: r for r in readers.bam(spark, str(tmp_path / "bam")).collect()}
+    assert len(got) == 300
+    for q, flag, tid, pos, mapq, ops, mtid, mpos, isize, seq, qual, tags in rows:
+        r = got[q]
+        assert (r.flag, r.tid, r.pos, r.mapq, r.cigar) == (flag, f"chr{tid + 1}", pos, mapq, "".join(f"{n}{o}" for n, o in ops) or "*")
+        assert (r.mtid, r.mpos, r.isize, r.seq, r.qual) == ("*" if mtid < 0 else "chr1", mpos, isize, seq or "*", qual or "*")
+        assert r.tags == ({"NM": "5", "XX": "abc", "XB": "S,7,65535"} if tags else {})
+    (tmp_path / "cut.bam").write_bytes(packed_bam(["chr1"], rows)[:-40])
+    with pytest.raises(Exception, match="BAM"):
+        readers.bam(spark, str(tmp_path / "cut.bam")).collect()
