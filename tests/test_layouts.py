@@ -169,3 +169,26 @@ def test_allele_frequency_agrees_with_the_loop(spark):
     table = rng.random((30, 3)) + 0.01
     rows = spark.createDataFrame([(1, *map(float, r)) for r in table], "site long, l0 double, l1 double, l2 double")
     assert abs(variants.allele_frequencies(rows, "site").first().frequency - sequential.allele_frequency(table)) < 1e-6
+
+
+def test_clusters_of_matches(spark):
+    from helixframe.operators import alignment_sets
+
+    rng = random.Random(9)
+    rows = sorted({(rng.randrange(2), 0, rng.randrange(400), rng.randrange(400), rng.randrange(10, 40)) for _ in range(120)})
+    want = set()
+    for ref in (0, 1):
+        own = sorted((r, q, n) for g, _, r, q, n in rows if g == ref)
+        group = list(range(len(own)))
+        for i, (r, q, n) in enumerate(own):
+            for j in range(i + 1, len(own)):
+                apart = own[j][0] - (r + n)
+                if apart <= 30 and abs((own[j][1] - own[j][0]) - (q - r)) <= max(5, int(0.12 * apart)) and group[i] != group[j]:
+                    a, b = group[i], group[j]
+                    group = [a if g == b else g for g in group]
+        for g in set(group):
+            some = [m for m, of in zip(own, group, strict=True) if of == g]
+            if sum(n for *_, n in some) >= 40:
+                want.add((ref, len(some), sum(n for *_, n in some), min(r for r, _, _ in some), max(r + n for r, _, n in some)))
+    got = alignment_sets.clusters(spark.createDataFrame(rows, "ref long, qry long, r long, q long, length long"), most_gap=30, least=40).collect()
+    assert {(r.ref, r.n, r.total, r.s_r, r.e_r) for r in got} == want
