@@ -25,7 +25,7 @@ BLOCK = 1 << 20
 
 @cache
 def symbols() -> np.ndarray:
-    """The symbol of every code point; a to z have symbols of their own."""
+    """The symbol of every code point: letters share SYMBOLS - 1 of them by their numbers, so that those of an alphabet differ and a few of different ones do not; 0 for all else."""
     table = np.zeros(0x110000, np.uint8)
     letters = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()])
     table[letters] = 1 + letters % (SYMBOLS - 1)
