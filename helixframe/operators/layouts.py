@@ -237,3 +237,20 @@ def contained_contigs(rows: DataFrame, sizes: DataFrame, least_share: float) ->
 def hash_buckets(rows: DataFrame, name: str, n: int) -> Column:
     """A bucket 0 to n-1 for a name, by its digest."""
     return (F.conv(F.substring(F.md5(F.col(name).cast("string")), 1, 8), 16, 10).cast("long") % n).cast("int")
+
+
+def glue_points(rows: DataFrame, by: str, at: str, reach: int) -> DataFrame:
+    """(by, point, n): places of a sequence at which alignments end, those that
+    are within reach of the next as one, at their mean place rounded down."""
+    w = Window.partitionBy(by).orderBy(at)
+    begins = F.coalesce(F.col(at) - F.lag(at).over(w) > reach, F.lit(True))
+    runs = rows.select(by, at).withColumn("b", begins).withColumn("run", F.sum(F.col("b").cast("int")).over(w.rangeBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(by, "run").agg(F.floor(F.avg(at)).alias("point"), F.count("*").alias("n")).select(by, "point", "n")
+
+
+def inconsistent_windows(good: DataFrame, bad: DataFrame, by: str, width: int, least: int) -> DataFrame:
+    """(by, win, n): windows that at least so many bad mates, and no good pair,
+    reach into: where a unitig is to be split. good: by, lo, hi; bad: by, at."""
+    over = good.select(by, F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("win")).distinct()
+    hits = bad.groupBy(by, F.floor(F.col("at") / width).alias("win")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return hits.join(over, [by, "win"], "left_anti")

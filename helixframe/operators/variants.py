@@ -196,3 +196,47 @@ def exact_repeats(records: DataFrame, k: int, id_col: str = "id", seq_col: str =
     runs = near.withColumn("run", F.col("p") - F.row_number().over(w))
     return runs.groupBy("id", (F.col("q") - F.col("p")).alias("d"), "run").agg(F.min("p").alias("p"), F.count("*").alias("n")).select("id", "p", (F.col("p") + F.col("d")).alias("q"), (F.col("n") + k - 1).alias("length"))
 
+
+
+#: Genotypes (father, mother, child; alternative alleles) that a family can have.
+FAMILIES = [(f, m, c) for f in range(3) for m in range(3) for c in range(3) if c in {a + b for a in {0: (0,), 1: (0, 1), 2: (1,)}[f] for b in {0: (0,), 1: (0, 1), 2: (1,)}[m]}]
+
+
+def trio_likelihoods(rows: DataFrame) -> DataFrame:
+    """rows with constrained and free: the largest log10 likelihood of genotypes
+    that a family can have, and of any. rows have f0..f2, m0..m2 and c0..c2, the
+    log10 likelihoods of father, mother and child."""
+    of = lambda who, g: F.col(f"{who}{g}")
+    constrained = F.greatest(*(of("f", f) + of("m", m) + of("c", c) for f, m, c in FAMILIES))
+    free = sum((F.greatest(*(of(who, g) for g in range(3))) for who in "mc"), F.greatest(*(of("f", g) for g in range(3))))
+    return rows.withColumns({"constrained": constrained, "free": free})
+
+
+def allele_count_posteriors(samples: DataFrame, by: str, order: str) -> DataFrame:
+    """(by, n, p_none, expected): from the genotype likelihoods (l0, l1, l2; not
+    logarithms) of a site's samples the posterior of the number of alternative
+    alleles among them, with a prior of 1 / k for k > 0 and the rest for none
+    (of a rate of 0.001): the probability of none and the mean.
+
+    Samples are added one by one: likelihoods of k alleles among j samples
+    follow from those among j - 1."""
+    each = F.array_sort(F.collect_list(F.struct(order, "l0", "l1", "l2")))
+
+    def add(z: Column, s: Column) -> Column:
+        j = (F.size(z) + 1) / 2  # the samples with this one
+        at = lambda k: F.when((k >= 0) & (k < F.size(z)), F.get(z, k)).otherwise(0.0)
+
+        def term(k: Column) -> Column:
+            own = (2 * j - k) * (2 * j - k - 1) * s["l0"] * at(k) + 2 * k * (2 * j - k) * s["l1"] * at(k - 1) + k * (k - 1) * s["l2"] * at(k - 2)
+            return own / (2 * j * (2 * j - 1))
+
+        return F.transform(F.sequence(F.lit(0), F.size(z) + 1), term)
+
+    sites = samples.groupBy(by).agg(each.alias("x"))
+    sites = sites.select(by, F.size("x").alias("n"), F.aggregate("x", F.array(F.lit(1.0)), add).alias("z"))
+    rate = 0.001
+    total = F.aggregate(F.sequence(F.lit(1), 2 * F.col("n")), F.lit(0.0), lambda s, k: s + rate / k)
+    weighted = F.transform("z", lambda z, k: z * F.when(k == 0, 1 - total).otherwise(rate / k))
+    sites = sites.select(by, "n", weighted.alias("w"))
+    add_up = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
+    return sites.select(by, "n", (F.col("w")[0] / add_up(F.col("w"))).alias("p_none"), (add_up(F.transform("w", lambda w, k: w * k)) / add_up(F.col("w"))).alias("expected"))

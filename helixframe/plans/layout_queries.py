@@ -335,3 +335,19 @@ def surrogate_reads_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads of surrogate unitigs, placed in every contig that a surrogate is in."""
     child, parent = _places(spark, sf_dir)
     return overlap.projected(child, parent.where("ctg % 4 = 0"), ("frg", "ctg", "scf")).select("frg", "scf", "bgn")
+
+
+@query(f"""WITH e AS (SELECT ref, unnest([s_r, e_r]) AS x FROM {ALIGNMENTS} WHERE idy >= 97), b AS (SELECT ref, x, CASE WHEN x - lag(x) OVER (PARTITION BY ref ORDER BY x) <= 15 THEN 0 ELSE 1 END AS b FROM e),
+r AS (SELECT ref, x, sum(b) OVER (PARTITION BY ref ORDER BY x RANGE UNBOUNDED PRECEDING) AS run FROM b) SELECT ref, CAST(floor(avg(x)) AS BIGINT) AS point, count(*) AS n FROM r GROUP BY ref, run""")
+def repeat_graph_glue_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places at which alignments end, near ones glued together."""
+    rows = aligned(spark, sf_dir).where("idy >= 97").select("ref", F.explode(F.array("s_r", "e_r")).alias("x"))
+    return layouts.glue_points(rows, "ref", "x", 15)
+
+
+@query(f"""WITH g AS (SELECT DISTINCT grp, unnest(range(lo // 20, (hi - 1) // 20 + 1)) AS win FROM {SHIP} WHERE (lo + grp) % 5 = 0 AND hi > lo), b AS (SELECT grp, lo // 20 AS win, count(*) AS n FROM {SHIP} WHERE (lo + grp) % 5 = 1 GROUP BY ALL HAVING count(*) >= 2)
+SELECT grp, win, n FROM b WHERE (grp, win) NOT IN (SELECT grp, win FROM g)""")
+def unitig_split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of unitigs with bad mates and no good ones."""
+    s, kind = ships(spark, sf_dir), (F.col("lo") + F.col("grp")) % 5
+    return layouts.inconsistent_windows(s.where((kind == 0) & (F.col("hi") > F.col("lo"))), s.where(kind == 1).select("grp", F.col("lo").alias("at")), "grp", 20, 2)

@@ -237,3 +237,16 @@ def posmap_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("child"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("parent"))
     names = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").cast("string").alias("uid"), F.col("p_name").alias("name"))
     return stores.renamed(rows, names, ["child"]).groupBy("child", "parent").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT 'CCO' AS tag, CAST(id AS VARCHAR) AS acc, CAST(length(seq) AS VARCHAR) AS value FROM {DOCS} UNION ALL SELECT 'SCF', 's' || id % 50, CAST(count(*) AS VARCHAR) FROM {DOCS} GROUP BY id % 50")
+def assembly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs and scaffolds as messages, written and parsed."""
+    path = new_path(spark, "asm")
+    contigs = seqs(spark, sf_dir).select(F.col("id").alias("acc"), F.length("seq").alias("len"))
+    writers.messages(contigs, f"{path}/cco", ["acc", "len"], F.lit("CCO"))
+    scaffolds = contigs.groupBy(F.concat(F.lit("s"), (F.col("acc") % 50).cast("string")).alias("acc")).agg(F.count("*").alias("noc"))
+    writers.messages(scaffolds, f"{path}/scf", ["acc", "noc"], F.lit("SCF"))
+    m = readers.messages(spark, f"{path}/*")
+    of = lambda tag, field: m.where(F.col("tag") == tag).select("tag", readers.message_field(F.col("body"), "acc").alias("acc"), readers.message_field(F.col("body"), field).alias("value"))
+    return of("CCO", "len").unionByName(of("SCF", "noc"))

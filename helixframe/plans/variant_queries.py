@@ -226,3 +226,30 @@ SELECT id, min(p) AS p, min(p) + d AS q, count(*) + 11 AS length FROM r GROUP BY
 def exact_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches of 12 letters or more that a sequence has twice."""
     return variants.exact_repeats(seqs(spark, sf_dir).select("id", "seq"), 12).select("id", F.col("p").cast("long").alias("p"), F.col("q").cast("long").alias("q"), "length")
+
+
+_FAMILY = "(SELECT o_orderkey AS id, -o_totalprice % 7 AS f0, -o_totalprice % 5 AS f1, -o_totalprice % 11 AS f2, -(o_custkey % 9) * 1.0 AS m0, -(o_custkey % 4) * 1.0 AS m1, -(o_custkey % 13) * 1.0 AS m2, -(o_orderkey % 8) * 1.0 AS c0, -(o_orderkey % 6) * 1.0 AS c1, -(o_orderkey % 3) * 1.0 AS c2 FROM orders)"
+_CONSTRAINED = ", ".join(f"f{f} + m{m} + c{c}" for f, m, c in variants.FAMILIES)
+
+
+@query(f"SELECT id, round(greatest({_CONSTRAINED}), 6) AS constrained, round(greatest(f0, f1, f2) + greatest(m0, m1, m2) + greatest(c0, c1, c2), 6) AS free FROM {_FAMILY}")
+def trio_likelihoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, c, o = F.col("o_totalprice"), F.col("o_custkey"), F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(o.alias("id"), *((-p % n).alias(f"f{i}") for i, n in enumerate((7, 5, 11))), *((-(c % n) * 1.0).alias(f"m{i}") for i, n in enumerate((9, 4, 13))), *((-(o % n) * 1.0).alias(f"c{i}") for i, n in enumerate((8, 6, 3))))
+    return variants.trio_likelihoods(rows).select("id", F.round("constrained", 6).alias("constrained"), F.round("free", 6).alias("free"))
+
+
+_SITE = "(SELECT o_custkey AS site, o_orderkey AS s, 1 / (1 + o_orderkey % 5) AS l0, 0.4 AS l1, (1 + o_orderkey % 7) / 9 AS l2 FROM orders)"
+
+
+@query(f"""WITH RECURSIVE s AS (SELECT site, l0, l1, l2, row_number() OVER (PARTITION BY site ORDER BY s) AS j FROM {_SITE}),
+t(site, j, z) AS (SELECT DISTINCT site, CAST(0 AS BIGINT), [CAST(1 AS DOUBLE)] FROM s UNION ALL
+  SELECT t.site, s.j, list_transform(range(2 * s.j + 1), lambda k: ((2 * s.j - k) * (2 * s.j - k - 1) * l0 * CASE WHEN k < 2 * s.j - 1 THEN z[k + 1] ELSE 0 END + 2 * k * (2 * s.j - k) * l1 * CASE WHEN k >= 1 AND k - 1 < 2 * s.j - 1 THEN z[k] ELSE 0 END + k * (k - 1) * l2 * CASE WHEN k >= 2 THEN z[k - 1] ELSE 0 END) / (2 * s.j * (2 * s.j - 1))) FROM t JOIN s ON s.site = t.site AND s.j = t.j + 1),
+l AS (SELECT site, max(j) AS n, arg_max(z, j) AS z FROM t GROUP BY site),
+w AS (SELECT site, n, list_transform(range(2 * n + 1), lambda k: z[k + 1] * CASE WHEN k = 0 THEN 1 - list_sum(list_transform(range(1, 2 * n + 1), lambda i: 0.001 / i)) ELSE 0.001 / k END) AS w FROM l)
+SELECT site, CAST(n AS INTEGER) AS n, round(w[1] / list_sum(w), 6) AS p_none, round(list_sum(list_transform(range(2 * n + 1), lambda k: k * w[k + 1])) / list_sum(w), 6) AS expected FROM w""")
+def allele_count_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("site"), o.alias("s"), (1 / (1 + o % 5)).alias("l0"), F.lit(0.4).alias("l1"), ((1 + o % 7) / 9).alias("l2"))
+    out = variants.allele_count_posteriors(rows, "site", "s")
+    return out.select("site", "n", F.round("p_none", 6).alias("p_none"), F.round("expected", 6).alias("expected"))
