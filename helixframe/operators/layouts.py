@@ -254,3 +254,34 @@ def inconsistent_windows(good: DataFrame, bad: DataFrame, by: str, width: int, l
     over = good.select(by, F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("win")).distinct()
     hits = bad.groupBy(by, F.floor(F.col("at") / width).alias("win")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return hits.join(over, [by, "win"], "left_anti")
+
+
+def closed_gaps(contigs: DataFrame, patches: DataFrame, gap: int = 100) -> DataFrame:
+    """(scf, seq, n_closed): scaffolds of contigs (scf, place from 0 on, seq)
+    with patches (scf, place of the contig before the gap, patch) in their gaps, and gap letters N where there is none."""
+    rows = contigs.join(patches, ["scf", "place"], "left")
+    by = rows.groupBy("scf").agg(F.array_sort(F.collect_list(F.struct("place", "seq", "patch"))).alias("x"))
+    last = F.size("x") - 1
+    seq = F.array_join(F.transform("x", lambda c, i: F.concat(c["seq"], F.when(i < last, F.coalesce(c["patch"], F.lit("N" * gap))).otherwise(F.lit("")))), "")
+    return by.select("scf", seq.alias("seq"), F.size(F.filter(F.slice("x", 1, F.greatest(last, F.lit(0))), lambda c: c["patch"].isNotNull())).alias("n_closed"))
+
+
+def placed_contains(overlaps: DataFrame, places: DataFrame) -> DataFrame:
+    """(iid, tig, bgn): contained reads placed by the container that they
+    overlap best: least error, then smallest id. overlaps: a_iid (the contained), b_iid, a_hang, erate; places: iid, tig, bgn."""
+    best = overlaps.groupBy("a_iid").agg(F.min(F.struct("erate", "b_iid", "a_hang")).alias("x"))
+    at = best.select(F.col("a_iid").alias("iid"), F.col("x.b_iid").alias("b"), F.col("x.a_hang").alias("a_hang"))
+    return at.join(places.select(F.col("iid").alias("b"), "tig", F.col("bgn").alias("b_bgn")), "b").select("iid", "tig", (F.col("b_bgn") - F.col("a_hang")).alias("bgn"))
+
+
+def read_error_rates(overlaps: DataFrame, rounds: int) -> DataFrame:
+    """(iid, rate): each read's share of the errors in its overlaps (a_iid,
+    b_iid, erate): at first half their mean, then, round by round, the mean of what
+    its partners' rates leave, not below zero."""
+    both = overlaps.select("a_iid", "b_iid", "erate")
+    both = graph.kept(both.unionByName(both.select(F.col("b_iid").alias("a_iid"), F.col("a_iid").alias("b_iid"), "erate")))
+    rates = graph.kept(both.groupBy(F.col("a_iid").alias("iid")).agg((F.avg("erate") / 2).alias("rate")))
+    for _ in range(rounds):
+        left = both.join(rates.withColumnRenamed("iid", "b_iid"), "b_iid")
+        rates = graph.kept(left.groupBy(F.col("a_iid").alias("iid")).agg(F.avg(F.greatest(F.col("erate") - F.col("rate"), F.lit(0.0))).alias("rate")))
+    return rates

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, reverse_complement, translated
-from ..operators import fasta, graph, interval, kmer, layouts, overlap
+from ..operators import fasta, graph, interval, kmer, layouts, overlap, sequential
 from ..operators.graph import new_path
 from ..sources import readers, writers
 from . import pipelines
@@ -266,3 +266,25 @@ SELECT id, count(*) AS n, md5(string_agg(path, '_' ORDER BY pos)) AS name FROM k
 def super_read_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads as the k-unitigs that they run through."""
     return pipelines.super_read_names(seqs(spark, sf_dir).select("id", "seq"), 16, 3).withColumn("name", F.md5("name"))
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT a, b, back, list(b_pos ORDER BY a_pos, b_pos DESC) AS vs FROM {_ANCHORS} GROUP BY a, b, back HAVING count(*) >= 10),
+t(a, b, back, i, d) AS (SELECT a, b, back, 0, CAST([] AS BIGINT[]) FROM p UNION ALL SELECT t.a, t.b, t.back, i + 1, list_append(d, 1 + coalesce(list_max(list_transform(range(1, i + 1), lambda j: CASE WHEN vs[j] < vs[i + 1] THEN d[j] ELSE 0 END)), 0)) FROM t JOIN p ON p.a = t.a AND p.b = t.b AND p.back = t.back WHERE i < len(vs))
+SELECT t.a, t.b, t.back, CAST(len(vs) AS BIGINT) AS n, list_max(d) AS longest FROM t JOIN p ON p.a = t.a AND p.b = t.b AND p.back = t.back WHERE i = len(vs) AND 5 * list_max(d) >= 2 * len(vs)""")
+def coarse_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and an item with ten shared seeds or more, two fifths of which lie in one order."""
+    rows = overlap.anchors(_seeds(spark, sf_dir, "documents"), _seeds(spark, sf_dir, "benchmark"), 12)
+    by = ["a", "b", "back"]
+    many = rows.groupBy(*by).agg(F.count("*").alias("n")).where("n >= 10").select(*by)
+    return sequential.longest_increasing(rows.join(many, by, "left_semi"), by, "a_pos", "b_pos").where("5 * longest >= 2 * n")
+
+
+_FORWARD = f"(SELECT a_iid AS a, b_iid AS b, length AS n FROM {BEST} WHERE \"end\" = '3p' AND a_iid < b_iid)"
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT a, b FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS o, row_number() OVER (PARTITION BY b ORDER BY n DESC, a) AS i FROM {_FORWARD}) WHERE o = 1 AND i = 1),
+r(node, path, place) AS (SELECT a, a, 0 FROM e WHERE a NOT IN (SELECT b FROM e) UNION ALL SELECT e.b, r.path, r.place + 1 FROM r JOIN e ON e.a = r.node) SELECT node, path, CAST(place AS BIGINT) AS place FROM r""")
+def reads_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads put one after another by their best overlaps at the 3' end, each read once."""
+    links = best(spark, sf_dir).where("`end` = '3p' and a_iid < b_iid").select(F.col("a_iid").alias("a"), F.col("b_iid").alias("b"), F.col("length").alias("n"))
+    return layouts.merged_contigs(links)

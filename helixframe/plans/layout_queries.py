@@ -351,3 +351,37 @@ def unitig_split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of unitigs with bad mates and no good ones."""
     s, kind = ships(spark, sf_dir), (F.col("lo") + F.col("grp")) % 5
     return layouts.inconsistent_windows(s.where((kind == 0) & (F.col("hi") > F.col("lo"))), s.where(kind == 1).select("grp", F.col("lo").alias("at")), "grp", 20, 2)
+
+
+_PATCH = "CASE WHEN id % 3 <> 1 THEN left(seq, CAST(id % 9 AS BIGINT)) END"
+
+
+@query(f"""WITH c AS (SELECT id % 50 AS scf, id, seq, {_PATCH} AS patch, lead(id) OVER (PARTITION BY id % 50 ORDER BY id) IS NULL AS last FROM {DOCS} WHERE seq <> '')
+SELECT scf, md5(string_agg(seq || CASE WHEN last THEN '' ELSE coalesce(patch, repeat('N', 100)) END, '' ORDER BY id)) AS digest, CAST(count(*) FILTER (WHERE NOT last AND patch IS NOT NULL) AS INTEGER) AS n_closed FROM c GROUP BY scf""")
+def scaffold_gaps_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaffolds with the sequences that were found for their gaps."""
+    i = F.col("id")
+    rows = seqs(spark, sf_dir).where("seq <> ''").select((i % 50).alias("scf"), i.alias("place"), "seq")
+    patches = rows.where("place % 3 <> 1").select("scf", "place", F.left("seq", (F.col("place") % 9).cast("int")).alias("patch"))
+    return layouts.closed_gaps(rows, patches).select("scf", F.md5("seq").alias("digest"), "n_closed")
+
+
+_INSIDE = "(SELECT l_partkey % 100 AS a, l_suppkey AS b, CAST(l_quantity AS INTEGER) - 25 AS a_hang, l_discount AS erate FROM lineitem WHERE CAST(l_quantity AS INTEGER) - 25 <= 0 AND CAST(l_linenumber AS INTEGER) * 3 - 10 >= 0)"
+
+
+@query(f"WITH k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY erate, b, a_hang) AS k FROM {_INSIDE}) SELECT a AS iid, s_nationkey AS tig, s_suppkey * 50 - a_hang AS bgn FROM k JOIN supplier ON s_suppkey = b WHERE k = 1")
+def contained_reads_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .overlap_queries import overlaps
+
+    inside = overlaps(spark, sf_dir).where("a_hang <= 0 and b_hang >= 0")
+    places = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("iid"), F.col("s_nationkey").alias("tig"), (F.col("s_suppkey") * 50).alias("bgn"))
+    return layouts.placed_contains(inside, places)
+
+
+@query("""WITH o AS (SELECT l_partkey % 100 AS a, l_suppkey AS b, l_discount AS erate FROM lineitem), b AS (SELECT * FROM o UNION ALL SELECT b, a, erate FROM o),
+r0 AS (SELECT a AS iid, avg(erate) / 2 AS rate FROM b GROUP BY a), r1 AS (SELECT a AS iid, avg(greatest(erate - rate, 0)) AS rate FROM b JOIN r0 ON iid = b GROUP BY a), r2 AS (SELECT a AS iid, avg(greatest(erate - rate, 0)) AS rate FROM b JOIN r1 ON iid = b GROUP BY a)
+SELECT iid, round(rate, 9) AS rate FROM r2""")
+def read_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .overlap_queries import overlaps
+
+    return layouts.read_error_rates(overlaps(spark, sf_dir), 2).withColumn("rate", F.round("rate", 9))
