@@ -75,12 +75,14 @@ def allele_frequencies(samples: DataFrame, by: str, rounds: int = 50) -> DataFra
 
 
 def linkage(genotypes: DataFrame, by: str, site: str, sample: str, value: str) -> DataFrame:
-    """(by, a, b, n, r2): the squared correlation of the genotypes (0 to 2) of neighbouring sites over the samples that have both."""
+    """(by, a, b, n, r2): the squared correlation of the genotypes (0 to 2) of neighbouring sites over the samples that have both; NaN where a site does not vary among them."""
     w = Window.partitionBy(by).orderBy(site)
     near = genotypes.select(by, site).distinct().withColumn("b", F.lead(site).over(w)).where("b is not null").withColumnRenamed(site, "a")
     of = lambda c: genotypes.select(by, F.col(site).alias(c), F.col(sample).alias("__s"), F.col(value).alias(f"{c}_g"))
     both = near.join(of("a"), [by, "a"]).join(of("b"), [by, "b", "__s"])
-    return both.groupBy(by, "a", "b").agg(F.count("*").alias("n"), F.pow(F.corr("a_g", "b_g"), 2).alias("r2"))
+    spread = F.var_pop("a_g") * F.var_pop("b_g")
+    # not corr(): under ANSI rules it fails for a site that does not vary
+    return both.groupBy(by, "a", "b").agg(F.count("*").alias("n"), F.coalesce(F.try_divide(F.pow(F.covar_pop("a_g", "b_g"), 2), spread), F.lit(float("nan"))).alias("r2"))
 
 
 def applied(contigs: DataFrame, fixes: DataFrame) -> DataFrame:

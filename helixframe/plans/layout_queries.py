@@ -27,9 +27,9 @@ FLIPPED = "(SELECT l_partkey % 100 AS a, l_suppkey AS b, CAST(l_quantity AS INTE
 @query(f"SELECT DISTINCT unnest([a, b]) AS iid FROM {FLIPPED} WHERE flipped AND a_hang >= 0 AND b_hang >= 0 AND b = CASE WHEN a % 2 = 0 THEN a + 1 ELSE a - 1 END")
 def mates_that_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 100).alias("a_iid"), F.col("l_suppkey").alias("b_iid"), (F.col("l_quantity").cast("int") - 25).alias("a_hang"), (F.col("l_linenumber").cast("int") * 3 - 10).alias("b_hang"), (F.col("l_linestatus") == "O").alias("flipped"))
-    iid = F.col("s_suppkey")
-    mates = table(spark, sf_dir, "supplier").select((iid - 1).alias("iid"), F.when((iid - 1) % 2 == 0, iid).otherwise(iid - 2).alias("mate"))
-    return layouts.overlapping_mates(rows, mates.where("iid < 100"))
+    iid = F.col("id")
+    mates = spark.range(100).select(iid.alias("iid"), F.when(iid % 2 == 0, iid + 1).otherwise(iid - 1).alias("mate"))
+    return layouts.overlapping_mates(rows, mates)
 
 
 @query(f"""WITH t AS (SELECT id, seq, CASE WHEN id % 3 = 0 THEN CAST(id % 20 AS INTEGER) ELSE 0 END AS f, CASE WHEN id % 3 = 0 THEN CAST(id % 7 AS INTEGER) ELSE 0 END AS b FROM {DOCS})
