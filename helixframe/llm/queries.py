@@ -88,6 +88,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hyperminhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lloyd import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +119,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_chat_format,
         op10_decontaminate,
+        op11_hyperminhash_near_dedup,
+        op12_vector_codes,
+        op13_filter_audit,
     )
 }
 
@@ -110,6 +131,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat, decontaminate, substrings, warc
+    from . import audit, chat, decontaminate, lloyd, substrings, warc
 
-    return {"op3_warc_revisits": warc.SQL, "op9_chat_format": chat.SQL, "op8_substring_dedup": substrings.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op3_warc_revisits": warc.SQL, "op9_chat_format": chat.SQL, "op8_substring_dedup": substrings.SQL, "op10_decontaminate": decontaminate.SQL, "op12_vector_codes": lloyd.SQL, "op13_filter_audit": audit.SQL}
