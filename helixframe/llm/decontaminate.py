@@ -8,6 +8,7 @@ verbatim match at each place where it stands.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -16,17 +17,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import long_rows
-from .vectors import U64, alnum_words, blocks, text_bytes, word_hashes, words
+from .vectors import U64, alnum_words, blocks, mixed, powers, text_bytes, word_hashes, words
 
+#: Matches that are worked on at a time; the base of the hashes of stretches.
+SLICE, BASE = 1 << 20, 0x9FB21C651E98DF25
 MATCH = "struct<item_id:string,item_word:int,doc_word:int,n_words:int>"
 
 
 class Items(NamedTuple):
-    """Benchmark items: ids, the hashes of their words one after another, where
-    each item begins, and the suffixes that are looked up (item, first word, words that have to match)."""
+    """Benchmark items: ids, the hashes of their words one after another and
+    the sums of their polynomials, where each item begins, and the suffixes
+    that are looked up (item, first word, words that have to match)."""
 
     ids: list[str | None]
     hashes: np.ndarray
+    sums: np.ndarray
     begins: np.ndarray
     item: np.ndarray
     at: np.ndarray
@@ -43,7 +48,7 @@ def items_of(ids: list[str | None], texts: pa.Array, window: int) -> Items:
     n = np.where(count > 0, count - least + 1, 0)
     which = np.repeat(np.arange(len(ids)), n)
     at = begins[which] + np.arange(n.sum()) - np.repeat(n.cumsum() - n, n)
-    return Items(ids, hashes, begins, which, at, least[which])
+    return Items(ids, hashes, polynomials(hashes), begins, which, at, least[which])
 
 
 def suffix_array(values: np.ndarray, depth: int) -> np.ndarray:
@@ -104,25 +109,76 @@ def found(values: np.ndarray, order: np.ndarray, items: Items, window: int) -> t
     return low, high
 
 
-def matches(values: np.ndarray, order: np.ndarray, items: Items, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Longest matches of item suffixes: item, word in the item, place in
-    values, words. Those that go on to the left are left out: the suffix one
-    word longer has them."""
+def matches(values: np.ndarray, order: np.ndarray, items: Items, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Longest matches of item suffixes, SLICE at a time: item, word in the
+    item, place in values, words. Those that go on to the left are left out, as
+    the suffix one word longer has them: the words before the suffixes of a
+    range come in runs, and a run of the item's own word is passed over as one,
+    so that what is looked at is at most twice what is found."""
     low, high = found(values, order, items, window)
-    n = high - low
-    row = np.repeat(np.arange(len(n)), n)
-    place = order[low[row] + np.arange(len(row)) - np.repeat(n.cumsum() - n, n)]
-    begin, end = items.begins[items.item[row]], items.begins[items.item[row] + 1]
-    at = items.at[row]
-    goes_on = (at > begin) & (place > 0) & (items.hashes[at - 1] == values[place - 1])
-    row, place, at, begin, end = (x[~goes_on] for x in (row, place, at, begin, end))
-    length = items.least[row].copy()
-    live = np.arange(len(row))
-    while len(live := live[(at[live] + length[live] < end[live])]):
-        same = values[np.minimum(place[live] + length[live], len(values) - 1)] == items.hashes[at[live] + length[live]]
-        live = live[same]
-        length[live] += 1
-    return items.item[row], at - begin, place, length
+    if not len(order):
+        return
+    before = np.where(order > 0, values[order - 1], U64(0))
+    starts = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
+    ends = np.append(starts[1:], len(order))
+    some = np.flatnonzero(high > low)
+    first = np.searchsorted(starts, low[some], "right") - 1
+    many = np.searchsorted(starts, high[some] - 1, "right") - first
+    sums = polynomials(values)
+    for lo, hi in slices(many):
+        row, run = spread(many[lo:hi], first[lo:hi])
+        row = some[lo:hi][row]
+        own = items.at[row] > items.begins[items.item[row]]
+        fresh = ~own | (before[starts[run]] != items.hashes[items.at[row] - 1])
+        row, run = row[fresh], run[fresh]
+        a, b = np.maximum(starts[run], low[row]), np.minimum(ends[run], high[row])
+        for x, y in slices(b - a):
+            which, at = spread((b - a)[x:y], a[x:y])
+            yield extended(values, sums, order[at], items, row[x:y][which])
+
+
+def slices(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with SLICE of counts in all, or one row."""
+    total = np.cumsum(counts)
+    lo = 0
+    while lo < len(counts):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def spread(counts: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row its number, counts times, and the numbers from begins on."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, begins[row] + np.arange(len(row)) - np.repeat(counts.cumsum() - counts, counts)
+
+
+def polynomials(values: np.ndarray) -> np.ndarray:
+    """Sums over the values before each place, of which differences tell stretches of values apart."""
+    sums = np.zeros(len(values) + 1, U64)
+    with np.errstate(over="ignore"):
+        np.cumsum(mixed(values, 5) * powers(BASE, len(values) + 1)[0][: len(values)], out=sums[1:])
+    return sums
+
+
+def extended(values: np.ndarray, sums: np.ndarray, place: np.ndarray, items: Items, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches of items' suffixes at places with the words that they have in common, by bisection over hashes of stretches."""
+    at, length = items.at[row], items.least[row].copy()
+    most = np.minimum(items.begins[items.item[row] + 1] - at, len(values) - place)
+    down = powers(BASE, max(len(values), len(items.hashes)) + 1)[1]
+    same = lambda k, n: (sums[place[k] + n] - sums[place[k]]) * down[place[k]] == (items.sums[at[k] + n] - items.sums[at[k]]) * down[at[k]]
+    with np.errstate(over="ignore"):
+        # most matches end at once
+        live = np.flatnonzero(length < most)
+        live = live[values[place[live] + length[live]] == items.hashes[at[live] + length[live]]]
+        low, high = length[live] + 1, most[live]
+        while len(open_ := np.flatnonzero(low < high)):
+            mid = (low[open_] + high[open_] + 1) // 2
+            ok = same(live[open_], mid)
+            low[open_] = np.where(ok, mid, low[open_])
+            high[open_] = np.where(ok, high[open_], mid - 1)
+    length[live] = low
+    return items.item[row], at - items.begins[items.item[row]], place, length
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -164,22 +220,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 values[np.arange(len(hashes)) + doc] = hashes
                 order = suffix_array(values[: len(values) - window], window)
                 hit = np.zeros(len(values) + 1, np.int64)
-                own: dict[int, list[dict]] = {}
+                first = begins[:-1] + np.arange(n_docs)
+                rows, names = [], []
                 for block in sent:
                     some = block.value
-                    item, word, place, length = matches(values, order, some, window)
-                    np.add.at(hit, place, 1)
-                    np.add.at(hit, place + length, -1)
-                    first = begins[:-1] + np.arange(n_docs)
-                    whose = np.searchsorted(first, place, "right") - 1
-                    for d, i, w, p, m in zip(whose.tolist(), item.tolist(), word.tolist(), (place - first[whose]).tolist(), length.tolist(), strict=True):
-                        own.setdefault(d, []).append({"item_id": some.ids[i], "item_word": w, "doc_word": p, "n_words": m})
+                    for item, word, place, length in matches(values, order, some, window):
+                        np.add.at(hit, place, 1)
+                        np.add.at(hit, place + length, -1)
+                        whose = np.searchsorted(first, place, "right") - 1
+                        rows.append(np.stack([whose, word, place - first[whose], length]).astype(np.int32))
+                        names.append(pa.array(some.ids, pa.string()).take(pa.array(item)))
                     if len(sent) > 1:
                         del block._value
                 covered = (np.cumsum(hit)[: len(values)] > 0)[np.arange(len(hashes)) + doc]
                 n_hit = np.bincount(doc[covered], minlength=n_docs)
+                whose, word, place, length = np.concatenate(rows, 1) if rows else np.zeros((4, 0), np.int32)
+                by = np.argsort(whose, kind="stable")
+                name = pa.concat_arrays(names).take(pa.array(by)) if names else pa.array([], pa.string())
+                found_ = pa.StructArray.from_arrays([name, *(pa.array(x[by]) for x in (word, place, length))], ["item_id", "item_word", "doc_word", "n_words"])
+                ends_ = pa.array(np.searchsorted(whose[by], np.arange(n_docs + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n_docs), pa.array(np.diff(begins)), pa.array(n_hit.astype(np.int64)), pa.array([own.get(d, []) for d in range(n_docs)], pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())]))), *(c.slice(lo, n_docs) for c in batch.columns[2:])],
+                    [batch.column(0).slice(lo, n_docs), pa.array(np.diff(begins)), pa.array(n_hit.astype(np.int64)), pa.ListArray.from_arrays(ends_, found_), *(c.slice(lo, n_docs) for c in batch.columns[2:])],
                     ["id", "n_words", "n_hit", "matches", *batch.schema.names[2:]],
                 )
 

@@ -2,24 +2,12 @@
 
 Candidates come from SimHash by anchor-point covering, as in simhash.py, and,
 for what its threshold cannot reach (at a similarity of 0.8 some ten of 64 bits
-differ), from bands of minimum hashes: a pair of similarity s agrees in none of
-BANDS bands of ROWS hashes with probability (1 - s^ROWS)^BANDS, which is 1.3e-7
-at 0.8 and less above. Every link is checked on the whole sets of shingles.
-
-No step makes a row for each pair of a group. Members of a band are first
-compared with one of them, and so are those of one fingerprint. What that
-leaves apart meets in a task: there a short signature tells which members may
-have a partner at all (it misses one of similarity 0.8 with probability 2e-9),
-and only their sets are sent to be compared, once in each band, until all that
-can be linked is; what leaves the task is a forest. A band of many members is
-compared block by block, a pair of blocks in a task.
+differ), from bands of HyperMinHash registers, as in hyperminhash.py, whose
+steps also confirm every link on the whole sets of shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,220 +15,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .components import components
-from .shared import finished, long_rows, written
-
-BANDS, ROWS, SEED = 40, 5, 42
-#: Minimum hashes of which the signature has a byte, and how many agree at least in two sets of similarity 0.8 (of another similarity s: as many of the expected ones).
-SIGNATURE, AGREE = 100, 52
-#: Members of a band that are compared in one task, and shingles that their sets have together; a single set may have more.
-MOST_MEMBERS, MOST_SHINGLES = 1000, 2_000_000
-U64 = np.uint64
-
-
-@cache
-def _factors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    n = BANDS * ROWS
-    a, b = (rng.integers(0, 1 << 32, (n, 1), dtype=np.uint64).astype(np.uint32) for _ in range(2))
-    return a | np.uint32(1), b, rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) << U64(1) | U64(1)
-
-
-def distinct(hashes: np.ndarray) -> np.ndarray:
-    hashes = np.sort(hashes)
-    return hashes[np.append(True, hashes[1:] != hashes[:-1])] if len(hashes) else hashes
-
-
-def minima(hashes: np.ndarray, n: int = BANDS * ROWS) -> np.ndarray:
-    """The least value of each of n hash functions over a set."""
-    a, b, _ = _factors()
-    least = np.full(n, 0xFFFFFFFF, np.uint32)
-    low = hashes.astype(np.uint32)
-    for lo in range(0, len(low), 1024):
-        least = np.minimum(least, (low[None, lo : lo + 1024] * a[:n] + b[:n]).min(1))
-    return least
+from .hyperminhash import BATCH, SEED, U64, distinct, similar, sketches
+from .shared import long_rows, written
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key for each band of a set's minimum hashes."""
-    mix = _factors()[2]
-    key = ((minima(hashes).reshape(BANDS, ROWS).astype(U64) + U64(1)) * mix).sum(1, dtype=U64)
-    key = (key ^ key >> U64(32)) * U64(0x9E3779B97F4A7C15)
-    return key ^ key >> U64(29)
+def _sets(rows: DataFrame, words: int) -> DataFrame:
+    """(id, tid, sid, n, fp, sketch): sid stands for the set of shingles, n is its size, fp the SimHash of the text."""
 
+    def run(batches):
+        for batch in batches:
+            every = [simhash.shingle_hashes(x.as_py(), words) for x in batch.column(2).cast(pa.large_binary())]
+            sets = [distinct(h) for h in every]
+            ids = (np.fromiter(x, U64, len(sets)).view(np.int64) for x in ((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), map(simhash.fingerprint, every)))
+            sketch = pa.array([x.tobytes() for x in sketches(sets)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(next(ids)), pa.array(list(map(len, sets)), pa.int32()), pa.array(next(ids)), sketch], ["id", "tid", "sid", "n", "fp", "sketch"])
 
-def signature(hashes: np.ndarray) -> bytes:
-    return ((minima(hashes, SIGNATURE) * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tid long, sid long, n int, fp long, sketch binary")
 
 
-def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(id, tid, sid, n, fp, bands): sid stands for the set of shingles, n is its size, fp the SimHash of the text."""
+def _whole(rows: DataFrame, words: int) -> DataFrame:
+    """(sid, hashes) of rows (sid, text)."""
 
     def run(batches):
         for batch in batches:
-            sid, n, fp, keys = [], [], [], []
-            for x in batch.column(2).cast(pa.large_binary()):
-                every = simhash.shingle_hashes(x.as_py(), words)
-                s = distinct(every)
-                sid.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
-                n.append(len(s))
-                fp.append(simhash.fingerprint(every))
-                keys.append(band_keys(s) if len(s) else s)
-            flat = np.concatenate([*keys, np.zeros(0, U64)]).view(np.int64)
-            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            ids = (pa.array(np.array(x, U64).view(np.int64)) for x in (sid, fp))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), next(ids), pa.array(n, pa.int32()), next(ids), bands], ["id", "tid", "sid", "n", "fp", "bands"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tid long, sid long, n int, fp long, bands array<long>")
-
-
-def _shingled(rows: DataFrame, words: int) -> DataFrame:
-    """(sid, sig, hashes) of rows (sid, text)."""
+            sets = [distinct(simhash.shingle_hashes(x.as_py(), words)).tobytes() for x in batch.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["sid", "hashes"])
 
-    def run(batches):
-        for batch in batches:
-            sets = [distinct(simhash.shingle_hashes(x.as_py(), words)) for x in batch.column(1).cast(pa.large_binary())]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = pa.array(np.concatenate([*sets, np.zeros(0, U64)]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(signature, sets), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["sid", "sig", "hashes"])
-
-    return rows.mapInArrow(run, "sid long, sig binary, hashes array<long>")
-
-
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
-    """The rows of each unit (columns key, i, j), of batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, i, j = (batch.column(c).to_numpy() for c in range(3))
-        new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
-        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            own = int(key[lo]), int(i[lo]), int(j[lo])
-            if own != last and held:
-                yield last, pa.Table.from_batches(held)
-                held = []
-            last = own
-            held.append(batch.slice(lo, hi - lo))
-    if held:
-        yield last, pa.Table.from_batches(held)
-
-
-def _may_link(least: float) -> Callable:
-    """(key, i, j, sid, root, part) of the members of a unit that may have a partner in another component, by sizes and signatures."""
-    agree = AGREE * least / 0.8
+    return rows.mapInArrow(run, "sid long, hashes binary")
 
-    def run(batches):
-        for (_, i, j), unit in _units(batches):
-            if unit.num_rows < 2:
-                continue
-            root, n, part = (unit[c].to_numpy() for c in ("root", "n", "part"))
-            sig = np.frombuffer(b"".join(unit["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-            some = np.zeros(len(root), bool)
-            for k in range(1, len(root)):
-                ok = (root[:k] != root[k]) & (np.minimum(n[:k], n[k]) >= least * np.maximum(n[:k], n[k]))
-                if i != j:
-                    ok &= part[:k] != part[k]
-                at = np.flatnonzero(ok)
-                at = at[(sig[at] == sig[k]).sum(1) >= agree]
-                if len(at):
-                    some[k] = True
-                    some[at] = True
-            if some.any():
-                yield from unit.select(["key", "i", "j", "sid", "root", "part"]).filter(pa.array(some)).combine_chunks().to_batches()
-
-    return run
-
-
-def _linked(least: float) -> Callable:
-    """Links (a, b) between sets of a unit that join all that are similar: no more than a forest over the components that came in."""
 
-    def run(batches):
-        for (_, i, j), unit in _units(batches):
-            sid, root, part = (unit[c].to_numpy().copy() for c in ("sid", "root", "part"))
-            hashes = unit["hashes"].combine_chunks()
-            flat, ends = hashes.values.to_numpy().view(U64), np.asarray(hashes.offsets)
-            n = np.diff(ends)
-            for k in range(1, len(sid)):
-                ok = (root[:k] != root[k]) & (np.minimum(n[:k], n[k]) >= least * np.maximum(n[:k], n[k]))
-                if i != j:
-                    ok &= part[:k] != part[k]
-                mine = flat[ends[k] : ends[k + 1]]
-                for other in np.flatnonzero(ok).tolist():
-                    if root[other] == root[k]:
-                        continue
-                    theirs = flat[ends[other] : ends[other + 1]]
-                    both = np.concatenate([mine, theirs])
-                    both.sort()
-                    common = int((both[1:] == both[:-1]).sum())
-                    if common >= least * (len(both) - common):
-                        yield pa.RecordBatch.from_arrays([pa.array(sid[[other]]), pa.array(sid[[k]])], ["a", "b"])
-                        root[root == root[other]] = root[k]
-
-    return run
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, t: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, t: int = 4) -> DataFrame:
     """(id_col, component_id) for every row of docs.
 
-    Texts link whose sets of word shingles have a Jaccard similarity of least
-    or more; component_id is the smallest id reachable over links, null if all
-    are null. Equal sets meet first, in an aggregate. Null and blank texts are
-    one set, which is like no other. Other columns are not read; an empty table
-    gives an empty result. Equal 64-bit hashes are taken as equal texts, sets
-    and shingles; for least below 0.8 more pairs are missed, as the bands are
-    made for 0.8."""
-    spark = docs.sparkSession
-    rows = long_rows(docs).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tid"), "text")
+    Texts link whose sets of word shingles have percent per cent or more of
+    their union in common; component_id is the smallest id reachable over links,
+    null if all are null. Equal sets meet first, in an aggregate. Null and blank
+    texts are one set, which is like no other. Other columns are not read; an
+    empty table gives an empty result. Equal 64-bit hashes are taken as equal
+    texts, sets and shingles; for percent below 80 more pairs are missed, as the
+    bands are made for 80."""
+    rows = long_rows(docs, BATCH).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tid"), "text")
     each = written(_sets(rows, words), "sets")
-    of_set = each.groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("bands").alias("bands"))
+    of_set = each.groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("sketch").alias("sketch"))
     of_set = written(of_set, "distinct")
+    some = of_set.where("n > 0")
 
     # SimHash: a star for each fingerprint, and a link between two for each link of theirs
-    head = of_set.where("n > 0").groupBy("fp").agg(F.min("sid").alias("head"))
-    star = of_set.where("n > 0").join(head, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
+    head = some.groupBy("fp").agg(F.min("sid").alias("head"))
+    star = some.select("sid", "fp").join(head, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
     near = simhash.links(head.select("fp"), t)
     of = lambda c: head.select(F.col("fp").alias(c), F.col("head").alias(f"{c}2"))
     near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
 
-    # bands: a star for each
-    bands = of_set.select("sid", "n", F.explode("bands").alias("key"))
-    several = bands.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("sid", "n")).alias("rep")).where("c > 1").select("key", "rep")
-    shared = written(bands.join(several, "key"), "bands")
-    finished(spark)
-    sizes = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least  # noqa: E731  no pair of enough similarity breaks this
-    same = shared.where((F.col("sid") != F.col("rep.sid")) & sizes(F.col("n"), F.col("rep.n"))).select(F.col("rep.sid").alias("a"), F.col("sid").alias("b"))
-    pairs = written(star.unionByName(near).unionByName(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-
-    wanted = shared.select("sid").unionByName(pairs.select(F.col("a").alias("sid"))).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(of_set.select("sid", "tid"), "sid")
-    texts = rows.select("tid", "text").join(wanted, "tid").dropDuplicates(["sid"]).select("sid", "text")
-    known = written(_shingled(texts, words), "shingles")
-    finished(spark)
-    of = lambda c: known.select(F.col("sid").alias(c), F.col("hashes").alias(f"{c}_h"))
-    both = pairs.join(of("b"), "b").join(of("a"), "a").withColumn("n", F.size(F.array_intersect("a_h", "b_h")))
-    links = written(both.where(F.col("n") >= least * (F.size("a_h") + F.size("b_h") - F.col("n"))).select("a", "b"), "links")
-
-    # what is in one band and not yet in one component
-    roots = components(links)
-    apart = shared.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-    several = apart.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"), F.sum("n").cast("long").alias("size")).where("lo <> hi")
-    blocks = F.greatest(F.ceil(F.col("c") / MOST_MEMBERS), F.ceil(F.col("size") / MOST_SHINGLES)).cast("int")
-    apart = apart.join(several.select("key", blocks.alias("blocks")), "key")
-    part = F.pmod(F.xxhash64("sid", "key"), F.col("blocks")).cast("int")
-    # the part of a member meets every part: unit (i, j), i <= j
-    unit = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j"))))
-    apart = apart.withColumn("part", part).withColumn("unit", unit).select("key", "unit.i", "unit.j", "sid", "root", "n", "part")
-    dealt = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    told = dealt(apart.join(known.select("sid", "sig"), "sid").select(*apart.columns, "sig"))
-    left = written(told.mapInArrow(_may_link(least), "key long, i int, j int, sid long, root long, part int"), "apart")
-    sets = dealt(left.join(known.select("sid", "hashes"), "sid").select(*left.columns, "hashes"))
-    roots = components(links.unionByName(sets.mapInArrow(_linked(least), "a long, b long")))
-    finished(spark)
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        known = wanted.join(some.select("sid", "tid"), "sid")
+        return _whole(rows.select("tid", "text").join(known, "tid").dropDuplicates(["sid"]).select("sid", "text"), words)
 
+    roots = similar(some, sets_of, percent, star.unionByName(near))
     of = of_set.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of.groupBy("root").agg(F.min("first").alias("component_id"))
     of = of.join(smallest, "root").select("sid", "component_id")
-    return each.join(of, "sid").select(F.col("id").alias(id_col), "component_id")
+    return each.select("id", "sid").join(of, "sid").select(F.col("id").alias(id_col), "component_id")

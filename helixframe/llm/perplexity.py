@@ -28,6 +28,8 @@ from .vectors import U64, mixed
 ORDER = 5
 #: Characters handled at a time; bytes of text in a chunk; n-grams in a shard.
 BLOCK, CHUNK, SHARD = 1 << 20, 32 << 20, 1 << 18
+#: N-grams that all chunks together may ask of one shard (ten bytes each, with the answer).
+MOST_ASKED = 1 << 25
 #: Different n-grams that a task gathers before it sends them on.
 MOST_KNOWN = 1 << 20
 #: Trusted ids that are sent to all tasks (8 bytes each); more are joined by shuffle.
@@ -238,7 +240,8 @@ def perplexities(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text
     size, grams = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, known.count()
     # few chunks ask for less in all; but no core should wait for want of one
     chunks = max(-(-size // CHUNK), min(spark.sparkContext.defaultParallelism, size >> 20), 1)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams // SHARD))
+    # a shard is asked by every chunk: their number grows with what all chunks may ask, so that a group stays bounded
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams // SHARD), -(-chunks * min(grams, CHUNK) // MOST_ASKED))
     chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")
     extra = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
     texts = rows.select(chunk.alias("chunk"), *rows.columns).repartition(chunks, "chunk")

@@ -82,6 +82,23 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
+def _unzipped(data: bytes) -> bytes:
+    """The content of a gzip file of one member or many; bytes that begin no further member are padding. Each byte is fed once."""
+    view, at, out = memoryview(data), 0, []
+    member = zlib.decompressobj(31)
+    while at < len(view):
+        piece = view[at : at + (1 << 16)]
+        out.append(member.decompress(piece))
+        at += len(piece) - len(member.unused_data)
+        if member.eof:
+            if view[at : at + 2] != b"\x1f\x8b":
+                break
+            member = zlib.decompressobj(31)
+    if not member.eof:
+        raise ValueError("a gzip member has no end")
+    return b"".join(out)
+
+
 def _records(data: bytes):
     at = 0
     while at < len(data):
@@ -96,23 +113,22 @@ def _records(data: bytes):
         if data[at : at + 4] != b"\r\n\r\n":
             raise ValueError(f"record does not end at byte {at}")
         at += 4
-        yield fields, block[block.index(b"\r\n\r\n") + 4 :] if fields.get(b"content-type", b"").startswith(b"application/http") else block
+        http = block.find(b"\r\n\r\n") if fields.get(b"content-type", b"").startswith(b"application/http") else -1
+        yield fields, block[http + 4 :] if http >= 0 else block
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row for every record of the archives under path (gzip or plain): ids, type, uri, page_id, the digest its header tells, and its own payload (empty for revisits)."""
+    """A row for every record of the archives under path (gzip, of one member or
+    one for each record, or plain; files of any name, but for those that begin
+    with _ or a dot, which are not data to Spark): ids, type, uri, page_id, the
+    digest its header tells, and its own payload (empty for revisits)."""
 
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
                 data = content.as_py()
                 if data[:2] == b"\x1f\x8b":
-                    out = b""
-                    while data:  # one member or many
-                        member = zlib.decompressobj(31)
-                        out += member.decompress(data)
-                        data = member.unused_data
-                    data = out
+                    data = _unzipped(data)
                 rows, size = [], 0
                 for f, payload in _records(data):
                     text = lambda k, f=f: f[k].decode() if k in f else None
@@ -124,7 +140,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, RECORD)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -133,12 +149,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Every record with size and digest of its full payload; for revisits those of the response that they refer to, and its page_id as refers_to.
+    """Every response, resource and revisit record with size and digest of its
+    full payload; for revisits those of the response that they refer to, and
+    its page_id as refers_to. Records of other types (warcinfo, request,
+    metadata) hold no page and are left out.
 
     A revisit of which the response is not among records stays, with the digest that its header tells, a null size and a null refers_to."""
     own = records.select("record_id", "record_type", "page_id", "refers_to_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), F.col("payload_digest").alias("told"))
     response = own.where("record_type = 'response'").groupBy("record_id").agg(F.first("page_id").alias("at"), F.first("payload_bytes").alias("n"), F.first("payload_digest").alias("d"))
-    plain = own.where("record_type <> 'revisit'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("string").alias("refers_to"))
+    plain = own.where("record_type in ('response', 'resource')").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("string").alias("refers_to"))
     again = own.where("record_type = 'revisit'").select("page_id", "record_type", "told", F.col("refers_to_id").alias("record_id")).join(response, "record_id", "left")
     return plain.unionByName(again.select("page_id", F.col("n").alias("payload_bytes"), F.coalesce("d", "told").alias("payload_digest"), "record_type", F.col("at").alias("refers_to")))
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helixframe.llm import decontaminate
 
@@ -90,3 +91,24 @@ def test_empty_tables(spark):
     docs, items = tables(spark)
     assert decontaminate.contamination_digests(empty(spark), items_table(spark, items)).count() == 0
     assert {r.n_hit for r in decontaminate.contamination_digests(docs, items_table(spark, items).limit(0)).collect()} == {0}
+
+
+def test_repetitive_texts(spark):
+    """One word a million times, and an item of it, take the memory of what is found."""
+    import resource
+
+    items = decontaminate.items_of(["a", "b"], pa.array(["w " * 5000, "v w " * 300]), 10)
+    values = np.concatenate([np.full(1_000_000, items.hashes[0]), np.zeros(11, np.uint64)])
+    order = decontaminate.suffix_array(values[:-10], 10)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n, most, hit = 0, 0, np.zeros(len(values) + 1, np.int64)
+    for _, _, place, length in decontaminate.matches(values, order, items, 10):
+        n, most = n + len(place), max(most, int(length.max()))
+        np.add.at(hit, place, 1)
+        np.add.at(hit, place + length, -1)
+    assert n == 999_991 + 4990 and most == 5000 and (np.cumsum(hit)[:1_000_000] > 0).all()
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+    docs = spark.createDataFrame([(1, "w " * 20_000), (2, "v w " * 200)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, spark.createDataFrame([(1, "w " * 400), (2, "w v " * 40)], "item_id long, text string")).collect()}
+    assert (got[1].n_hit, got[2].n_hit) == (20_000, 400)
+    assert max(m.n_words for m in got[1].matches) == 400

@@ -65,5 +65,34 @@ def test_revisit_without_its_response_stays(spark, tmp_path):
     assert all(r.payload_bytes is None and r.refers_to is None and r.record_type == "revisit" for r in got)
 
 
+def test_foreign_archives(spark, tmp_path):
+    """Other names, a gzip member for each record, plain files, and records that hold no page."""
+    df = pages(spark)
+    warc.write_archives(df, str(tmp_path / "own"))
+    data = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "own").glob("part-*"))
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:i>\r\nContent-Type: application/warc-fields\r\nContent-Length: 4\r\n\r\na: b\r\n\r\n"
+    asked = b"WARC/1.1\r\nWARC-Type: request\r\nWARC-Record-ID: <urn:r>\r\nContent-Type: application/http; msgtype=request\r\nContent-Length: 5\r\n\r\nGET /\r\n\r\n"
+    at, pieces = 0, [info, asked]
+    while at < len(data):
+        head = data.index(b"\r\n\r\n", at) + 4
+        end = head + int(data[at:head].split(b"Content-Length: ")[-1].split(b"\r\n")[0]) + 4
+        pieces.append(data[at:end])
+        at = end
+    half = len(pieces) // 2
+    away = tmp_path / "away" / "deep"
+    away.mkdir(parents=True)
+    (away / "CC-MAIN-0.warc.gz").write_bytes(b"".join(map(gzip.compress, pieces[:half])) + b"\0" * 99)
+    (away / "rest.warc").write_bytes(b"".join(pieces[half:]))
+    records = warc.read_archives(spark, str(tmp_path / "away"))
+    assert records.count() == df.count() + 2
+    got = warc.resolved(records).selectExpr("cast(page_id as long)", "payload_bytes", "payload_digest", "record_type", "cast(refers_to as long)")
+    assert sorted(map(tuple, got.collect()), key=str) == brute(df.collect())
+
+
+def test_many_members_are_read_once():
+    data = gzip.compress(b"x" * 50) * 20_000
+    assert warc._unzipped(data) == b"x" * 1_000_000
+
+
 def test_empty_table(spark):
     assert warc.revisit_table(pages(spark).limit(0)).count() == 0
