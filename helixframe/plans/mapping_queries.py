@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, reverse_complement
-from ..operators import banded, chaining, kmer
+from ..operators import banded, chaining, kmer, realign
 from .kmer_queries import dna_sql, seqs
 from .registry import query
 
@@ -78,3 +78,14 @@ def chains_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = rows.select("a", "b", "a_lo", "b_lo", F.substr("a_seq", F.col("a_lo") + 1, F.length("b_seq") + 64).alias("x"), F.substr("b_seq", F.col("b_lo") + 1).alias("y"))
     out = banded.aligned(rest, "x", "y", band=64, zdrop=50)
     return out.select("a", "b", "a_lo", "b_lo", "score", (F.col("a_lo") + F.col("a_end")).alias("a_hi"), (F.col("b_lo") + F.col("b_end")).alias("b_hi"), "cigar")
+
+
+@query()
+def base_alignment_qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aligned stretches with qualities capped by how sure the letters' places are: letters, their qualities' sum before and after, how many are lower, and the cap of the mapping quality."""
+    rows = banded.aligned(stretches(spark, sf_dir), "x", "y", band=200)
+    qual = F.transform(F.sequence(F.lit(1), F.length("x")), lambda i: (10 + (F.col("a") * 7 + i) % 30).cast("int"))
+    out = realign.base_alignment_qualities(rows.select("a", "b", "back", "x", qual.alias("qual"), "y", F.lit(0).alias("pos"), "cigar"), "x", "qual", "y", drop=("x", "y", "pos", "cigar"))
+    total = lambda c: F.aggregate(c, F.lit(0), lambda s, v: s + v)
+    lower = F.size(F.filter(F.zip_with("qual", "baq", lambda p, q: q < p), lambda x: x))
+    return out.select("a", "b", "back", F.size("baq").alias("n"), total("qual").alias("before"), total("baq").alias("after"), lower.alias("n_lower"), "cap")
