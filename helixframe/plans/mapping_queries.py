@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, reverse_complement
-from ..operators import banded, chaining, kmer, realign
+from ..operators import banded, chaining, kmer, polishing, realign
 from .kmer_queries import dna_sql, seqs
 from .registry import query
 
@@ -89,3 +89,16 @@ def base_alignment_qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = lambda c: F.aggregate(c, F.lit(0), lambda s, v: s + v)
     lower = F.size(F.filter(F.zip_with("qual", "baq", lambda p, q: q < p), lambda x: x))
     return out.select("a", "b", "back", F.size("baq").alias("n"), total("qual").alias("before"), total("baq").alias("after"), lower.alias("n_lower"), "cap")
+
+
+#: A bubble's branches, as many as the polisher takes.
+MOST_BRANCHES = 50
+
+
+@query()
+def bubbles_polished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of items that documents are chained to, polished by those documents: a row for each bubble, of the branches the first by document."""
+    rows = stretches(spark, sf_dir).withColumn("k", F.row_number().over(Window.partitionBy("b", "back", "b_lo", "b_hi").orderBy("a", "a_lo"))).where(F.col("k") <= MOST_BRANCHES)
+    bubbles = rows.groupBy("b", "back", "b_lo", "b_hi").agg(F.first("y").alias("candidate"), F.transform(F.array_sort(F.collect_list(F.struct("a", "a_lo", "x"))), lambda s: s["x"]).alias("branches"))
+    out = polishing.polished(bubbles)
+    return out.select("b", "back", "b_lo", "b_hi", F.size("branches").alias("depth"), "candidate", "polished", F.round("score", 6).alias("score"), "changes")
