@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import finished, long_rows, memory_returned, written
+from .shared import long_rows, memory_returned, written
 from .vectors import U64, mixed
 
 ORDER = 5
@@ -271,9 +271,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99) -> Data
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0
     own = docs.select("doc_id", "text").join(side, "doc_id", "left").select("text", F.when(~aside, F.coalesce("trusted", F.lit(0))).otherwise(0).alias("trusted"))
     grams = written(counted(own), "grams")
-    finished(docs.sparkSession)
     known = probabilities(grams)
-    finished(docs.sparkSession)
     scored = written(perplexities(docs, known, keep=("lang",)), "perplexities")
     judged = scored.where(aside & F.col("perplexity").isNotNull()).join(F.broadcast(trusted) if few else trusted.hint("merge"), "doc_id", "left_semi")
     limit = F.percentile_approx("perplexity", quantile, 10_000)

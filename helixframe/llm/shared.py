@@ -35,21 +35,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def finished(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of the jobs that are over:
-    it does so once the driver has collected what referred to them, and that
-    is not before the listeners have heard of the jobs' ends."""
-    import gc
-    import time
-
-    sc = spark.sparkContext
-    for _ in range(2):
-        gc.collect()
-        sc._jsc.sc().listenerBus().waitUntilEmpty()
-        sc._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def memory_returned() -> None:
     """Gives back to the system what a Python worker has freed: workers live on between tasks, and Arrow and the C library keep pages otherwise."""
     import ctypes
