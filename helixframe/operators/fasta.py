@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, reverse_complement
+from .graph import kept
 
 
 def grep_headers(records: DataFrame, pattern: str, header: str = "id", invert: bool = False) -> DataFrame:
@@ -61,12 +62,14 @@ def reversed_records(records: DataFrame, seq_col: str = "seq", only_canonical: b
 
 def numbered(records: DataFrame, order: list, name: str = "place") -> DataFrame:
     """records with their places from 0 along order. Places come from counts of
-    range partitions, so that no task sees all rows."""
+    range partitions, so that no task sees all rows. The dealt rows are written
+    first: rows and counts have to be of the same ranges, which are drawn anew
+    whenever a plan is run."""
     by = records.repartitionByRange(*order).sortWithinPartitions(*order)
-    by = by.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    by = kept(by.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = by.groupBy("__p").count()
     before = sizes.withColumn("__before", F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__before", F.lit(0)).alias("__before"))
-    return by.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
+    return by.join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")  # a row for each range
 
 
 def split_round_robin(records: DataFrame, n: int, order: str = "id") -> DataFrame:

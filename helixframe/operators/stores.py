@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import kept
+
 
 def appended(store: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """store with the rows whose key it does not have; of repeated new keys the first row by all columns."""
@@ -67,10 +69,11 @@ def chosen_pairs(pairs: DataFrame, key: str, ratio: float, seed: int) -> DataFra
 def sampled_to_bases(reads: DataFrame, key: str, size: str, bases: int, seed: int) -> DataFrame:
     """Reads in the order of their digests until they have so many bases: the
     one that reaches them is the last. Running sums come from sums of range
-    partitions, so that no task sees all rows."""
+    partitions, so that no task sees all rows; the dealt rows are written
+    first, for rows and sums have to be of the same ranges."""
     digest = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string")))
     by = reads.withColumn("__d", digest).repartitionByRange("__d", key).sortWithinPartitions("__d", key)
-    by = by.withColumn("__p", F.spark_partition_id())
+    by = kept(by.withColumn("__p", F.spark_partition_id()))
     sums = by.groupBy("__p").agg(F.sum(size).alias("s"))
     before = sums.select("__p", F.coalesce(F.sum("s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = F.coalesce(F.sum(size).over(Window.partitionBy("__p").orderBy("__d", key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
