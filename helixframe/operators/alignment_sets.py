@@ -3,11 +3,17 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chaining import whole_groups
+
 
 def span(a: str, b: str) -> Column:
     return F.abs(F.col(b) - F.col(a)) + 1
@@ -42,24 +48,36 @@ def best_chain(rows: DataFrame, side: str = "ref", most_overlap: float = 100.0,
     the ascending set of alignments with the largest score, where one adds
     trunc((length - overlap) * identity^2) to the best chain before it, if the
     overlap is at most most_overlap percent of both. Ties go to the earlier.
-    A group is one sequence's alignments, handled in one task."""
+
+    Of alignments that have ended before one begins only the best counts, so
+    that it is compared with those alone that are open where it begins. A
+    sequence's alignments are worked through in one pass of one task."""
     lo, hi = ("s_r", "e_r") if side == "ref" else ("s_q", "e_q")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(lo=pdf[[lo, hi]].min(axis=1), hi=pdf[[lo, hi]].max(axis=1)).sort_values(["lo", "hi", key], kind="stable")
-        los, his, keys = (pdf[c].to_numpy(np.int64) for c in ("lo", "hi", key))
-        n, weight = his - los + 1, (pdf.idy.to_numpy(float) / 100) ** 2
-        score, before = np.zeros(len(pdf), np.int64), np.full(len(pdf), -1)
-        for i in range(len(pdf)):
-            score[i] = int(n[i] * weight[i])
-            overlap = np.maximum(0, his[:i] - los[i] + 1)
-            fits = (overlap == 0) | ((his[i] > his[:i]) & (100 * overlap <= most_overlap * n[i]) & (100 * overlap <= most_overlap * n[:i]))
-            if fits.any():
-                chained = np.where(fits, score[:i] + ((n[i] - overlap) * weight[i]).astype(np.int64), -1)
-                j = int(chained.argmax())
-                if chained[j] > score[i]:
-                    score[i], before[i] = chained[j], j
-        at, out = int(score.argmax()), []
+        los, his, keys = (pdf[c].to_numpy(np.int64).tolist() for c in ("lo", "hi", key))
+        weights = ((pdf.idy.to_numpy(float) / 100) ** 2).tolist()
+        score, before = [0] * len(los), [-1] * len(los)
+        open_: list[tuple[int, int]] = []  # (end, alignment), the first end on top
+        closed, of = -1, -1
+        for i, (begin, end, w) in enumerate(zip(los, his, weights, strict=True)):
+            while open_ and open_[0][0] < begin:
+                j = heapq.heappop(open_)[1]
+                if score[j] > closed or (score[j] == closed and j < of):
+                    closed, of = score[j], j
+            n = end - begin + 1
+            own = int(n * w)
+            best, at = (closed + own, of) if of >= 0 else (-1, -1)
+            for far, j in open_:
+                overlap = far - begin + 1
+                if end > far and 100 * overlap <= most_overlap * n and 100 * overlap <= most_overlap * (far - los[j] + 1):
+                    value = score[j] + int((n - overlap) * w)
+                    if value > best or (value == best and j < at):
+                        best, at = value, j
+            score[i], before[i] = (best, at) if best > own else (own, -1)
+            heapq.heappush(open_, (end, i))
+        at, out = int(np.argmax(score)), []
         while at >= 0:
             out.append(keys[at])
             at = before[at]
@@ -83,34 +101,58 @@ def clusters(matches: DataFrame, most_gap: int = 90, diagonal_difference: int =
     qry, r, q, length) joined while the next one along the reference begins at
     most most_gap after the end of an earlier one of its cluster and the
     diagonals differ by at most max(diagonal_difference, diagonal_factor *
-    separation); clusters of least matched bases or more, named by their first
-    match. A group is one pair of sequences."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["r", "q", "length"], kind="stable").reset_index(drop=True)
-        r, q, n = (pdf[c].to_numpy() for c in ("r", "q", "length"))
-        root = list(range(len(pdf)))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for i in range(len(pdf)):
-            for j in range(i + 1, len(pdf)):
-                apart = r[j] - (r[i] + n[i])
-                if apart > most_gap:
-                    break
-                if abs((q[j] - r[j]) - (q[i] - r[i])) <= max(diagonal_difference, int(diagonal_factor * apart)):
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
-        pdf["cluster"] = [find(i) for i in range(len(pdf))]
-        pdf["e_r"], pdf["e_q"] = r + n, q + n
-        out = pdf.groupby("cluster").agg(ref=("ref", "first"), qry=("qry", "first"), n=("r", "size"), total=("length", "sum"), s_r=("r", "min"), e_r=("e_r", "max"), s_q=("q", "min"), e_q=("e_q", "max")).reset_index()
-        return out[out.total >= least][["ref", "qry", "cluster", "n", "total", "s_r", "e_r", "s_q", "e_q"]]
-
-    return matches.groupBy("ref", "qry").applyInPandas(run, "ref long, qry long, cluster long, n long, total long, s_r long, e_r long, s_q long, e_q long")
+    separation); clusters of least matched bases or more, named by the place of
+    their first match among those of the pair.
+
+    A pair's matches are cut where most_gap letters of the reference follow
+    without one; a task holds one stretch between such gaps, of which all
+    matches are compared with their next ones at once."""
+    by = Window.partitionBy("ref", "qry").orderBy("r", "q", "length")
+    far = F.max(F.col("r") + F.col("length")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = matches.select(*(F.col(c).cast("long").alias(c) for c in ("ref", "qry", "r", "q", "length"))).withColumn("k", F.row_number().over(by).cast("long") - 1)
+    rows = rows.withColumn("island", F.sum(F.when(F.col("r") - far > most_gap, 1).otherwise(0)).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.select("ref", "qry", "island", "r", "q", "length", "k").sortWithinPartitions("ref", "qry", "island", "k")
+
+    def joined(r: np.ndarray, q: np.ndarray, n: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Of each match the first one of its cluster."""
+        root = np.arange(len(r))
+        live, step = np.arange(len(r)), 0
+        while len(live):
+            step += 1
+            live = live[live + step < len(r)]
+            apart = r[live + step] - r[live] - n[live]
+            near = (group[live + step] == group[live]) & (apart <= most_gap)
+            live, apart = live[near], apart[near]
+            drift = np.abs(q[live + step] - r[live + step] - q[live] + r[live])
+            hit = drift <= np.maximum(diagonal_difference, (diagonal_factor * apart).astype(np.int64))
+            a, b = live[hit], live[hit] + step
+            while len(a):  # roots only fall, and both ends of a link end up under one
+                x, y = root[a], root[b]
+                np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+                while not np.array_equal(root, up := root[root]):
+                    root = up
+                apart_ = root[a] != root[b]
+                a, b = a[apart_], b[apart_]
+        return root
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 3):
+            c = [table.column(i).to_numpy() for i in range(7)]
+            new = np.append(True, (c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1]))
+            root = joined(c[3], c[4], c[5], np.cumsum(new))
+            first, of = np.unique(root, return_inverse=True)
+            total = np.bincount(of, c[5]).astype(np.int64)
+            ends = []
+            for f, start, values in ((np.minimum, 1 << 62, c[3]), (np.maximum, -1, c[3] + c[5]), (np.minimum, 1 << 62, c[4]), (np.maximum, -1, c[4] + c[5])):
+                out = np.full(len(first), start, np.int64)
+                f.at(out, of, values)
+                ends.append(out)
+            some = total >= least
+            columns = [c[0][first], c[1][first], c[6][first], np.bincount(of).astype(np.int64), total, *ends]
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in columns], ["ref", "qry", "cluster", "n", "total", "s_r", "e_r", "s_q", "e_q"])
+
+    return rows.mapInArrow(run, "ref long, qry long, cluster long, n long, total long, s_r long, e_r long, s_q long, e_q long")
 
 
 def snp_buffers(snps: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -68,29 +68,35 @@ def taken(score: np.ndarray, before: np.ndarray, only_best: bool) -> Iterator[tu
         yield first, last, n, int(score[last] - (score[at] if at >= 0 else 0))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple[tuple, np.ndarray, np.ndarray]]]:
-    """The groups (key, a_pos, b_pos) that end in each batch; those of a key follow one another."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    last = None
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches that are sorted by their first columns, keys in number, so dealt that no group of equal keys is in two batches."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
+        new = np.zeros(batch.num_rows, bool)
+        for c in range(keys):
+            column = batch.column(c).to_numpy(zero_copy_only=False)
+            new[1:] |= column[1:] != column[:-1]
+            new[0] |= bool(held) and column[0] != held[-1].column(c)[-1].as_py()
+        cuts = np.flatnonzero(new)
+        if len(cuts) and (held or cuts[-1]):
+            yield pa.Table.from_batches([*held, batch.slice(0, int(cuts[-1]))]).combine_chunks().to_batches()[0]
+            held = []
+        held.append(batch.slice(int(cuts[-1]) if len(cuts) else 0))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple[tuple, np.ndarray, np.ndarray]]]:
+    """The groups (key, a_pos, b_pos) of each batch; those of a key follow one another."""
+    for batch in whole_groups(batches, keys):
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(keys + 2)]
         new = np.zeros(batch.num_rows, bool)
         for c in columns[:keys]:
             new[1:] |= c[1:] != c[:-1]
         cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
-        out = []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            own = tuple(c[lo].item() for c in columns[:keys])
-            if own != last and held:
-                out.append((last, *map(np.concatenate, zip(*held, strict=True))))
-                held = []
-            last = own
-            held.append((columns[keys][lo:hi], columns[keys + 1][lo:hi]))
-        yield out
-    if held:
-        yield [(last, *map(np.concatenate, zip(*held, strict=True)))]
+        yield [(tuple(c[lo].item() for c in columns[:keys]), columns[keys][lo:hi], columns[keys + 1][lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def chains(rows: DataFrame, k: int, most_jump: int = 1500, least: int = 3, only_best: bool = False) -> DataFrame:

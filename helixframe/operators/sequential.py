@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import banded
+from .banded import Scores, align
+
 
 def low_complexity(seq: str, window: int = 64, threshold: float = 20.0) -> list[tuple[int, int]]:
     """Merged intervals of seq, from 0 and half-open, in which some stretch of
@@ -63,50 +66,14 @@ def mask_low_complexity(records: DataFrame, id_col: str = "id", seq_col: str = "
 
 def alignment(a: str, b: str, match: int = 2, mismatch: int = -4, gap_open: int = -4, gap_extend: int = -2, band: int | None = None) -> tuple[int, str]:
     """Score and CIGAR (M, I to a, D from b) of the best global alignment with
-    affine gaps, within a band around the diagonal that leads from corner to corner."""
-    n, m = len(a), len(b)
-    low = -(1 << 40)
-    best = np.full((3, n + 1, m + 1), low, np.int64)  # match, insertion (a alone), deletion (b alone)
-    back = np.zeros((3, n + 1, m + 1), np.int8)
-    best[0, 0, 0] = 0
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if band is not None and abs(i * m - j * n) > band * max(n, m):
-                continue
-            if i and j:
-                k = int(best[:, i - 1, j - 1].argmax())
-                best[0, i, j] = best[k, i - 1, j - 1] + (match if a[i - 1] == b[j - 1] else mismatch)
-                back[0, i, j] = k
-            for state, (p, q) in ((1, (i - 1, j)), (2, (i, j - 1))):
-                if p >= 0 and q >= 0:
-                    scores = best[:, p, q] + gap_open + gap_extend
-                    scores[state] = best[state, p, q] + gap_extend
-                    k = int(scores.argmax())
-                    best[state, i, j], back[state, i, j] = scores[k], k
-    i, j, state = n, m, int(best[:, n, m].argmax())
-    score, ops = int(best[state, n, m]), []
-    while i or j:
-        ops.append("MID"[state])
-        k = int(back[state, i, j])
-        i, j = i - (state != 2), j - (state != 1)
-        state = k
-    cigar, run = "", 0
-    for x, op in enumerate(reversed(ops)):
-        run += 1
-        if x + 1 == len(ops) or ops[len(ops) - 2 - x] != op:
-            cigar += f"{run}{op}"
-            run = 0
-    return score, cigar
+    affine gaps, within band letters of the line that leads from corner to corner."""
+    found = align([(a.encode(), b.encode())], band, Scores(match, mismatch, gap_open, gap_extend))[0]
+    return found.score, found.cigar
 
 
 def aligned(pairs: DataFrame, a: str = "a", b: str = "b", band: int | None = None, **scores: int) -> DataFrame:
-    """pairs with score and cigar of the global alignment of two short sequences (quadratic in their length)."""
-
-    @F.pandas_udf("score int, cigar string")
-    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([alignment(p or "", q or "", band=band, **scores) for p, q in zip(x, y, strict=True)], columns=["score", "cigar"])
-
-    return pairs.withColumn("__x", run(a, b)).select(*pairs.columns, "__x.score", "__x.cigar")
+    """pairs with score and cigar of the global alignment of two sequences."""
+    return banded.aligned(pairs, a, b, band, Scores(**scores)).drop("a_end", "b_end")
 
 
 def best_tiling(rows: DataFrame, by: str, lo: str, hi: str, weight: str, key: str, most_overlap: int = 0) -> DataFrame:
@@ -249,17 +216,24 @@ def longest_increasing(rows: DataFrame, by: list[str], order: str, value: str) -
 def primary_alignments(rows: DataFrame, by: str, lo: str, hi: str, score: str, key: str, share: float = 0.5) -> DataFrame:
     """(key, primary): in the order of falling scores (then of keys) an alignment is
     primary unless it overlaps a primary one of its group, of better score, by
-    at least share of the shorter of the two."""
+    at least share (over 0, at most 1) of the shorter of the two. No primary
+    one lies within another, so their begins and ends are in one order, and an
+    alignment is compared with those alone that it touches."""
     kind = rows.schema[key].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([score, key], ascending=[False, True], kind="stable")
-        los, his = pdf[lo].to_numpy(), pdf[hi].to_numpy()
-        mine = np.zeros(len(pdf), bool)
-        for i in range(len(pdf)):
-            own = np.flatnonzero(mine[:i])
-            overlap = np.minimum(his[own], his[i]) - np.maximum(los[own], los[i])
-            mine[i] = not (overlap >= share * np.minimum(his[own] - los[own], his[i] - los[i])).any()
+        begins: list[int] = []
+        ends: list[int] = []
+        mine = []
+        for a, b in zip(pdf[lo].tolist(), pdf[hi].tolist(), strict=True):
+            near = range(bisect.bisect_left(ends, a), bisect.bisect_right(begins, b))
+            free = not any(min(ends[k], b) - max(begins[k], a) >= share * min(ends[k] - begins[k], b - a) for k in near)
+            mine.append(free)
+            if free:
+                at = bisect.bisect_left(begins, a)
+                begins.insert(at, a)
+                ends.insert(at, b)
         return pd.DataFrame({key: pdf[key], "primary": mine})
 
     return rows.select(by, lo, hi, score, key).groupBy(by).applyInPandas(run, f"{key} {kind}, primary boolean")

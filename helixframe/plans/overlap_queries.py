@@ -123,14 +123,17 @@ def maximal_matches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.match_runs(seqs(spark, sf_dir, "benchmark"), seqs(spark, sf_dir), 12, None)
 
 
+@query(f"""WITH RECURSIVE m AS (SELECT t AS ref, q AS qry, t_begin AS r, q_begin AS q, length AS n, row_number() OVER (PARTITION BY t, q ORDER BY t_begin, q_begin, length) - 1 AS k FROM {_runs_sql(None)}),
+e AS (SELECT x.ref, x.qry, x.k AS a, y.k AS b FROM m x JOIN m y ON y.ref = x.ref AND y.qry = x.qry AND y.k > x.k AND y.r - x.r - x.n <= 90 AND abs(y.q - y.r - x.q + x.r) <= greatest(5, CAST(trunc(0.12 * (y.r - x.r - x.n)) AS BIGINT))),
+u AS (SELECT ref, qry, a, b FROM e UNION ALL SELECT ref, qry, b, a FROM e),
+c(ref, qry, k, x) AS (SELECT ref, qry, k, k FROM m UNION SELECT c.ref, c.qry, c.k, u.b FROM c JOIN u ON u.ref = c.ref AND u.qry = c.qry AND u.a = c.x),
+l AS (SELECT ref, qry, k, min(x) AS cluster FROM c GROUP BY ref, qry, k)
+SELECT ref, qry, cluster, count(*) AS n, CAST(sum(n) AS BIGINT) AS total, min(r) AS s_r, max(r + n) AS e_r, min(q) AS s_q, max(q + n) AS e_q FROM l JOIN m USING (ref, qry, k) GROUP BY ref, qry, cluster HAVING sum(n) >= 20""")
 def match_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = maximal_matches_all(spark, sf_dir).select(F.col("t").alias("ref"), F.col("q").alias("qry"), F.col("t_begin").cast("long").alias("r"), F.col("q_begin").cast("long").alias("q"), "length")
     return alignment_sets.clusters(found, least=20)
 
 
-query()(match_clusters)
-
-
 @query("""WITH w AS (SELECT l_suppkey AS g, l_orderkey * 8 + l_linenumber AS id, date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS lo, date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) + CAST(l_quantity AS INTEGER) AS hi FROM lineitem),
 f AS (SELECT *, max(hi) OVER (PARTITION BY g ORDER BY lo, hi DESC, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM w)
 SELECT g, id, lo, hi FROM f WHERE far >= hi""")
