@@ -24,12 +24,13 @@ def seed_overlaps(reads: DataFrame, k: int, most: int, least_seeds: int = 1, id_
     return best.select("a", "b", (-F.col("x")["col2"]).alias("diagonal"), F.col("x.seeds").alias("seeds")).where(F.col("seeds") >= least_seeds)
 
 
-def seed_pairs(reads: DataFrame, other: DataFrame, key: str, most: int, id_col: str = "id") -> DataFrame:
-    """(a, b, shared): how many distinct keys a read of one table shares with one of another; keys in more than most rows of other are passed over."""
+def seed_pairs(reads: DataFrame, other: DataFrame, key: str, most: int | None, id_col: str = "id") -> DataFrame:
+    """(a, b, shared): how many distinct keys a read of one table shares with one of another; keys in more than most rows of other (None: of any number) are passed over."""
     right = other.select(key, F.col(id_col).alias("b")).distinct()
-    rare = right.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") <= most).select(key)
+    if most is not None:
+        right = right.join(right.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") <= most).select(key), key)
     left = reads.select(key, F.col(id_col).alias("a")).distinct()
-    return left.join(right.join(rare, key), key).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    return left.join(right, key).groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
 def select(overlaps: DataFrame, kinds: list[str], most_error: float = 1.0, least_b: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sequence import canonical, reverse_complement, translated
+from ..functions.sequence import AMINO_ACIDS, canonical, reverse_complement, translated
 from ..operators import fasta, graph, interval, kmer, layouts, overlap, sequential
 from ..operators.graph import new_path
 from ..sources import readers, writers
@@ -187,10 +187,10 @@ def chimeras_by_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return half(False, "front").join(half(True, "back"), "id").where("front <> back")
 
 
-@query(f"WITH p AS (SELECT x.id, x.a, y.a AS b FROM (SELECT id, left(seq, 60) AS a FROM {DOCS}) x JOIN (SELECT id, left(seq, 60) AS a FROM {DOCS}) y ON y.id = x.id + 1), i AS (SELECT id, a, b, unnest(range(1, least(length(a), length(b)) + 1)) AS i FROM p) SELECT id, any_value(a) || chr(10) || string_agg(CASE WHEN substr(a, CAST(i AS BIGINT), 1) = substr(b, CAST(i AS BIGINT), 1) THEN '|' ELSE ' ' END, '' ORDER BY i) || chr(10) || any_value(b) AS lines FROM i GROUP BY id")
+@query(f"WITH p AS (SELECT x.id, x.a, y.a AS b FROM (SELECT id, seq AS a FROM {DOCS}) x JOIN (SELECT id, seq AS a FROM {DOCS}) y ON y.id = x.id + 1), i AS (SELECT id, a, b, unnest(range(1, least(length(a), length(b)) + 1)) AS i FROM p) SELECT id, any_value(a) || chr(10) || string_agg(CASE WHEN substr(a, CAST(i AS BIGINT), 1) = substr(b, CAST(i AS BIGINT), 1) THEN '|' ELSE ' ' END, '' ORDER BY i) || chr(10) || any_value(b) AS lines FROM i GROUP BY id")
 def alignments_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sequences above one another, with marks where they agree."""
-    rows = seqs(spark, sf_dir).select("id", F.left("seq", F.lit(60)).alias("a"))
+    rows = seqs(spark, sf_dir).select("id", F.col("seq").alias("a"))
     pairs = rows.join(rows.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id").where("a <> '' and b <> ''")
     n = F.least(F.length("a"), F.length("b"))
     at = lambda c, i: F.substr(F.col(c), i, F.lit(1))
@@ -229,7 +229,16 @@ def trio_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.trio_binning(of("en"), of("de"), of("fr"), 8).select("id", "parent")
 
 
-@query()
+def _acids_sql(name: str) -> str:
+    """(id, word): the words of five amino acids of a table's three frames, one for each fifteen letters."""
+    id_col = {"documents": "doc_id", "benchmark": "item_id"}[name]
+    at = lambda k: f"(instr('TCAG', substr(s, CAST(i + {k} AS BIGINT), 1)) - 1)"
+    acids = " || ".join(f"substr('{AMINO_ACIDS}', 16 * {at(k)} + 4 * {at(k + 1)} + {at(k + 2)} + 1, 1)" for k in range(0, 15, 3))
+    letters = f"(SELECT {id_col} AS id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS s FROM {name})"
+    return f"(SELECT DISTINCT id, {acids} AS word FROM (SELECT id, s, unnest(range(1, length(s) - 13)) AS i FROM {letters} WHERE length(s) >= 15))"
+
+
+@query(f"SELECT x.id AS a, y.id AS b, count(*) AS shared FROM {_acids_sql('documents')} x JOIN {_acids_sql('benchmark')} y ON y.word = x.word GROUP BY ALL")
 def protein_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and an item that share words of five amino acids, in any of three frames."""
     def words(name: str) -> DataFrame:
@@ -239,7 +248,7 @@ def protein_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         at = frames.select("id", "p", F.explode(F.when(n > 0, F.sequence(F.lit(1), n))).alias("i"))
         return at.select("id", F.substr("p", F.col("i"), F.lit(5)).alias("word")).distinct()
 
-    return overlap.seed_pairs(words("documents"), words("benchmark"), "word", 5)
+    return overlap.seed_pairs(words("documents"), words("benchmark"), "word", None)
 
 
 @query(f"SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS total, min(length(seq)) AS least, max(length(seq)) AS most, avg(length(seq)) AS mean FROM {DOCS}")

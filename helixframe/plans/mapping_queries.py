@@ -11,49 +11,58 @@ from .kmer_queries import dna_sql, seqs
 from .registry import query
 
 #: Letters of a seed; between two of a chain less than so many letters.
-K, JUMP = 11, 200
+K, READ_K, JUMP = 11, 15, 200
 RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
 
 
-def seeds(spark, sf_dir, name: str) -> DataFrame:
-    """(id, pos, minimizer, back) of every k-mer that is not its own reverse complement."""
-    rows = kmer.enumerate_kmers(seqs(spark, sf_dir, name), K, both_strands=False, keep=("id",), positions=True, clean=True)
+def seeds(spark, sf_dir, name: str, k: int = K) -> DataFrame:
+    """(id, pos, minimizer, back) of every k-mer (of an odd number of letters: none is its own reverse complement)."""
+    rows = kmer.enumerate_kmers(seqs(spark, sf_dir, name), k, both_strands=False, keep=("id",), positions=True, clean=True)
     other = reverse_complement(F.col("kmer"))
     return rows.select("id", "pos", canonical(F.col("kmer")).alias("minimizer"), (F.col("kmer") > other).alias("back"))
 
 
-def _seeds_sql(name: str) -> str:
-    return f"(SELECT id, pos, least(kmer, {RC.format('kmer')}) AS m, kmer > {RC.format('kmer')} AS back FROM {dna_sql(name, k=K, both=False)})"
+def _seeds_sql(name: str, k: int) -> str:
+    return f"(SELECT id, pos, least(kmer, {RC.format('kmer')}) AS m, kmer > {RC.format('kmer')} AS back FROM {dna_sql(name, k=k, both=False)})"
 
 
-_ANCHORS = f"(SELECT x.id AS a, y.id AS b, x.back <> y.back AS back, x.pos AS x, CASE WHEN x.back <> y.back THEN -y.pos ELSE y.pos END AS y FROM {_seeds_sql('documents')} x JOIN {_seeds_sql('benchmark')} y ON y.m = x.m)"
-_FITS = f"xs[i + 1] - xs[j] > 0 AND xs[i + 1] - xs[j] < {JUMP} AND ys[i + 1] - ys[j] > 0 AND ys[i + 1] - ys[j] < {JUMP}"
-_DRIFT = "abs(xs[i + 1] - xs[j] - ys[i + 1] + ys[j])"
-_COST = f"CASE WHEN {_DRIFT} > 100 THEN 2 * {_DRIFT} ELSE {_DRIFT} // 2 END"
-CHAINS = f"""(WITH RECURSIVE p AS (SELECT a, b, back, list(x ORDER BY x, y) AS xs, list(y ORDER BY x, y) AS ys FROM {_ANCHORS} GROUP BY ALL HAVING count(*) >= 5),
+def _chains_sql(name: str, k: int, jump: int, least: int) -> str:
+    """The best chain of each document, row of a table and strand: a fold over lists of scores and of the anchors before."""
+    anchors = f"(SELECT x.id AS a, y.id AS b, x.back <> y.back AS back, x.pos AS x, CASE WHEN x.back <> y.back THEN -y.pos ELSE y.pos END AS y FROM {_seeds_sql('documents', k)} x JOIN {_seeds_sql(name, k)} y ON y.m = x.m)"
+    fits = f"xs[i + 1] - xs[j] > 0 AND xs[i + 1] - xs[j] < {jump} AND ys[i + 1] - ys[j] > 0 AND ys[i + 1] - ys[j] < {jump}"
+    drift = "abs(xs[i + 1] - xs[j] - ys[i + 1] + ys[j])"
+    cost = f"CASE WHEN {drift} > 100 THEN 2 * {drift} ELSE {drift} // 2 END"
+    return f"""(WITH RECURSIVE p AS (SELECT a, b, back, list(x ORDER BY x, y) AS xs, list(y ORDER BY x, y) AS ys FROM {anchors} GROUP BY ALL HAVING count(*) >= {least}),
 t(a, b, back, i, sc, bf) AS (SELECT a, b, back, 0, CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM p UNION ALL
-  SELECT a, b, back, i + 1, list_append(sc, CASE WHEN m > {K} THEN m ELSE {K} END), list_append(bf, CASE WHEN m > {K} THEN len(c) + 1 - list_position(list_reverse(c), m) ELSE 0 END) FROM (
+  SELECT a, b, back, i + 1, list_append(sc, CASE WHEN m > {k} THEN m ELSE {k} END), list_append(bf, CASE WHEN m > {k} THEN len(c) + 1 - list_position(list_reverse(c), m) ELSE 0 END) FROM (
     SELECT *, coalesce(list_max(c), -1) AS m FROM (SELECT t.a, t.b, t.back, i, sc, bf,
-      list_transform(range(1, i + 1), lambda j: CASE WHEN {_FITS} THEN sc[j] + least(xs[i + 1] - xs[j], ys[i + 1] - ys[j], {K}) - {_COST} ELSE -1 END) AS c
+      list_transform(range(1, i + 1), lambda j: CASE WHEN {fits} THEN sc[j] + least(xs[i + 1] - xs[j], ys[i + 1] - ys[j], {k}) - {cost} ELSE -1 END) AS c
       FROM t JOIN p ON p.a = t.a AND p.b = t.b AND p.back = t.back WHERE i < len(xs)))),
 f AS (SELECT t.a, t.b, t.back, sc, bf, xs, ys, list_position(sc, list_max(sc)) AS last FROM t JOIN p ON p.a = t.a AND p.b = t.b AND p.back = t.back WHERE i = len(xs)),
 w(a, b, back, x, n) AS (SELECT a, b, back, last, 1 FROM f UNION ALL SELECT w.a, w.b, w.back, bf[x], n + 1 FROM w JOIN f ON f.a = w.a AND f.b = w.b AND f.back = w.back WHERE bf[x] > 0),
 g AS (SELECT a, b, back, arg_max(x, n) AS first, CAST(max(n) AS BIGINT) AS n FROM w GROUP BY a, b, back)
-SELECT f.a, f.b, f.back, n, sc[last] AS score, xs[first] AS a_lo, xs[last] + {K} AS a_hi, CASE WHEN f.back THEN -ys[last] ELSE ys[first] END AS b_lo, CASE WHEN f.back THEN {K} - ys[first] ELSE ys[last] + {K} END AS b_hi
-FROM f JOIN g ON g.a = f.a AND g.b = f.b AND g.back = f.back WHERE n >= 5)"""
+SELECT f.a, f.b, f.back, n, sc[last] AS score, xs[first] AS a_lo, xs[last] + {k} AS a_hi, CASE WHEN f.back THEN -ys[last] ELSE ys[first] END AS b_lo, CASE WHEN f.back THEN {k} - ys[first] ELSE ys[last] + {k} END AS b_hi
+FROM f JOIN g ON g.a = f.a AND g.b = f.b AND g.back = f.back WHERE n >= {least})"""
 
 
 def chains(spark, sf_dir) -> DataFrame:
     return chaining.chains(chaining.anchors(seeds(spark, sf_dir, "documents"), seeds(spark, sf_dir, "benchmark")), K, JUMP, 5, only_best=True)
 
 
-@query(f"SELECT *, round(ln(1 / least(1.0, n / greatest(a_hi - a_lo, b_hi - b_lo))) / {K}, 9) AS divergence FROM {CHAINS}")
+@query(f"SELECT *, round(ln(1 / least(1.0, n / greatest(a_hi - a_lo, b_hi - b_lo))) / {K}, 9) AS divergence FROM {_chains_sql('benchmark', K, JUMP, 5)}")
 def overlaps_by_chain_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best chain of seeds of each document, item and strand, by a dynamic program with gap costs; no seed is passed over."""
     d = chaining.divergence(F.col("n"), F.col("a_hi") - F.col("a_lo"), F.col("b_hi") - F.col("b_lo"), K)
     return chains(spark, sf_dir).withColumn("divergence", F.round(d, 9))
 
 
+@query()
+def read_overlaps_by_chain_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of documents with one another, on both strands, by the best chain of all their seeds."""
+    reads = seeds(spark, sf_dir, "documents", READ_K)
+    return chaining.chains(chaining.anchors(reads, reads).where("a < b"), READ_K, JUMP, 4, only_best=True)
+
+
 def stretches(spark, sf_dir) -> DataFrame:
     """(a, b, back, a_lo, b_lo, b_hi, x, y): the chained stretches of documents and items, an item's turned to the document's strand."""
     of = lambda name, c: seqs(spark, sf_dir, name).select(F.col("id").alias(c), F.col("seq").alias(f"{c}_seq"))

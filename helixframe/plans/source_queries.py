@@ -126,12 +126,12 @@ def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frg.unionByName(m.where("tag = 'LKG'").select("tag", readers.message_field(F.col("body"), "fg1").alias("one"), readers.message_field(F.col("body"), "fg2").alias("other")))
 
 
-@query(f"SELECT CAST(id AS VARCHAR) AS id, md5(seq) AS digest FROM {DOCS} WHERE length(seq) > 0 AND id % 2 = 0")
+@query(f"SELECT CAST(id AS VARCHAR) AS id, md5(seq) AS digest FROM {DOCS} WHERE length(seq) > 0")
 def messages_to_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequences of the messages with one tag, as FASTA."""
     path = new_path(spark, "fasta")
     m = _messages(spark, sf_dir).where("tag = 'FRG'")
-    rows = m.select(readers.message_field(F.col("body"), "acc").alias("id"), readers.message_text(F.col("body"), "seq").alias("seq")).where("seq is not null and bigint(id) % 2 = 0")
+    rows = m.select(readers.message_field(F.col("body"), "acc").alias("id"), readers.message_text(F.col("body"), "seq").alias("seq")).where("seq is not null")
     writers.fasta(rows, path, 70)
     return readers.fasta(spark, path).select("id", F.md5("seq").alias("digest"))
 

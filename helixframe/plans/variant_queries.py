@@ -118,7 +118,8 @@ def fixes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REFERENCE = f"(SELECT tig AS id, pos, arg_min(base, id) AS base FROM {_PLACED} GROUP BY tig, pos)"
-_FIXES = f"""(WITH v AS (SELECT p.tig AS id, p.pos, p.base, count(*) AS n, min(r.base) AS ref FROM {_PLACED} p JOIN {_REFERENCE} r ON r.id = p.tig AND r.pos = p.pos GROUP BY ALL),
+_FIXES = f"""(WITH p AS MATERIALIZED {_PLACED}, r AS MATERIALIZED (SELECT tig AS id, pos, arg_min(base, id) AS base FROM p GROUP BY tig, pos), c AS MATERIALIZED (SELECT tig AS id, pos, base, count(*) AS n FROM p GROUP BY ALL),
+v AS MATERIALIZED (SELECT c.id, c.pos, c.base, n, r.base AS ref FROM c JOIN r ON r.id = c.id AND r.pos = c.pos),
 o AS (SELECT id, pos, n AS own FROM v WHERE base = ref), b AS (SELECT id, pos, ref, base, n, row_number() OVER (PARTITION BY id, pos ORDER BY n DESC, base) AS k FROM v WHERE base <> ref)
 SELECT b.id, b.pos, b.ref, b.base AS alt FROM b LEFT JOIN o ON o.id = b.id AND o.pos = b.pos WHERE k = 1 AND n >= 3 AND n >= 2 * coalesce(own, 0))"""
 
@@ -165,14 +166,14 @@ def pads_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.unpadded(rows, "e").select("id", F.length("seq").cast("long").alias("n"), F.col("unpadded_pos").cast("long").alias("unpadded_pos"))
 
 
-_FIRST = f"(SELECT id, left(seq, 80) AS a FROM {DOCS})"
+_FIRST = f"(SELECT id, seq AS a FROM {DOCS})"
 
 
 @query(f"""WITH p AS (SELECT x.id, x.a, y.a AS b FROM {_FIRST} x JOIN {_FIRST} y ON y.id = x.id + 1), i AS (SELECT id, unnest(range(1, least(length(a), length(b)) + 1)) AS i, a, b FROM p)
 SELECT id, count(*) FILTER (WHERE substr(a, CAST(i AS BIGINT), 1) <> substr(b, CAST(i AS BIGINT), 1)) AS nm, levenshtein(any_value(a), any_value(b)) AS distance FROM i GROUP BY id""")
 def mismatches_and_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mismatches in place, and the edit distance, of the first letters of neighbouring reads."""
-    rows = seqs(spark, sf_dir).select("id", F.left("seq", F.lit(80)).alias("a"))
+    """Mismatches in place, and the edit distance, of neighbouring reads."""
+    rows = seqs(spark, sf_dir).select("id", F.col("seq").alias("a"))
     pairs = rows.join(rows.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id").where("a <> '' and b <> ''")
     return variants.mismatches(pairs).select("id", F.col("nm").cast("long").alias("nm"), F.levenshtein("a", "b").cast("long").alias("distance"))
 
@@ -185,7 +186,7 @@ SELECT n.id, coalesce(string_agg(run || x, '' ORDER BY i), '') || (any_value(n.n
 
 @query(f"SELECT id, md FROM {_RUNS}")
 def md_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = seqs(spark, sf_dir).select("id", F.left("seq", F.lit(80)).alias("a"))
+    rows = seqs(spark, sf_dir).select("id", F.col("seq").alias("a"))
     pairs = rows.join(rows.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id").where("a <> '' and b <> ''")
     return variants.mismatches(pairs).select("id", "md")
 
