@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 MOST_PLACES = 100_000
 #: Fixed values of the gap cost: a letter of drift costs half of one, beyond FAR letters two.
 FAR, NEAR_COST, FAR_COST = 100, 0.5, 2.0
-#: Groups of up to so many anchors are worked through side by side.
-SMALL = 64
+#: Anchors of groups that are worked through side by side; a place behind all anchors.
+BLOCK, AFTER = 1 << 15, 1 << 60
 
 
 def anchors(left: DataFrame, right: DataFrame, split: int = MOST_PLACES) -> DataFrame:
@@ -32,15 +32,19 @@ def anchors(left: DataFrame, right: DataFrame, split: int = MOST_PLACES) -> Data
     return l_.join(r, ["minimizer", "part"]).select("a", "b", back.alias("back"), "a_pos", F.when(back, -F.col("b_at")).otherwise(F.col("b_at")).alias("b_pos"))
 
 
-def scored(a: np.ndarray, b: np.ndarray, k: int, most_jump: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best scores of chains that end at each anchor, and the anchors before (-1: none), of groups of equal size: arrays groups x anchors, ascending by a and then b.
+def scored(a: np.ndarray, b: np.ndarray, k: int, most_jump: int, most_back: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Best scores of chains that end at each anchor, and the anchors before (-1: none), of groups side by side: arrays groups x anchors, ascending by a and then b, with AFTER in a behind the last anchor of a group.
 
     An anchor adds the letters of it that the one before does not cover, k at
-    most, less the cost of the drift; of equals the nearest one before counts."""
+    most, less the cost of the drift; of equals the nearest one before counts.
+    most_back: how many anchors it looks back over at most."""
     score, before = np.full(a.shape, k, np.int64), np.full(a.shape, -1, np.int64)
     rows = np.arange(len(a))
+    lo = 0
     for i in range(1, a.shape[1]):
-        lo = 0 if len(a) > 1 else int(np.searchsorted(a[0], a[0, i] - most_jump, "right"))
+        while lo < i and (a[:, lo] <= a[:, i] - most_jump).all():
+            lo += 1
+        lo = lo if most_back is None else max(lo, i - most_back)
         if lo == i:
             continue
         da, db = a[:, i, None] - a[:, lo:i], b[:, i, None] - b[:, lo:i]
@@ -55,6 +59,21 @@ def scored(a: np.ndarray, b: np.ndarray, k: int, most_jump: int) -> tuple[np.nda
     return score, before
 
 
+def side_by_side(groups: list[tuple[tuple, np.ndarray, np.ndarray]]) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
+    """Groups of about equal size: (key, size), and their anchors as arrays, filled up with AFTER."""
+    groups = sorted(groups, key=lambda g: len(g[1]))
+    lo = 0
+    while lo < len(groups):
+        hi = lo + 1
+        while hi < len(groups) and len(groups[hi][1]) * 3 <= len(groups[lo][1]) * 4 + 3 and (hi - lo + 1) * len(groups[hi][1]) <= BLOCK:
+            hi += 1
+        a, b = np.full((hi - lo, len(groups[hi - 1][1])), AFTER), np.zeros((hi - lo, len(groups[hi - 1][1])), np.int64)
+        for row, (_, x, y) in enumerate(groups[lo:hi]):
+            a[row, : len(x)], b[row, : len(y)] = x, y
+        yield [(g[0], len(g[1])) for g in groups[lo:hi]], a, b
+        lo = hi
+
+
 def taken(score: np.ndarray, before: np.ndarray, only_best: bool) -> Iterator[tuple[int, int, int, int]]:
     """(first, last, anchors, score) of a group's chains: from the anchor of the best score back to one that a better chain has, or to the beginning."""
     used = np.zeros(len(score), bool)
@@ -99,7 +118,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
         yield [(tuple(c[lo].item() for c in columns[:keys]), columns[keys][lo:hi], columns[keys + 1][lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def chains(rows: DataFrame, k: int, most_jump: int = 1500, least: int = 3, only_best: bool = False) -> DataFrame:
+def chains(rows: DataFrame, k: int, most_jump: int = 1500, least: int = 3, only_best: bool = False, most_back: int | None = None) -> DataFrame:
     """(a, b, back, n, score, a_lo, a_hi, b_lo, b_hi) of chains of least
     anchors or more: anchors (a, b, back, a_pos, b_pos) of k letters, taken by a
     dynamic program over each pair and strand. An anchor takes part in one chain.
@@ -107,7 +126,10 @@ def chains(rows: DataFrame, k: int, most_jump: int = 1500, least: int = 3, only_
     Chains do not go on over gaps of most_jump letters, so that a pair's
     anchors are cut there, and a task holds one stretch between such gaps. With
     only_best there is at most one chain for each pair and strand: that of the
-    largest score, of equals the one that ends first, if it has least anchors. Ends are outside; b_lo and b_hi
+    largest score, of equals the one that ends first, if it has least anchors.
+    With most_back an anchor looks back over so many others at most, which
+    keeps tandem repeats, where anchors are the product of the repeats'
+    lengths, from taking the square of that; None is exact. Ends are outside; b_lo and b_hi
     are on b's own strand."""
     by = ["a", "b", "back"]
     w = Window.partitionBy(*by).orderBy("a_pos", "b_pos")
@@ -119,20 +141,12 @@ def chains(rows: DataFrame, k: int, most_jump: int = 1500, least: int = 3, only_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in _groups(batches, 4):
             out = []
-            by_size: dict[int, list[tuple]] = {}
-            for group in groups:
-                if only_best or len(group[1]) >= least:
-                    by_size.setdefault(len(group[1]), []).append(group)
-            for size, same in by_size.items():
-                step = 4096 if size <= SMALL else 1
-                for lo in range(0, len(same), step):
-                    some = same[lo : lo + step]
-                    a, b = np.stack([g[1] for g in some]), np.stack([g[2] for g in some])
-                    score, before = scored(a, b, k, most_jump)
-                    for row, (key, _, _) in enumerate(some):
-                        for first, last, n, value in taken(score[row], before[row], only_best):
-                            if only_best or n >= least:
-                                out.append((*key[:3], n, value, int(a[row, first]), int(a[row, last]) + k, int(b[row, first]), int(b[row, last])))
+            for keys, a, b in side_by_side([g for g in groups if only_best or len(g[1]) >= least]):
+                score, before = scored(a, b, k, most_jump, most_back)
+                for row, (key, size) in enumerate(keys):
+                    for first, last, n, value in taken(score[row, :size], before[row, :size], only_best):
+                        if only_best or n >= least:
+                            out.append((*key[:3], n, value, int(a[row, first]), int(a[row, last]) + k, int(b[row, first]), int(b[row, last])))
             if out:
                 names = [*by, "n", "score", "a_lo", "a_hi", "b_first", "b_last"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)

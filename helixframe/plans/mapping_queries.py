@@ -11,7 +11,7 @@ from .kmer_queries import dna_sql, seqs
 from .registry import query
 
 #: Letters of a seed; between two of a chain less than so many letters.
-K, READ_K, JUMP = 11, 15, 200
+K, JUMP = 11, 200
 RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
 
 
@@ -56,13 +56,6 @@ def overlaps_by_chain_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chains(spark, sf_dir).withColumn("divergence", F.round(d, 9))
 
 
-@query()
-def read_overlaps_by_chain_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlaps of documents with one another, on both strands, by the best chain of all their seeds."""
-    reads = seeds(spark, sf_dir, "documents", READ_K)
-    return chaining.chains(chaining.anchors(reads, reads).where("a < b"), READ_K, JUMP, 4, only_best=True)
-
-
 def stretches(spark, sf_dir) -> DataFrame:
     """(a, b, back, a_lo, b_lo, b_hi, x, y): the chained stretches of documents and items, an item's turned to the document's strand."""
     of = lambda name, c: seqs(spark, sf_dir, name).select(F.col("id").alias(c), F.col("seq").alias(f"{c}_seq"))
