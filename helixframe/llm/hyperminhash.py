@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import long_rows, written
+from .shared import batches_of, written
 from .vectors import U64, blocks, mixed, space_words, text_bytes, window_hashes, word_hashes, words
 
 SEED = 42
@@ -45,7 +45,7 @@ LIKELY = 8
 #: Members of a band, or of those to compare with one set, in one task, and bytes that their sets have together; a single set may have more.
 MOST_MEMBERS, MOST_BYTES = 4096, 16 << 20
 #: Texts or sets in an Arrow batch.
-BATCH = 256
+BATCH = 1000
 
 
 def distinct(hashes: np.ndarray) -> np.ndarray:
@@ -105,14 +105,12 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
             filled[row, bucket[first]] = True
     row, bucket = np.nonzero(~filled & filled.any(1)[:, None])
     order = probes()
-    found = filled.copy()
     for k in range(BUCKETS):
         if not len(row):
             break
         source = order[bucket, k]
         ok = filled[row, source]
         out[row[ok], bucket[ok]] = out[row[ok], source[ok]]
-        found[row[ok], bucket[ok]] = True
         row, bucket = row[~ok], bucket[~ok]
     return out
 
@@ -405,16 +403,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an empty result. Equal 64-bit hashes are taken as equal shingles, sets and
     texts; for percent below 80 more pairs are missed, as the bands are made
     for 80."""
-    rows = long_rows(docs, BATCH).select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("tid"), F.col(text_col).alias("text"))
-    each = written(hashed_sets(rows, words), "sets")
-    of_set = each.where("n > 0").groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    of_set = written(of_set, "distinct")
+    with batches_of(docs.sparkSession, BATCH):
+        rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("tid"), F.col(text_col).alias("text"))
+        each = written(hashed_sets(rows, words), "sets")
+        of_set = each.where("n > 0").groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        of_set = written(of_set, "distinct")
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        known = wanted.join(of_set.select("sid", "tid"), "sid")
-        return whole_sets(rows.select("tid", "text").join(known, "tid").dropDuplicates(["sid"]).select("sid", "text"), words)
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            known = wanted.join(of_set.select("sid", "tid"), "sid")
+            return whole_sets(rows.select("tid", "text").join(known, "tid").dropDuplicates(["sid"]).select("sid", "text"), words)
 
-    roots = similar(of_set, sets_of, percent)
+        roots = similar(of_set, sets_of, percent)
     of = of_set.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of.groupBy("root").agg(F.min("first").alias("component_id"))
     of = of.join(smallest, "root").select("sid", "component_id")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import simhash
 from .hyperminhash import BATCH, SEED, U64, distinct, similar, sketches
-from .shared import long_rows, written
+from .shared import batches_of, written
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -54,24 +54,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty result. Equal 64-bit hashes are taken as equal
     texts, sets and shingles; for percent below 80 more pairs are missed, as the
     bands are made for 80."""
-    rows = long_rows(docs, BATCH).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tid"), "text")
-    each = written(_sets(rows, words), "sets")
-    of_set = each.groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("sketch").alias("sketch"))
-    of_set = written(of_set, "distinct")
-    some = of_set.where("n > 0")
-
-    # SimHash: a star for each fingerprint, and a link between two for each link of theirs
-    head = some.groupBy("fp").agg(F.min("sid").alias("head"))
-    star = some.select("sid", "fp").join(head, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
-    near = simhash.links(head.select("fp"), t)
-    of = lambda c: head.select(F.col("fp").alias(c), F.col("head").alias(f"{c}2"))
-    near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        known = wanted.join(some.select("sid", "tid"), "sid")
-        return _whole(rows.select("tid", "text").join(known, "tid").dropDuplicates(["sid"]).select("sid", "text"), words)
-
-    roots = similar(some, sets_of, percent, star.unionByName(near))
+    with batches_of(docs.sparkSession, BATCH):
+        rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tid"), "text")
+        each = written(_sets(rows, words), "sets")
+        of_set = each.groupBy("sid").agg(F.min("id").alias("first"), F.min("tid").alias("tid"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("sketch").alias("sketch"))
+        of_set = written(of_set, "distinct")
+        some = of_set.where("n > 0")
+
+        # SimHash: a star for each fingerprint, and a link between two for each link of theirs
+        head = some.groupBy("fp").agg(F.min("sid").alias("head"))
+        star = some.select("sid", "fp").join(head, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
+        near = simhash.links(head.select("fp"), t)
+        of = lambda c: head.select(F.col("fp").alias(c), F.col("head").alias(f"{c}2"))
+        near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            known = wanted.join(some.select("sid", "tid"), "sid")
+            return _whole(rows.select("tid", "text").join(known, "tid").dropDuplicates(["sid"]).select("sid", "text"), words)
+
+        roots = similar(some, sets_of, percent, star.unionByName(near))
     of = of_set.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of.groupBy("root").agg(F.min("first").alias("component_id"))
     of = of.join(smallest, "root").select("sid", "component_id")

@@ -11,8 +11,8 @@ entry gives its whole subtree to it by the cached sum and count; a leaf
 compares its points with what is left. Sums and counts of entries are added up
 by Spark, and 256 entries a part go back to the driver.
 
-All arithmetic is on integers: exact in 64-bit floats below MOST_FLOAT, and in
-64-bit integers beyond that.
+All arithmetic is on integers: products are of 64-bit floats where those hold
+all sums exactly, and of 64-bit integers elsewhere.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import long_rows, written
+from .shared import batches_of, written
 
 PARTS, ENTRIES, SCALE, ROUNDS = 4, 256, 1024, 4
 #: Numbers of a chunk of vectors, points of a leaf at most.
@@ -253,7 +253,7 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     size is an error: its squares would not be exact."""
     spark = vectors.sparkSession
     bad = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    rows = long_rows(vectors, BATCH).select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("x")).where(F.col("x").isNotNull() & ~bad)
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("x")).where(F.col("x").isNotNull() & ~bad)
     first = rows.orderBy(F.col("vec_id").asc_nulls_last(), "x").select("x").limit(ENTRIES).collect()
     width = len(first[0].x) if first else 0
     rows = rows.where(F.size("x") == width)
@@ -262,12 +262,13 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     step = start.shape[1] // PARTS
     codebooks = [start[:, k * step : (k + 1) * step] for k in range(PARTS)]
 
-    trees = written(grown(rows, width), "trees")
-    long_rows(trees, TREES)
-    for _ in range(ROUNDS):
-        codebooks = improved(trees, codebooks)
+    with batches_of(spark, BATCH):
+        trees = written(grown(rows, width), "trees")
+    with batches_of(spark, TREES):
+        for _ in range(ROUNDS):
+            codebooks = improved(trees, codebooks)
+        each = written(coded(trees, codebooks), "codes")
     digest = hashlib.sha256(",".join(str(v) for book in codebooks for v in book.ravel().tolist()).encode()).hexdigest()
-    each = written(coded(trees, codebooks), "codes")
     by_label = each.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of")
     out = each.join(by_label, F.col("label").eqNullSafe(F.col("of")))
     return out.select(F.col("vec_id").alias(id_col), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))

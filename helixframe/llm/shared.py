@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +59,15 @@ def long_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
     if not 0 < int(conf.get(key)) <= rows:
         conf.set(key, str(rows))
     return df
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it Arrow batches have at most so many rows; for jobs that run inside, not for lazy results."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows if int(old) <= 0 else min(rows, int(old))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
