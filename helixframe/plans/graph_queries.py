@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import AMINO_ACIDS, canonical, reverse_complement, translated
-from ..operators import fasta, graph, interval, kmer, layouts, overlap, sequential
+from ..operators import fasta, graph, interval, kmer, layouts, overlap, scaffolding, sequential
 from ..operators.graph import new_path
 from ..sources import readers, writers
 from . import pipelines
@@ -257,10 +257,32 @@ def unitig_length_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.size_stats(sizes, []).select("n", "total", "least", "most", "mean")
 
 
-_UNITIGS = f"""WITH RECURSIVE s AS (SELECT kmer FROM {dna_sql(k=16, both=False)} GROUP BY kmer HAVING count(*) >= 3), e AS (SELECT DISTINCT left(kmer, 15) AS a, right(kmer, 15) AS b FROM s),
-i AS (SELECT a, b FROM e WHERE a <> b AND a IN (SELECT a FROM e GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM e GROUP BY b HAVING count(*) = 1)), n AS (SELECT a AS node FROM e UNION SELECT b FROM e),
-r(node, path, seq) AS (SELECT node, node, node FROM n WHERE node NOT IN (SELECT b FROM i) UNION ALL SELECT i.b, r.path, r.seq || right(i.b, 1) FROM r JOIN i ON i.a = r.node),
-c(node, path, seq) AS (SELECT node, node, node FROM n WHERE node NOT IN (SELECT node FROM r) UNION ALL SELECT i.b, c.path, c.seq || right(i.b, 1) FROM c JOIN i ON i.a = c.node WHERE i.b > c.path)"""
+def _unitig_ctes(solid: str, k: int, p: str = "") -> str:
+    """CTEs of the unbranching paths of solid k-mers, named with prefix p: r has linear ones, c cycles from their smallest node."""
+    return f"""{p}s AS MATERIALIZED {solid}, {p}e AS (SELECT DISTINCT left(kmer, {k - 1}) AS a, right(kmer, {k - 1}) AS b FROM {p}s),
+{p}i AS (SELECT a, b FROM {p}e WHERE a <> b AND a IN (SELECT a FROM {p}e GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM {p}e GROUP BY b HAVING count(*) = 1)), {p}n AS (SELECT a AS node FROM {p}e UNION SELECT b FROM {p}e),
+{p}r(node, path, seq) AS (SELECT node, node, node FROM {p}n WHERE node NOT IN (SELECT b FROM {p}i) UNION ALL SELECT {p}i.b, {p}r.path, {p}r.seq || right({p}i.b, 1) FROM {p}r JOIN {p}i ON {p}i.a = {p}r.node),
+{p}c(node, path, seq) AS (SELECT node, node, node FROM {p}n WHERE node NOT IN (SELECT node FROM {p}r) UNION ALL SELECT {p}i.b, {p}c.path, {p}c.seq || right({p}i.b, 1) FROM {p}c JOIN {p}i ON {p}i.a = {p}c.node WHERE {p}i.b > {p}c.path)"""
+
+
+def _unitig_sql(p: str = "") -> str:
+    return f"SELECT path, arg_max(seq, length(seq)) AS seq FROM {p}r GROUP BY path UNION ALL SELECT {p}c.path, {p}c.seq FROM {p}c JOIN {p}i ON {p}i.a = {p}c.node AND {p}i.b = {p}c.path"
+
+
+def _solid_sql(k: int, least: int) -> str:
+    return f"(SELECT kmer FROM {dna_sql(k=k, both=False)} GROUP BY kmer HAVING count(*) >= {least})"
+
+
+_UNITIGS = f"WITH RECURSIVE {_unitig_ctes(_solid_sql(16, 3), 16)}"
+
+
+@query(f"""WITH RECURSIVE {_unitig_ctes(_solid_sql(12, 4), 12, 'x')}, xu AS MATERIALIZED ({_unitig_sql('x')}),
+{_unitig_ctes(f"(SELECT kmer FROM {_solid_sql(17, 4)} UNION SELECT substr(seq, CAST(i AS BIGINT), 17) FROM (SELECT seq, unnest(range(1, length(seq) - 15)) AS i FROM xu WHERE length(seq) >= 17))", 17, 'y')}, yu AS MATERIALIZED ({_unitig_sql('y')}),
+{_unitig_ctes(f"(SELECT kmer FROM {_solid_sql(23, 4)} UNION SELECT substr(seq, CAST(i AS BIGINT), 23) FROM (SELECT seq, unnest(range(1, length(seq) - 21)) AS i FROM yu WHERE length(seq) >= 23))", 23, 'z')}
+SELECT 23 AS k, seq FROM ({_unitig_sql('z')})""")
+def multi_k_unitigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unitigs of 12-mers that feed those of 17-mers, and these those of 23-mers."""
+    return pipelines.multi_k_unitigs(seqs(spark, sf_dir).select("id", "seq"), [12, 17, 23], 4)
 
 
 @query(f"{_UNITIGS} SELECT path, arg_max(seq, length(seq)) AS seq FROM r GROUP BY path UNION ALL SELECT path, seq FROM c JOIN i ON i.a = c.node AND i.b = c.path")
@@ -297,3 +319,16 @@ def reads_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads put one after another by their best overlaps at the 3' end, each read once."""
     links = best(spark, sf_dir).where("`end` = '3p' and a_iid < b_iid").select(F.col("a_iid").alias("a"), F.col("b_iid").alias("b"), F.col("length").alias("n"))
     return layouts.merged_contigs(links)
+
+
+@query()
+def scaffolds_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs in order, on their strands and in their places, by links to the next one and the one after."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ctg"), (300 + 10 * F.col("p_size")).cast("long").alias("size"), F.col("p_size").cast("long").alias("gap"), (1 + F.col("p_size") % 9).cast("long").alias("weight"))
+    of = lambda d, c: p.select((F.col("ctg") - d).alias("ctg"), F.col("size").alias(f"{c}_size"), F.col("gap").alias(f"{c}_gap"))
+    one = p.join(of(1, "x"), "ctg")
+    two = one.join(of(2, "y"), "ctg")
+    # every fifth contig is turned round
+    signed = lambda d: (F.col("ctg") + d) * F.when((F.col("ctg") + d) % 5 == 0, -1).otherwise(1)
+    links = one.select(signed(0).alias("a"), signed(1).alias("b"), "gap", "weight").unionByName(two.select(signed(0).alias("a"), signed(2).alias("b"), (F.col("gap") + F.col("x_size") + F.col("x_gap")).alias("gap"), "weight"))
+    return scaffolding.ordered(p.select("ctg", "size"), links)

@@ -18,7 +18,11 @@ def unitigs(reads: DataFrame, k: int, least: int = 2) -> DataFrame:
     """(path, seq): the sequences of the maximal unbranching paths of the
     graph whose edges are the k-mers (of one strand) counted least times or
     more and whose nodes are their ends of k - 1 letters."""
-    solid = kmer.count(reads, k, both_strands=False, least=least)
+    return unitigs_of(kmer.count(reads, k, both_strands=False, least=least), k)
+
+
+def unitigs_of(solid: DataFrame, k: int) -> DataFrame:
+    """(path, seq) of the k-mers of solid (kmer, each once)."""
     edges = solid.select(F.substr("kmer", F.lit(1), F.lit(k - 1)).alias("a"), F.substr("kmer", F.lit(2), F.lit(k - 1)).alias("b"))
     paths = graph.unbranching_paths(edges)
     letters = F.array_sort(F.collect_list(F.struct("place", "node")))
@@ -27,6 +31,31 @@ def unitigs(reads: DataFrame, k: int, least: int = 2) -> DataFrame:
     return whole.select("path", F.concat(F.col("x")[0]["node"], rest).alias("seq"))
 
 
+def multi_k_unitigs(reads: DataFrame, sizes: list[int], least: int = 2) -> DataFrame:
+    """(k, seq): unitigs of growing k. The graph of each k has the k-mers that
+    reads (seq) have least times or more and all those of the contigs of the k
+    before: where coverage is too low for the larger k, the smaller one's
+    contigs bridge it, and repeats between the two lengths are told apart.
+
+    It ends early, with the k reached, once no contig has k letters, or when a
+    larger k gives the same sequences as the one before. Each round's contigs
+    are written, so that a lost executor costs one round."""
+    contigs, at = None, 0
+    for k in sizes:
+        solid = kmer.count(reads, k, both_strands=False, least=least, clean=True).select("kmer")
+        if contigs is not None:
+            carried = contigs.where(F.length("seq") >= k)
+            if carried.isEmpty():
+                break
+            solid = solid.unionByName(kmer.enumerate_kmers(carried, k, both_strands=False, clean=True)).distinct()
+        new = graph.kept(unitigs_of(solid, k).select(F.lit(k).alias("k"), "seq"))
+        done = contigs is not None and new.select("seq").exceptAll(contigs.select("seq")).isEmpty()
+        contigs, at = new, k
+        if done:
+            break
+    return contigs
+
+
 def trio_binning(child: DataFrame, one: DataFrame, two: DataFrame, k: int) -> DataFrame:
     """Per read of child (id, seq) which parent's own k-mers it has more of."""
     reads = kmer.enumerate_kmers(child, k, keep=("id",))
