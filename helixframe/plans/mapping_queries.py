@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import canonical, reverse_complement
-from ..operators import banded, chaining, kmer, polishing, realign
+from ..operators import banded, chaining, graph, kmer, polishing, realign, voting
 from .kmer_queries import dna_sql, seqs
 from .registry import query
 
@@ -104,3 +104,27 @@ def bubbles_polished(spark: SparkSession, sf_dir: str) -> DataFrame:
     bubbles = rows.groupBy("b", "back", "b_lo", "b_hi").agg(F.first("y").alias("candidate"), F.transform(F.array_sort(F.collect_list(F.struct("a", "a_lo", "x"))), lambda s: s["x"]).alias("branches"))
     out = polishing.polished(bubbles)
     return out.select("b", "back", "b_lo", "b_hi", F.size("branches").alias("depth"), "candidate", "polished", F.round("score", 6).alias("score"), "changes")
+
+
+def votes_on_items(spark, sf_dir) -> DataFrame:
+    """(id, pos, part, other, cigar, a, back): the chained stretches aligned, from the item's side and on its strand."""
+    rows = stretches(spark, sf_dir)
+    on = lambda c: F.when(F.col("back"), reverse_complement(F.col(c))).otherwise(F.col(c))
+    rows = rows.select(F.col("b").alias("id"), F.col("b_lo").alias("pos"), on("y").alias("part"), on("x").alias("other"), "a", "back")
+    return banded.aligned(rows, "part", "other", band=200).select(*rows.columns, "cigar")
+
+
+@query()
+def corrections_by_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the documents that chain to an item would correct in it by their votes: place, the new letter (empty: none; null: unchanged), a letter to insert behind, and the votes."""
+    table = graph.kept(voting.columns(votes_on_items(spark, sf_dir)))
+    return voting.corrections(table).join(table, ["id", "pos"])
+
+
+@query()
+def overlaps_of_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments made again with the corrected items: columns that differ before and after."""
+    rows = graph.kept(votes_on_items(spark, sf_dir))
+    out = voting.applied(rows, voting.corrections(voting.columns(rows)), seq="part", begin="pos").withColumnRenamed("cigar", "old")
+    out = banded.aligned(out, "corrected", "other", band=200)
+    return out.select("id", "pos", "a", "back", voting.n_differences("part", "other", "old").alias("before"), voting.n_differences("corrected", "other", "cigar").alias("after"))
