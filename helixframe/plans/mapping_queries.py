@@ -106,25 +106,37 @@ def bubbles_polished(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("b", "back", "b_lo", "b_hi", F.size("branches").alias("depth"), "candidate", "polished", F.round("score", 6).alias("score"), "changes")
 
 
-def votes_on_items(spark, sf_dir) -> DataFrame:
-    """(id, pos, part, other, cigar, a, back): the chained stretches aligned, from the item's side and on its strand."""
-    rows = stretches(spark, sf_dir)
-    on = lambda c: F.when(F.col("back"), reverse_complement(F.col(c))).otherwise(F.col(c))
-    rows = rows.select(F.col("b").alias("id"), F.col("b_lo").alias("pos"), on("y").alias("part"), on("x").alias("other"), "a", "back")
-    return banded.aligned(rows, "part", "other", band=200).select(*rows.columns, "cigar")
+def overlapped(spark, sf_dir) -> DataFrame:
+    """(id, pos, part, other, cigar, of, back): the chained stretches aligned, from the side of the document (id: its number) and from that of the item (below zero: its number taken from -1), each on its own strand."""
+    rows = graph.kept(stretches(spark, sf_dir))
+    forward = lambda c: F.when(F.col("back"), reverse_complement(F.col(c))).otherwise(F.col(c))
+    document, item = F.col("a"), -1 - F.col("b")
+    both = rows.select(document.alias("id"), F.col("a_lo").alias("pos"), F.col("x").alias("part"), F.col("y").alias("other"), item.alias("of"), "back").unionByName(
+        rows.select(item.alias("id"), F.col("b_lo").alias("pos"), forward("y").alias("part"), forward("x").alias("other"), document.alias("of"), "back"))
+    return graph.kept(banded.aligned(both, "part", "other", band=200))
+
+
+def by_votes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns in which an alignment would change something, and the corrections."""
+    table = graph.kept(voting.columns(rows))
+    return table, voting.corrections(table)
 
 
 @query()
 def corrections_by_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the documents that chain to an item would correct in it by their votes: place, the new letter (empty: none; null: unchanged), a letter to insert behind, and the votes."""
-    table = graph.kept(voting.columns(votes_on_items(spark, sf_dir)))
-    return voting.corrections(table).join(table, ["id", "pos"])
+    """Letters of documents and items with votes for a change, the votes, and what they decide: the new letter (empty: none; null: unchanged) and a letter to insert behind it."""
+    table, fixes = by_votes(overlapped(spark, sf_dir))
+    return table.join(fixes, ["id", "pos"], "left")
 
 
 @query()
 def overlaps_of_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignments made again with the corrected items: columns that differ before and after."""
-    rows = graph.kept(votes_on_items(spark, sf_dir))
-    out = voting.applied(rows, voting.corrections(voting.columns(rows)), seq="part", begin="pos").withColumnRenamed("cigar", "old")
-    out = banded.aligned(out, "corrected", "other", band=200)
-    return out.select("id", "pos", "a", "back", voting.n_differences("part", "other", "old").alias("before"), voting.n_differences("corrected", "other", "cigar").alias("after"))
+    """Alignments made again with both sides corrected: columns that differ before and after."""
+    rows = overlapped(spark, sf_dir)
+    _, fixes = by_votes(rows)
+    fixes = graph.kept(fixes)
+    mended = voting.applied(rows, fixes, seq="part", begin="pos", out="mended").select("id", "pos", "of", "back", "part", "other", F.col("cigar").alias("old"), "mended")
+    one = mended.where("id >= 0").select("id", "of", "back", "pos", "part", "other", "old", "mended")
+    two = mended.where("id < 0").select(F.col("of").alias("id"), F.col("id").alias("of"), "back", F.when(F.col("back"), reverse_complement(F.col("mended"))).otherwise(F.col("mended")).alias("mended_other"))
+    again = banded.aligned(one.join(two, ["id", "of", "back"]), "mended", "mended_other", band=200)
+    return again.select("id", "of", "back", voting.n_differences("part", "other", "old").alias("before"), voting.n_differences("mended", "mended_other", "cigar").alias("after"))
