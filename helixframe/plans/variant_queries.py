@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import kmer, variants
+from ..operators import graph, kmer, targets, variants
 from .assembly_queries import COLUMNS
 from .kmer_queries import dna_sql, seqs
 from .record_queries import DOCS
@@ -254,3 +254,13 @@ def allele_count_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("site"), o.alias("s"), (1 / (1 + o % 5)).alias("l0"), F.lit(0.4).alias("l1"), ((1 + o % 7) / 9).alias("l2"))
     out = variants.allele_count_posteriors(rows, "site", "s")
     return out.select("site", "n", F.round("p_none", 6).alias("p_none"), F.round("expected", 6).alias("expected"))
+
+
+@query()
+def targets_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Covered stretches of contigs with their consensus; reads are the documents' letters, dealt over 50 contigs of 40,000 places, and entering a target costs as much as 350 empty places."""
+    rows = seqs(spark, sf_dir).where("length(seq) > 0").select("id", F.posexplode(F.split("seq", "")).alias("i", "base"))
+    begin = F.pmod(F.col("id") * 7919, F.lit(40_000))
+    columns = rows.select((F.col("id") % 50).alias("id"), (begin + F.col("i")).cast("long").alias("pos"), "base", (10 + (F.col("id") * 7 + F.col("i")) % 30).cast("int").alias("q"))
+    sites = graph.kept(targets.sites(columns))
+    return targets.with_consensus(targets.targets(sites, enter=1400), sites)
