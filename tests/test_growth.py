@@ -17,3 +17,23 @@ def test_spanning_mates_of_one_pair(spark):
     t = time.time()
     assert layouts.spanning_mates(contigs, reads).count() == 1000
     assert time.time() - t < 60
+
+
+def test_super_reads_with_one_first_unit(spark):
+    many = spark.range(60_000).select("id", F.array(F.lit(1), F.lit(2)).alias("units"))
+    longer = spark.range(60_000, 120_000).select("id", F.array(F.lit(1), F.lit(3), F.lit(1), F.col("id")).alias("units"))
+    longest = spark.range(7, 9).select((-F.col("id")).alias("id"), F.array(F.lit(9), F.lit(1), F.lit(2)).alias("units"))
+    t = time.time()
+    got = overlap.super_read_contained(many.unionByName(longer).unionByName(longest))
+    assert [tuple(r) for r in got.groupBy("within").count().collect()] == [(-8, 60_000)]
+    assert time.time() - t < 60
+
+
+def test_super_reads_as_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "MEET", 2)
+    rng = random.Random(5)
+    names = {k: [rng.randrange(3) for _ in range(rng.randrange(0, 8))] for k in range(120)}
+    inside = lambda s, x: any(x[k : k + len(s)] == s for k in range(len(x) - len(s) + 1))
+    want = {k: min(found) for k, s in names.items() if s and (found := [m for m, x in names.items() if len(s) < len(x) and inside(s, x)])}
+    got = overlap.super_read_contained(spark.createDataFrame(list(names.items()), "id long, units array<long>"))
+    assert {r.id: r.within for r in got.collect()} == want
