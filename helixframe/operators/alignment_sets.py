@@ -50,40 +50,89 @@ def best_chain(rows: DataFrame, side: str = "ref", most_overlap: float = 100.0,
     overlap is at most most_overlap percent of both. Ties go to the earlier.
 
     Of alignments that have ended before one begins only the best counts, so
-    that it is compared with those alone that are open where it begins. A
-    sequence's alignments are worked through in one pass of one task."""
+    that it is compared with those alone that are open where it begins. Where many
+    are, and may overlap freely, those with the same end are one: the best. Equal
+    alignments are one from the start, that of the smallest key, as no other is ever taken."""
     lo, hi = ("s_r", "e_r") if side == "ref" else ("s_q", "e_q")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(lo=pdf[[lo, hi]].min(axis=1), hi=pdf[[lo, hi]].max(axis=1)).sort_values(["lo", "hi", key], kind="stable")
-        los, his, keys = (pdf[c].to_numpy(np.int64).tolist() for c in ("lo", "hi", key))
-        weights = ((pdf.idy.to_numpy(float) / 100) ** 2).tolist()
-        score, before = [0] * len(los), [-1] * len(los)
-        open_: list[tuple[int, int]] = []  # (end, alignment), the first end on top
-        closed, of = -1, -1
-        for i, (begin, end, w) in enumerate(zip(los, his, weights, strict=True)):
-            while open_ and open_[0][0] < begin:
-                j = heapq.heappop(open_)[1]
-                if score[j] > closed or (score[j] == closed and j < of):
-                    closed, of = score[j], j
-            n = end - begin + 1
-            own = int(n * w)
-            best, at = (closed + own, of) if of >= 0 else (-1, -1)
-            for far, j in open_:
-                overlap = far - begin + 1
-                if end > far and 100 * overlap <= most_overlap * n and 100 * overlap <= most_overlap * (far - los[j] + 1):
-                    value = score[j] + int((n - overlap) * w)
-                    if value > best or (value == best and j < at):
-                        best, at = value, j
-            score[i], before[i] = (best, at) if best > own else (own, -1)
-            heapq.heappush(open_, (end, i))
+        pdf = pdf.sort_values(["lo", "hi", key], kind="stable")
+        los, his, keys = (pdf[c].to_numpy(np.int64) for c in ("lo", "hi", key))
+        weights = (pdf.idy.to_numpy(float) / 100) ** 2
+        ends = np.unique(his)
+        open_ = (np.searchsorted(ends, his) - np.searchsorted(ends, los)).mean()
+        score, before = (_chained_by_ends(los, his, weights, ends) if most_overlap >= 100 and open_ > MANY_OPEN else _chained_by_one(los, his, weights, most_overlap))
         at, out = int(np.argmax(score)), []
         while at >= 0:
-            out.append(keys[at])
-            at = before[at]
+            out.append(int(keys[at]))
+            at = int(before[at])
         return pd.DataFrame({key: out})
 
-    return rows.groupBy(side).applyInPandas(run, f"{key} long")
+    rows = rows.select(side, "idy", F.least(lo, hi).alias("lo"), F.greatest(lo, hi).alias("hi"), key)
+    return rows.groupBy(side, "lo", "hi", "idy").agg(F.min(key).alias(key)).groupBy(side).applyInPandas(run, f"{key} long")
+
+
+#: Different ends between begin and end of a mean alignment of a sequence, from which on alignments are chained by their ends.
+MANY_OPEN = 16
+
+
+def _chained_by_one(begins: np.ndarray, ends: np.ndarray, weights: np.ndarray, most_overlap: float) -> tuple[list[int], list[int]]:
+    """Scores of the best chains up to each alignment, and the alignments before (-1: none)."""
+    los, his = begins.tolist(), ends.tolist()
+    score, before = [0] * len(los), [-1] * len(los)
+    open_: list[tuple[int, int]] = []  # (end, alignment), the first end on top
+    closed, of = -1, -1
+    for i, (begin, end, w) in enumerate(zip(los, his, weights.tolist(), strict=True)):
+        while open_ and open_[0][0] < begin:
+            j = heapq.heappop(open_)[1]
+            if score[j] > closed or (score[j] == closed and j < of):
+                closed, of = score[j], j
+        n = end - begin + 1
+        own = int(n * w)
+        best, at = (closed + own, of) if of >= 0 else (-1, -1)
+        for far, j in open_:
+            overlap = far - begin + 1
+            if end > far and 100 * overlap <= most_overlap * n and 100 * overlap <= most_overlap * (far - los[j] + 1):
+                value = score[j] + int((n - overlap) * w)
+                if value > best or (value == best and j < at):
+                    best, at = value, j
+        score[i], before[i] = (best, at) if best > own else (own, -1)
+        heapq.heappush(open_, (end, i))
+    return score, before
+
+
+def _chained_by_ends(los: np.ndarray, his: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for overlaps of any size. What an alignment adds depends on where the
+    one before ends, so that of each end the best one counts, the first of equals;
+    alignments of one place are worked out together."""
+    score, before = np.zeros(len(los), np.int64), np.full(len(los), -1, np.int64)
+    top, of = np.full(len(ends), -1, np.int64), np.full(len(ends), len(los), np.int64)
+    own = ((his - los + 1) * weights).astype(np.int64)
+    first = np.flatnonzero(np.append(True, (los[1:] != los[:-1]) | (his[1:] != his[:-1])))
+    left, right = np.searchsorted(ends, los[first]).tolist(), np.searchsorted(ends, his[first]).tolist()
+    closed, closed_of, past = -1, -1, 0
+    for lo, hi, l_, r, end in zip(first.tolist(), np.append(first[1:], len(los)).tolist(), left, right, his[first].tolist(), strict=True):
+        if past < l_:  # ends before this place, of which none is behind the next
+            most = int(top[past:l_].max())
+            j = int(of[past:l_][top[past:l_] == most].min())
+            if most > closed or (most == closed and j < closed_of):
+                closed, closed_of = most, j
+            past = l_
+        best = own[lo:hi] + closed if closed_of >= 0 else np.full(hi - lo, -1, np.int64)
+        at = np.full(hi - lo, closed_of, np.int64)
+        if l_ < r:
+            value = top[l_:r] + ((end - ends[l_:r]) * weights[lo:hi, None]).astype(np.int64)
+            value[:, top[l_:r] < 0] = -1
+            most = value.max(1)
+            j = np.where(value == most[:, None], of[l_:r], len(los)).min(1)
+            better = (most > best) | ((most == best) & (j < at))
+            best, at = np.where(better, most, best), np.where(better, j, at)
+        goes_on = best > own[lo:hi]
+        score[lo:hi], before[lo:hi] = np.where(goes_on, best, own[lo:hi]), np.where(goes_on, at, -1)
+        k = lo + int(score[lo:hi].argmax())
+        if score[k] > top[r] or (score[k] == top[r] and k < of[r]):
+            top[r], of[r] = score[k], k
+    return score, before
 
 
 def one_to_one(rows: DataFrame, key: str = "aln") -> DataFrame:

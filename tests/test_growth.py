@@ -68,3 +68,24 @@ def test_paths_and_hops_as_by_hand(spark):
     e, p = spark.createDataFrame(edges, "a long, b long"), spark.createDataFrame(pairs, "pair long, a long, b long")
     assert {r.pair: (r.n_paths, r.path) for r in layouts.bounded_paths(e, p, 3).collect()} == paths
     assert {r.pair: r.hops for r in layouts.hops(e, p, 3).collect()} == hops
+
+
+def test_chains_by_ends_are_chains_by_one(spark):
+    rng = np.random.default_rng(1)
+    for n, width in ((300, 40), (400, 3), (200, 1000)):
+        lo = rng.integers(0, 500, n)
+        hi = lo + rng.integers(0, width, n)
+        at = np.lexsort((hi, lo))
+        lo, hi, w = lo[at], hi[at], rng.choice([0.81, 0.9, 1.0], n)
+        score, before = alignment_sets._chained_by_one(lo, hi, w, 100.0)
+        by_ends = alignment_sets._chained_by_ends(lo, hi, w, np.unique(hi))
+        assert by_ends[0].tolist() == score and by_ends[1].tolist() == before
+
+
+def test_best_chain_of_a_dense_sequence(spark):
+    i = F.col("id")
+    lo = i * 7 % 5000
+    rows = spark.range(300_000).select(i.alias("aln"), F.lit(1).alias("ref"), lo.alias("s_r"), (lo + 100 + i % 300).alias("e_r"), (F.lit(90.0) + i % 11).alias("idy"))
+    t = time.time()
+    assert alignment_sets.best_chain(rows, "ref").count() > 10
+    assert time.time() - t < 60
