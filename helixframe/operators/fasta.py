@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,20 +108,19 @@ def homopolymer_trim(records: DataFrame, least_peak: int, id_col: str = "id", se
     end. From the end, a letter equal to the last one scores 1, any other -1;
     the tail goes to the first place of the best running score, if that is
     least_peak or more."""
-    seq = F.col(seq_col)
-    last = F.substr(seq, F.length(seq), F.lit(1))
-    walk = F.aggregate(
-        F.split(F.reverse(seq), ""),
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("score"), F.lit(0).alias("best"), F.lit(0).alias("at")),
-        lambda s, b: F.struct(
-            (s["n"] + 1).alias("n"),
-            (s["score"] + F.when(b == last, 1).otherwise(-1)).alias("score"),
-            F.greatest(s["best"], s["score"] + F.when(b == last, 1).otherwise(-1)).alias("best"),
-            F.when(s["score"] + F.when(b == last, 1).otherwise(-1) > s["best"], s["n"] + 1).otherwise(s["at"]).alias("at"),
-        ),
-    )
-    rows = records.where(F.length(seq) > 0).select(id_col, seq_col, walk.alias("w"))
-    return rows.select(id_col, F.when(F.col("w.best") >= least_peak, F.substr(F.col(seq_col), F.lit(1), F.length(seq_col) - F.col("w.at"))).otherwise(F.col(seq_col)).alias("kept"))
+    rows = records.where(F.length(seq_col) > 0).select(id_col, F.col(seq_col).alias("kept"))
+
+    def left(seq: str) -> str:
+        letters = np.frombuffer(seq.encode("utf-32-le"), np.uint32)[::-1]
+        score = np.where(letters == letters[0], 1, -1).cumsum()
+        at = int(score.argmax())
+        return seq[: len(seq) - at - 1] if score[at] >= least_peak else seq
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([left(s) for s in batch.column(1).to_pylist()], pa.string())], [id_col, "kept"])
+
+    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, kept string")
 
 
 def best_quality_segment(reads: DataFrame, cutoff: int, least: int, id_col: str = "id", qual_col: str = "qual", offset: int = 33) -> DataFrame:

@@ -89,3 +89,11 @@ def test_best_chain_of_a_dense_sequence(spark):
     t = time.time()
     assert alignment_sets.best_chain(rows, "ref").count() > 10
     assert time.time() - t < 60
+
+
+def test_homopolymer_trim_of_a_long_read(spark):
+    long_ = "ACG" * 1_000_000 + "TTTTT"
+    t = time.time()
+    got = dict(fasta.homopolymer_trim(spark.createDataFrame([(1, long_), (2, ""), (3, "A"), (4, "GATTCTTT"), (5, None)], "id long, seq string"), 2).collect())
+    assert got == {1: "ACG" * 1_000_000, 3: "A", 4: "GA"}
+    assert time.time() - t < 30
