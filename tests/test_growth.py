@@ -97,3 +97,12 @@ def test_homopolymer_trim_of_a_long_read(spark):
     got = dict(fasta.homopolymer_trim(spark.createDataFrame([(1, long_), (2, ""), (3, "A"), (4, "GATTCTTT"), (5, None)], "id long, seq string"), 2).collect())
     assert got == {1: "ACG" * 1_000_000, 3: "A", 4: "GA"}
     assert time.time() - t < 30
+
+
+def test_longest_increasing_of_many_small_groups(spark):
+    rows = spark.range(240_000).select(F.floor(F.col("id") / 3).alias("g"), F.col("id").alias("i"), (F.col("id") * 7 % 3).alias("v"))
+    t = time.time()
+    got = sequential.longest_increasing(rows, ["g"], "i", "v").groupBy("n", "longest").count().collect()
+    assert [tuple(r) for r in got] == [(3, 3, 80_000)]
+    assert sequential.longest_increasing(rows.where("i <> 4"), ["g"], "i", "v", least=3).count() == 79_999
+    assert time.time() - t < 30
