@@ -7,7 +7,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from helixframe.operators import alignment_sets, fasta, layouts, overlap, sequential
+from helixframe.operators import alignment_sets, banded, chaining, fasta, layouts, overlap, sequential
 
 
 def test_spanning_mates_of_one_pair(spark):
