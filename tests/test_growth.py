@@ -106,3 +106,37 @@ def test_longest_increasing_of_many_small_groups(spark):
     assert [tuple(r) for r in got] == [(3, 3, 80_000)]
     assert sequential.longest_increasing(rows.where("i <> 4"), ["g"], "i", "v", least=3).count() == 79_999
     assert time.time() - t < 30
+
+
+def test_overlaps_of_repetitive_reads(spark):
+    letters = "ACGGT" * 1200
+    reads = spark.range(60).select("id", F.lit(letters).alias("seq"))
+    pairs = spark.range(60).select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(59).cast("long"))).alias("b")).where("a < b").withColumn("diagonal", F.lit(5).cast("int"))
+    t = time.time()
+    got = overlap.refined(pairs, reads, 11, 4).groupBy("n").count().collect()
+    assert [tuple(r) for r in got] == [(5985, 1770)]
+    none = reads.limit(0).select(F.col("seq").alias("kmer"))
+    assert overlap.sharing_rare_kmers(pairs, reads, 24, none).count() == 1770
+    assert overlap.sharing_rare_kmers(pairs, reads, 24, spark.createDataFrame([((letters * 2)[i : i + 24],) for i in range(5)], "kmer string")).count() == 0
+    assert time.time() - t < 60
+
+
+def test_overlaps_as_by_hand(spark):
+    rng = random.Random(8)
+    reads = {k: "".join(rng.choice("ACGTN" if k == 0 else "ACGT") for _ in range(rng.randrange(3, 40))) for k in range(14)}
+    reads |= {k + 14: x[3:] + "GA" for k, x in reads.items()}
+    pairs = [(a, b, rng.randrange(-4, 6)) for a in reads for b in reads if a < b]
+    k, drift, bad = 4, 2, {"ACGT", *(x[:4] for x in reads.values())}
+    count, share = {}, set()
+    for a, b, d in pairs:
+        x, y = reads[a], reads[b]
+        clean = lambda s: {i: s[i : i + k] for i in range(len(s) - k + 1) if "N" not in s[i : i + k]}
+        if n := sum(p == q and abs(i - j - d) <= drift for i, p in clean(x).items() for j, q in clean(y).items()):
+            count[a, b, d] = n
+        lo, hi = max(d, 0), min(len(x), len(y) + d)
+        if hi > lo and (set(clean(x[lo:hi]).values()) & set(clean(y[lo - d : hi - d]).values())) - bad:
+            share.add((a, b, d))
+    df, of = spark.createDataFrame(pairs, "a long, b long, diagonal int"), spark.createDataFrame(list(reads.items()), "id long, seq string")
+    assert {(r.a, r.b, r.diagonal): r.n for r in overlap.refined(df, of, k, drift).collect()} == count
+    got = overlap.sharing_rare_kmers(df, of, k, spark.createDataFrame([(x,) for x in bad], "kmer string"))
+    assert {tuple(r) for r in got.collect()} == share
