@@ -140,3 +140,26 @@ def test_overlaps_as_by_hand(spark):
     assert {(r.a, r.b, r.diagonal): r.n for r in overlap.refined(df, of, k, drift).collect()} == count
     got = overlap.sharing_rare_kmers(df, of, k, spark.createDataFrame([(x,) for x in bad], "kmer string"))
     assert {tuple(r) for r in got.collect()} == share
+
+
+def test_blocks_of_chains_are_as_one_by_one(spark):
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 40, 300)
+    own = [set(x.tolist()) for x in chaining.side_by_side(sizes)]
+    assert sorted(k for x in own for k in x) == list(range(300))
+    for n in (1, 7, 30):
+        a = np.sort(rng.integers(0, 60, (20, n)), 1)
+        b = rng.integers(0, 60, (20, n))
+        score, before = chaining.scored(a, b, 5, 30)
+        for row, (first, last, count, value) in enumerate(zip(*chaining.best_of(score, before), strict=True)):
+            assert (first, last, count, value) == next(chaining.taken(score[row], before[row]))
+
+
+def test_bands_wider_than_a_pair(spark):
+    rng = random.Random(2)
+    pairs = [tuple("".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 30))).encode() for _ in "ab") for _ in range(60)]
+    for zdrop in (None, 20):
+        assert banded.align(pairs, 200, zdrop=zdrop) == banded.align(pairs, 31, zdrop=zdrop)
+    t = time.time()
+    banded.align(pairs * 300, 2000)
+    assert time.time() - t < 30
