@@ -36,8 +36,8 @@ def dumped_fastq(store: DataFrame) -> DataFrame:
 
 
 def latest(versions: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Of a table of versions the last row of each key."""
-    w = Window.partitionBy(*key).orderBy(F.desc(version))
+    """Of a table of versions the last row of each key; of equal versions the first by the other columns."""
+    w = Window.partitionBy(*key).orderBy(F.desc(version), *[c for c in versions.columns if c not in (*key, version)])
     return versions.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
 
 

@@ -7,7 +7,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from helixframe.operators import alignment_sets, banded, chaining, fasta, layouts, overlap, sequential
+from helixframe.operators import alignment_sets, banded, chaining, fasta, layouts, overlap, sequential, stores
 
 
 def test_spanning_mates_of_one_pair(spark):
@@ -163,3 +163,10 @@ def test_bands_wider_than_a_pair(spark):
     t = time.time()
     banded.align(pairs * 300, 2000)
     assert time.time() - t < 30
+
+
+def test_latest_of_equal_versions_is_always_the_same(spark):
+    rows = [(k, 5, (k * 7 + j) % 11) for k in range(20) for j in range(11)]
+    for order in (rows, rows[::-1]):
+        got = stores.latest(spark.createDataFrame(order, "tig long, version long, value long"), ["tig"], "version").collect()
+        assert sorted(tuple(r) for r in got) == [(k, 5, 0) for k in range(20)]
