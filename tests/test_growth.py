@@ -170,3 +170,23 @@ def test_latest_of_equal_versions_is_always_the_same(spark):
     for order in (rows, rows[::-1]):
         got = stores.latest(spark.createDataFrame(order, "tig long, version long, value long"), ["tig"], "version").collect()
         assert sorted(tuple(r) for r in got) == [(k, 5, 0) for k in range(20)]
+
+
+def test_settled_nodes_leave_the_doubling_of_paths(spark, monkeypatch):
+    from helixframe.operators import graph
+
+    long_ = [(k, k + 1) for k in range(600)]
+    short = [(10_000 + 3 * k + i, 10_000 + 3 * k + i + 1) for k in range(3000) for i in range(2)]
+    ring = [(50_000 + k, 50_000 + (k + 1) % 37) for k in range(37)]
+    sizes, kept = [], graph.kept
+
+    def counted(df):
+        out = kept(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "kept", counted)
+    got = graph.unbranching_paths(spark.createDataFrame([*long_, *short, *ring], "a long, b long"))
+    want = {k: (0, k) for k in range(601)} | {10_000 + 3 * k + i: (10_000 + 3 * k, i) for k in range(3000) for i in range(3)} | {50_000 + k: (50_000, k) for k in range(37)}
+    assert {r.node: (r.path, r.place) for r in got.collect()} == want
+    assert sum(sizes) < 5 * len(want)  # twelve rounds of all nodes before
