@@ -190,3 +190,43 @@ def test_settled_nodes_leave_the_doubling_of_paths(spark, monkeypatch):
     want = {k: (0, k) for k in range(601)} | {10_000 + 3 * k + i: (10_000 + 3 * k, i) for k in range(3000) for i in range(3)} | {50_000 + k: (50_000, k) for k in range(37)}
     assert {r.node: (r.path, r.place) for r in got.collect()} == want
     assert sum(sizes) < 5 * len(want)  # twelve rounds of all nodes before
+
+
+def test_primary_alignments_in_few_places(spark):
+    rng = random.Random(4)
+    rows = [(k, k % 3, lo, lo + rng.choice([0, 5, 9]), float(rng.randrange(4))) for k in range(900) if (lo := rng.randrange(20)) >= 0]
+    got = sequential.primary_alignments(spark.createDataFrame(rows, "aln long, qry long, lo long, hi long, idy double"), "qry", "lo", "hi", "idy", "aln")
+    want, mine = {}, {}
+    for aln, qry, lo, hi, _ in sorted(rows, key=lambda r: (-r[4], r[0])):
+        want[aln] = not any(min(h, hi) - max(l_, lo) >= 0.5 * min(h - l_, hi - lo) for l_, h in mine.get(qry, []))
+        if want[aln]:
+            mine.setdefault(qry, []).append((lo, hi))
+    assert {r.aln: r.primary for r in got.collect()} == want
+    # the program gets the first of each place alone
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("FlatMapGroupsInPandas") :]
+
+
+def test_longest_paths_send_no_table_through_the_driver(spark, monkeypatch):
+    from helixframe.operators import graph
+
+    plans, kept = [], graph.kept
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df)
+
+    monkeypatch.setattr(graph, "kept", seen)
+    nodes = spark.range(400).select(F.col("id").alias("node"), F.lit(1).alias("weight"))
+    edges = spark.range(400).where("id % 8 < 7").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = graph.longest_paths(nodes, edges)
+    assert {r.node: (r.weight, r.first) for r in got.collect()} == {k: (k % 8 + 1, k - k % 8) for k in range(400)}
+    assert not any("Broadcast" in p for p in plans)
+
+
+def test_matches_that_stand_alone_are_left_out_before_runs_are_counted(spark):
+    import __spark_entry__ as entry
+
+    got = entry.queries()["collinear_matches_merged"](spark, "/root/testdata/sf0.001")
+    assert got.where("n < 2").isEmpty()
+    assert "lead(goes_on" in got._jdf.queryExecution().analyzed().toString()
