@@ -114,6 +114,8 @@ def collinear_matches_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of one query's matches along a reference, with gaps of at most 50."""
     w = Window.partitionBy("ref").orderBy("s_r", "e_r", "aln")
     a = aligned(spark, sf_dir).withColumn("goes_on", F.coalesce((F.lag("qry").over(w) == F.col("qry")) & (F.col("s_r") - F.lag("e_r").over(w) <= 50), F.lit(False)))
+    # only runs of two or more are asked for: what neither goes on nor is gone on from is left out before it is counted
+    a = a.withColumn("first", F.coalesce(F.lead("goes_on").over(w), F.lit(False))).where("goes_on or first")
     g = a.withColumn("island", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return g.groupBy("ref", "qry", "island").agg(F.min("s_r").alias("s_r"), F.max("e_r").alias("e_r"), F.count("*").alias("n"), F.sum(F.col("e_r") - F.col("s_r") + 1).alias("bases")).where("n > 1").drop("island")
 
