@@ -112,3 +112,22 @@ def test_few_counts_are_sent_and_letters_are_numbers(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan
     assert name == "polished" or "strategy=broadcast" in plan
+
+
+def test_edit_distance_as_by_hand():
+    import time
+
+    from helixframe.operators.variants import edit_distance
+
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("ACGé", k=rng.randrange(20))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, above = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y)))
+        assert edit_distance(a, b) == row[-1], (a, b)
+    t = time.time()
+    edit_distance("".join(rng.choices("ACGT", k=20_000)), "".join(rng.choices("ACGT", k=20_000)))
+    assert time.time() - t < 5  # 400 million cells
