@@ -60,7 +60,10 @@ def ordered(contigs: DataFrame, links: DataFrame, least: float = 3, share: float
     links = links.join(known.select(F.col("ctg").alias("x")), F.abs("a") == F.col("x"), "left_semi").join(known.select(F.col("ctg").alias("x")), F.abs("b") == F.col("x"), "left_semi")
     for _ in range(most_rounds):
         now = inside.groupBy("scf").agg(F.max(F.col("bgn") + F.col("size")).alias("long"))
-        lifted = kept(both_ways(_carried(links, inside, now)))
+        # links within a scaffold stay there: no later round looks at them
+        between = kept(_carried(links, inside, now))
+        links = between.select(*(F.col(f"{c}_was").alias(c) for c in ("a", "b", "gap")), "weight")
+        lifted = kept(both_ways(between))
         steps = kept(joined(direct(strong(lifted, least, share), now.select(F.col("scf").alias("ctg"), F.col("long").alias("size")), slack)))
         if steps.isEmpty():
             break
@@ -70,14 +73,14 @@ def ordered(contigs: DataFrame, links: DataFrame, least: float = 3, share: float
 
 
 def _carried(links: DataFrame, inside: DataFrame, now: DataFrame) -> DataFrame:
-    """Links between contigs as links between what they are in: the gap is less by what lies between a contig and its scaffold's end."""
+    """Links between contigs as links between what they are in (and as they were): the gap is less by what lies between a contig and its scaffold's end."""
     at = inside.join(now, "scf")
     after = lambda sign: F.when(F.col("ori") * sign > 0, F.col("long") - F.col("bgn") - F.col("size")).otherwise(F.col("bgn"))
     left = at.select(F.col("ctg").alias("a_of"), F.col("scf").alias("a_scf"), F.col("ori").alias("a_ori"), after(1).alias("a_f"), after(-1).alias("a_r"))
     right = at.select(F.col("ctg").alias("b_of"), F.col("scf").alias("b_scf"), F.col("ori").alias("b_ori"), after(-1).alias("b_f"), after(1).alias("b_r"))
     rows = links.join(left, F.abs("a") == F.col("a_of")).join(right, F.abs("b") == F.col("b_of")).where("a_scf <> b_scf")
     gap = F.col("gap") - F.when(F.col("a") > 0, F.col("a_f")).otherwise(F.col("a_r")) - F.when(F.col("b") > 0, F.col("b_f")).otherwise(F.col("b_r"))
-    return rows.select((F.signum("a") * F.col("a_ori") * F.col("a_scf")).cast("long").alias("a"), (F.signum("b") * F.col("b_ori") * F.col("b_scf")).cast("long").alias("b"), gap.alias("gap"), "weight")
+    return rows.select((F.signum("a") * F.col("a_ori") * F.col("a_scf")).cast("long").alias("a"), (F.signum("b") * F.col("b_ori") * F.col("b_scf")).cast("long").alias("b"), gap.alias("gap"), "weight", *(F.col(c).alias(f"{c}_was") for c in ("a", "b", "gap")))
 
 
 def _consolidated(inside: DataFrame, now: DataFrame, steps: DataFrame) -> DataFrame:

@@ -65,3 +65,19 @@ def test_growing_k(spark):
     assert longest(grown) > max(longest(pipelines.unitigs(df, k, 2)) for k in (11, 31))
     assert all(r.seq in genome for r in grown.collect())
     assert pipelines.multi_k_unitigs(df.limit(0), [11, 21]).count() == 0
+
+
+def test_links_within_a_scaffold_are_left_behind(spark, monkeypatch):
+    sizes, kept = [], scaffolding.kept
+
+    def counted(df):
+        out = kept(df)
+        sizes.extend([out.count()] if "a_was" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(scaffolding, "kept", counted)
+    contigs = spark.createDataFrame([(k, 100) for k in range(1, 9)], "ctg long, size long")
+    links = spark.createDataFrame([(k, k + 1, 10, 5) for k in range(1, 8)], "a long, b long, gap long, weight long")
+    got = scaffolding.ordered(contigs, links).collect()
+    assert sorted((r.ctg, r.scaffold, r.place, r.bgn) for r in got) == [(k, 1, k - 1, 110.0 * (k - 1)) for k in range(1, 9)]
+    assert sizes == [7, 0]  # none is lifted again once it lies within
