@@ -230,3 +230,31 @@ def test_matches_that_stand_alone_are_left_out_before_runs_are_counted(spark):
     got = entry.queries()["collinear_matches_merged"](spark, "/root/testdata/sf0.001")
     assert got.where("n < 2").isEmpty()
     assert "lead(goes_on" in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_end_overlaps_as_by_hand(spark, monkeypatch):
+    for name, most in (("FIRST", 5), ("SECOND", 7), ("LIST", 3)):
+        monkeypatch.setattr(overlap, name, most)
+    rng = random.Random(21)
+    # two letters: many share an end, and some ends are their own complements; others are too short
+    reads = {k * 7 - 40: "".join(rng.choices("AT" if k % 3 else "ACGT", k=rng.randrange(2, 9))) for k in range(90)}
+    turned = {(k, o): s if o == "F" else s[::-1].translate(str.maketrans("ACGT", "TGCA")) for k, s in reads.items() if len(s) >= 3 for o in "FR"}
+    want = sorted((*x, *y) for x, s in turned.items() for y, t in turned.items() if x[0] != y[0] and s[-3:] == t[:3])
+    df = spark.createDataFrame([*reads.items(), (9999, None)], "id long, seq string")
+    got = overlap.end_overlaps(df, 4)
+    assert got.columns == ["a", "a_ori", "b", "b_ori"] and sorted(map(tuple, got.collect())) == want and len(want) > 1000
+    assert overlap.end_overlaps(df.limit(0), 4).count() == 0
+
+
+def test_end_overlaps_of_one_end(spark, tmp_path):
+    """All reads begin and end alike: their pairs are dealt out, and take few bytes where they are written."""
+    n = 2000
+    df = spark.range(n).select((F.xxhash64("id") % 10**9).alias("id"), F.lit("AACCGTTTTAACCGT").alias("seq"))
+    assert df.distinct().count() == n
+    path = str(tmp_path / "pairs")
+    overlap.end_overlaps(df, 7).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 2 * n * (n - 1)
+    each = rows.groupBy("a", "a_ori").agg(F.countDistinct("b").alias("n"), F.min(F.col("a_ori") == F.col("b_ori")).alias("same")).where("same").groupBy("n").count()
+    assert [tuple(r) for r in each.collect()] == [(n - 1, 2 * n)]
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < rows.count() / 5
