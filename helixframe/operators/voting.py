@@ -64,6 +64,14 @@ def votes(part: bytes, other: bytes, cigar: str, run: int = RUN, ends: int = END
     return np.concatenate([p for p, _ in parts]), np.concatenate([k for _, k in parts]), number
 
 
+def agreed(n: int, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """votes() of n letters that are equal."""
+    if n < run:
+        return tuple(np.zeros((3, 0), np.int64))
+    confirmed, whole = (KINDS.index(name) for name in ("confirmed", "whole"))
+    return np.array([0, n, 0, n - 1]), np.array([confirmed, confirmed, whole, whole]), np.array([1, -1, 1, -1])
+
+
 def columns(rows: DataFrame, run: int = RUN, ends: int = ENDS, sides: int = SIDES) -> DataFrame:
     """(id, pos, confirmed, whole, own, gone, A, C, G, T, after_A, ...): the
     votes of all letters of which any alignment would change something.
@@ -86,15 +94,30 @@ def columns(rows: DataFrame, run: int = RUN, ends: int = ENDS, sides: int = SIDE
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, places, parts, others, cigars = (batch.column(c) for c in range(5))
-            found = [votes((p or "").encode(), (o or "").encode(), c or "", run, ends, sides) for p, o, c in zip(parts.to_pylist(), others.to_pylist(), cigars.to_pylist(), strict=True)]
-            if not found:
+            if not batch.num_rows:
+                continue
+            # equal alignments are read once, those of equal letters not at all
+            each: dict[tuple, int] = {}
+            which = np.array([each.setdefault(row, len(each)) for row in zip(parts.to_pylist(), others.to_pylist(), cigars.to_pylist(), strict=True)])
+            found = [agreed(len(p), run) if p and p == o and c == f"{len(p)}M" else votes((p or "").encode(), (o or "").encode(), c or "", run, ends, sides) for p, o, c in each]
+            sizes = np.array([len(f[0]) for f in found])
+            begins = np.cumsum(sizes) - sizes
+            of = np.repeat(np.arange(len(which)), sizes[which])
+            at = np.arange(len(of)) + (begins[which] - (np.cumsum(sizes[which]) - sizes[which]))[of]
+            pos, kind, n = (np.concatenate([f[c] for f in found])[at] for c in range(3))
+            pos = pos + places.to_numpy(zero_copy_only=False).astype(np.int64)[of]
+            # votes of a batch for one letter are put together
+            read = ids.dictionary_encode("encode")
+            row = read.indices.to_numpy(zero_copy_only=False)[of]
+            order = np.lexsort((kind, pos, row))
+            order = order[pos[order] >= 0]
+            if not len(order):
                 continue
-            sizes = [len(f[0]) for f in found]
-            of = np.repeat(np.arange(len(found)), sizes)
-            pos = np.concatenate([f[0] for f in found]) + places.to_numpy(zero_copy_only=False).astype(np.int64)[of]
-            kind, n = (np.concatenate([f[c] for f in found]) for c in (1, 2))
-            ok = pos >= 0
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(of[ok])), pa.array(pos[ok], pa.int64()), pa.array(kind[ok], pa.int64()), pa.array(n[ok], pa.int64())], ["id", "pos", "kind", "n"])
+            row, pos, kind, n = row[order], pos[order], kind[order], n[order]
+            begin = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (pos[1:] != pos[:-1]) | (kind[1:] != kind[:-1])))
+            n = np.add.reduceat(n, begin)
+            begin, n = begin[n != 0], n[n != 0]
+            yield pa.RecordBatch.from_arrays([read.dictionary.take(pa.array(row[begin])), pa.array(pos[begin], pa.int64()), pa.array(kind[begin], pa.int64()), pa.array(n, pa.int64())], ["id", "pos", "kind", "n"])
 
     rows = rows.where("pos IS NOT NULL").select("id", F.col("pos").cast("long").alias("pos"), "part", "other", "cigar")
     cast_ = rows.mapInArrow(cast, f"id {rows.schema['id'].dataType.simpleString()}, pos long, kind long, n long")
@@ -147,4 +170,6 @@ def applied(rows: DataFrame, fixes: DataFrame, id_col: str = "id", seq: str = "s
 @F.pandas_udf(LongType())
 def n_differences(part: pd.Series, other: pd.Series, cigar: pd.Series) -> pd.Series:
     """Columns of an alignment in which part and other differ."""
-    return pd.Series([len(differences(p.encode(), o.encode(), c)[0]) for p, o, c in zip(part, other, cigar, strict=True)], dtype="int64")
+    rows = list(zip(part, other, cigar, strict=True))
+    n = {(p, o, c): 0 if p == o and c == f"{len(p)}M" else len(differences(p.encode(), o.encode(), c)[0]) for p, o, c in dict.fromkeys(rows)}
+    return pd.Series([n[row] for row in rows], dtype="int64")

@@ -173,3 +173,49 @@ def test_overlap_with_gaps(spark, split):
     assert len(found) == 1
     r = found[0]
     assert (r.b, r.back, r.a_lo, r.a_hi, r.b_lo, r.b_hi) == (2, True, 0, len(x), 0, len(y))
+
+
+@pytest.mark.parametrize("sent, few", [(chaining.SENT, False), (0, False), (chaining.SENT, True)])
+def test_chains_where_sequences_are(spark, monkeypatch, sent, few):
+    """The best chains of pairs, with what is cut out of them, are those of shuffled anchors, however little is worked through at once."""
+    from helixframe.operators import kmer
+
+    monkeypatch.setattr(chaining, "SENT", sent)
+    at_once = chaining.AtOnce(200, 50, 40, 30) if few else chaining.AtOnce()
+    rng = random.Random(4)
+    items = [(k, "AC" * 20 if k == 3 else letters(rng.choice([6, 40, 90]), rng)) for k in range(12)] + [(5, letters(60, rng))]
+    turned = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reads = []
+    for k in range(60):
+        parts = [(turned if rng.random() < 0.5 else str)(mutated(rng.choice(items)[1], 0.03, rng)) for _ in range(3)]
+        reads.append((k % 50, ("N" if k % 7 else "").join([letters(300, rng), *parts, "AC" * 30])))
+    left, right = (spark.createDataFrame(x, "id long, seq string") for x in ([*reads, (90, None), (91, "")], items))
+    seeds = lambda rows: kmer.codes(rows, 7, both_strands=False, keep=("id",), positions=True, strands=True).withColumnRenamed("code", "minimizer")
+    names = ["a", "b", "back", "n", "score", "a_lo", "a_hi", "b_lo", "b_hi"]
+    rows = lambda df: sorted(tuple(r) for r in df.select(names).distinct().collect())
+    want = chaining.chains(chaining.anchors(seeds(left), seeds(right)), 7, 100, 4, only_best=True)
+    got = chaining.best_between(left, right, 7, 100, 4, lambda a, b, back, a_lo, a_hi, b_lo, b_hi: (a[a_lo:a_hi], b[b_lo:b_hi]), at_once)
+    assert rows(got) == rows(want) == rows(chaining.best_between(left, right, 7, 100, 4)) and want.count() > 60
+    texts = lambda rows: {k: {s for i, s in rows if i == k and s and len(s) >= 7} for k, _ in rows}
+    a_of, b_of = texts(reads), texts(items)
+    # an id that comes twice gives what is cut out of each of its sequences
+    assert {(r.a, r.b, r.back, r.x, r.y) for r in got.collect()} == {(r.a, r.b, r.back, s[r.a_lo : r.a_hi], t[r.b_lo : r.b_hi]) for r in want.collect() for s in a_of[r.a] for t in b_of[r.b]}
+
+
+def test_short_alignments_are_those_in_a_moving_band(monkeypatch):
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(300):
+        a = letters(rng.choice([0, 1, 5, 40, 90]), rng)
+        pairs.append((a.encode(), rng.choice([letters(rng.randrange(80), rng), mutated(a, 0.2, rng), mutated(a, 0.1, rng) + letters(30, rng)]).encode()))
+    for band, zdrop in ((None, None), (200, None), (40, 20), (None, 30)):
+        want = []
+        for a, b in pairs:
+            need = max(len(a), len(b)) + 1
+            want += banded._block([a], [b], need if band is None else min(need, band), banded.Scores(), zdrop)
+        assert banded.align(pairs, band, zdrop=zdrop) == want
+    sizes = []
+    square = banded._square
+    monkeypatch.setattr(banded, "_square", lambda a, *rest: sizes.append(len(a)) or square(a, *rest))
+    assert len(banded.align(pairs * 50, 200)) == len(pairs) * 50
+    assert sum(sizes) == len(set(pairs))

@@ -140,3 +140,29 @@ def test_empty_and_refused(spark):
     assert voting.corrections(voting.columns(empty)).count() == 0
     with pytest.raises(ValueError):
         voting.columns(empty, run=5, ends=3)
+
+
+def test_equal_alignments_vote_as_each_of_them(spark):
+    """Alignments that come more than once, and those of equal letters, have the votes that they have one by one."""
+    rng = random.Random(12)
+    rows = []
+    for _ in range(60):
+        part = "".join(rng.choice("ACGT") for _ in range(rng.choice([3, 9, 25])))
+        other = part if rng.random() < 0.5 else part[:12] + rng.choice(["", "A", "TT"]) + part[13:]
+        rows += [(rng.randrange(4), rng.randrange(5), part, other, banded.align([(part.encode(), other.encode())])[0].cigar)] * rng.choice([1, 3])
+    want: dict = {}
+    for read, pos, part, other, cigar in rows:
+        for at, kind, n in zip(*(x.tolist() for x in voting.votes(part.encode(), other.encode(), cigar)), strict=True):
+            one = want.setdefault((read, pos + at), dict.fromkeys(voting.KINDS, 0))
+            one[voting.KINDS[kind]] += n
+    for read in range(4):
+        total = dict.fromkeys(voting.STRETCHES, 0)
+        for _, at in sorted(key for key in want if key[0] == read):
+            for c in voting.STRETCHES:
+                total[c] += want[read, at][c]
+                want[read, at][c] = total[c]
+    want = {key: v for key, v in want.items() if any(v[c] for c in voting.CHANGES + voting.INSERTS)}
+    got = voting.columns(spark.createDataFrame(rows, "id long, pos long, part string, other string, cigar string"))
+    assert {(r.id, r.pos): {c: r[c] for c in voting.KINDS} for r in got.collect()} == want and len(want) > 10
+    texts = spark.createDataFrame(rows, "id long, pos long, part string, other string, cigar string").select("part", "other", "cigar", voting.n_differences("part", "other", "cigar").alias("n"))
+    assert all(r.n == len(voting.differences(r.part.encode(), r.other.encode(), r.cigar)[0]) for r in texts.collect())
