@@ -4,7 +4,9 @@ Contigs are signed numbers, a negative one is the contig turned round; a link
 a to b with a gap says as well that -b is followed by -a. In each round weak
 links are cut, links that two others replace are left out, contigs that have
 one way on and are the one way back are joined, and what has been joined is a
-contig of the next round, to whose ends the links are carried."""
+contig of the next round, to whose ends the links are carried. Joins are by
+shuffle: contigs are numbers in a row, which are few bytes in files, by which a
+table is taken for one to be sent, and many where it is sent from."""
 
 from __future__ import annotations
 
@@ -33,9 +35,9 @@ def direct(links: DataFrame, sizes: DataFrame, slack: float) -> DataFrame:
     one = links.select("a", F.col("b").alias("m"), F.col("gap").alias("x"))
     two = links.select(F.col("a").alias("m"), "b", F.col("gap").alias("y"))
     of = sizes.select(F.col("ctg").alias("of"), "size")
-    way = one.join(two, "m").join(of, F.abs("m") == F.col("of")).join(links.select("a", "b", "gap"), ["a", "b"])
+    way = one.hint("merge").join(two, "m").hint("merge").join(of, F.abs("m") == F.col("of")).hint("merge").join(links.select("a", "b", "gap"), ["a", "b"])
     way = way.where(F.abs(F.col("x") + F.col("size") + F.col("y") - F.col("gap")) <= slack).select("a", "b").distinct()
-    return links.join(way, ["a", "b"], "left_anti")
+    return links.hint("merge").join(way, ["a", "b"], "left_anti")
 
 
 def joined(links: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def ordered(contigs: DataFrame, links: DataFrame, least: float = 3, share: float
     inside = kept(sizes.select("ctg", F.col("ctg").alias("scf"), F.lit(1).alias("ori"), F.lit(0.0).alias("bgn"), "size"))
     links = kept(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.col("gap").cast("double").alias("gap"), F.col("weight").cast("double").alias("weight")))
     known = sizes.select("ctg")
-    links = links.join(known.select(F.col("ctg").alias("x")), F.abs("a") == F.col("x"), "left_semi").join(known.select(F.col("ctg").alias("x")), F.abs("b") == F.col("x"), "left_semi")
+    links = links.hint("merge").join(known.select(F.col("ctg").alias("x")), F.abs("a") == F.col("x"), "left_semi").hint("merge").join(known.select(F.col("ctg").alias("x")), F.abs("b") == F.col("x"), "left_semi")
     for _ in range(most_rounds):
         now = inside.groupBy("scf").agg(F.max(F.col("bgn") + F.col("size")).alias("long"))
         # links within a scaffold stay there: no later round looks at them
@@ -74,11 +76,11 @@ def ordered(contigs: DataFrame, links: DataFrame, least: float = 3, share: float
 
 def _carried(links: DataFrame, inside: DataFrame, now: DataFrame) -> DataFrame:
     """Links between contigs as links between what they are in (and as they were): the gap is less by what lies between a contig and its scaffold's end."""
-    at = inside.join(now, "scf")
+    at = inside.hint("merge").join(now, "scf")
     after = lambda sign: F.when(F.col("ori") * sign > 0, F.col("long") - F.col("bgn") - F.col("size")).otherwise(F.col("bgn"))
     left = at.select(F.col("ctg").alias("a_of"), F.col("scf").alias("a_scf"), F.col("ori").alias("a_ori"), after(1).alias("a_f"), after(-1).alias("a_r"))
     right = at.select(F.col("ctg").alias("b_of"), F.col("scf").alias("b_scf"), F.col("ori").alias("b_ori"), after(-1).alias("b_f"), after(1).alias("b_r"))
-    rows = links.join(left, F.abs("a") == F.col("a_of")).join(right, F.abs("b") == F.col("b_of")).where("a_scf <> b_scf")
+    rows = links.hint("merge").join(left, F.abs("a") == F.col("a_of")).hint("merge").join(right, F.abs("b") == F.col("b_of")).where("a_scf <> b_scf")
     gap = F.col("gap") - F.when(F.col("a") > 0, F.col("a_f")).otherwise(F.col("a_r")) - F.when(F.col("b") > 0, F.col("b_f")).otherwise(F.col("b_r"))
     return rows.select((F.signum("a") * F.col("a_ori") * F.col("a_scf")).cast("long").alias("a"), (F.signum("b") * F.col("b_ori") * F.col("b_scf")).cast("long").alias("b"), gap.alias("gap"), "weight", *(F.col(c).alias(f"{c}_was") for c in ("a", "b", "gap")))
 
@@ -90,12 +92,12 @@ def _consolidated(inside: DataFrame, now: DataFrame, steps: DataFrame) -> DataFr
     paths = paths.withColumn("own", own).where("own.s < 0").withColumn("k", F.row_number().over(Window.partitionBy(F.abs("b")).orderBy("path"))).where("k = 1")
     # where each begins: the lengths and gaps before it
     before = paths.select("path", (F.col("place") + 1).alias("place"), F.col("b").alias("a"))
-    rows = paths.join(before, ["path", "place"], "left").join(steps.select("a", "b", "gap"), ["a", "b"], "left").join(now.select("scf", "long"), F.abs("b") == F.col("scf"))
+    rows = paths.hint("merge").join(before, ["path", "place"], "left").hint("merge").join(steps.select("a", "b", "gap"), ["a", "b"], "left").hint("merge").join(now.select("scf", "long"), F.abs("b") == F.col("scf"))
     by = Window.partitionBy("path").orderBy("place")
     moved = rows.withColumn("far", F.coalesce(F.lag("long").over(by), F.lit(0.0)) + F.coalesce("gap", F.lit(0.0)))
     moved = moved.withColumn("start", F.sum("far").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     to = moved.select("scf", F.col("own.n").alias("to"), F.signum("b").cast("int").alias("turn"), "start", "long")
-    out = inside.join(to, "scf", "left")
+    out = inside.hint("merge").join(to, "scf", "left")
     bgn = F.when(F.col("turn").isNull(), F.col("bgn")).when(F.col("turn") > 0, F.col("start") + F.col("bgn")).otherwise(F.col("start") + F.col("long") - F.col("bgn") - F.col("size"))
     out = out.select("ctg", F.coalesce("to", "scf").alias("scf"), (F.col("ori") * F.coalesce("turn", F.lit(1))).alias("ori"), bgn.alias("bgn"), "size")
     least = F.min("bgn").over(Window.partitionBy("scf"))

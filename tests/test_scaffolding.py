@@ -81,3 +81,23 @@ def test_links_within_a_scaffold_are_left_behind(spark, monkeypatch):
     got = scaffolding.ordered(contigs, links).collect()
     assert sorted((r.ctg, r.scaffold, r.place, r.bgn) for r in got) == [(k, 1, k - 1, 110.0 * (k - 1)) for k in range(1, 9)]
     assert sizes == [7, 0]  # none is lifted again once it lies within
+
+
+def test_no_table_of_a_round_goes_through_the_driver(spark, monkeypatch):
+    """Joins are by shuffle, however few bytes a round's tables take in files."""
+    from helixframe.operators import graph
+
+    plans = []
+    own = graph.kept
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df)
+
+    monkeypatch.setattr(graph, "kept", seen)
+    monkeypatch.setattr(scaffolding, "kept", seen)
+    contigs = spark.range(1, 9).select(F.col("id").alias("ctg"), F.lit(100).alias("size"))
+    links = spark.range(1, 8).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(10.0).alias("gap"), F.lit(5).alias("weight"))
+    got = scaffolding.ordered(contigs, links)
+    assert [(r.ctg, r.place) for r in got.orderBy("ctg").collect()] == [(k + 1, k) for k in range(8)]
+    assert len(plans) > 8 and not [p for p in plans if "Broadcast" in p]
