@@ -105,3 +105,11 @@ def test_mapping_quality_cap():
     t = 30 - 4.343 * math.log(20)
     assert realign.mapping_quality_cap(one, q, ref, 0, "20M") == int(math.sqrt((40 - t) / 40) * 40 + 0.499)
     assert realign.mapping_quality_cap("C" * 20, q, ref, 0, "20M") == -1
+
+
+def test_rows_of_the_band_are_slices(monkeypatch):
+    """Nothing is gathered letter by letter, and unknown letters and places beyond the reference are as before."""
+    monkeypatch.setattr(realign.np, "take_along_axis", None)
+    read, ref = "ACGTTGCANACGTACGT", "ACGTTGCAGACNTACGT"
+    got = realign.realigned([(read, np.full(17, 30), ref, 0, "17M"), (read[:9], np.full(9, 30), ref[:6], 0, "6M3S")])
+    assert [len(x) for x in got] == [17, 9] and got[0].max() <= 30 and got[0][:7].min() > 0
