@@ -219,3 +219,10 @@ def test_short_alignments_are_those_in_a_moving_band(monkeypatch):
     monkeypatch.setattr(banded, "_square", lambda a, *rest: sizes.append(len(a)) or square(a, *rest))
     assert len(banded.align(pairs * 50, 200)) == len(pairs) * 50
     assert sum(sizes) == len(set(pairs))
+
+
+def test_few_bytes_with_much_work_are_dealt_out(spark):
+    """Groups of few bytes, which Spark would put into one task, are worked on in as many as there are."""
+    groups = spark.range(400).groupBy((F.col("id") % 40).alias("k")).agg(F.collect_list("id").alias("all"))
+    tasks = chaining.dealt(groups).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == 4
